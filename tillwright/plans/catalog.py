@@ -2,7 +2,14 @@
 
 from __future__ import annotations
 
-from tillwright.plans import returns_queries  # noqa: F401
+from tillwright.plans import (  # noqa: F401
+    cleaning_queries,
+    enrich_queries,
+    profile_queries,
+    quality_queries,
+    returns_queries,
+    sales_queries,
+)
 from tillwright.plans.registry import QUERIES, SQL
 
 __all__ = ["QUERIES", "SQL"]
