@@ -39,4 +39,5 @@ def two_decimals(x: Column) -> Column:
     below = F.floor(p / 10.0)
     tie = (p == F.floor(p)) & (F.pmod(p, F.lit(10.0)) == 5.0)
     up = F.when(err > 0, 1).when(err < 0, 0).otherwise(F.pmod(below, F.lit(2)))
-    return F.format_string("%.2f", F.when(tie, (below + up) / 100.0).otherwise(x))
+    # format_string prints the word null for NULL
+    return F.when(x.isNotNull(), F.format_string("%.2f", F.when(tie, (below + up) / 100.0).otherwise(x)))

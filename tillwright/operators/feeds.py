@@ -79,7 +79,7 @@ def _as_bool(c: Column) -> Column:
 
 
 def _price_text(price: Column) -> Column:
-    return F.when(F.abs(price) < 1e7, price.cast("string")).otherwise(F.format_string("%.1f", price))
+    return F.when(F.abs(price) >= 1e7, F.format_string("%.1f", price)).otherwise(price.cast("string"))
 
 
 def missing_field(df: DataFrame, name: str) -> Column:

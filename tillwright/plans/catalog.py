@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from tillwright.plans import (  # noqa: F401
     cleaning_queries,
+    contract_queries,
     enrich_queries,
+    feed_queries,
     profile_queries,
     quality_queries,
     returns_queries,
