@@ -9,8 +9,10 @@ from tillwright.plans import (  # noqa: F401
     feed_queries,
     profile_queries,
     quality_queries,
+    recommend_queries,
     returns_queries,
     sales_queries,
+    source_queries,
 )
 from tillwright.plans.registry import QUERIES, SQL
 

@@ -8,6 +8,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
+
+from tillwright.streaming import events as E
 
 # The window of the anomaly report on the given tables.
 FIRST, LAST = "1998-01-01", "1998-12-31"
@@ -67,6 +70,17 @@ CTE = {
   JOIN part ON part_id = p_partkey)""",
     "activity": """activity AS (
   SELECT event_id, user_id, ts, event_type, CAST(json_extract(props, '$.k') AS BIGINT) AS product_id, value FROM events)""",
+    "catalogue": """catalogue AS (
+  SELECT p_partkey AS id, p_partkey AS pos, p_name AS name, p_brand || '/' || p_size AS category, p_retailprice AS price,
+         p_name AS description FROM part)""",
+    # events as messages; user % 10 = 9 sends no profile
+    "messages": """messages AS (
+  SELECT event_id, CASE event_type WHEN 'view' THEN 'product_view' WHEN 'purchase' THEN 'product_purchase' ELSE event_type END AS event_type,
+         epoch_us(ts) / 1000000.0::DOUBLE AS "timestamp", user_id, CAST(json_extract(props, '$.k') AS BIGINT) AS product_id,
+         user_id % 10 <> 9 AS sent_profile,
+         ['Brand#' || (1 + user_id % 25) || '/' || (1 + user_id % 50), 'Brand#' || (1 + user_id * 7 % 25) || '/' || (1 + user_id * 3 % 50)] AS cats,
+         CASE user_id % 4 WHEN 0 THEN ['turbine'] WHEN 1 THEN ['Small RING', 'ed anv'] WHEN 2 THEN ['ld rin', 'zz'] ELSE CAST([] AS VARCHAR[]) END AS feats
+  FROM events)""",
 }
 
 
@@ -86,12 +100,18 @@ def _maker(column: Column, cases: dict[int, str]) -> Column:
 class Shop:
     """Lazily read entities of one data folder."""
 
+    _schemas: dict[str, StructType] = {}
+
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        """A given table; its schema is looked up in the file once per process."""
+        path = f"{self.sf_dir}/{name}.parquet"
+        if path not in self._schemas:
+            self._schemas[path] = self.spark.read.parquet(path).schema
+        return self.spark.read.schema(self._schemas[path]).parquet(path)
 
     def products(self) -> DataFrame:
         return self.table("part").select(
@@ -198,3 +218,42 @@ class Shop:
             "event_id", "user_id", "ts", "event_type",
             F.get_json_object("props", "$.k").cast("bigint").alias("product_id"), "value",
         )
+
+    def catalogue(self) -> DataFrame:
+        return self.table("part").select(
+            F.col("p_partkey").alias("id"), F.col("p_partkey").alias("pos"), F.col("p_name").alias("name"),
+            F.concat("p_brand", F.lit("/"), F.col("p_size").cast("string")).alias("category"),
+            F.col("p_retailprice").alias("price"), F.col("p_name").alias("description"))
+
+    def _messages(self, events: DataFrame) -> DataFrame:
+        """The message a shop would send for each event, as columns."""
+        u = F.col("user_id")
+
+        def liked(a: int, b: int) -> Column:
+            return F.concat(F.lit("Brand#"), (1 + u * a % 25).cast("string"), F.lit("/"), (1 + u * b % 50).cast("string"))
+
+        features = (
+            F.when(u % 4 == 0, F.array(F.lit("turbine"))).when(u % 4 == 1, F.array(F.lit("Small RING"), F.lit("ed anv")))
+            .when(u % 4 == 2, F.array(F.lit("ld rin"), F.lit("zz"))).otherwise(F.array().cast("array<string>")))
+        profile = F.struct(
+            F.array(liked(1, 1), liked(7, 3)).alias("preferred_categories"), features.alias("preferred_features"),
+            F.lit(0.5).alias("price_sensitivity"),
+            F.array(u % 10).alias("viewing_history"), F.array().cast("array<bigint>").alias("purchase_history"))
+        kind = F.when(F.col("event_type") == "view", "product_view").when(
+            F.col("event_type") == "purchase", "product_purchase").otherwise(F.col("event_type"))
+        product = F.struct("id", "name", "category", "price", "description").alias("product")
+        sent = events.select(
+            "event_id", kind.alias("event_type"), (F.unix_micros(F.col("ts").cast("timestamp")) / 1e6).alias("timestamp"),
+            "user_id", F.get_json_object("props", "$.k").cast("bigint").alias("product_id"),
+            F.when(u % 10 != 9, profile).alias("user_profile"))
+        products = self.catalogue().select(F.col("id").alias("product_id"), product)
+        return sent.join(products, "product_id", "left")
+
+    def messages(self) -> DataFrame:
+        return self._messages(self.table("events"))
+
+    def message_stream(self) -> DataFrame:
+        """The same messages as JSON, read as a stream of files and parsed."""
+        schema = self.table("events").schema
+        events = self.spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(self.sf_dir)
+        return E.parse(self._messages(events).select(F.to_json(F.struct("*")).alias("value")))
