@@ -131,11 +131,21 @@ def latest_counts(written: DataFrame) -> DataFrame:
     return written.groupBy("window_start", "event_type").agg(F.max_by("messages", "batch_id").alias("messages"))
 
 
-def save_batches(path: str, build: Callable[[DataFrame], DataFrame] = lambda df: df):
-    """``foreachBatch`` function: write ``build(batch)`` to the batch's own folder."""
+def save_batches(path: str, build: Callable[[DataFrame], DataFrame] = lambda df: df, reread: bool = False):
+    """``foreachBatch`` function: write ``build(batch)`` to the batch's own folder.
+
+    With ``reread`` the batch is kept on the executors while ``build`` goes over it
+    several times, so that the source is read once.
+    """
 
     def save(batch: DataFrame, batch_id: int) -> None:
-        build(batch).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        if reread:
+            batch = batch.persist()
+        try:
+            build(batch).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        finally:
+            if reread:
+                batch.unpersist()
 
     return save
 
@@ -150,17 +160,21 @@ def send_to_kafka(stream: DataFrame, servers: str, topic: str, checkpoint: str):
 
 
 def start(stream: DataFrame, path: str, checkpoint: str, build: Callable[[DataFrame], DataFrame] = lambda df: df,
-          mode: str = "append", trigger: Mapping = {"availableNow": True}):
+          reread: bool = False, mode: str = "append", trigger: Mapping = {"availableNow": True}):
     """Start a query that writes ``build(batch)`` per micro-batch below ``path``."""
     return (
-        stream.writeStream.foreachBatch(save_batches(path, build)).outputMode(mode)
+        stream.writeStream.foreachBatch(save_batches(path, build, reread)).outputMode(mode)
         .option("checkpointLocation", checkpoint).trigger(**trigger).start()
     )
 
 
 def start_recommendations(events: DataFrame, heads: R.Heads, path: str, checkpoint: str, **kw):
     """Recommendation messages for every view of the stream."""
-    return start(events, path, checkpoint, lambda b: recommendation_messages(R.recommend(views_of(b), heads)), **kw)
+
+    def build(batch: DataFrame) -> DataFrame:
+        return recommendation_messages(R.recommend(views_of(batch), heads))
+
+    return start(events, path, checkpoint, build, reread=True, **kw)
 
 
 def start_counters(events: DataFrame, heads: R.Heads, catalogue: DataFrame, path: str, checkpoint: str, **kw):
@@ -171,7 +185,7 @@ def start_counters(events: DataFrame, heads: R.Heads, catalogue: DataFrame, path
         counted = batch.agg(F.count("*").alias("events_processed"))
         return views.unionByName(counted, allowMissingColumns=True)
 
-    return start(events, path, checkpoint, build, **kw)
+    return start(events, path, checkpoint, build, reread=True, **kw)
 
 
 def metrics_update(written: DataFrame) -> DataFrame:
