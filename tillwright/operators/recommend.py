@@ -16,7 +16,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, GroupedData, Window
 from pyspark.sql import functions as F
 
 from tillwright.functions.numbers import share
@@ -24,12 +24,14 @@ from tillwright.operators.ordering import running_totals
 from tillwright.session import stored
 
 PROFILE = ["preferred_categories", "preferred_features"]
-PICK = "array<struct<tier:int,pos:bigint,id:bigint>>"
 
 
 @dataclass(frozen=True)
 class Heads:
-    """Leading products of the catalogue: per category, per description text, overall."""
+    """Leading products of the catalogue: per category, per description text, overall.
+
+    ``picks`` are arrays of (pos, id) and ``ids`` the ids alone, in catalogue order.
+    """
 
     k: int
     by_category: DataFrame
@@ -49,8 +51,12 @@ class Heads:
 def _first_per(df: DataFrame, key: str, n: int) -> DataFrame:
     """(key, picks): the ``n`` leading products per key.  The rank limit acts before the shuffle too."""
     ranked = df.withColumn("rank", F.row_number().over(Window.partitionBy(key).orderBy("pos", "id")))
-    return ranked.where(F.col("rank") <= n).groupBy(key).agg(
-        F.sort_array(F.collect_list(F.struct("pos", "id"))).alias("picks"))
+    return _ordered(ranked.where(F.col("rank") <= n).groupBy(key))
+
+
+def _ordered(grouped: GroupedData) -> DataFrame:
+    picks = grouped.agg(F.sort_array(F.collect_list(F.struct("pos", "id"))).alias("picks"))
+    return picks.withColumn("ids", F.col("picks.id"))
 
 
 def catalogue_heads(catalogue: DataFrame, k: int) -> Heads:
@@ -60,8 +66,7 @@ def catalogue_heads(catalogue: DataFrame, k: int) -> Heads:
         k=k,
         by_category=_first_per(products.where("category IS NOT NULL"), "category", k + 1),
         by_text=_first_per(products.where("text IS NOT NULL"), "text", k + 1),
-        overall=products.orderBy("pos", "id").limit(k + 1).agg(
-            F.sort_array(F.collect_list(F.struct("pos", "id"))).alias("picks")),
+        overall=_ordered(products.orderBy("pos", "id").limit(k + 1).groupBy()),
     )
 
 
@@ -103,76 +108,78 @@ def _profiles(views: DataFrame) -> DataFrame:
     })
 
 
-def _distinct_profiles(views: DataFrame) -> DataFrame:
-    return views.where("has_profile").select(*PROFILE).distinct()
+def distinct_profiles(views: DataFrame) -> DataFrame:
+    """The profiles that occur, stored: several joins below start from them, the views are read once for it."""
+    return stored(_profiles(views).where("has_profile").select(*PROFILE).distinct(), "profiles")
 
 
 def _distinct_features(profiles: DataFrame) -> DataFrame:
     return profiles.select(F.explode("preferred_features").alias("feature")).where("feature IS NOT NULL").distinct()
 
 
-def _tiered(picks: Column | str, tier: int) -> Column:
-    picks = F.col(picks) if isinstance(picks, str) else picks
-    rows = F.transform(picks, lambda p: F.struct(F.lit(tier).alias("tier"), p["pos"].alias("pos"), p["id"].alias("id")))
-    return F.coalesce(rows, F.array()).cast(PICK)
-
-
-def _with_best(df: DataFrame, picks: Column, name: str) -> DataFrame:
-    """Add the picks sorted by tier and position, each product at its first place."""
-    df = df.withColumn("_ranked", F.sort_array(picks))
-    df = df.withColumn("_ids", F.transform("_ranked", lambda p: p["id"]))
-    first = F.filter("_ranked", lambda p, i: F.array_position("_ids", p["id"]) == i + 1)
-    return df.withColumn(name, first).drop("_ranked", "_ids")
-
-
-def _profile_picks(profiles: DataFrame, heads: Heads) -> DataFrame:
-    """Each distinct profile with its ``k + 1`` leading products of tiers 1 and 2."""
+def _liked_products(profiles: DataFrame, heads: Heads) -> DataFrame:
+    """Each distinct profile with the ids of its ``k + 1`` leading products of tiers 1 and 2."""
     hits = feature_texts(_distinct_features(profiles), heads.by_text.select("text"))
     products = hits.join(heads.by_text, "text").select("feature", F.inline("picks"))
     by_feature = _first_per(products, "feature", heads.k + 1)
+
+    def tier(n: int) -> Column:
+        return F.transform("picks", lambda p: F.struct(F.lit(n).alias("tier"), p["pos"].alias("pos"), p["id"].alias("id")))
+
     liked = (
         profiles.select(*PROFILE, F.explode("preferred_categories").alias("category"))
-        .join(heads.by_category, "category").select(*PROFILE, _tiered("picks", 1).alias("picks"))
+        .join(heads.by_category, "category").select(*PROFILE, tier(1).alias("picks"))
     )
     described = (
         profiles.select(*PROFILE, F.explode("preferred_features").alias("feature"))
-        .join(by_feature, "feature").select(*PROFILE, _tiered("picks", 2).alias("picks"))
+        .join(by_feature, "feature").select(*PROFILE, tier(2).alias("picks"))
     )
     # a group holds one short list per category and feature of the profile
-    both = liked.unionByName(described).groupBy(*PROFILE).agg(F.flatten(F.collect_list("picks")).alias("picks"))
-    return _with_best(both, F.col("picks"), "best").select(
-        *PROFILE, F.slice("best", 1, heads.k + 1).alias("profile_picks"))
+    return (
+        liked.unionByName(described).groupBy(*PROFILE)
+        .agg(F.sort_array(F.flatten(F.collect_list("picks"))).alias("picks"))
+        .select(*PROFILE, F.slice(F.array_distinct(F.col("picks.id")), 1, heads.k + 1).alias("liked_ids"))
+    )
 
 
-def recommend(views: DataFrame, heads: Heads) -> DataFrame:
-    """Views with ``has_profile`` and ``recs``, an array of up to ``k`` (tier, pos, id).
+def recommend(views: DataFrame, heads: Heads, profiles: DataFrame | None = None) -> DataFrame:
+    """Views with ``has_profile``, ``recs`` and ``liked_recs``.
 
-    ``views`` has user_id, product_id, category (of the viewed product) and the
-    profile arrays, NULL for a view without profile.
+    ``recs`` holds up to ``k`` product ids; the first ``liked_recs`` of them are of
+    tiers 1 and 2, which are the products relevant to the user.  ``views`` has
+    user_id, product_id, category (of the viewed product) and the profile arrays,
+    NULL for a view without profile.  ``profiles`` are their distinct profiles, if
+    the caller has them.
     """
+    liked = _liked_products(profiles or distinct_profiles(views), heads)
     views = _profiles(views)
-    by_profile = _profile_picks(_distinct_profiles(views), heads)
-    picks = F.concat(
-        F.coalesce("profile_picks", F.array().cast(PICK)), _tiered("picks", 3), _tiered(F.col("overall_picks"), 4))
-    others = F.filter("best", lambda p: ~p["id"].eqNullSafe(F.col("product_id")))
-    joined = (
-        views.join(by_profile, PROFILE, "left")
-        .join(heads.by_category, "category", "left")
-        .withColumn("overall_picks", heads.overall.scalar())
+    return _ranked(views.join(liked, PROFILE, "left"), views.columns, heads)
+
+
+def _ranked(views: DataFrame, keep: list[str], heads: Heads) -> DataFrame:
+    """Chain the lists: liked, viewed category, catalogue; each product counts at its first place."""
+    viewed = F.col("product_id")
+    chain = F.array_distinct(F.concat(
+        F.coalesce("liked_ids", F.array()), F.coalesce("ids", F.array()), F.coalesce("overall_ids", F.array())))
+    others = F.when(viewed.isNull(), chain).otherwise(F.array_remove(chain, viewed))
+    return (
+        views.join(heads.by_category.select("category", "ids"), "category", "left")
+        .withColumn("overall_ids", heads.overall.select("ids").scalar())
+        .withColumn("recs", F.slice(others, 1, heads.k))
+        .withColumn("liked_recs", F.size(F.array_intersect("recs", F.coalesce("liked_ids", F.array()))))
+        .select(*keep, "recs", "liked_recs")
     )
-    return _with_best(joined, picks, "best").select(*views.columns, F.slice(others, 1, heads.k).alias("recs"))
 
 
 def same_category(views: DataFrame, heads: Heads) -> DataFrame:
-    """The same for views without profile: the viewed category, then the others."""
-    none = F.lit(None).cast("array<string>")
-    return recommend(views.withColumns({c: none for c in PROFILE}), heads)
+    """The same without regard to profiles: the viewed category, then the others."""
+    return _ranked(views.withColumn("liked_ids", F.array().cast("array<bigint>")), views.columns, heads)
 
 
 def rec_rows(recs: DataFrame, *keep: str) -> DataFrame:
-    """One row per recommendation: the kept columns, rank, product_id, tier."""
-    return recs.select(*keep, F.posexplode("recs").alias("rank", "rec")).select(
-        *keep, (F.col("rank") + 1).alias("rank"), F.col("rec.id").alias("rec_id"), F.col("rec.tier").alias("tier"))
+    """One row per recommendation: the kept columns, rank, rec_id, relevant."""
+    return recs.select(*keep, "liked_recs", F.posexplode("recs").alias("pos", "rec_id")).select(
+        *keep, (F.col("pos") + 1).alias("rank"), "rec_id", (F.col("pos") < F.col("liked_recs")).alias("relevant"))
 
 
 def is_relevant(category: str = "category", description: str = "description") -> Column:
@@ -183,13 +190,12 @@ def is_relevant(category: str = "category", description: str = "description") ->
     return liked | described
 
 
-def relevant_counts(views: DataFrame, catalogue: DataFrame) -> DataFrame:
+def relevant_counts(profiles: DataFrame, catalogue: DataFrame) -> DataFrame:
     """(profile, relevant_products): catalogue products each distinct profile would like.
 
     Products are first counted per category and set of features found in their
     description, so profiles meet those few groups and not the products.
     """
-    profiles = _distinct_profiles(_profiles(views))
     products = catalogue.groupBy("category", F.lower("description").alias("text")).agg(F.count("*").alias("n"))
     hits = feature_texts(_distinct_features(profiles), products.where("text IS NOT NULL").select("text").distinct())
     found = hits.groupBy("text").agg(F.sort_array(F.collect_set("feature")).alias("found"))
@@ -211,13 +217,15 @@ def relevant_counts(views: DataFrame, catalogue: DataFrame) -> DataFrame:
 COUNTERS = ["total_recommendations", "relevant_recommendations", "total_relevant_products"]
 
 
-def event_counters(recs: DataFrame, catalogue: DataFrame) -> DataFrame:
-    """Profiled views with the recommendations made, those relevant, and the products relevant to the user."""
-    views = recs.where("has_profile")
-    return views.join(relevant_counts(views, catalogue), PROFILE, "left").select(
+def event_counters(recs: DataFrame, relevant: DataFrame) -> DataFrame:
+    """Profiled views with the recommendations made, those relevant, and the products relevant to the user.
+
+    ``relevant`` comes from ``relevant_counts`` for the profiles of these views.
+    """
+    return recs.where("has_profile").join(relevant, PROFILE, "left").select(
         "event_id", "timestamp", "user_id",
         F.size("recs").cast("bigint").alias("total_recommendations"),
-        F.size(F.filter("recs", lambda r: r["tier"] <= 2)).cast("bigint").alias("relevant_recommendations"),
+        F.col("liked_recs").cast("bigint").alias("relevant_recommendations"),
         F.coalesce("relevant_products", F.lit(0)).alias("relevant_products"),
     )
 

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from tillwright.functions.numbers import at_least, share
 from tillwright.functions.time import in_days
+from tillwright.session import stored
 
 # fixed values: return reasons per bucket
 REASONS = {
@@ -143,10 +144,12 @@ BASES = ["rate", "per_day", "ux_share", "defect_share", "logistics_share"]
 def with_baselines(totals: DataFrame, products: DataFrame, first: str, last: str) -> DataFrame:
     """Product rows with catalogue columns, own ratios and the baseline ratios ``base_*``.
 
-    A baseline is the category's figure, else the portfolio's, else 0.  The
-    portfolio row is read as a scalar subquery, so no product row is shuffled or
-    crossed for it.
+    A baseline is the category's figure, else the portfolio's, else 0.  The totals
+    feed three aggregates, so they are stored: orders, items and returns are read
+    once.  The portfolio row is read as a scalar subquery, so no product row is
+    shuffled or crossed for it.
     """
+    totals = stored(totals, "totals")
     category = category_baseline(totals, products, first, last)
     portfolio = portfolio_baseline(totals, first, last)
     whole = portfolio.select(F.struct(*BASES).alias("whole")).scalar()

@@ -69,17 +69,19 @@ def _recs(s: Shop):
 
 
 def _counters(s: Shop):
-    return R.event_counters(_recs(s), s.catalogue())
+    views, heads = _views(s), R.catalogue_heads(s.catalogue(), K_STREAM)
+    profiles = R.distinct_profiles(views)
+    return R.event_counters(R.recommend(views, heads, profiles), R.relevant_counts(profiles, s.catalogue()))
 
 
 @query("rec_same_category", f"""{BASE}, {_tiers(str(K_BATCH), tier12=False)}
-SELECT event_id, product_id, rank, rec_id, tier FROM ranked""")
+SELECT event_id, product_id, rank, rec_id FROM ranked""")
 def rec_same_category(s):
     recs = R.same_category(_views(s), R.catalogue_heads(s.catalogue(), K_BATCH))
-    return R.rec_rows(recs, "event_id", "product_id")
+    return R.rec_rows(recs, "event_id", "product_id").drop("relevant")
 
 
-@query("rec_profile_topk", f"{RECS} SELECT event_id, user_id, product_id, has_profile, rank, rec_id, tier FROM ranked")
+@query("rec_profile_topk", f"{RECS} SELECT event_id, user_id, product_id, has_profile, rank, rec_id, tier <= 2 AS relevant FROM ranked")
 def rec_profile_topk(s):
     return R.rec_rows(_recs(s), "event_id", "user_id", "product_id", "has_profile")
 

@@ -73,7 +73,7 @@ def recommendation_messages(recs: DataFrame) -> DataFrame:
     return recs.select(
         "event_id", F.lit("recommendations_generated").alias("event_type"), "timestamp", "user_id",
         F.col("product_id").alias("viewed_product_id"), F.col("product_name").alias("viewed_product_name"),
-        F.transform("recs", lambda r: r["id"]).alias("recommendations"),
+        F.col("recs").alias("recommendations"),
         F.size("recs").alias("recommendation_count"), "has_profile")
 
 
@@ -181,7 +181,9 @@ def start_counters(events: DataFrame, heads: R.Heads, catalogue: DataFrame, path
     """Per view the counters that the metrics are made of, and per batch the number of events."""
 
     def build(batch: DataFrame) -> DataFrame:
-        views = R.event_counters(R.recommend(views_of(batch), heads), catalogue)
+        views = views_of(batch)
+        profiles = R.distinct_profiles(views)
+        views = R.event_counters(R.recommend(views, heads, profiles), R.relevant_counts(profiles, catalogue))
         counted = batch.agg(F.count("*").alias("events_processed"))
         return views.unionByName(counted, allowMissingColumns=True)
 
