@@ -25,19 +25,19 @@ def at_least(value: Column, threshold: Column | float) -> Column:
 
 
 def two_decimals(x: Column) -> Column:
-    """Text with two decimals, rounding the exact binary value half to even.
+    """Text with two decimals, rounding the exact binary value, exact ties to even.
 
     ``format_string`` rounds the shortest decimal text of a double half up, which
-    turns 0.125 into 0.13 and 2.675 into 2.68.  Where ``1000 * x`` lands on a
-    tie, the rounding error of that product (split multiplication) tells on
-    which side of the tie the binary value lies.
+    turns 0.125 into 0.13 and 1.005 (a little less in binary) into 1.01.  Where
+    ``1000 * x`` is next to a tie, split multiplication gives the exact distance
+    and so the side of the tie the binary value lies on.
     """
-    p = x * 1000.0
+    tie = F.rint(x * 1000.0)
     big = x * 134217729.0  # 2^27 + 1 splits a double into two 26-bit halves
     hi = big - (big - x)
-    err = (hi * 1000.0 - p) + (x - hi) * 1000.0
-    below = F.floor(p / 10.0)
-    tie = (p == F.floor(p)) & (F.pmod(p, F.lit(10.0)) == 5.0)
-    up = F.when(err > 0, 1).when(err < 0, 0).otherwise(F.pmod(below, F.lit(2)))
+    distance = (hi * 1000.0 - tie) + (x - hi) * 1000.0
+    near = (F.pmod(tie, F.lit(10.0)) == 5.0) & (F.abs(distance) < 1e-6)
+    below = F.floor(tie / 10.0)
+    up = F.when(distance > 0, 1).when(distance < 0, 0).otherwise(F.pmod(below, F.lit(2)))
     # format_string prints the word null for NULL
-    return F.when(x.isNotNull(), F.format_string("%.2f", F.when(tie, (below + up) / 100.0).otherwise(x)))
+    return F.when(x.isNotNull(), F.format_string("%.2f", F.when(near, (below + up) / 100.0).otherwise(x)))
