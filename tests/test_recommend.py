@@ -128,6 +128,16 @@ def test_against_brute_force(spark, seed):
             assert found.get((tuple(view[5]), feats), 0) == want
 
 
+def test_feature_search_by_join_equals_search_in_place(spark):
+    rnd = random.Random(3)
+    texts = sorted({"".join(rnd.choices("ab c", k=rnd.randint(0, 9))) for _ in range(80)})
+    features = ["", "a", " ", "b c", "ab", "abab", "zz", "c a", "bb"]
+    t, f = spark.createDataFrame([(x,) for x in texts], "text string"), spark.createDataFrame([(x,) for x in features], "feature string")
+    want = sorted((x, y) for x in features for y in texts if x in y)
+    for limit in (0, 1000):
+        assert sorted(tuple(r) for r in R.feature_texts(f, t, limit).collect()) == want
+
+
 def test_running_totals_with_a_hot_key(spark):
     """One key holds most rows and spans several partitions."""
     rnd = random.Random(7)

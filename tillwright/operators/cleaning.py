@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 from typing import Any
 
 import yaml
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -197,13 +197,10 @@ def clean_users_valid(users: DataFrame, order_by: Sequence[str]) -> DataFrame:
 
 
 def timestamp_sample(df: DataFrame, columns: Sequence[str], n: int = 10) -> DataFrame:
-    """The ``n`` first distinct non-NULL values of each timestamp column, as text."""
-    parts = [
-        df.select(F.lit(c).alias("column"), F.col(c).cast("string").alias("value"))
-        .where(F.col("value").isNotNull()).distinct().orderBy("value").limit(n)
-        for c in columns
-    ]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    """The ``n`` first distinct non-NULL values of each timestamp column, as text; one pass for all columns."""
+    values = (
+        df.select(*[F.col(c).cast("string").alias(c) for c in columns])
+        .unpivot([], list(columns), "column", "value").where(F.col("value").isNotNull()).distinct()
+    )
+    first = Window.partitionBy("column").orderBy("value")
+    return values.withColumn("rank", F.row_number().over(first)).where(F.col("rank") <= n).drop("rank")

@@ -77,20 +77,30 @@ def _pieces(text: Column, size: int) -> Column:
     return F.when(F.length(text) >= size, every).otherwise(F.array().cast("array<string>"))
 
 
-def _grams(text: Column) -> Column:
-    """All distinct pieces of 0 to 3 characters."""
-    return F.array_distinct(F.concat(F.array(F.lit("")), *[_pieces(text, size) for size in (1, 2, 3)]))
-
-
-def feature_texts(features: DataFrame, texts: DataFrame) -> DataFrame:
+def feature_texts(features: DataFrame, texts: DataFrame, max_sent: int = 1_000_000) -> DataFrame:
     """(feature, text) for every text that contains the feature as a substring.
 
-    Candidates meet on the feature's first three characters, an equi-join, and
-    are then tested in full.  Both inputs hold distinct lower-case values.
+    Both inputs hold distinct lower-case values.  The features are measured first.
+    Up to ``max_sent`` characters they are sent to every task and each text is
+    searched in place.  Beyond that, features and texts meet on the features'
+    first three characters; that join carries hashes of the texts, and the
+    candidates it yields are then tested on the text itself.
     """
+    sizes = features.agg(
+        F.coalesce(F.sum(F.length("feature") + 8), F.lit(0)).alias("sent"),
+        F.collect_set(F.least(F.length("feature"), F.lit(3))).alias("lengths")).first()
+    if sizes["sent"] <= max_sent:
+        known = features.agg(F.collect_list("feature").alias("known")).scalar()
+        return texts.withColumn("known", known).select(
+            F.explode(F.filter("known", lambda f: F.contains(F.col("text"), f))).alias("feature"), "text")
+
+    marked = texts.select("text", F.xxhash64("text").alias("mark"))
     wanted = features.select("feature", F.substring("feature", 1, 3).alias("gram"))
-    pieces = texts.select("text", F.explode(_grams(F.col("text"))).alias("gram"))
-    return wanted.join(pieces, "gram").where(F.contains("text", "feature")).select("feature", "text")
+    grams = F.array_distinct(F.concat(*[
+        _pieces(F.col("text"), n) if n else F.array(F.lit("")) for n in sorted(sizes["lengths"])]))
+    pieces = marked.select("mark", F.explode(grams).alias("gram"))
+    candidates = wanted.join(pieces, "gram").select("feature", "mark")
+    return candidates.join(marked, "mark").where(F.contains("text", "feature")).select("feature", "text")
 
 
 def profiled(views: DataFrame) -> Column:

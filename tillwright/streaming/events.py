@@ -47,8 +47,11 @@ def read_files(spark: SparkSession, path: str, files_per_batch: int | None = Non
 
 
 def parse(raw: DataFrame) -> DataFrame:
-    """Messages as typed columns; text that is no message has only NULLs and is routed as unknown."""
-    return raw.select(F.from_json("value", MESSAGE).alias("m")).select("m.*")
+    """Messages as typed columns; text that is no message has only NULLs and is routed as unknown.
+
+    ``inline`` keeps later filters above the parser; pushed below, they would parse every message again.
+    """
+    return raw.select(F.inline(F.array(F.from_json("value", MESSAGE))))
 
 
 def route(events: DataFrame) -> DataFrame:
