@@ -128,14 +128,21 @@ def test_against_brute_force(spark, seed):
             assert found.get((tuple(view[5]), feats), 0) == want
 
 
-def test_feature_search_by_join_equals_search_in_place(spark):
+def test_all_ways_of_feature_search_agree(spark):
     rnd = random.Random(3)
     texts = sorted({"".join(rnd.choices("ab c", k=rnd.randint(0, 9))) for _ in range(80)})
     features = ["", "a", " ", "b c", "ab", "abab", "zz", "c a", "bb"]
     t, f = spark.createDataFrame([(x,) for x in texts], "text string"), spark.createDataFrame([(x,) for x in features], "feature string")
-    want = sorted((x, y) for x in features for y in texts if x in y)
-    for limit in (0, 1000):
-        assert sorted(tuple(r) for r in R.feature_texts(f, t, limit).collect()) == want
+    want = {y: sorted(x for x in features if x in y) for y in texts}
+    want = {y: found for y, found in want.items() if found}
+    rows = t.withColumn("extra", F.lit(1)).unionByName(t.withColumn("extra", F.lit(2))).unionByName(
+        spark.createDataFrame([(None, 1)], "text string, extra int"))
+    for max_sent, small in ((1000, 1000), (1000, 0), (0, 0)):
+        got = R.with_features(rows, f, max_sent, small).collect()
+        assert {r["text"]: r["found"] for r in got} == want and len(got) == 2 * len(want)
+    for prefix in (1, 3, 6):
+        pairs = R.feature_texts(f, t, prefix).collect()
+        assert sorted(tuple(r) for r in pairs) == sorted((x, y) for y, found in want.items() for x in found)
 
 
 def test_running_totals_with_a_hot_key(spark):

@@ -14,8 +14,11 @@ all that can be skipped in a list.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
+from importlib.util import find_spec
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, GroupedData, Window
 from pyspark.sql import functions as F
 
@@ -77,29 +80,67 @@ def _pieces(text: Column, size: int) -> Column:
     return F.when(F.length(text) >= size, every).otherwise(F.array().cast("array<string>"))
 
 
-def feature_texts(features: DataFrame, texts: DataFrame, max_sent: int = 1_000_000) -> DataFrame:
-    """(feature, text) for every text that contains the feature as a substring.
+# up to this many characters of features each text is searched by column expressions
+SMALL = 4_000
 
-    Both inputs hold distinct lower-case values.  The features are measured first.
-    Up to ``max_sent`` characters they are sent to every task and each text is
-    searched in place.  Beyond that, features and texts meet on the features'
-    first three characters; that join carries hashes of the texts, and the
+
+def with_features(texts: DataFrame, features: DataFrame, max_sent: int = 4_000_000, small: int = SMALL) -> DataFrame:
+    """The rows of ``texts`` whose ``text`` contains a feature, with those features, sorted, as ``found``.
+
+    ``features`` are distinct, and lower-case like the texts.  They are measured
+    first.  A few are tested one by one.  Up to ``max_sent`` characters they are
+    sent to the tasks, where one automaton finds all of them in one run over each
+    text, however many there are.  In both cases no text is shuffled.  Beyond that,
+    features and texts are joined (``feature_texts``).
+    """
+    sent = features.agg(F.coalesce(F.sum(F.length("feature") + 8), F.lit(0)).alias("sent")).first()["sent"]
+    if sent <= small:
+        known = features.agg(F.sort_array(F.collect_list("feature")).alias("known")).scalar()
+        found = texts.withColumn("known", known).withColumn(
+            "found", F.filter("known", lambda f: F.contains(F.col("text"), f))).drop("known")
+    elif sent <= max_sent and find_spec("ahocorasick"):
+        words = [r["feature"] for r in features.collect()]
+        found = texts.withColumn("found", _searcher(texts.sparkSession.sparkContext.broadcast(words))("text"))
+    else:
+        pairs = feature_texts(features, texts.select("text").where("text IS NOT NULL").distinct())
+        found = texts.join(pairs.groupBy("text").agg(F.sort_array(F.collect_set("feature")).alias("found")), "text")
+    return found.where(F.size("found") > 0)
+
+
+def _searcher(words):
+    """Column function: the sorted words contained in a text.  ``words`` is a broadcast list."""
+
+    @F.pandas_udf("array<string>")
+    def search(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        import ahocorasick
+
+        automaton = ahocorasick.Automaton()
+        for w in words.value:
+            if w:
+                automaton.add_word(w, w)
+        automaton.make_automaton()
+        always = [""] if "" in words.value else []
+        for texts in batches:
+            yield texts.map(
+                lambda t: None if t is None else sorted({*always, *(w for _, w in automaton.iter(t))}))
+
+    return search
+
+
+def feature_texts(features: DataFrame, texts: DataFrame, prefix: int = 6) -> DataFrame:
+    """(feature, text) for every text that contains the feature, for features too many to send around.
+
+    Both inputs hold distinct values.  Features and texts meet on the features'
+    first ``prefix`` characters; that join carries digests of the texts, and the
     candidates it yields are then tested on the text itself.
     """
-    sizes = features.agg(
-        F.coalesce(F.sum(F.length("feature") + 8), F.lit(0)).alias("sent"),
-        F.collect_set(F.least(F.length("feature"), F.lit(3))).alias("lengths")).first()
-    if sizes["sent"] <= max_sent:
-        known = features.agg(F.collect_list("feature").alias("known")).scalar()
-        return texts.withColumn("known", known).select(
-            F.explode(F.filter("known", lambda f: F.contains(F.col("text"), f))).alias("feature"), "text")
-
+    sizes = features.agg(F.collect_set(F.least(F.length("feature"), F.lit(prefix))).alias("sizes")).first()["sizes"]
     marked = texts.select("text", F.xxhash64("text").alias("mark"))
-    wanted = features.select("feature", F.substring("feature", 1, 3).alias("gram"))
-    grams = F.array_distinct(F.concat(*[
-        _pieces(F.col("text"), n) if n else F.array(F.lit("")) for n in sorted(sizes["lengths"])]))
-    pieces = marked.select("mark", F.explode(grams).alias("gram"))
-    candidates = wanted.join(pieces, "gram").select("feature", "mark")
+    wanted = features.select("feature", F.substring("feature", 1, prefix).alias("piece"))
+    cut = F.array_distinct(F.concat(*[
+        _pieces(F.col("text"), n) if n else F.array(F.lit("")) for n in sorted(sizes)]))
+    pieces = marked.select("mark", F.explode(cut).alias("piece"))
+    candidates = pieces.join(wanted, "piece").select("feature", "mark")
     return candidates.join(marked, "mark").where(F.contains("text", "feature")).select("feature", "text")
 
 
@@ -118,9 +159,12 @@ def _profiles(views: DataFrame) -> DataFrame:
     })
 
 
-def distinct_profiles(views: DataFrame) -> DataFrame:
-    """The profiles that occur, stored: several joins below start from them, the views are read once for it."""
-    return stored(_profiles(views).where("has_profile").select(*PROFILE).distinct(), "profiles")
+def distinct_profiles(views: DataFrame, path: str | None = None) -> DataFrame:
+    """The profiles that occur, stored: several joins below start from them, the views are read once for it.
+
+    A stream gives the ``path``, so that its batches replace one another's profiles.
+    """
+    return stored(_profiles(views).where("has_profile").select(*PROFILE).distinct(), "profiles", path)
 
 
 def _distinct_features(profiles: DataFrame) -> DataFrame:
@@ -129,8 +173,8 @@ def _distinct_features(profiles: DataFrame) -> DataFrame:
 
 def _liked_products(profiles: DataFrame, heads: Heads) -> DataFrame:
     """Each distinct profile with the ids of its ``k + 1`` leading products of tiers 1 and 2."""
-    hits = feature_texts(_distinct_features(profiles), heads.by_text.select("text"))
-    products = hits.join(heads.by_text, "text").select("feature", F.inline("picks"))
+    hits = with_features(heads.by_text.select("text", "picks"), _distinct_features(profiles))
+    products = hits.select("picks", F.explode("found").alias("feature")).select("feature", F.inline("picks"))
     by_feature = _first_per(products, "feature", heads.k + 1)
 
     def tier(n: int) -> Column:
@@ -203,24 +247,32 @@ def is_relevant(category: str = "category", description: str = "description") ->
 def relevant_counts(profiles: DataFrame, catalogue: DataFrame) -> DataFrame:
     """(profile, relevant_products): catalogue products each distinct profile would like.
 
-    Products are first counted per category and set of features found in their
-    description, so profiles meet those few groups and not the products.
+    These are the products of the preferred categories, plus the products that
+    contain a feature, minus those counted in both.  Products are first counted per
+    category and set of features found, and feature counts are made per distinct
+    feature set, so profiles never meet products.
     """
-    products = catalogue.groupBy("category", F.lower("description").alias("text")).agg(F.count("*").alias("n"))
-    hits = feature_texts(_distinct_features(profiles), products.where("text IS NOT NULL").select("text").distinct())
-    found = hits.groupBy("text").agg(F.sort_array(F.collect_set("feature")).alias("found"))
-    groups = products.join(found, "text").groupBy("category", "found").agg(F.sum("n").alias("n"))
-    sizes = products.groupBy("category").agg(F.sum("n").alias("n"))
-    by_category = (
-        profiles.select(*PROFILE, F.explode(F.array_distinct("preferred_categories")).alias("category"))
-        .join(sizes, "category").select(*PROFILE, "n")
+    products = catalogue.select("category", F.lower("description").alias("text"))
+    sizes = products.groupBy("category").agg(F.count("*").alias("n"))
+    groups = (
+        with_features(products, _distinct_features(profiles))
+        .groupBy("category", "found").agg(F.count("*").alias("n"))
     )
-    by_feature = (
-        profiles.select(*PROFILE, F.explode(F.array_distinct("preferred_features")).alias("feature"))
+    profiles = profiles.withColumn("wanted", F.array_sort(F.array_distinct(F.array_compact("preferred_features"))))
+    # a set and a group that share several features meet at the first of them only
+    described = (
+        profiles.select("wanted").distinct().select("wanted", F.explode("wanted").alias("feature"))
         .join(groups.select("*", F.explode("found").alias("feature")), "feature")
-        .where(~F.coalesce(F.array_contains("preferred_categories", F.col("category")), F.lit(False)))
-        .select(*PROFILE, "category", "found", "n").distinct().select(*PROFILE, "n")
+        .where(F.col("feature") == F.array_min(F.array_intersect("wanted", "found")))
+        .groupBy("wanted", "category").agg(F.sum("n").alias("described"))
+    )
+    by_category = (
+        profiles.select(*PROFILE, "wanted", F.explode(F.array_distinct("preferred_categories")).alias("category"))
+        .join(sizes, "category").join(described, ["wanted", "category"], "left")
+        .select(*PROFILE, (F.col("n") - F.coalesce("described", F.lit(0))).alias("n"))
     )
+    by_feature = profiles.join(
+        described.groupBy("wanted").agg(F.sum("described").alias("n")), "wanted").select(*PROFILE, "n")
     return by_category.unionByName(by_feature).groupBy(*PROFILE).agg(F.sum("n").alias("relevant_products"))
 
 

@@ -48,8 +48,11 @@ def scratch_dir(spark: SparkSession, purpose: str) -> str:
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
-def stored(df: DataFrame, purpose: str) -> DataFrame:
-    """Write ``df`` to the shared scratch folder and read it back, where several results build on it."""
-    path = scratch_dir(df.sparkSession, purpose)
-    df.write.parquet(path)
+def stored(df: DataFrame, purpose: str, path: str | None = None) -> DataFrame:
+    """Write ``df`` and read it back, where several results build on it.
+
+    It goes to a new folder in the shared scratch folder, or replaces what is at ``path``.
+    """
+    path = path or scratch_dir(df.sparkSession, purpose)
+    df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

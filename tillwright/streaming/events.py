@@ -175,7 +175,8 @@ def start_recommendations(events: DataFrame, heads: R.Heads, path: str, checkpoi
     """Recommendation messages for every view of the stream."""
 
     def build(batch: DataFrame) -> DataFrame:
-        return recommendation_messages(R.recommend(views_of(batch), heads))
+        views = views_of(batch)
+        return recommendation_messages(R.recommend(views, heads, R.distinct_profiles(views, f"{path}-profiles")))
 
     return start(events, path, checkpoint, build, reread=True, **kw)
 
@@ -185,7 +186,7 @@ def start_counters(events: DataFrame, heads: R.Heads, catalogue: DataFrame, path
 
     def build(batch: DataFrame) -> DataFrame:
         views = views_of(batch)
-        profiles = R.distinct_profiles(views)
+        profiles = R.distinct_profiles(views, f"{path}-profiles")
         views = R.event_counters(R.recommend(views, heads, profiles), R.relevant_counts(profiles, catalogue))
         counted = batch.agg(F.count("*").alias("events_processed"))
         return views.unionByName(counted, allowMissingColumns=True)
