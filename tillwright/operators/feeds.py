@@ -58,11 +58,12 @@ def standard_unit(key: Column, value: Column) -> Column:
     the unit belongs to.  Other values stay as they are.
     """
     shape = r"^([\d.]+)\s*([a-zA-Z]+)$"
-    text = strip(value)
-    number = F.when(text.rlike(shape), F.regexp_extract(text, shape, 1)).try_cast("double")
-    unit = F.regexp_extract(text, shape, 2)
     factors = F.create_map(*[F.lit(x) for pair in UNITS.items() for x in pair])
-    amount = two_decimals(number * F.try_element_at(factors, unit))
+    # inside a lambda nothing is shared, so each step is bound to a name by transform
+    parts = F.transform(F.array(strip(value)), lambda t: F.struct(
+        F.regexp_extract(t, shape, 1).alias("number"), F.try_element_at(factors, F.regexp_extract(t, shape, 2)).alias("factor")))
+    amounts = F.transform(parts, lambda p: p["number"].try_cast("double") * p["factor"])
+    amount = F.transform(amounts, lambda x: F.when(x.isNotNull(), two_decimals(x)))[0]
     label = F
     for words, name in KEY_UNITS:
         label = label.when(F.lower(key).rlike(words), name)

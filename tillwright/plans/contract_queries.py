@@ -51,19 +51,19 @@ def schema_contract_infer(s):
     return observed(s)
 
 
-# The contract on file: inferred from orders of the even keys, without totals, with one column since removed.
+# The contract on file: inferred from the orders that have an id, without totals, with one column since removed.
 @query("schema_contract_merge", f"""WITH {FAULTY}, {USER_FAULTS}, {HOLES}, observed AS ({OBSERVED}),
-even AS (SELECT *, total AS old_total FROM faulty WHERE id % 2 = 0),
-existing AS ({_bucket_sql("even", "orders", ["id", "user_id", "status", "created_at", "old_total"])}
+known AS (SELECT *, total AS old_total FROM faulty WHERE id IS NOT NULL),
+existing AS ({_bucket_sql("known", "orders", ["id", "user_id", "status", "created_at", "old_total"])}
   UNION ALL SELECT 'users', 'password', 'disallowed')
 SELECT coalesce(e.table_name, o.table_name) AS table_name, coalesce(e."column", o."column") AS "column",
   coalesce(e.bucket, 'optional') AS bucket,
   CASE WHEN e.bucket IS NULL THEN 'new' WHEN o.bucket IS NULL THEN 'vanished' ELSE 'kept' END AS status
 FROM existing e FULL OUTER JOIN observed o ON o.table_name = e.table_name AND o."column" = e."column" """)
 def schema_contract_merge(s):
-    even = faulty(s).where("id % 2 = 0").withColumnRenamed("total", "old_total")
+    known = faulty(s).where("id IS NOT NULL").withColumnRenamed("total", "old_total")
     declared = K.contract_rows(s.spark, {"users": K.Contract(disallowed=["password"])})
-    return K.merge_contracts(K.infer_contract({"orders": even}).unionByName(declared), observed(s))
+    return K.merge_contracts(K.infer_contract({"orders": known}).unionByName(declared), observed(s))
 
 
 # One snapshot per order year: a column is required in a year without NULLs.

@@ -47,16 +47,17 @@ CTE = {
          CAST(l_quantity AS BIGINT) AS quantity, l_extendedprice AS price
   FROM lineitem)""",
     "inventories": """inventories AS (
-  SELECT l_partkey AS product_id, CAST(sum(CAST(l_quantity AS BIGINT)) AS BIGINT) AS sold_quantity,
-         count(*) AS movements, min(l_extendedprice) AS price
-  FROM lineitem WHERE l_partkey % 5 <> 0 GROUP BY l_partkey)""",
+  SELECT CASE WHEN l_partkey % 5 = 0 THEN l_partkey + 2000000000 ELSE l_partkey END AS product_id,
+         CAST(sum(CAST(l_quantity AS BIGINT)) AS BIGINT) AS sold_quantity, count(*) AS movements, min(l_extendedprice) AS price
+  FROM lineitem GROUP BY l_partkey)""",
     "images": """images AS (
-  SELECT DISTINCT l_partkey AS product_id, 'img/' || l_suppkey || '.jpg' AS image_url, l_suppkey AS images_order
-  FROM lineitem WHERE l_partkey % 3 <> 0 AND l_suppkey % 5 = 0)""",
+  SELECT DISTINCT CASE WHEN l_partkey % 3 = 0 THEN l_partkey + 1000000000 ELSE l_partkey END AS product_id,
+         'img/' || l_suppkey || '.jpg' AS image_url, l_suppkey AS images_order
+  FROM lineitem)""",
     "specs": """specs AS (
-  SELECT p_partkey AS product_id, 'size' AS spec_key, CAST(p_size AS VARCHAR) AS spec_value FROM part WHERE p_partkey % 4 <> 0
-  UNION ALL SELECT p_partkey, 'type', p_type FROM part WHERE p_partkey % 4 <> 0
-  UNION ALL SELECT p_partkey, 'brand', p_brand FROM part WHERE p_partkey % 4 <> 0)""",
+  SELECT CASE WHEN p_partkey % 4 = 0 THEN p_partkey + 1000000000 ELSE p_partkey END AS product_id, spec_key, spec_value
+  FROM (SELECT p_partkey, 'size' AS spec_key, CAST(p_size AS VARCHAR) AS spec_value FROM part
+    UNION ALL SELECT p_partkey, 'type', p_type FROM part UNION ALL SELECT p_partkey, 'brand', p_brand FROM part))""",
     "wishlist": """wishlist AS (
   SELECT user_id * 1000000000 + part_id AS id, user_id,
          CASE WHEN part_id % 13 = 0 THEN part_id + 1000000000 ELSE part_id END AS product_id,
@@ -97,6 +98,11 @@ def _maker(column: Column, cases: dict[int, str]) -> Column:
     return out
 
 
+def _moved(key: Column, every: int, by: int = 1000000000) -> Column:
+    """The key, or for every ``every``-th one a key that no product has."""
+    return F.when(key % every == 0, key + by).otherwise(key)
+
+
 class Shop:
     """Lazily read entities of one data folder."""
 
@@ -159,15 +165,14 @@ class Shop:
         return self.table("lineitem").select(
             (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("id"),
             F.when(F.col("l_orderkey") % 17 != 0, F.col("l_orderkey")).alias("cart_id"),
-            F.when(F.col("l_partkey") % 13 == 0, F.col("l_partkey") + 1000000000)
-            .otherwise(F.col("l_partkey")).alias("product_id"),
+            _moved(F.col("l_partkey"), 13).alias("product_id"),
             F.col("l_quantity").cast("bigint").alias("quantity"), F.col("l_extendedprice").alias("price"),
         )
 
     def inventories(self) -> DataFrame:
         return (
-            self.table("lineitem").where("l_partkey % 5 <> 0")
-            .groupBy(F.col("l_partkey").alias("product_id"))
+            self.table("lineitem")
+            .groupBy(_moved(F.col("l_partkey"), 5, 2000000000).alias("product_id"))
             .agg(
                 F.sum(F.col("l_quantity").cast("bigint")).alias("sold_quantity"),
                 F.count("*").alias("movements"), F.min("l_extendedprice").alias("price"),
@@ -176,9 +181,9 @@ class Shop:
 
     def images(self) -> DataFrame:
         return (
-            self.table("lineitem").where("l_partkey % 3 <> 0 AND l_suppkey % 5 = 0")
+            self.table("lineitem")
             .select(
-                F.col("l_partkey").alias("product_id"),
+                _moved(F.col("l_partkey"), 3).alias("product_id"),
                 F.concat(F.lit("img/"), F.col("l_suppkey"), F.lit(".jpg")).alias("image_url"),
                 F.col("l_suppkey").alias("images_order"),
             ).distinct()
@@ -186,9 +191,9 @@ class Shop:
 
     def specs(self) -> DataFrame:
         return (
-            self.table("part").where("p_partkey % 4 <> 0")
+            self.table("part")
             .select(
-                F.col("p_partkey").alias("product_id"), F.col("p_size").cast("string").alias("size"),
+                _moved(F.col("p_partkey"), 4).alias("product_id"), F.col("p_size").cast("string").alias("size"),
                 F.col("p_type").alias("type"), F.col("p_brand").alias("brand"),
             ).unpivot("product_id", ["size", "type", "brand"], "spec_key", "spec_value")
         )
@@ -202,7 +207,7 @@ class Shop:
         )
         return wished.join(self.table("part"), part_id == F.col("p_partkey")).select(
             (F.col("user_id") * 1000000000 + part_id).alias("id"), "user_id",
-            F.when(part_id % 13 == 0, part_id + 1000000000).otherwise(part_id).alias("product_id"),
+            _moved(part_id, 13).alias("product_id"),
             F.when(part_id % 7 == 0, F.concat("p_name", F.lit(" (old)"))).otherwise(F.col("p_name")).alias("name"),
             F.when(part_id % 11 == 0, None).when(part_id % 6 == 0, "Brand#0")
             .otherwise(F.col("p_brand")).alias("brand"),

@@ -35,6 +35,14 @@ def src_by_extension(s):
     return readers.read_feed(s.spark, path).withColumn("p_partkey", F.col("p_partkey").cast("bigint"))
 
 
+@query("src_json_multiline", "SELECT p_partkey, p_name, p_size, p_retailprice FROM part")
+def src_json_multiline(s):
+    """A folder of files with one JSON array each."""
+    df = s.table("part").select("p_partkey", "p_name", "p_size", "p_retailprice")
+    path = writers.write_json_arrays(df, _path(s, ".json"))
+    return readers.read_json_array(s.spark, path, df.schema)
+
+
 @query("sink_parquet_overwrite", "SELECT * FROM orders WHERE o_orderstatus = 'O'")
 def sink_parquet_overwrite(s):
     """The second write replaces the first."""
