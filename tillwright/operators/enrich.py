@@ -52,16 +52,21 @@ def _with_details(parents: DataFrame, details: DataFrame, key: str, tag: str, ki
     """Parents with one row per detail row, or one row with NULL details.
 
     Adds ``n_<kind>`` counts and ``fanout_rows``, the rows a chain of left joins
-    would give.  The parent side of the join has unique keys, so a hot parent only
-    spreads over more tasks.
+    would give.  Each parent adds a bare row of its own to the details, which stays
+    only where there is no other, so one inner join does it: its left side may be
+    split, which a left join from the parents would not allow, and its right side
+    has unique keys, so a hot parent only spreads over more tasks.
     """
     counts = details.groupBy(key).agg(*[F.count_if(F.col(tag) == k).alias(f"n_{k}") for k in kinds])
     numbers = [F.coalesce(f"n_{k}", F.lit(0)).alias(f"n_{k}") for k in kinds]
-    parents = parents.join(counts, key, "left").select(*parents.columns, *numbers)
+    counted = parents.join(counts, key, "left").select(*parents.columns, *numbers)
     product = reduce(lambda a, b: a * b, [F.greatest(F.col(f"n_{k}"), F.lit(1)) for k in kinds])
-    parents = parents.withColumn("fanout_rows", product)
     none = reduce(lambda a, b: a & b, [F.col(f"n_{k}") == 0 for k in kinds])
-    return details.join(parents, key).unionByName(parents.where(none), allowMissingColumns=True)
+    rows = details.unionByName(parents.select(key), allowMissingColumns=True)
+    return (
+        rows.join(counted.withColumn("fanout_rows", product), key)
+        .where(F.col(tag).isNotNull() | none)
+    )
 
 
 def join_product_summary(products: DataFrame, images: DataFrame, specs: DataFrame,
