@@ -106,3 +106,17 @@ def test_sales_golden(spark):
 def test_iso_weeks(spark):
     sales = spark.sql("SELECT 'p' product, date'2024-12-30' sold_at, 1L quantity, 2.0D revenue")
     assert tuple(S.weekly_sales(sales).first()) == ("p", 2025, 1, 1, 2.0)
+
+
+def test_value_counts_of_every_kind(spark):
+    df = spark.sql("""SELECT * FROM VALUES
+        (1, 2L, -0.0D, 'a', true, DATE'2024-01-01', TIMESTAMP'2024-01-01 01:00:00', 1.50BD, array(1)),
+        (1, 3L, 0.0D, NULL, false, NULL, TIMESTAMP'2024-01-01 01:00:00', 1.50BD, array(1)),
+        (NULL, 3L, double('NaN'), 'a', NULL, DATE'2024-01-02', NULL, 2.00BD, NULL) AS t(i, `l.ong`, d, s, b, day, at, dec, arr)""")
+    got = {(r["column"], r["value"]): r["n"] for r in P.value_counts(df).collect()}
+    assert got == {
+        ("i", "1"): 2, ("i", None): 1, ("l.ong", "2"): 1, ("l.ong", "3"): 2, ("d", "0.0"): 2, ("d", "NaN"): 1,
+        ("s", "a"): 2, ("s", None): 1, ("b", "true"): 1, ("b", "false"): 1, ("b", None): 1,
+        ("day", "2024-01-01"): 1, ("day", None): 1, ("day", "2024-01-02"): 1,
+        ("at", "2024-01-01 01:00:00"): 2, ("at", None): 1, ("dec", "1.50"): 2, ("dec", "2.00"): 1,
+        ("arr", "[1]"): 2, ("arr", None): 1}

@@ -82,3 +82,13 @@ def test_scratch_folder_is_the_shared_one(spark):
     shared = spark.conf.get("spark.checkpoint.dir")
     first, second = (session.scratch_dir(spark, "x") for _ in range(2))
     assert first.startswith(shared) and first != second
+
+
+def test_json_array_files(spark, tmp_path):
+    """Every file is one JSON array; NULLs, quotes and line breaks survive."""
+    df = spark.range(25).selectExpr("id", "if(id % 3 = 0, null, concat('a\"b\n', id)) text").repartition(3)
+    path = writers.write_json_arrays(df, str(tmp_path / "arrays"))
+    files = [json.loads(p.read_text()) for p in (tmp_path / "arrays").glob("part-*")]
+    assert sum(len(rows) for rows in files) == 25 and all(isinstance(rows, list) for rows in files)
+    back = readers.read_json_array(spark, path, df.schema)
+    assert sorted(map(tuple, back.collect())) == sorted(map(tuple, df.collect()))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -70,16 +71,36 @@ def distinct_counts(df: DataFrame, approximate: bool = False) -> DataFrame:
     return _distinct(value_counts(df))
 
 
+def _countable(f: T.StructField) -> tuple[str, Column]:
+    """The kind a column is counted with, and its values in that kind's type."""
+    c = F.col(f"`{f.name}`")
+    if isinstance(f.dataType, T.IntegralType):
+        return "bigint", c.cast("bigint")
+    if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
+        return f.dataType.simpleString(), c + F.lit(0.0).cast(f.dataType)  # -0.0 and 0.0 are one value
+    if isinstance(f.dataType, (T.DateType, T.TimestampType, T.TimestampNTZType)):
+        return f.dataType.simpleString(), c
+    return "string", c.cast("string")
+
+
 def value_counts(df: DataFrame) -> DataFrame:
-    """(column, value as text, n) for all columns in one job; NULL is a value."""
-    def text(f: T.StructField) -> Column:
-        c = F.col(f.name)
-        # -0.0 and 0.0 are one value
-        c = c + F.lit(0.0).cast(f.dataType) if isinstance(f.dataType, (T.DoubleType, T.FloatType)) else c
-        return c.cast("string").alias(f.name)
-
-    as_text = df.select(*[text(f) for f in df.schema.fields])
-    return as_text.unpivot([], df.columns, "column", "value").groupBy("column", "value").agg(F.count("*").alias("n"))
+    """(column, value as text, n) for all columns in one job; NULL is a value.
+
+    Columns of one kind are unpivoted and counted together in their own type, and
+    only the counted values become text.  A scan reads each column once, for its
+    kind; a costly computed table is better stored first.
+    """
+    kinds: dict[str, list[Column]] = {}
+    for f in df.schema.fields:
+        kind, value = _countable(f)
+        kinds.setdefault(kind, []).append(value.alias(f.name))
+    parts = []
+    for values in kinds.values():
+        part = df.select(*values)
+        parts.append(
+            part.unpivot([], [F.col(f"`{c}`") for c in part.columns], "column", "value").groupBy("column", "value").agg(F.count("*").alias("n"))
+            .select("column", F.col("value").cast("string").alias("value"), "n"))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def _distinct(counts: DataFrame) -> DataFrame:

@@ -96,17 +96,22 @@ def with_features(texts: DataFrame, features: DataFrame, max_sent: int = 4_000_0
     sent = features.agg(F.coalesce(F.sum(F.length("feature") + 8), F.lit(0)).alias("sent")).first()["sent"]
     if sent <= small:
         known = features.agg(F.sort_array(F.collect_list("feature")).alias("known")).scalar()
-        found = texts.withColumn("known", known).withColumn(
-            "found", F.filter("known", lambda f: F.contains(F.col("text"), f))).drop("known")
+        found = _searched(texts.withColumn("known", known), F.filter("known", lambda f: F.contains(F.col("text"), f)))
+        found = found.drop("known")
     elif sent <= max_sent and find_spec("ahocorasick"):
         words = [r["feature"] for r in features.collect()]
-        found = texts.withColumn("found", _searcher(texts.sparkSession.sparkContext.broadcast(words))("text"))
+        found = _searched(texts, _searcher(texts.sparkSession.sparkContext.broadcast(words))("text"))
     else:
         pairs = feature_texts(features, texts.select("text").where("text IS NOT NULL").distinct())
         found = texts.join(pairs.groupBy("text").agg(F.sort_array(F.collect_set("feature")).alias("found")), "text")
     return found.where(F.size("found") > 0)
 
 
+def _searched(texts: DataFrame, found: Column) -> DataFrame:
+    """Add ``found``; ``explode`` keeps later filters above it, pushed below they would search every text again."""
+    return texts.select("*", F.explode(F.array(found)).alias("found"))
+
+
 def _searcher(words):
     """Column function: the sorted words contained in a text.  ``words`` is a broadcast list."""
 

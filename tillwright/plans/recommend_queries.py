@@ -147,11 +147,20 @@ def stream_metrics_updates(s):
     return _rounded(R.metric_updates(s.messages().select("event_id", "timestamp", "event_type"), _counters(s)))
 
 
-def _run(s: Shop, start, *args, **kw):
-    """Run a streaming query over everything there is and read what it wrote."""
+def _begin(s: Shop, start, *args, **kw):
+    """Start a streaming query over everything there is; calling the result waits and reads what it wrote."""
     root = scratch_dir(s.spark, "stream")
-    start(*args, f"{root}/out", f"{root}/checkpoint", **kw).awaitTermination()
-    return s.spark.read.parquet(f"{root}/out")
+    running = start(*args, f"{root}/out", f"{root}/checkpoint", **kw)
+
+    def written():
+        running.awaitTermination()
+        return s.spark.read.parquet(f"{root}/out")
+
+    return written
+
+
+def _run(s: Shop, start, *args, **kw):
+    return _begin(s, start, *args, **kw)()
 
 
 def _stored_heads(s: Shop) -> R.Heads:
@@ -213,9 +222,9 @@ SELECT l.user_id, last_view, array_to_string(cats, ',') AS categories, CAST(1 AS
     AS purchases_since
 FROM last_view l""")
 def stream_user_sessions(s):
-    profiles = _run(s, E.start, E.last_profiles(s.message_stream()), mode="update")
-    purchases = _run(s, E.start, E.purchase_confirmations(s.message_stream()))
-    return E.sessions(profiles, purchases).select(
+    profiles = _begin(s, E.start, E.last_profiles(s.message_stream()), mode="update")
+    purchases = _begin(s, E.start, E.purchase_confirmations(s.message_stream()))
+    return E.sessions(profiles(), purchases()).select(
         "user_id", "last_view", F.concat_ws(",", "profile.preferred_categories").alias("categories"),
         "restored_views", "purchases_since")
 
