@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from tillwright.llm import (  # noqa: F401
+    phrase_queries,
     quality_queries,
 )
 from tillwright.llm.registry import QUERIES, SQL
