@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from tillwright.llm import (  # noqa: F401
+    chat_queries,
     curriculum_queries,
     phrase_queries,
     quality_queries,
