@@ -7,6 +7,7 @@ from tillwright.llm import (  # noqa: F401
     curriculum_queries,
     language_queries,
     phrase_queries,
+    ppm_queries,
     quality_queries,
 )
 from tillwright.llm.registry import QUERIES, SQL
