@@ -5,6 +5,7 @@ from __future__ import annotations
 from tillwright.llm import (  # noqa: F401
     chat_queries,
     curriculum_queries,
+    jaccard_queries,
     language_queries,
     phrase_queries,
     ppm_queries,
