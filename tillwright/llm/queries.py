@@ -7,6 +7,7 @@ from tillwright.llm import (  # noqa: F401
     curriculum_queries,
     jaccard_queries,
     language_queries,
+    line_queries,
     phrase_queries,
     ppm_queries,
     quality_queries,
