@@ -11,6 +11,7 @@ from tillwright.llm import (  # noqa: F401
     phrase_queries,
     ppm_queries,
     quality_queries,
+    toxic_queries,
 )
 from tillwright.llm.registry import QUERIES, SQL
 
