@@ -8,6 +8,7 @@ from tillwright.llm import (  # noqa: F401
     jaccard_queries,
     language_queries,
     line_queries,
+    passage_queries,
     phrase_queries,
     ppm_queries,
     quality_queries,
