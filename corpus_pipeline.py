@@ -1,18 +1,94 @@
-"""The training-data pipeline: five stages over the documents table."""
+"""The training-data pipeline: five stages over the documents table.
+
+Each stage gets what its predecessor kept, as a DataFrame with the columns of documents, and
+``run`` writes it to the shared folder in between.  The last stage returns the training manifest.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tillwright.llm.common import table
+from tillwright.llm.curriculum import mix
+from tillwright.llm.curriculum_queries import mix_sql
+from tillwright.llm.jaccard_join import near_duplicates
+from tillwright.llm.jaccard_queries import components_sql
+from tillwright.llm.line_queries import runs_sql
+from tillwright.llm.line_runs import delete_repeated_runs
+from tillwright.llm.phrase_index import find_phrases, judged, phrases_of
+from tillwright.llm.phrase_queries import hits_sql
+from tillwright.llm.quality_queries import kept_sql
 from tillwright.llm.quality_rules import BASE, CURRENT, ledger, passes
+from tillwright.session import stored
+
+
+def _carried(docs: DataFrame) -> DataFrame:
+    """The document rows as one column that goes through an operator in the place of an id."""
+    return docs.select(F.struct(*docs.columns).alias("doc"), F.col("text").alias("doc_text"))
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that a base rule or the policy in force rejects go."""
+    return ledger(_carried(docs), "doc", "doc_text").where(passes(BASE) & passes(CURRENT)).select("doc.*")
+
+
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Later copies of repeated line runs go, and documents that have no other lines."""
+    cut = delete_repeated_runs(docs).where("_n_lines = 0 or _n_deleted < _n_lines")
+    n_chars = F.when(F.col("_n_deleted") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
+    return cut.withColumn("n_chars", n_chars).select(*docs.columns)
+
+
+def near_duplicate_removal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each component the document with the least id stays; of rows with the same id and text, one."""
+    kept = near_duplicates(docs).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    kept = kept.groupBy(F.col("doc_id").alias("kept_id")).agg(F.count("*").alias("kept_rows"))
+    rows = docs.join(kept, F.col("doc_id").eqNullSafe(F.col("kept_id")))
+    # ids are unique as a rule: only repeated ones have their texts compared
+    again = rows.where("kept_rows > 1").select(*docs.columns).dropDuplicates(["doc_id", "text"])
+    return rows.where("kept_rows = 1").select(*docs.columns).unionByName(again)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents of which a twentieth or more are benchmark phrases go."""
+    found = find_phrases(_carried(docs), phrases_of(table(spark, sf_dir, "benchmark")), "doc", "doc_text")
+    return judged(found).where("not contaminated").select("doc.*")
+
+
+def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The manifest of the mix: the documents it takes, how often, and from which training position on."""
+    mixed = mix(docs).where("copies > 0")
+    return mixed.orderBy("first_position", "shuffled").select(
+        "doc_id", "size", "source_size", "target", "taken", "copies", "first_position")
+
+
+STAGES = [
+    ("quality rules", quality),
+    ("line dedup", line_dedup),
+    ("n-gram Jaccard join", near_duplicate_removal),
+    ("benchmark decontamination", decontamination),
+    ("mixing sources to target weights", mixing),
+]
 
-STAGES = []
-ORACLE_SQL = None
+ORACLE_SQL = f"""
+    WITH p1 AS MATERIALIZED (
+        SELECT * FROM documents WHERE doc_id IN (SELECT doc_id FROM ({kept_sql('documents')}) WHERE kept)),
+    p2 AS MATERIALIZED (
+        SELECT doc_id, kept_text AS text, lang, source,
+               CASE WHEN n_deleted > 0 THEN length(kept_text) ELSE n_chars END AS n_chars
+        FROM ({runs_sql('p1')}) WHERE n_lines = 0 OR n_deleted < n_lines),
+    p3 AS MATERIALIZED (
+        SELECT * FROM p2 WHERE doc_id IN (SELECT doc_id FROM ({components_sql('p2')}) WHERE doc_id = component_id)),
+    p4 AS MATERIALIZED (
+        SELECT doc_id, text, lang, source, n_chars FROM ({hits_sql('p3')}) WHERE NOT contaminated)
+    SELECT doc_id, size, source_size, target, taken, copies, first_position FROM ({mix_sql('p4')}) WHERE copies > 0"""
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    for _, stage in STAGES:
+    for number, (_, stage) in enumerate(STAGES, 1):
         docs = stage(spark, docs, sf_dir)
+        if number < len(STAGES):
+            docs = stored(docs, f"pipeline-{number}")
     return docs

@@ -243,16 +243,13 @@ def find_phrases(docs: DataFrame, phrases: DataFrame, id_col: str = "doc_id", te
     blocks = max(1, -(-n // block))
     # a block is a hash bucket: about `block` phrases, never more than the whole set
     of_block = F.pmod(F.xxhash64("phrase", "item"), F.lit(blocks))
-    kind = docs.schema[id_col].dataType.simpleString()
     rows = docs.select(
         F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"), F.lit(0).cast("long").alias("n_words"),
         F.expr("cast(array() as array<struct<start: bigint, stop: bigint>>)").alias("spans"),
         F.expr("cast(array() as array<string>)").alias("items"))
     for b in range(blocks):
         sent = [(bytes(r.phrase), r.item) for r in phrases.where(of_block == b).collect()]
-        rows = rows.mapInArrow(_searcher(spark.sparkContext.broadcast(sent)), (
-            f"id {kind}, text string, n_words long, spans array<struct<start: bigint, stop: bigint>>, "
-            "items array<string>"))
+        rows = rows.mapInArrow(_searcher(spark.sparkContext.broadcast(sent)), rows.schema)
     if blocks > 1:  # the blocks' spans may overlap
         rows = rows.withColumn("spans", _merged("spans"))
     return rows.withColumnRenamed("id", id_col).withColumnRenamed("text", text_col)

@@ -8,10 +8,12 @@ from tillwright.llm.common import table
 from tillwright.llm.quality_rules import BASE, CURRENT, ledger, passes
 from tillwright.llm.registry import query
 
-# word measurements, line measurements and the rules of the policy in force
-MEASURES_SQL = r"""
+
+def measures_sql(documents: str) -> str:
+    """SQL for the measurements of a documents relation."""
+    return rf"""
     WITH texts AS (
-        SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text FROM documents),
+        SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text FROM {documents}),
     listed AS (
         SELECT *, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS w,
                list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS ls
@@ -31,15 +33,21 @@ MEASURES_SQL = r"""
            coalesce(list_max(list_transform(w, lambda x: strlen(x))), 0) AS max_word_bytes
     FROM listed LEFT JOIN hit USING (rid)
 """
+
+
 BASE_FAILS = "(n_words < 50 OR 100 * n_repeat_words > 50 * n_words)"
 OTHER_FAILS = ("(100 * n_symbols > 10 * n_words OR 100 * n_dup_lines > 50 * n_lines OR word_chars < 2 * n_words "
                "OR word_chars > 20 * n_words OR max_word_bytes > 1000)")
 
 
-@query("op9_quality_rules", f"""
+def kept_sql(documents: str) -> str:
+    return f"""
     SELECT doc_id, n_words, coalesce(word_chars, 0) AS word_chars, n_symbols, n_dup_lines, n_repeat_words,
            {BASE_FAILS} AS base_failed, NOT {BASE_FAILS} AND NOT {OTHER_FAILS} AS kept
-    FROM ({MEASURES_SQL})""")
+    FROM ({measures_sql(documents)})"""
+
+
+@query("op9_quality_rules", kept_sql("documents"))
 def quality_rules(spark, sf_dir):
     return ledger(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",

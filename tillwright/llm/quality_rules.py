@@ -20,6 +20,7 @@ from dataclasses import dataclass
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tillwright.llm.common import raw
 
@@ -112,9 +113,8 @@ def rule_bits() -> Column:
 def ledger(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: the id, the measurements and the failure ``bits``."""
     rows = df.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    kind = rows.schema["id"].dataType.simpleString()
-    fields = ", ".join(f"{m} long" for m in MEASURES)
-    return (rows.mapInArrow(_measure_batches, f"id {kind}, {fields}")
+    kind = T.StructType([rows.schema["id"], *[T.StructField(m, T.LongType()) for m in MEASURES]])
+    return (rows.mapInArrow(_measure_batches, kind)
             .withColumn("bits", rule_bits()).withColumnRenamed("id", id_col))
 
 
