@@ -21,22 +21,22 @@ class FakeReader:
 
 
 class FakeSpark:
-    def __init__(self, bounds=(1, 900)):
+    def __init__(self, bounds=(1, 900, 750)):
         self.read = FakeReader(bounds)
 
 
 def test_jdbc_reads_in_ranges():
     spark = FakeSpark()
-    readers.read_jdbc_table(spark, "jdbc:x", "users", {"user": "u"}, split_by="id", partitions=8)
-    (bounds, _), (table, kw) = spark.read.calls
-    assert bounds == "(SELECT MIN(id) AS lo, MAX(id) AS hi FROM users) bounds"
+    readers.read_jdbc_table(spark, "jdbc:x", "users", {"user": "u"}, split_by="id", rows_per_task=100)
+    (extent, _), (table, kw) = spark.read.calls
+    assert extent == "(SELECT MIN(id) AS lo, MAX(id) AS hi, COUNT(*) AS n FROM users) extent"
     assert table == "users" and kw == {
         "column": "id", "lowerBound": 1, "upperBound": 900, "numPartitions": 8, "properties": {"user": "u"}}
 
 
-@pytest.mark.parametrize("spark,split", [(FakeSpark(), None), (FakeSpark((None, None)), "id")])
+@pytest.mark.parametrize("spark,split", [(FakeSpark(), None), (FakeSpark((None, None, 0)), "id")])
 def test_jdbc_reads_whole_table(spark, split):
-    readers.read_jdbc_table(spark, "jdbc:x", "users", {}, split_by=split)
+    readers.read_jdbc_table(spark, "jdbc:x", "users", {}, split_by=split, single_task=True)
     assert spark.read.calls[-1] == ("users", {"properties": {}})
 
 
@@ -52,7 +52,7 @@ def test_catalog_tables(spark):
 
 def test_json_array(spark, tmp_path):
     (tmp_path / "a.json").write_text(json.dumps([{"id": 1, "tags": ["x"]}, {"id": 2, "tags": []}], indent=1))
-    df = readers.read_feed(spark, str(tmp_path / "a.json"), "id long, tags array<string>")
+    df = readers.read_feed(spark, str(tmp_path / "a.json"), "id long, tags array<string>", json_arrays=True)
     assert [tuple(r) for r in df.orderBy("id").collect()] == [(1, ["x"]), (2, [])]
 
 
@@ -60,22 +60,22 @@ def test_unsupported_formats(spark, tmp_path):
     with pytest.raises(ValueError, match="Unsupported file format: .xlsx"):
         readers.read_feed(spark, "feed.xlsx")
     with pytest.raises(ValueError, match="Unsupported output format: xlsx"):
-        writers.write_dataframe(spark.range(1), str(tmp_path / "x"), "xlsx")
+        writers.save_table(spark.range(1), str(tmp_path / "x"), "xlsx")
 
 
 @pytest.mark.parametrize("suffix,format", [(".csv", "csv"), (".json", "json"), (".parquet", "parquet"), ("", "parquet")])
 def test_round_trip_by_extension(spark, tmp_path, suffix, format):
     df = spark.createDataFrame([("1", 'a "quoted", text'), ("2", None)], "id string, text string")
-    path = writers.write_dataframe(df, str(tmp_path / f"t{suffix}"), format)
-    got = readers.read_dataframe(spark, path).orderBy("id").select("id", "text").collect()
+    writers.save_table(df, path := str(tmp_path / f"t{suffix}"), format)
+    got = readers.read_table(spark, path).orderBy("id").select("id", "text").collect()
     assert [tuple(r) for r in got] == [("1", 'a "quoted", text'), ("2", None)]
 
 
 def test_partition_folders(spark, tmp_path):
     df = spark.range(10).selectExpr("id", "id % 2 AS part")
-    path = writers.write_dataframe(df, str(tmp_path / "t"), partition_by=["part"])
+    writers.save_parquet(df, path := str(tmp_path / "t"), ["part"])
     assert {p.name for p in (tmp_path / "t").iterdir() if p.is_dir()} == {"part=0", "part=1"}
-    assert readers.read_dataframe(spark, path).where("part = 1").count() == 5
+    assert readers.read_table(spark, path).where("part = 1").count() == 5
 
 
 def test_scratch_folder_is_the_shared_one(spark):
@@ -92,3 +92,42 @@ def test_json_array_files(spark, tmp_path):
     assert sum(len(rows) for rows in files) == 25 and all(isinstance(rows, list) for rows in files)
     back = readers.read_json_array(spark, path, df.schema)
     assert sorted(map(tuple, back.collect())) == sorted(map(tuple, df.collect()))
+
+
+def test_jdbc_needs_a_column_or_leave():
+    with pytest.raises(ValueError, match="split"):
+        readers.read_jdbc_table(FakeSpark(), "jdbc:x", "users", {})
+
+
+def test_json_lines_and_arrays_are_not_mistaken(spark, tmp_path):
+    df = spark.range(100).selectExpr("id", "concat('t', id) text").repartition(3)
+    writers.save_json_lines(df, lines := str(tmp_path / "lines.json"))
+    arrays = writers.write_json_arrays(df, str(tmp_path / "arrays.json"), 500)
+    assert readers.read_feed(spark, lines, df.schema).count() == readers.read_table(spark, lines).count() == 100
+    assert readers.read_feed(spark, arrays, df.schema, json_arrays=True).count() == 100
+    assert readers.read_table(spark, arrays, "json_array").count() == 100
+    with pytest.raises(Exception, match="no JSON array"):
+        readers.read_feed(spark, lines, df.schema, json_arrays=True).collect()
+    with pytest.raises(Exception, match="(?i)malformed"):
+        readers.read_feed(spark, arrays, df.schema).collect()
+
+
+def test_json_array_files_are_bounded(spark, tmp_path):
+    df = spark.range(5000).selectExpr("id", "'same' text")
+    writers.write_json_arrays(df, str(tmp_path / "one"))
+    writers.write_json_arrays(df, str(tmp_path / "many"), 20_000)
+    sizes = [p.stat().st_size for p in (tmp_path / "many").glob("part-*")]
+    assert len(list((tmp_path / "one").glob("part-*"))) == 1 and len(sizes) > 5 and max(sizes) < 40_000
+
+
+def test_csv_splits_and_keeps_nested_values_as_json(spark, tmp_path):
+    df = spark.createDataFrame([(1, {"a": "x"}, ["p", "q"])], "id long, specs map<string,string>, errors array<string>")
+    writers.save_csv(df, path := str(tmp_path / "feed.csv"))
+    assert [tuple(r) for r in readers.read_csv(spark, path).collect()] == [("1", '{"a":"x"}', '["p","q"]')]
+    (tmp_path / "breaks.csv").write_text('id,text\n1,"two\nlines"\n')
+    assert readers.read_csv(spark, str(tmp_path / "breaks.csv"), line_breaks=True).first()["text"] == "two\nlines"
+    big = spark.range(200_000).selectExpr("id", "repeat('x', 50) text").coalesce(1)
+    writers.save_csv(big, path := str(tmp_path / "big.csv"))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1m")
+    assert readers.read_csv(spark, path).rdd.getNumPartitions() > 5
+    spark.conf.unset("spark.sql.files.maxPartitionBytes")

@@ -42,7 +42,7 @@ def test_two_files_and_a_restart(spark, heads, tmp_path):
         stream = E.parse(E.read_files(spark, str(source), 1))
         E.start_recommendations(stream, heads[0], out, state).awaitTermination()
     sent = spark.read.parquet(out).collect()
-    assert {r["event_id"]: (r["recommendations"], r["has_profile"]) for r in sent} == {
+    assert {r["event_id"]: (r["recommendations"], r["has_user_profile"]) for r in sent} == {
         1: ([2, 4, 6], True), 5: ([1, 3, 5], True), 7: ([4, 6, 8], False), 9: ([2, 6, 8], False)}
     assert {r["event_id"]: r["batch_id"] for r in sent} == {1: 0, 5: 1, 7: 1, 9: 1}
 
@@ -92,10 +92,43 @@ def test_monitor_counts(spark, tmp_path):
     source = tmp_path / "in"
     feed(source, "1.json", FIRST)
     feed(source, "2.json", SECOND)
-    counts = E.counts_by_type(E.parse(E.read_files(spark, str(source), 1)), "1 hour")
-    E.start(counts, str(tmp_path / "out"), str(tmp_path / "state"), mode="update").awaitTermination()
-    latest = E.latest_counts(spark.read.parquet(str(tmp_path / "out"))).where("event_type IS NOT NULL").collect()
-    assert {r["event_type"]: r["messages"] for r in latest} == {"product_view": 4, "product_purchase": 4, "click": 1}
+    feed(source, "3.json", [json.dumps({"event_type": "click", "timestamp": 9e8})])
+    feed(source, "4.json", FIRST[:1])  # comes late, long after its hour
+    E.start_monitor(E.parse(E.read_files(spark, str(source), 1)), str(tmp_path / "out"), str(tmp_path / "state"),
+                    window="1 hour").awaitTermination()
+    written = spark.read.parquet(str(tmp_path / "out"))
+    assert written.select("batch_id").distinct().count() == 4
+    got = E.monitored(written).where("event_type IS NOT NULL").collect()
+    assert sorted((r["event_type"], r["messages"]) for r in got) == [
+        ("click", 1), ("click", 1), ("product_purchase", 4), ("product_view", 5)]
+    assert {r["topic"] for r in got} == {"user-events"} and max(r["per_second"] for r in got) == 5 / 3600
+
+
+def without_id(line):
+    message = json.loads(line)
+    del message["event_id"]
+    return json.dumps(message)
+
+
+def test_messages_without_an_id(spark, heads, tmp_path):
+    feed(tmp_path / "in", "1.json", [without_id(x) for x in [*FIRST[:4], *SECOND]])
+    stream = E.parse(E.read_files(spark, str(tmp_path / "in")))
+    E.start_counters(stream, *heads, str(tmp_path / "out"), str(tmp_path / "state")).awaitTermination()
+    got = E.metrics_update(spark.read.parquet(str(tmp_path / "out"))).first()
+    assert (got["events_processed"], got["active_user_sessions"], got["total_recommendations"]) == (9, 1, 6)
+
+
+def test_products_and_metrics_in_messages(spark, heads, tmp_path):
+    feed(tmp_path / "in", "1.json", FIRST)
+    recs = R.recommend(E.views_of(E.parse(spark.read.text(str(tmp_path / "in")))), heads[0])
+    catalogue = heads[1].selectExpr("id", "concat('p', id) name", "category", "id * 1.5D price", "description")
+    sent = E.with_products(E.recommendation_messages(recs), catalogue).first()
+    assert [(p["id"], p["name"], p["price"]) for p in sent["recommendations"]] == [(2, "p2", 3.0), (4, "p4", 6.0), (6, "p6", 9.0)]
+    updates = spark.createDataFrame([(1, 100.0, 10, 0.5), (2, 104.0, 15, 0.5), (3, 108.0, 20, 0.25)],
+                                    "event_id long, timestamp double, events_processed long, precision double")
+    got = E.metrics_messages(updates, 98.0).collect()
+    assert [(m["event_type"], m["runtime_seconds"], m["events_per_second"], m["metrics"]["precision"]) for m in got] == [
+        ("metrics_update", 2.0, 5.0, 0.5), ("metrics_update", 10.0, 2.0, 0.25)]
 
 
 def test_kafka_options():

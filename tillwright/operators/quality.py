@@ -15,13 +15,15 @@ def present(df: DataFrame, columns: Sequence[str]) -> list[str]:
 
 
 def _long(one_row: DataFrame, columns: Sequence[str], name: str, value: str) -> DataFrame:
-    """One wide aggregate row to (name, value) rows."""
+    """One wide aggregate row to (name, value) rows; no columns give none."""
+    if not columns:
+        return one_row.sparkSession.createDataFrame([], f"{name} string, {value} bigint")
     return one_row.unpivot([], list(columns), name, value)
 
 
 def null_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """(column, issue_count) for every column, in one pass."""
-    one = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in columns])
+    one = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in columns]) if columns else df
     return _long(one, columns, "column", "issue_count")
 
 
@@ -30,7 +32,7 @@ def surplus_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     surplus = {
         c: F.count("*") - F.count_distinct(F.col(c)) - F.max(F.col(c).isNull().cast("int")) for c in columns
     }
-    one = df.agg(*[F.coalesce(e, F.lit(0)).cast("bigint").alias(c) for c, e in surplus.items()])
+    one = df.agg(*[F.coalesce(e, F.lit(0)).cast("bigint").alias(c) for c, e in surplus.items()]) if columns else df
     return _long(one, columns, "column", "issue_count")
 
 

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Money is summed as decimal: exact, and the same whatever the order of the rows.
-MONEY = "decimal(18,2)"
+# Money is summed as decimal, the same whatever the order of the rows.  Six places hold a
+# line total after discount and tax as it is; rounding to cents is left to what shows it.
+MONEY = "decimal(28,6)"
 
 
 def _revenue(column: str):

@@ -188,7 +188,7 @@ def stream_route_events(s):
 @query("stream_recommend", f"""{RECS}
 SELECT event_id, 'recommendations_generated' AS event_type, user_id, product_id AS viewed_product_id,
   viewed_name AS viewed_product_name, string_agg(rec_id, ',' ORDER BY rank) AS recommendations,
-  CAST(count(*) AS INTEGER) AS recommendation_count, has_profile
+  CAST(count(*) AS INTEGER) AS recommendation_count, has_profile AS has_user_profile
 FROM ranked GROUP BY ALL""")
 def stream_recommend(s):
     out = _run(s, E.start_recommendations, s.message_stream(), _stored_heads(s))
@@ -205,13 +205,32 @@ def stream_purchase_confirm(s):
     return _run(s, E.start, E.purchase_confirmations(s.message_stream())).drop("batch_id")
 
 
-# Both kinds of message as JSON, as they would be sent.
-@query("sink_event_stream", f"{BASE}, sent AS ({CONFIRMED}) SELECT event_id, user_id, product_name, price FROM sent")
+def _sent(messages):
+    return messages.select(F.to_json(F.struct("*")).alias("value"))
+
+
+# All three kinds of message as JSON, as they would be sent.
+@query("sink_event_stream", f"""{RECS}, sent AS ({CONFIRMED}),
+due AS (SELECT event_type, row_number() OVER (ORDER BY "timestamp", event_id) - 1 AS events_processed FROM messages)
+SELECT 'purchase_confirmed' AS event_type, event_id, user_id, product_name, price, NULL::VARCHAR AS recommended, NULL::BIGINT AS events_processed FROM sent
+UNION ALL SELECT 'recommendations_generated', event_id, user_id, NULL, NULL,
+  string_agg(c.id || ':' || c.name, ',' ORDER BY rank), NULL FROM ranked JOIN catalogue c ON c.id = rec_id GROUP BY ALL
+UNION ALL SELECT 'metrics_update', NULL, NULL, NULL, NULL, NULL, CAST(events_processed AS BIGINT) FROM due
+WHERE event_type = 'product_view' AND events_processed % 10 = 0""")
 def sink_event_stream(s):
-    messages = E.purchase_confirmations(s.message_stream())
-    out = _run(s, E.start, messages.select(F.to_json(F.struct("*")).alias("value")))
-    sent = out.select(F.from_json("value", "event_id bigint, user_id bigint, product_name string, price double").alias("m"))
-    return sent.select("m.*")
+    bought = _run(s, E.start, _sent(E.purchase_confirmations(s.message_stream())))
+    recommended = E.with_products(_run(s, E.start_recommendations, s.message_stream(), _stored_heads(s)).drop("batch_id"), s.catalogue())
+    # the metrics so far, at every tenth event
+    updates = R.metric_updates(s.messages().select("event_id", "timestamp", "event_type"), _counters(s)).where("event_id IS NOT NULL")
+    updates = updates.join(s.messages().select("event_id", "timestamp"), "event_id")
+    values = bought.select("value").unionByName(_sent(recommended)).unionByName(_sent(E.metrics_messages(updates, 0.0)))
+    message = F.from_json("value", """event_type string, event_id bigint, user_id bigint, product_name string, price double,
+        recommendations array<struct<id: bigint, name: string>>, metrics struct<events_processed: bigint>""")
+    recs = F.transform("m.recommendations", lambda p: F.concat(p["id"].cast("string"), F.lit(":"), p["name"]))
+    return values.select(message.alias("m")).select(
+        "m.event_type", "m.event_id", "m.user_id", "m.product_name", "m.price",
+        F.when(F.col("m.recommendations").isNotNull(), F.array_join(recs, ",")).alias("recommended"),
+        F.col("m.metrics.events_processed").alias("events_processed"))
 
 
 @query("stream_user_sessions", f"""{BASE},
@@ -237,8 +256,9 @@ def stream_metrics(s):
 
 
 @query("stream_monitor", f"""{BASE}
-SELECT date_trunc('day', make_timestamp(CAST("timestamp" * 1000000 AS BIGINT))) AS window_start, event_type, count(*) AS messages
+SELECT 'user-events' AS topic, date_trunc('day', make_timestamp(CAST("timestamp" * 1000000 AS BIGINT))) AS window_start,
+  event_type, count(*) AS messages, round(CAST(count(*) AS DOUBLE) / 86400, 9) AS per_second
 FROM messages GROUP BY ALL""")
 def stream_monitor(s):
-    written = _run(s, E.start, E.counts_by_type(s.message_stream(), "1 day"), mode="update")
-    return E.latest_counts(written).withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
+    return E.monitored(_run(s, E.start_monitor, s.message_stream(), window="1 day")).withColumns(
+        {"window_start": F.col("window_start").cast("timestamp_ntz"), "per_second": F.round("per_second", 9)})

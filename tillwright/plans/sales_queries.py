@@ -10,9 +10,9 @@ from tillwright.plans.registry import query
 WEEKLY = """weekly AS (
   SELECT p_name AS product, CAST(isoyear(o_orderdate) AS INTEGER) AS year, CAST(week(o_orderdate) AS INTEGER) AS week_number,
     CAST(sum(CAST(l_quantity AS BIGINT)) AS BIGINT) AS total_quantity,
-    CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) AS total_revenue
+    CAST(sum(CAST(l_extendedprice * (1 - l_discount) AS DECIMAL(28,6))) AS DOUBLE) AS total_revenue
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey GROUP BY ALL)"""
-REVENUE = "CAST(sum(CAST(total_revenue AS DECIMAL(18,2))) AS DOUBLE) AS total_revenue"
+REVENUE = "CAST(sum(CAST(total_revenue AS DECIMAL(28,6))) AS DOUBLE) AS total_revenue"
 SELECTED = "red widget"
 
 
@@ -21,7 +21,7 @@ def weekly(s):
         s.table("lineitem").join(s.table("orders"), F.col("l_orderkey") == F.col("o_orderkey"))
         .join(s.table("part"), F.col("l_partkey") == F.col("p_partkey"))
         .select(F.col("p_name").alias("product"), F.col("o_orderdate").alias("sold_at"),
-                F.col("l_quantity").cast("bigint").alias("quantity"), F.col("l_extendedprice").alias("revenue"))
+                F.col("l_quantity").cast("bigint").alias("quantity"), (F.col("l_extendedprice") * (1 - F.col("l_discount"))).alias("revenue"))
     )
     return S.weekly_sales(sales)
 

@@ -2,43 +2,63 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+import math
+from collections.abc import Sequence
 
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tillwright.operators import feeds
+from tillwright.session import stored
 
+ARRAY_FILE_BYTES = 64 << 20
 
-def write_dataframe(df: DataFrame, path: str, format: str = "parquet", mode: str = "overwrite",
-                    partition_by: Sequence[str] = (), **options) -> str:
-    """Parquet, CSV (with header) or JSON, optionally in partition folders."""
-    if format not in ("parquet", "csv", "json"):
-        raise ValueError(f"Unsupported output format: {format}")
-    if format == "csv":
-        options.setdefault("header", True)
-        options.setdefault("escape", '"')
-    writer = df.write.mode(mode).options(**options)
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.format(format).save(path)
-    return path
 
+def nested_as_json(df: DataFrame) -> DataFrame:
+    """Arrays, maps and structs as JSON text, for formats whose values are flat."""
+    nested = (T.ArrayType, T.MapType, T.StructType)
+    return df.select(*[
+        (F.to_json(f"`{f.name}`") if isinstance(f.dataType, nested) else F.col(f"`{f.name}`")).alias(f.name)
+        for f in df.schema.fields])
 
-def write_json_arrays(df: DataFrame, path: str) -> str:
-    """Many files, each one JSON array, for readers that want whole JSON documents.
 
-    A file holds the rows of one Arrow batch, so its size is bounded and no task gathers rows.
-    """
-    def arrays(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            if len(batch):
-                yield pd.DataFrame({"value": ["[" + ",\n".join(batch["row"]) + "]"]})
+def save_parquet(df: DataFrame, path: str, folders_by: Sequence[str] = (), mode: str = "overwrite") -> None:
+    df.write.parquet(path, mode=mode, partitionBy=list(folders_by) or None)
+
+
+def save_json_lines(df: DataFrame, path: str, folders_by: Sequence[str] = (), mode: str = "overwrite") -> None:
+    writer = df.write.mode(mode)
+    (writer.partitionBy(*folders_by) if folders_by else writer).json(path)
+
+
+def save_csv(df: DataFrame, path: str, folders_by: Sequence[str] = (), mode: str = "overwrite") -> None:
+    """CSV with a header, as ``read_csv`` reads it."""
+    writer = nested_as_json(df).write.mode(mode)
+    (writer.partitionBy(*folders_by) if folders_by else writer).csv(path, header=True, escape='"')
+
 
+SAVE = {"parquet": save_parquet, "json": save_json_lines, "csv": save_csv}
+
+
+def save_table(df: DataFrame, path: str, kind: str, **how) -> None:
+    """One of the sinks above by its name."""
+    if kind not in SAVE:
+        raise ValueError(f"Unsupported output format: {kind}")
+    SAVE[kind](df, path, **how)
+
+
+def write_json_arrays(df: DataFrame, path: str, file_bytes: int = ARRAY_FILE_BYTES) -> str:
+    """Files of about ``file_bytes``, each one JSON array, for readers that want whole JSON documents.
+
+    Rows are dealt to as many files as their length asks for, so no task gathers more than one file's rows.
+    """
     rows = df.select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("row"))
-    (rows.mapInPandas(arrays, "value string").write.mode("overwrite")
-     .option("maxRecordsPerFile", 1).text(path))
+    total = rows.agg(F.sum(F.octet_length("row"))).first()[0] or 0
+    files = max(1, math.ceil(total / file_bytes))
+    dealt = rows.withColumn("file", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(files)))
+    arrays = dealt.groupBy("file").agg(F.concat(F.lit("["), F.array_join(F.collect_list("row"), ",\n"), F.lit("]")).alias("value"))
+    arrays.select("value").write.mode("overwrite").option("maxRecordsPerFile", 1).text(path)
     return path
 
 
@@ -53,8 +73,8 @@ def write_error_report(report: DataFrame, path: str, title: str, generated_on: s
 
     The lines are range-sorted, so a report of any length is written in parallel.
     """
-    products = report.select("product_id").distinct()
-    count = products.agg(F.count("*").alias("n"))
+    report = stored(report, "feed-errors")  # the validation behind it runs once
+    count = report.select("product_id").distinct().agg(F.count("*").alias("n"))
     head = count.select(F.inline(F.array(
         *[F.struct(F.lit("").alias("product_id"), F.lit(i - 10).alias("ord"), line.alias("line"))
           for i, line in enumerate([

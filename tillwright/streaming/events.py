@@ -20,6 +20,7 @@ TOPICS = {"events": "user-events", "recommendations": "recommendations", "metric
 PRODUCT = "struct<id:bigint,name:string,category:string,price:double,description:string>"
 PROFILE = ("struct<preferred_categories:array<string>,preferred_features:array<string>,price_sensitivity:double,"
            "viewing_history:array<bigint>,purchase_history:array<bigint>>")
+# ``event_id`` is optional: messages without one are told apart by their text
 MESSAGE = (f"event_id bigint, event_type string, timestamp double, user_id bigint, product_id bigint, "
            f"product {PRODUCT}, user_profile {PROFILE}")
 
@@ -51,7 +52,8 @@ def parse(raw: DataFrame) -> DataFrame:
 
     ``inline`` keeps later filters above the parser; pushed below, they would parse every message again.
     """
-    return raw.select(F.inline(F.array(F.from_json("value", MESSAGE))))
+    message = raw.select("value", F.inline(F.array(F.from_json("value", MESSAGE))))
+    return message.withColumn("event_id", F.coalesce("event_id", F.xxhash64("value"))).drop("value")
 
 
 def route(events: DataFrame) -> DataFrame:
@@ -77,7 +79,33 @@ def recommendation_messages(recs: DataFrame) -> DataFrame:
         "event_id", F.lit("recommendations_generated").alias("event_type"), "timestamp", "user_id",
         F.col("product_id").alias("viewed_product_id"), F.col("product_name").alias("viewed_product_name"),
         F.col("recs").alias("recommendations"),
-        F.size("recs").alias("recommendation_count"), "has_profile")
+        F.size("recs").alias("recommendation_count"), F.col("has_profile").alias("has_user_profile"))
+
+
+def with_products(messages: DataFrame, catalogue: DataFrame) -> DataFrame:
+    """Recommendation messages with whole products in place of their ids, in the same order.
+
+    Only the ids are joined, so the catalogue's side is each product once and the messages stay narrow until the end.
+    """
+    columns = ("id", "name", "category", "price", "description")
+    listed = messages.select("event_id", F.posexplode("recommendations").alias("place", "id"))
+    products = catalogue.select("id", F.struct(*columns).alias("product"))
+    whole = listed.join(products, "id").groupBy("event_id").agg(
+        F.transform(F.array_sort(F.collect_list(F.struct("place", "product"))), lambda x: x["product"]).alias("products"))
+    return messages.join(whole, "event_id", "left").select(
+        *[F.coalesce("products", F.array()).alias(c) if c == "recommendations" else c for c in messages.columns])
+
+
+def metrics_messages(updates: DataFrame, started: float, every: int = 10) -> DataFrame:
+    """The metrics message after every ``every``-th event: totals so far, run time and events per second.
+
+    ``updates`` has a row per due event, with its ``timestamp`` (``recommend.metric_updates``).
+    """
+    runtime = F.greatest(F.col("timestamp") - F.lit(started), F.lit(0.0))
+    per_second = F.when(runtime > 0, F.col("events_processed") / runtime).otherwise(0.0)
+    return updates.where(F.col("events_processed") % every == 0).select(
+        F.lit("metrics_update").alias("event_type"), "timestamp", runtime.alias("runtime_seconds"),
+        per_second.alias("events_per_second"), F.struct(*[c for c in updates.columns if c not in ("event_id", "timestamp")]).alias("metrics"))
 
 
 def purchase_confirmations(events: DataFrame) -> DataFrame:
@@ -120,18 +148,29 @@ def sessions(profiles: DataFrame, purchases: DataFrame) -> DataFrame:
         F.coalesce("purchases_since", F.lit(0)).alias("purchases_since"))
 
 
-def counts_by_type(events: DataFrame, window: str = "1 minute", lateness: str = "10 minutes") -> DataFrame:
-    """Messages per event type and time window; windows older than ``lateness`` are closed."""
+def counts_by_type(events: DataFrame, window: str = "1 minute", topic: str = TOPICS["events"]) -> DataFrame:
+    """Messages of one batch per topic, event type and time window.
+
+    The counts of all batches add up, whenever a message came, so the stream keeps no state and drops nothing.
+    """
     return (
-        events.withColumn("event_time", F.timestamp_seconds("timestamp")).withWatermark("event_time", lateness)
+        events.withColumn("event_time", F.timestamp_seconds("timestamp"))
         .groupBy(F.window("event_time", window).alias("span"), "event_type").agg(F.count("*").alias("messages"))
-        .select(F.col("span.start").alias("window_start"), "event_type", "messages")
+        .select(F.lit(topic).alias("topic"), F.col("span.start").alias("window_start"),
+                F.col("span.end").alias("window_end"), "event_type", "messages")
     )
 
 
-def latest_counts(written: DataFrame) -> DataFrame:
-    """Newest figure per window and type from the updates written by ``save_batches``."""
-    return written.groupBy("window_start", "event_type").agg(F.max_by("messages", "batch_id").alias("messages"))
+def start_monitor(events: DataFrame, path: str, checkpoint: str, window: str = "1 minute",
+                  topic: str = TOPICS["events"], **kw):
+    return start(events, path, checkpoint, lambda batch: counts_by_type(batch, window, topic), **kw)
+
+
+def monitored(written: DataFrame) -> DataFrame:
+    """Messages per topic, window and type over all batches, and how many came per second."""
+    seconds = F.unix_timestamp("window_end") - F.unix_timestamp("window_start")
+    return written.groupBy("topic", "window_start", "window_end", "event_type").agg(F.sum("messages").alias("messages")).select(
+        "topic", "window_start", "event_type", "messages", (F.col("messages") / seconds).alias("per_second"))
 
 
 def save_batches(path: str, build: Callable[[DataFrame], DataFrame] = lambda df: df, reread: bool = False):
@@ -189,14 +228,15 @@ def start_counters(events: DataFrame, heads: R.Heads, catalogue: DataFrame, path
         profiles = R.distinct_profiles(views, f"{path}-profiles")
         views = R.event_counters(R.recommend(views, heads, profiles), R.relevant_counts(profiles, catalogue))
         counted = batch.agg(F.count("*").alias("events_processed"))
-        return views.unionByName(counted, allowMissingColumns=True)
+        return views.withColumn("kind", F.lit("view")).unionByName(
+            counted.withColumn("kind", F.lit("batch")), allowMissingColumns=True)
 
     return start(events, path, checkpoint, build, reread=True, **kw)
 
 
 def metrics_update(written: DataFrame) -> DataFrame:
     """One row: precision, recall, F1, events processed and active sessions over all batches."""
-    counters = written.where("event_id IS NOT NULL")
+    counters = written.where("kind = 'view'").drop("kind")
     seen = counters.agg(F.count_distinct("user_id").alias("active_user_sessions"))
     processed = written.agg(F.coalesce(F.sum("events_processed"), F.lit(0)).alias("events_processed"))
     return R.metrics_overall(counters).select(
