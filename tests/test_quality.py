@@ -120,3 +120,27 @@ def test_value_counts_of_every_kind(spark):
         ("day", "2024-01-01"): 1, ("day", None): 1, ("day", "2024-01-02"): 1,
         ("at", "2024-01-01 01:00:00"): 2, ("at", None): 1, ("dec", "1.50"): 2, ("dec", "2.00"): 1,
         ("arr", "[1]"): 2, ("arr", None): 1}
+
+
+def test_no_listed_column_is_present(spark):
+    df = spark.range(3)
+    assert Q.not_null(df, ["nope"]).collect() == [] and Q.unique(df, ["nope"]).collect() == []
+
+
+def test_nested_values_are_told_apart(spark):
+    df = spark.createDataFrame([(["a, b"],), (["a", "b"],), (["a", "b"],), (None,)], "tags array<string>")
+    assert [tuple(r) for r in P.distinct_counts(df).collect()] == [("tags", 2)]
+    assert [(r["value"], r["n"]) for r in P.value_frequencies(df, 1).collect()] == [('["a","b"]', 2)]
+
+
+def test_snapshots_are_appended(spark, tmp_path):
+    rows = K.contract_rows(spark, {"t": K.Contract(required=["a"], optional=["b"])})
+    K.append_snapshot(spark, str(tmp_path / "h"), rows, 1)
+    K.append_snapshot(spark, str(tmp_path / "h"), rows, 2)
+    got = K.append_snapshot(spark, str(tmp_path / "h"), rows.where("column = 'a'"), 2)
+    assert sorted((r["version"], r["column"]) for r in got.collect()) == [(1, "a"), (1, "b"), (2, "a")]
+
+
+def test_small_amounts_add_up(spark):
+    sales = spark.range(1000).selectExpr("'p' product", "date'2024-03-01' sold_at", "1L quantity", "0.004D revenue")
+    assert S.kpis(S.weekly_sales(sales)).first()["total_revenue"] == 4.0

@@ -6,33 +6,20 @@ from pyspark.sql import functions as F
 from tillwright.operators import recommend as R
 from tillwright.operators.ordering import running_totals
 
-CATALOGUE = """1|Smart AI Assistant|AI Consumer Products|299.99|An intelligent virtual assistant for everyday tasks
-2|Voice Recognition Module|AI Consumer Products|149.99|Advanced voice recognition technology for smart devices
-3|AI Edge Processor|AI Consumer Products|499.99|Process AI workloads locally on your device
-4|TPU Accelerator Card|Hardware|799.99|Tensor Processing Unit for accelerated machine learning
-5|Neural Network Server|Hardware|1299.99|Dedicated server for running neural networks
-6|Quantum Computing Module|Advanced Computing|4999.99|Experimental quantum computing capabilities
-7|AI Development Kit|Developer Tools|399.99|Complete toolkit for AI application development
-8|Semiconductor Design Suite|Developer Tools|899.99|Professional tools for semiconductor design
-9|Natural Language Processor|AI Components|249.99|Process and understand human language in your applications
-10|Computer Vision System|AI Components|349.99|Add visual recognition capabilities to your projects
-11|Augmented Reality Headset|Consumer Electronics|699.99|Immersive AR experience with advanced tracking
-12|Smart Home Hub|Consumer Electronics|199.99|Central control for all your smart home devices
-13|Neural Interface|Advanced Computing|3499.99|Direct brain-computer interface for advanced applications
-14|Quantum Encryption Module|Security Products|899.99|Next-generation encryption using quantum principles
-15|Drone AI Controller|AI Components|399.99|Advanced autonomous control system for drones"""
-USERS = {
-    1: (["AI Consumer Products", "Consumer Electronics"], ["assistant", "smart", "recognition"]),
-    4: (["Security Products", "Hardware"], ["encryption", "secure", "protection"]),
-}
+# (id, category, description); the order is that of the ids
+CATALOGUE = [
+    (1, "lamps", "A warm bedside light"), (2, "lamps", "Bright work light with a clamp"), (3, "rugs", "Woven wool"),
+    (4, "chairs", "Folding chair, light and strong"), (5, "chairs", "Oak chair"), (6, "shelves", "Oak shelf for books"),
+    (7, "rugs", "Wool and linen runner"), (8, "lamps", "Paper shade"), (9, "shelves", "Steel rack"), (10, "tables", "Round oak table"),
+    (11, "tables", "Work bench"), (12, "chairs", "Stool")]
+USERS = {1: (["lamps", "rugs"], ["OAK", "work"]), 4: (["tables"], ["light", "velvet"])}
 VIEW = ("event_id long, timestamp double, user_id long, product_id long, category string, "
         "preferred_categories array<string>, preferred_features array<string>")
 
 
 @pytest.fixture(scope="module")
 def catalogue(spark):
-    rows = [line.split("|") for line in CATALOGUE.splitlines()]
-    return spark.createDataFrame([(int(r[0]), int(r[0]), r[2], r[4]) for r in rows],
+    return spark.createDataFrame([(i, i, c, d) for i, c, d in CATALOGUE],
                                  "id long, pos long, category string, description string")
 
 
@@ -57,20 +44,30 @@ def counters(spark, catalogue, events, k=5):
 
 
 def test_goldens(spark, catalogue):
-    v = views(spark, [(1, 1), (4, 4), (None, 4)], categories_of(catalogue))
-    five = recommended(R.recommend(v, R.catalogue_heads(catalogue, 5)))
-    assert five[0] == [2, 3, 11, 12, 10] and five[1] == [5, 14, 1, 2, 3]
+    """User 1 likes lamps and rugs, then oak and work; user 4 tables, then light things; nobody sees chairs first."""
+    v = views(spark, [(1, 1), (4, 10), (None, 4)], categories_of(catalogue))
+    nine = recommended(R.recommend(v, R.catalogue_heads(catalogue, 9)))
+    assert nine[0] == [2, 3, 7, 8, 5, 6, 10, 11, 4] and nine[1] == [11, 1, 2, 4, 3, 5, 6, 7, 8]
     three = recommended(R.recommend(v, R.catalogue_heads(catalogue, 3)))
-    assert three[2] == [5, 1, 2]
-    assert recommended(R.same_category(v, R.catalogue_heads(catalogue, 3)))[1] == [5, 1, 2]
+    assert three[2] == [5, 12, 1]
+    assert recommended(R.same_category(v, R.catalogue_heads(catalogue, 3)))[1] == [11, 1, 2]
+
+
+def test_repeated_ids_are_one_product(spark, catalogue):
+    """A catalogue that lists products several times recommends each once and still fills the lists."""
+    v = views(spark, [(1, 1), (4, 10), (None, 4)], categories_of(catalogue))
+    once = recommended(R.recommend(v, R.catalogue_heads(catalogue, 5)))
+    again = catalogue.unionByName(catalogue).unionByName(catalogue.where("id < 6"))
+    assert recommended(R.recommend(v, R.catalogue_heads(again, 5))) == once
 
 
 def test_metric_goldens(spark, catalogue):
-    one = {r["user_id"]: r for r in R.metrics_by_user(counters(spark, catalogue, [(1, 1), (4, 4)])).collect()}
-    assert (one[1]["precision"], one[1]["recall"]) == (1.0, 5 / 6) and one[1]["f1"] == pytest.approx(10 / 11)
-    assert (one[4]["precision"], one[4]["recall"], one[4]["f1"]) == (0.4, 2 / 3, 0.5)
+    # 8 products suit user 1 (5 lamps and rugs, 4 oak or work of which one is a lamp), 5 suit user 4
+    one = {r["user_id"]: r for r in R.metrics_by_user(counters(spark, catalogue, [(1, 1), (4, 10)])).collect()}
+    assert (one[1]["precision"], one[1]["recall"]) == (1.0, 5 / 9) and one[1]["f1"] == pytest.approx(10 / 14)
+    assert (one[4]["precision"], one[4]["recall"]) == (0.8, 4 / 5) and one[4]["f1"] == pytest.approx(0.8)
     twice = R.metrics_overall(counters(spark, catalogue, [(1, 1), (1, 1)])).first()
-    assert (twice["precision"], twice["recall"]) == (1.0, 10 / 6)
+    assert (twice["precision"], twice["recall"]) == (1.0, 10 / 9)
     nobody = R.metrics_overall(counters(spark, catalogue, [(None, 1)])).first()
     assert (nobody["precision"], nobody["recall"], nobody["f1"]) == (0.0, 0.0, 0.0)
 
@@ -128,7 +125,7 @@ def test_against_brute_force(spark, seed):
             assert found.get((tuple(view[5]), feats), 0) == want
 
 
-def test_all_ways_of_feature_search_agree(spark):
+def test_feature_search(spark):
     rnd = random.Random(3)
     texts = sorted({"".join(rnd.choices("ab c", k=rnd.randint(0, 9))) for _ in range(80)})
     features = ["", "a", " ", "b c", "ab", "abab", "zz", "c a", "bb"]
@@ -137,9 +134,8 @@ def test_all_ways_of_feature_search_agree(spark):
     want = {y: found for y, found in want.items() if found}
     rows = t.withColumn("extra", F.lit(1)).unionByName(t.withColumn("extra", F.lit(2))).unionByName(
         spark.createDataFrame([(None, 1)], "text string, extra int"))
-    for max_sent, small in ((1000, 1000), (1000, 0), (0, 0)):
-        got = R.with_features(rows, f, max_sent, small).collect()
-        assert {r["text"]: r["found"] for r in got} == want and len(got) == 2 * len(want)
+    got = R.with_features(rows, f).collect()
+    assert {r["text"]: r["found"] for r in got} == want and len(got) == 2 * len(want)
     for prefix in (1, 3, 6):
         pairs = R.feature_texts(f, t, prefix).collect()
         assert sorted(tuple(r) for r in pairs) == sorted((x, y) for y, found in want.items() for x in found)

@@ -67,13 +67,18 @@ def test_sessions(spark, tmp_path):
     feed(source, "1.json", FIRST)
     feed(source, "2.json", SECOND)
     stream = E.parse(E.read_files(spark, str(source), 1))
-    E.start(E.last_profiles(stream), str(tmp_path / "p"), str(tmp_path / "ps"), mode="update").awaitTermination()
+    E.start(stream, str(tmp_path / "p"), str(tmp_path / "ps"), E.last_profiles).awaitTermination()
     E.start(E.purchase_confirmations(stream), str(tmp_path / "c"), str(tmp_path / "cs")).awaitTermination()
     confirmed = spark.read.parquet(str(tmp_path / "c"))
     assert confirmed.count() == 4 and confirmed.where("user_id = 9").first()["price"] == 6.0
     rows = E.sessions(spark.read.parquet(str(tmp_path / "p")), confirmed).collect()
     # user 9 has no session, user 0 and a view without profile open none
     assert [(r["user_id"], r["last_view"], r["restored_purchases"], r["purchases_since"]) for r in rows] == [(1, 5, 1, 2)]
+    bought = E.session_purchases(spark.read.parquet(str(tmp_path / "p")), confirmed, 1).orderBy("chunk").collect()
+    assert [(r["user_id"], r["product_ids"]) for r in bought] == [(1, [5]), (1, [6])]
+    late = spark.createDataFrame([(7, (5000.0, 99), None)], spark.read.parquet(str(tmp_path / "p")).drop("batch_id").schema)
+    profiles = spark.read.parquet(str(tmp_path / "p")).drop("batch_id").unionByName(late)
+    assert [r["user_id"] for r in E.sessions(profiles, confirmed, idle_seconds=100).collect()] == [7]
 
 
 def test_metrics_over_batches(spark, heads, tmp_path):

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from typing import Any
 
 import yaml
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -152,6 +153,32 @@ def next_bookmark(cleaned: DataFrame, bookmark: int, key: str = "id") -> DataFra
     return cleaned.agg(F.coalesce(F.max(key), F.lit(bookmark)).alias("bookmark"))
 
 
+def load_bookmark(spark: SparkSession, path: str, default: int = 0) -> tuple[int, int]:
+    """(run, bookmark) of the last finished run below ``path``; run -1 and ``default`` before the first."""
+    try:
+        runs = spark.read.schema("bookmark bigint, run int").parquet(path)
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return -1, default
+    last = runs.orderBy(F.desc("run")).first()
+    return (last["run"], last["bookmark"]) if last else (-1, default)
+
+
+def incremental_load(df: DataFrame, clean: Callable[[DataFrame], DataFrame], out: str, bookmarks: str, key: str = "id",
+                     default: int = 0) -> DataFrame:
+    """Clean the rows added since the last run, write them below ``out`` and move the bookmark.
+
+    Rows and bookmark of a run are folders with its number.  The bookmark comes last and counts as soon as
+    its folder is complete, so a run that broke off is repeated from the same bookmark and replaces its rows.
+    """
+    run, bookmark = load_bookmark(df.sparkSession, bookmarks, default)
+    clean(rows_after(df, bookmark, key)).write.mode("overwrite").parquet(f"{out}/run={run + 1}")
+    written = df.sparkSession.read.parquet(f"{out}/run={run + 1}")
+    next_bookmark(written, bookmark, key).write.mode("overwrite").parquet(f"{bookmarks}/run={run + 1}")
+    return written
+
+
 def clean_cart_extended(cart: DataFrame, as_of: str) -> DataFrame:
     """Trim ids and status, default and flag the quantity, read the price, add the age in days."""
     quantity = F.col("quantity")

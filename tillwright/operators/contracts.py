@@ -12,6 +12,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tillwright.operators.profiling import null_profile, value_frequencies
 
@@ -35,52 +36,56 @@ def contract_rows(spark: SparkSession, contracts: Mapping[str, Contract]) -> Dat
     return spark.createDataFrame(rows, "table_name string, column string, bucket string")
 
 
-def schema_findings(df: DataFrame, contract: Contract) -> list[tuple[str, str, str]]:
-    """(severity, kind, column) from the schema alone; an absent required column counts as nullable."""
-    nullable = {f.name: f.nullable for f in df.schema.fields}
-    expected = {*contract.required, *contract.optional, *contract.disallowed}
-    found = [("error", "missing", c) for c in sorted(set(contract.required) - set(nullable))]
-    found += [("error", "disallowed", c) for c in sorted(set(contract.disallowed) & set(nullable))]
-    found += [("error", "nullable", c) for c in sorted(contract.required) if nullable.get(c, True)]
-    found += [("notice", "unexpected", c) for c in sorted(set(nullable) - expected)]
-    return found
+# fixed values: what an error says about each kind of breach, in this order
+BREACHES = {
+    "missing": "Missing required columns",
+    "disallowed": "Disallowed columns present",
+    "nullable": "Required columns are nullable in DF schema",
+    "unexpected": "Notice - unexpected columns detected",
+}
 
 
-def check_contract(df: DataFrame, table: str, contract: Contract, use_data: bool = False) -> DataFrame:
-    """(table_name, severity, kind, column) for every breach.
+def breaches(df: DataFrame, contract: Contract, use_data: bool = False) -> DataFrame:
+    """(severity, kind, column): the contract's rows and the table's columns, outer-joined by name.
 
-    Parquet and JDBC call every column nullable.  With ``use_data`` a required
-    column is reported as nullable only when it holds a NULL (or is absent).
+    Parquet and JDBC call every column nullable.  With ``use_data`` a column is
+    nullable when it holds a NULL.  A column that is absent counts as nullable.
     """
-    found = schema_findings(df, contract)
+    spark = df.sparkSession
+    declared = contract_rows(spark, {"": contract}).select("column", "bucket")
+    columns = spark.createDataFrame(
+        [(f.name, f.nullable) for f in df.schema.fields], "column string, nullable boolean")
     needed = [c for c in contract.required if c in df.columns]
-    if use_data:
-        found = [f for f in found if f[1] != "nullable" or f[2] not in needed]
-    breaches = df.sparkSession.createDataFrame(
-        [(table, *f) for f in found], "table_name string, severity string, kind string, column string")
     if use_data and needed:
-        holes = null_profile(df.select(*needed)).where("null_count > 0").select(
-            F.lit(table).alias("table_name"), F.lit("error").alias("severity"),
-            F.lit("nullable").alias("kind"), "column")
-        breaches = breaches.unionByName(holes)
-    return breaches
+        holes = null_profile(df.select(*needed)).select("column", (F.col("null_count") > 0).alias("holds_null"))
+        columns = columns.join(holes, "column", "left").select(
+            "column", F.coalesce("holds_null", "nullable").alias("nullable"))
+    absent, required = F.col("nullable").isNull(), F.col("bucket") == "required"
+    cases = [
+        (required & absent, "error", "missing"),
+        ((F.col("bucket") == "disallowed") & ~absent, "error", "disallowed"),
+        (required & F.coalesce("nullable", F.lit(True)), "error", "nullable"),
+        (F.col("bucket").isNull(), "notice", "unexpected"),
+    ]
+    found = F.array(*[F.when(case, F.struct(F.lit(severity).alias("severity"), F.lit(kind).alias("kind")))
+                      for case, severity, kind in cases])
+    return declared.join(columns, "column", "full_outer").select(
+        F.inline(F.array_compact(found)), "column").select("severity", "kind", "column")
+
+
+def check_contract(df: DataFrame, table: str, contract: Contract, use_data: bool = False) -> DataFrame:
+    """(table_name, severity, kind, column) for every breach."""
+    return breaches(df, contract, use_data).select(F.lit(table).alias("table_name"), "severity", "kind", "column")
 
 
 def require_contract(df: DataFrame, table: str, contract: Contract) -> DataFrame:
     """Return ``df`` or raise one error naming every breach found in the schema."""
-    texts = {
-        "missing": "Missing required columns",
-        "disallowed": "Disallowed columns present",
-        "nullable": "Required columns are nullable in DF schema",
-        "unexpected": "Notice - unexpected columns detected",
-    }
-    found = schema_findings(df, contract)
-    if any(severity == "error" for severity, _, _ in found):
-        parts = [
-            f"{text}: {[c for _, k, c in found if k == kind]}"
-            for kind, text in texts.items() if any(k == kind for _, k, _ in found)
-        ]
-        raise ContractError(f"[SCHEMA ERROR] {table}: " + " | ".join(parts))
+    found = breaches(df, contract).groupBy("kind").agg(
+        F.bool_or(F.col("severity") == "error").alias("error"), F.array_sort(F.collect_set("column")).alias("columns"))
+    by_kind = {r["kind"]: r for r in found.collect()}  # a row per kind
+    if any(r["error"] for r in by_kind.values()):
+        told = [f"{text}: {list(by_kind[kind]['columns'])}" for kind, text in BREACHES.items() if kind in by_kind]
+        raise ContractError(f"[SCHEMA ERROR] {table}: " + " | ".join(told))
     return df
 
 
@@ -128,6 +133,15 @@ def newest_versions(history: DataFrame, keep: int = 5) -> DataFrame:
     return history.join(newest, ["table_name", "version"], "left_semi")
 
 
+def append_snapshot(spark: SparkSession, path: str, contracts: DataFrame, version: int) -> DataFrame:
+    """Add a snapshot (table_name, column, bucket) to the history folder; returns the whole history.
+
+    A version is a folder of its own, so writing it again replaces it and leaves the others alone.
+    """
+    contracts.select("table_name", "column", "bucket").write.mode("overwrite").parquet(f"{path}/version={version}")
+    return spark.read.schema("table_name string, column string, bucket string, version int").parquet(path)
+
+
 RULE = "table_name string, section string, column string, value string"
 
 
@@ -147,10 +161,16 @@ BOOLEAN_TEXTS = ("0", "1", "true", "false", "yes", "no")
 
 
 def boolean_rules(df: DataFrame, table: str, n: int = 5) -> DataFrame:
-    """Columns whose most frequent values all read as true or false; a frequent NULL speaks against it."""
+    """Columns whose most frequent values all read as true or false; a frequent NULL speaks against it.
+
+    Only values of texts, whole numbers and booleans can; other columns are not counted at all.
+    """
+    able = [f.name for f in df.schema.fields if isinstance(f.dataType, (T.StringType, T.IntegralType, T.BooleanType))]
+    if not able:
+        return df.sparkSession.createDataFrame([], RULE)
     fits = F.coalesce(F.lower(F.trim("value")).isin(*BOOLEAN_TEXTS), F.lit(False))
     return (
-        value_frequencies(df, n).groupBy("column").agg(F.bool_and(fits).alias("boolean")).where("boolean")
+        value_frequencies(df.select(*[f"`{c}`" for c in able]), n).groupBy("column").agg(F.bool_and(fits).alias("boolean")).where("boolean")
         .select(F.lit(table).alias("table_name"), F.lit("type_conversions").alias("section"), "column",
                 F.lit("BooleanType").alias("value"))
     )

@@ -15,6 +15,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tillwright.session import stored
+
 
 def prefixed(df: DataFrame, prefix: str, keep: Sequence[str] = ()) -> DataFrame:
     """Prefix every column but the keys, so that joined tables do not collide."""
@@ -57,6 +59,7 @@ def _with_details(parents: DataFrame, details: DataFrame, key: str, tag: str, ki
     split, which a left join from the parents would not allow, and its right side
     has unique keys, so a hot parent only spreads over more tasks.
     """
+    details = stored(details, "details")  # counted and joined: made once
     counts = details.groupBy(key).agg(*[F.count_if(F.col(tag) == k).alias(f"n_{k}") for k in kinds])
     numbers = [F.coalesce(f"n_{k}", F.lit(0)).alias(f"n_{k}") for k in kinds]
     counted = parents.join(counts, key, "left").select(*parents.columns, *numbers)

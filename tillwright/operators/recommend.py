@@ -14,11 +14,8 @@ all that can be skipped in a list.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from dataclasses import dataclass
-from importlib.util import find_spec
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, GroupedData, Window
 from pyspark.sql import functions as F
 
@@ -63,8 +60,12 @@ def _ordered(grouped: GroupedData) -> DataFrame:
 
 
 def catalogue_heads(catalogue: DataFrame, k: int) -> Heads:
-    """``catalogue`` has id, pos, category, description; ``pos`` is the catalogue order."""
-    products = catalogue.select("id", "pos", "category", F.lower("description").alias("text"))
+    """``catalogue`` has id, pos, category, description; ``pos`` is the catalogue order.
+
+    A product listed more than once counts at its first place, so the ``k + 1`` leading rows are as many products.
+    """
+    row = F.struct("pos", "category", F.lower("description").alias("text"))
+    products = catalogue.groupBy("id").agg(F.min(row).alias("first")).select("id", "first.*")
     return Heads(
         k=k,
         by_category=_first_per(products.where("category IS NOT NULL"), "category", k + 1),
@@ -73,78 +74,35 @@ def catalogue_heads(catalogue: DataFrame, k: int) -> Heads:
     )
 
 
-def _pieces(text: Column, size: int) -> Column:
-    """The pieces of ``size`` characters, one per position."""
-    starts = F.sequence(F.lit(1), F.length(text) - (size - 1))
-    every = F.transform(starts, lambda i: F.substring(text, i, F.lit(size)))
-    return F.when(F.length(text) >= size, every).otherwise(F.array().cast("array<string>"))
-
+def _pieces(text: Column, size: Column) -> Column:
+    """The pieces of ``size`` characters, one per position; the empty piece for size 0."""
+    starts = F.sequence(F.lit(1), F.length(text) - size + 1)
+    every = F.transform(starts, lambda i: F.substring(text, i, size))
+    return F.when(size == 0, F.array(F.lit(""))).when(F.length(text) >= size, every).otherwise(F.array().cast("array<string>"))
 
-# up to this many characters of features each text is searched by column expressions
-SMALL = 4_000
 
-
-def with_features(texts: DataFrame, features: DataFrame, max_sent: int = 4_000_000, small: int = SMALL) -> DataFrame:
+def with_features(texts: DataFrame, features: DataFrame) -> DataFrame:
     """The rows of ``texts`` whose ``text`` contains a feature, with those features, sorted, as ``found``.
 
-    ``features`` are distinct, and lower-case like the texts.  They are measured
-    first.  A few are tested one by one.  Up to ``max_sent`` characters they are
-    sent to the tasks, where one automaton finds all of them in one run over each
-    text, however many there are.  In both cases no text is shuffled.  Beyond that,
-    features and texts are joined (``feature_texts``).
+    ``features`` are distinct, and lower-case like the texts.
     """
-    sent = features.agg(F.coalesce(F.sum(F.length("feature") + 8), F.lit(0)).alias("sent")).first()["sent"]
-    if sent <= small:
-        known = features.agg(F.sort_array(F.collect_list("feature")).alias("known")).scalar()
-        found = _searched(texts.withColumn("known", known), F.filter("known", lambda f: F.contains(F.col("text"), f)))
-        found = found.drop("known")
-    elif sent <= max_sent and find_spec("ahocorasick"):
-        words = [r["feature"] for r in features.collect()]
-        found = _searched(texts, _searcher(texts.sparkSession.sparkContext.broadcast(words))("text"))
-    else:
-        pairs = feature_texts(features, texts.select("text").where("text IS NOT NULL").distinct())
-        found = texts.join(pairs.groupBy("text").agg(F.sort_array(F.collect_set("feature")).alias("found")), "text")
-    return found.where(F.size("found") > 0)
-
-
-def _searched(texts: DataFrame, found: Column) -> DataFrame:
-    """Add ``found``; ``explode`` keeps later filters above it, pushed below they would search every text again."""
-    return texts.select("*", F.explode(F.array(found)).alias("found"))
-
-
-def _searcher(words):
-    """Column function: the sorted words contained in a text.  ``words`` is a broadcast list."""
-
-    @F.pandas_udf("array<string>")
-    def search(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        import ahocorasick
-
-        automaton = ahocorasick.Automaton()
-        for w in words.value:
-            if w:
-                automaton.add_word(w, w)
-        automaton.make_automaton()
-        always = [""] if "" in words.value else []
-        for texts in batches:
-            yield texts.map(
-                lambda t: None if t is None else sorted({*always, *(w for _, w in automaton.iter(t))}))
-
-    return search
+    pairs = feature_texts(features, texts.select("text").where("text IS NOT NULL").distinct())
+    return texts.join(pairs.groupBy("text").agg(F.sort_array(F.collect_set("feature")).alias("found")), "text")
 
 
 def feature_texts(features: DataFrame, texts: DataFrame, prefix: int = 6) -> DataFrame:
-    """(feature, text) for every text that contains the feature, for features too many to send around.
+    """(feature, text) for every text that contains the feature; both inputs hold distinct values.
 
-    Both inputs hold distinct values.  Features and texts meet on the features'
-    first ``prefix`` characters; that join carries digests of the texts, and the
-    candidates it yields are then tested on the text itself.
+    Features and texts meet on the features' first ``prefix`` characters.  A text is cut into the lengths
+    that occur among them, which a scalar subquery tells, so planning runs no job.  The join
+    carries digests of the texts, and the candidates it yields are tested on the text itself.
     """
-    sizes = features.agg(F.collect_set(F.least(F.length("feature"), F.lit(prefix))).alias("sizes")).first()["sizes"]
+    size = F.least(F.length("feature"), F.lit(prefix))
+    sizes = features.agg(F.collect_set(size).alias("sizes")).scalar()
     marked = texts.select("text", F.xxhash64("text").alias("mark"))
     wanted = features.select("feature", F.substring("feature", 1, prefix).alias("piece"))
-    cut = F.array_distinct(F.concat(*[
-        _pieces(F.col("text"), n) if n else F.array(F.lit("")) for n in sorted(sizes)]))
-    pieces = marked.select("mark", F.explode(cut).alias("piece"))
+    cut = F.array_distinct(F.flatten(F.transform("sizes", lambda n: _pieces(F.col("text"), n))))
+    pieces = marked.withColumn("sizes", sizes).select("mark", F.explode(cut).alias("piece"))
     candidates = pieces.join(wanted, "piece").select("feature", "mark")
     return candidates.join(marked, "mark").where(F.contains("text", "feature")).select("feature", "text")
 

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tillwright.operators import cleaning as C
 from tillwright.plans.registry import query
+from tillwright.session import scratch_dir
 from tillwright.plans.shop import AS_OF, with_ctes
 
 
@@ -138,16 +139,26 @@ NEW_ORDERS = f"""new_orders AS (
   WHERE id > {BOOKMARK} AND user_id IS NOT NULL)"""
 
 
-def new_orders(s):
+def arriving_orders(s):
     k = F.col("o_orderkey")
-    df = s.table("orders").select(
+    return s.table("orders").select(
         k.alias("id"), F.when(k % 5 != 4, F.col("o_custkey")).alias("user_id"), F.col("o_totalprice").alias("total"))
-    return C.dropna_subset(C.rows_after(df, BOOKMARK), ["user_id"])
+
+
+def with_customer(df):
+    return C.dropna_subset(df, ["user_id"])
+
+
+def new_orders(s):
+    return with_customer(C.rows_after(arriving_orders(s), BOOKMARK))
 
 
 @query("cdc_incremental", f"WITH {NEW_ORDERS} SELECT * FROM new_orders")
 def cdc_incremental(s):
-    return new_orders(s)
+    """Two runs: one while the table ends at the bookmark, one over all of it, which loads only what is new."""
+    folder, orders = scratch_dir(s.spark, "increments"), arriving_orders(s)
+    C.incremental_load(orders.where(F.col("id") <= BOOKMARK), with_customer, f"{folder}/orders", f"{folder}/bookmarks")
+    return C.incremental_load(orders, with_customer, f"{folder}/orders", f"{folder}/bookmarks")
 
 
 @query("cdc_bookmark", f"WITH {NEW_ORDERS} SELECT coalesce(max(id), {BOOKMARK}) AS bookmark FROM new_orders")

@@ -8,6 +8,7 @@ from tillwright.operators import contracts as K
 from tillwright.plans.profile_queries import HOLES, LINEITEM, holes
 from tillwright.plans.quality_queries import FAULTY, PRODUCT_FAULTS, USER_FAULTS, faulty, product_faults, user_faults
 from tillwright.plans.registry import query
+from tillwright.session import scratch_dir
 
 FAULTY_COLUMNS = ["id", "user_id", "status", "total", "created_at"]
 USER_COLUMNS = ["id", "email", "username", "first_name", "last_name", "password", "active", "role", "create_time",
@@ -66,7 +67,7 @@ def schema_contract_merge(s):
     return K.merge_contracts(K.infer_contract({"orders": known}).unionByName(declared), observed(s))
 
 
-# One snapshot per order year: a column is required in a year without NULLs.
+# One snapshot per order year: a column is required in a year without NULLs.  The newest two are appended one after the other.
 @query("schema_contract_history", f"""WITH {FAULTY}, history AS (
 """ + " UNION ALL ".join(
     f"SELECT 'orders' AS table_name, CAST(year(created_at) AS INTEGER) AS version, '{c}' AS \"column\","
@@ -79,8 +80,13 @@ def schema_contract_history(s):
         faulty(s).groupBy(F.year("created_at").alias("version"))
         .agg(*[F.when(F.count_if(F.col(c).isNull()) == 0, "required").otherwise("optional").alias(c) for c in columns])
     )
-    history = per_year.unpivot("version", columns, "column", "bucket").select(
+    yearly = per_year.unpivot("version", columns, "column", "bucket").select(
         F.lit("orders").alias("table_name"), "version", "column", "bucket")
+    path = scratch_dir(s.spark, "contracts")
+    *older, before, last = [r["version"] for r in yearly.select("version").distinct().orderBy("version").collect()]
+    yearly.where(F.col("version").isin(older)).write.partitionBy("version").parquet(path)
+    for version in (before, last):
+        history = K.append_snapshot(s.spark, path, yearly.where(F.col("version") == version), version)
     return K.newest_versions(history, keep=5)
 
 

@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 
 from tillwright.operators import feeds as V
 from tillwright.plans.registry import query
+from tillwright.session import scratch_dir
+from tillwright.sources import readers, writers
 
 # SQL twin of feed() below
 FEED = """feed AS (
@@ -132,6 +134,14 @@ def feed_validate(s):
     return out.drop("specifications", "images")
 
 
+@query("sink_feed_csv", f"WITH {FEED}, {VALIDATED} SELECT row_id, errors FROM validated")
+def sink_feed_csv(s):
+    """The cleaned feed as CSV; its map and arrays are JSON text there."""
+    writers.save_csv(V.validate_feed(feed(s)), path := f"{scratch_dir(s.spark, 'sink')}/feed.csv")
+    back = readers.read_feed(s.spark, path)
+    return back.select(F.col("row_id").cast("bigint"), F.concat_ws(" | ", F.from_json("errors", "array<string>")).alias("errors"))
+
+
 REPORT = f"""exploded AS (SELECT coalesce(product_id, 'unknown_' || row_id) AS product_id,
   unnest(string_split(errors, ' | ')) AS error FROM validated WHERE errors <> '')"""
 

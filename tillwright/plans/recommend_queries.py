@@ -241,13 +241,26 @@ SELECT l.user_id, last_view, array_to_string(cats, ',') AS categories, CAST(1 AS
     AS purchases_since
 FROM last_view l""")
 def stream_user_sessions(s):
-    profiles = _begin(s, E.start, E.last_profiles(s.message_stream()), mode="update")
+    profiles = _begin(s, E.start, s.message_stream(), build=E.last_profiles)
     purchases = _begin(s, E.start, E.purchase_confirmations(s.message_stream()))
     return E.sessions(profiles(), purchases()).select(
         "user_id", "last_view", F.concat_ws(",", "profile.preferred_categories").alias("categories"),
         "restored_views", "purchases_since")
 
 
+@query("stream_session_purchases", f"""{BASE},
+last_view AS (SELECT user_id, max(event_id) AS last_view FROM messages
+  WHERE {PROFILED} AND event_type = 'product_view' GROUP BY user_id),
+placed AS (SELECT m.user_id, m.product_id, row_number() OVER (PARTITION BY m.user_id ORDER BY m."timestamp", m.event_id) - 1 AS place
+  FROM messages m JOIN last_view l ON l.user_id = m.user_id WHERE m.event_type = 'product_purchase' AND m.event_id > last_view)
+SELECT user_id, place // 2 AS chunk, string_agg(product_id, ',' ORDER BY place) AS product_ids FROM placed GROUP BY ALL""")
+def stream_session_purchases(s):
+    profiles = _begin(s, E.start, s.message_stream(), build=E.last_profiles)
+    purchases = _begin(s, E.start, E.purchase_confirmations(s.message_stream()))
+    out = E.session_purchases(profiles(), purchases(), 2)
+    return out.withColumn("product_ids", F.concat_ws(",", F.col("product_ids").cast("array<string>")))
+
+
 @query("stream_metrics", f"""{USER_COUNTERS} SELECT {SCORES},
   (SELECT count(*) FROM messages) AS events_processed, (SELECT count(*) FROM counters) AS active_user_sessions FROM ({TOTALS})""")
 def stream_metrics(s):

@@ -117,10 +117,10 @@ def purchase_confirmations(events: DataFrame) -> DataFrame:
 
 
 def last_profiles(events: DataFrame) -> DataFrame:
-    """Streaming state per user: the profile of the latest view and when it came.
+    """Per user of a batch: the profile of the latest view and when it came.
 
-    ``max_by`` combines on the map side, so a user with a large part of the
-    stream costs no more than any other, and the state per user is one row.
+    ``max_by`` combines on the map side, so a user with a large part of the stream costs no more than any
+    other.  Each batch writes its own rows and the latest is taken on reading: the stream keeps no state.
     """
     views = events.where((F.col("event_type") == "product_view") & F.col("user_profile").isNotNull()
                          & (F.col("user_id") != 0))
@@ -128,19 +128,36 @@ def last_profiles(events: DataFrame) -> DataFrame:
     return views.groupBy("user_id").agg(F.max(at).alias("at"), F.max_by("user_profile", at).alias("profile"))
 
 
-def sessions(profiles: DataFrame, purchases: DataFrame) -> DataFrame:
-    """Session per user: the latest profile, its restored history, and the purchases since.
+def latest_profiles(profiles: DataFrame, idle_seconds: float | None = None) -> DataFrame:
+    """The newest of the written profiles of each user; users idle for longer before the newest view are left out."""
+    latest = profiles.groupBy("user_id").agg(F.max("at").alias("at"), F.max_by("profile", "at").alias("profile"))
+    if idle_seconds is None:
+        return latest
+    newest = profiles.agg(F.max("at.timestamp").alias("newest")).scalar()
+    return latest.where(F.col("at.timestamp") >= newest - F.lit(idle_seconds))
+
+
+def purchases_since(latest: DataFrame, purchases: DataFrame) -> DataFrame:
+    """The confirmed purchases after each user's latest view."""
+    return purchases.join(latest.select("user_id", "at"), "user_id").where(F.struct("timestamp", "event_id") > F.col("at"))
+
+
+def session_purchases(profiles: DataFrame, purchases: DataFrame, size: int = 1000,
+                      idle_seconds: float | None = None) -> DataFrame:
+    """The purchase history of each session, in order, in rows of at most ``size`` products."""
+    since = purchases_since(latest_profiles(profiles, idle_seconds), purchases)
+    rows = since.select("user_id", F.lit("purchased").alias("kind"), "timestamp", "event_id", "product_id")
+    return R.history_chunks(rows, size).drop("kind")
 
-    ``profiles`` is the written state (several versions per user), ``purchases``
-    the confirmations.  A purchase counts only after the user's latest view: an
-    earlier one was replaced with the session it belonged to.
+
+def sessions(profiles: DataFrame, purchases: DataFrame, idle_seconds: float | None = None) -> DataFrame:
+    """Session per user: the latest profile, its restored history, and how many purchases came since.
+
+    ``profiles`` has several versions per user, ``purchases`` are the confirmations.  A purchase counts only
+    after the user's latest view: an earlier one was replaced with the session it belonged to.
     """
-    latest = profiles.groupBy("user_id").agg(F.max("at").alias("at"), F.max_by("profile", "at").alias("profile"))
-    since = (
-        purchases.join(latest.select("user_id", "at"), "user_id")
-        .where(F.struct("timestamp", "event_id") > F.col("at"))
-        .groupBy("user_id").agg(F.count("*").alias("purchases_since"))
-    )
+    latest = latest_profiles(profiles, idle_seconds)
+    since = purchases_since(latest, purchases).groupBy("user_id").agg(F.count("*").alias("purchases_since"))
     return latest.join(since, "user_id", "left").select(
         "user_id", F.col("at.event_id").alias("last_view"), "profile",
         F.size(F.coalesce("profile.viewing_history", F.array())).alias("restored_views"),
