@@ -9,9 +9,10 @@ threshold share a shingle of their prefixes.  Classes with identical prefix and
 2. Prefixes: a second pass writes per document its size, the digest of its set and its prefix.
 3. Groups meet on prefix shingles.  Each shingle's group with the most shared prefix is its
    pivot, and the other groups are compared with the pivot only: sizes and positions filter group pairs, the rest is
-   expanded to pairs of pivot class and member and verified on the whole sets.
+   expanded to pairs of pivot class and member, bounded by parity maps and verified on the whole texts.
 4. Links give components.  Of the pairs that share a prefix shingle, those in one component need no
-   test any more; all others that pass the filters are verified, and the components taken again.
+   test any more; all others are compared by size, position and parity map as they meet, those that pass are
+   verified, and the components taken again.
 
 So a group of thousands of near copies costs about as many tests as it has members, and no pair that could link two
 components is left out.  Shuffled rows are (shingle, group) pairs; nothing is collected but the loads.
@@ -23,6 +24,7 @@ separate documents; repeated rows are in one class; an empty table gives no rows
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,15 +33,17 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillwright.llm.common import raw
+from tillwright.llm.common import chunked, hashed_words, raw
 from tillwright.llm.components import components
 from tillwright.session import stored
 
 WORDS = 3  # per shingle
 PERCENT = 90  # of the union that two sets must share
-LOAD_BITS = 20
-_BLOCK = 1 << 12  # loads per shuffled row
-KNOWN_WORDS = 500_000
+LOAD_BITS = 22
+PARITY_BITS = 1024  # of the parity map that bounds how far two sets differ
+_BLOCK = 1 << 14  # loads per shuffled row
+CHUNK_BYTES = 1 << 20
+BROADCAST_CLASSES = 100_000  # of some 60 bytes, whose texts are found without a shuffle
 
 U = np.uint64
 # fixed values: odd multipliers of the words in a shingle, and of the final mix
@@ -47,28 +51,32 @@ _FACTORS = [U(0x9E3779B97F4A7C15), U(0xC2B2AE3D27D4EB4F), U(0x165667B19E3779F9),
             U(0xA0761D6478BD642F), U(0xE7037ED1A0B428DB), U(0x8EBC6AF09C88C6E3), U(0x589965CC75374CC3)]
 
 
-class _WordHashes(dict):
-    """Hashes of the words seen last."""
+def shingled(texts: list[bytes | None], words: int = WORDS) -> Iterator[np.ndarray]:
+    """The shingle hashes of each text, in order and as often as they occur; a text of fewer words is one shingle."""
+    h, counts = hashed_words(texts)
+    ends = np.cumsum(counts)
+    windows = np.zeros(max(0, len(h) - words + 1), U)
+    for i in range(words):
+        windows = _mixed_in(windows, h[i:len(h) - words + 1 + i], i)
+    for start, stop in zip(ends - counts, ends):
+        if stop - start >= words or stop == start:
+            yield windows[start:max(start, stop - words + 1)]
+        else:
+            value = np.full(1, U(stop - start)) * _FACTORS[7]
+            for i in range(stop - start):
+                value = _mixed_in(value, h[start + i:start + i + 1], i)
+            yield value
 
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > KNOWN_WORDS:
-            self.clear()
-        value = self[word] = xxhash.xxh3_64_intdigest(word)
-        return value
 
+def _mixed_in(value: np.ndarray, word: np.ndarray, place: int) -> np.ndarray:
+    value = value + (word ^ (word >> U(31))) * _FACTORS[place % 6]
+    return (value ^ (value >> U(29))) * _FACTORS[6]
 
-def shingles(text: bytes | None, hashes: dict, words: int = WORDS) -> np.ndarray:
-    """The distinct shingle hashes of a text, ascending; a text of fewer words is one shingle."""
-    tokens = (text or b"").lower().split()
-    if not tokens:
-        return np.zeros(0, U)
-    h = np.fromiter(map(hashes.__getitem__, tokens), U, len(tokens))
-    n = min(words, len(h))
-    mixed = np.full(len(h) - n + 1, U(n)) * _FACTORS[-1]
-    for i in range(n):
-        mixed += (h[i:len(h) - n + 1 + i] ^ (h[i:len(h) - n + 1 + i] >> U(31))) * _FACTORS[i % 6]
-        mixed = (mixed ^ (mixed >> U(29))) * _FACTORS[6]
-    return np.unique(mixed)
+
+def shingle_sets(texts: list[bytes | None], words: int = WORDS) -> Iterator[np.ndarray]:
+    """The distinct shingle hashes of each text, ascending."""
+    for a, b in chunked(texts, CHUNK_BYTES):
+        yield from map(np.unique, shingled(texts[a:b], words))
 
 
 def prefix_length(n: int, percent: int = PERCENT) -> int:
@@ -82,60 +90,70 @@ def _bucket(values: np.ndarray) -> np.ndarray:
 
 def _load_batches(words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, load = _WordHashes(), np.zeros(1 << LOAD_BITS, np.int64)
+        load = np.zeros(1 << LOAD_BITS, np.int64)
         for batch in batches:
-            held: list[np.ndarray] = []
-            for text in raw(batch.column(0)):
-                held.append(_bucket(shingles(text, hashes, words)))
-                if len(held) == 500:
-                    load += np.bincount(np.concatenate(held), minlength=len(load))
-                    held = []
-            if held:
-                load += np.bincount(np.concatenate(held), minlength=len(load))
+            texts = raw(batch.column(0))
+            for a, b in chunked(texts, CHUNK_BYTES):
+                found = np.concatenate(list(shingled(texts[a:b], words)))
+                load += np.bincount(_bucket(found), minlength=len(load))
         blocks = load.reshape(-1, _BLOCK)
         used = np.nonzero(blocks.any(axis=1))[0]
         yield pa.RecordBatch.from_arrays(
-            [pa.array(used), pa.array([blocks[i].astype("<u4").tobytes() for i in used], pa.binary())],
+            [pa.array(used), pa.array([_packed(blocks[i]) for i in used], pa.binary())],
             names=["block", "load"])
     return run
 
 
+def _packed(loads: np.ndarray) -> bytes:
+    return zlib.compress(loads.clip(max=2**31 - 1).astype("<i4").tobytes(), 1)
+
+
+def _unpacked(loads: bytes) -> np.ndarray:
+    return np.frombuffer(zlib.decompress(loads), "<i4").astype(np.int64)
+
+
 def _add_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     total: dict[int, np.ndarray] = {}
     for batch in batches:
         for block, load in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            total[block] = total.get(block, 0) + np.frombuffer(load, "<u4").astype(np.int64)
+            total[block] = total.get(block, 0) + _unpacked(load)
     yield pa.RecordBatch.from_arrays(
         [pa.array(list(total), pa.int64()),
-         pa.array([v.clip(max=2**32 - 1).astype("<u4").tobytes() for v in total.values()], pa.binary())],
+         pa.array([_packed(v) for v in total.values()], pa.binary())],
         names=["block", "load"])
 
 
 def shingle_load(texts: DataFrame, words: int) -> np.ndarray:
-    """How many sets have a shingle in each of 2 ** LOAD_BITS buckets: a table of fixed size."""
+    """How many shingles of all texts fall in each of 2 ** LOAD_BITS buckets: a table of fixed size."""
     kind = "block long, load binary"
     rows = (texts.mapInArrow(_load_batches(words), kind).repartition("block")
             .mapInArrow(_add_blocks, kind).collect())
-    load = np.zeros((1 << LOAD_BITS) // _BLOCK * _BLOCK, np.int64).reshape(-1, _BLOCK)
+    load = np.zeros((1 << LOAD_BITS) // _BLOCK * _BLOCK, np.int32).reshape(-1, _BLOCK)
     for r in rows:
-        load[r.block] = np.frombuffer(bytes(r.load), "<u4")
-    return load.ravel().clip(max=2**31 - 1).astype(np.int32)
+        load[r.block] = _unpacked(bytes(r.load))
+    return load.ravel().astype(np.int32)
 
 
 def _digest(values: np.ndarray) -> bytes | None:
     return xxhash.xxh3_128_digest(values.tobytes()) if len(values) else None
 
 
+def _parities(values: np.ndarray) -> np.ndarray:
+    """One bit per bucket: whether the set has an odd number of shingles in it."""
+    odd = np.bincount((values & U(PARITY_BITS - 1)).astype(np.int64), minlength=PARITY_BITS) & 1
+    return np.packbits(odd.astype(bool)).view(np.int64)
+
+
 def _prefix_batches(sent, words: int, percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, load = _WordHashes(), sent.value
+        load = sent.value
         for batch in batches:
-            sizes, digests, prefixes = [], [], []
-            for text in raw(batch.column(1)):
-                values = shingles(text, hashes, words)
+            sizes, digests, prefixes, maps = [], [], [], []
+            for values in shingle_sets(raw(batch.column(1)), words):
                 n = len(values)
                 sizes.append(n)
                 digests.append(_digest(values))
+                maps.append(_parities(values))
                 # a smaller set can only link with an equal one, and that is in its class
                 if percent * (n + 1) <= 100 * n:
                     order = np.argsort(load[_bucket(values)], kind="stable")
@@ -145,26 +163,40 @@ def _prefix_batches(sent, words: int, percent: int):
             ends = np.cumsum([0, *map(len, prefixes)])
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()),
-                 pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate([np.zeros(0, np.int64), *prefixes])))],
-                names=["id", "n", "digest", "prefix"])
+                 pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate([np.zeros(0, np.int64), *prefixes]))),
+                 pa.ListArray.from_arrays(pa.array(np.arange(len(maps) + 1) * (PARITY_BITS // 64), pa.int32()),
+                                          pa.array(np.concatenate([np.zeros(0, np.int64), *maps])))],
+                names=["id", "n", "digest", "prefix", "parities"])
     return run
 
 
-def _set_batches(words: int):
+def _match_batches(words: int, percent: int):
+    """Keep the pairs (a, b, text of a, text of b) whose whole sets reach the threshold."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = _WordHashes()
         for batch in batches:
-            keep, sets = [], []
-            for at, (text, digest) in enumerate(zip(raw(batch.column(1)), batch.column(2).to_pylist())):
-                values = shingles(text, hashes, words)
-                if _digest(values) == digest:
-                    keep.append(at)
-                    sets.append(values.astype(np.int64))
-            ends = np.cumsum([0, *map(len, sets)])
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(pa.array(keep, pa.int64())),
-                 pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate([np.zeros(0, np.int64), *sets])))],
-                names=["entity", "shingles"])
+            a, of_a, of_b = batch.column(0).to_pylist(), raw(batch.column(2)), raw(batch.column(3))
+            keep = []
+            for start, stop in chunked(of_b, CHUNK_BYTES):
+                # a class is in many pairs: its set is made once per run of rows
+                first = {a[i]: i for i in range(start, stop)}
+                sets = dict(zip(first, shingle_sets([of_a[i] for i in first.values()], words)))
+                for i, other in zip(range(start, stop), shingle_sets(of_b[start:stop], words)):
+                    shared = len(np.intersect1d(sets[a[i]], other, assume_unique=True))
+                    if 100 * shared >= percent * (len(sets[a[i]]) + len(other) - shared):
+                        keep.append(i)
+            kept = pa.array(keep, pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(kept), batch.column(1).take(kept)], names=["a", "b"])
+    return run
+
+
+def _text_batches(words: int):
+    """Keep the texts (entity, digest of its set, text) that have the entity's set."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = shingle_sets(raw(batch.column(2)), words)
+            keep = pa.array([i for i, (digest, values) in enumerate(zip(batch.column(1).to_pylist(), sets))
+                             if _digest(values) == digest], pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(keep), batch.column(2).take(keep)], names=["entity", "text"])
     return run
 
 
@@ -189,19 +221,20 @@ class JaccardJoin:
         self.kind = self.texts.schema["id"].dataType.simpleString()
         sent = spark.sparkContext.broadcast(shingle_load(self.texts.select("text"), words))
         self.rows = stored(self.texts.mapInArrow(
-            _prefix_batches(sent, words, percent), f"id {self.kind}, n long, digest binary, prefix array<bigint>"), "jaccard-rows")
+            _prefix_batches(sent, words, percent), f"id {self.kind}, n long, digest binary, prefix array<bigint>, parities array<bigint>"), "jaccard-rows")
         self.classes = stored(
             self.rows.where("digest is not null").groupBy("digest").agg(
-                F.min("id").alias("least_id"), F.any_value("n").alias("n"), F.any_value("prefix").alias("prefix"))
+                F.min("id").alias("least_id"), F.any_value("n").alias("n"), F.any_value("prefix").alias("prefix"),
+                F.any_value("parities").alias("parities"))
             .withColumn("entity", F.monotonically_increasing_id()), "jaccard-classes")
         members = self.classes.where(F.size("prefix") > 0).select(
-            "entity", "n", "prefix", F.xxhash64("n", "prefix").alias("grp"))
+            "entity", "n", "prefix", "parities", F.xxhash64("n", "prefix").alias("grp"))
         # one row per shingle and group, with the number of groups that have the shingle
         groups = members.groupBy("grp").agg(F.any_value("n").alias("n"), F.any_value("prefix").alias("prefix"))
         entries = groups.select("grp", "n", F.posexplode("prefix").alias("at", "shingle"))
         shared = entries.groupBy("shingle").agg(F.count("*").alias("df")).where("df > 1")
         entries = stored(entries.join(shared, "shingle"), "jaccard-entries")
-        self.members, self.entries = members.select("entity", "n", "grp"), entries
+        self.members, self.entries = members.select("entity", "n", "grp", "parities"), entries
 
         tested = stored(self._pivot_pairs(), "jaccard-pairs")
         links = self._verified(tested)
@@ -230,7 +263,8 @@ class JaccardJoin:
     def _open_pairs(self, labels: DataFrame) -> DataFrame:
         """All pairs that share a prefix shingle or a group, pass the filters and are in two components."""
         named = self.members.join(labels.withColumnRenamed("node", "entity"), "entity", "left").select(
-            "entity", "n", "grp", F.coalesce("component", "entity").alias("component"))
+            "entity", "n", "grp", F.coalesce("component", "entity").alias("component"),
+            *[F.get("parities", i).alias(f"p{i}") for i in range(PARITY_BITS // 64)])
         # of each shingle the components with their sizes: only members outside the largest look for partners
         places = self.entries.select("shingle", "grp", "at").unionByName(
             self.members.groupBy("grp").agg(F.count("*").alias("m")).where("m > 1")
@@ -244,23 +278,38 @@ class JaccardJoin:
         other = rows.alias("y")
         apart = (F.col("x.shingle") == F.col("y.shingle")) & (F.col("x.component") != F.col("y.component"))
         once = (F.col("y.component") == F.col("y.largest")) | (F.col("x.entity") < F.col("y.entity"))
-        return (minor.join(other, apart & once & _may_link("x", "y", self.percent))
+        return (minor.join(other, apart & once & _may_link("x", "y", self.percent) & self._near_enough("x", "y"))
                 .select(F.least("x.entity", "y.entity").alias("a"), F.greatest("x.entity", "y.entity").alias("b")).distinct())
 
+    def _plausible(self, pairs: DataFrame) -> DataFrame:
+        """The pairs whose sets may differ little enough: an odd bucket in one of them only is a shingle of one only."""
+        maps = self.classes.select("entity", "n", *[F.get("parities", i).alias(f"p{i}") for i in range(PARITY_BITS // 64)])
+        both = (pairs.join(maps.alias("x"), F.col("a") == F.col("x.entity"))
+                .join(maps.alias("y"), F.col("b") == F.col("y.entity")))
+        return both.where(self._near_enough("x", "y")).select("a", "b")
+
+    def _near_enough(self, x: str, y: str) -> Column:
+        apart = F.lit(0)
+        for i in range(PARITY_BITS // 64):
+            apart = apart + F.bit_count(F.col(f"{x}.p{i}").bitwiseXOR(F.col(f"{y}.p{i}")))
+        return apart * (100 + self.percent) <= (F.col(f"{x}.n") + F.col(f"{y}.n")) * (100 - self.percent)
+
     def _verified(self, pairs: DataFrame) -> DataFrame:
         """The pairs whose whole sets reach the threshold."""
+        pairs = stored(self._plausible(pairs), "jaccard-pairs")
         text_key = F.coalesce(F.col("id").cast("string"), F.lit("null"))
         wanted = pairs.select(F.col("a").alias("entity")).union(pairs.select("b")).distinct()
         keys = self.classes.join(wanted, "entity").select(
             "entity", "digest", F.coalesce(F.col("least_id").cast("string"), F.lit("null")).alias("key"))
-        sets = stored(self.texts.select(text_key.alias("key"), "text").join(keys, "key").select("entity", "text", "digest")
-                      .mapInArrow(_set_batches(self.words), "entity long, shingles array<bigint>")
-                      .dropDuplicates(["entity"]), "jaccard-sets")
-        both = (pairs.join(sets.select(F.col("entity").alias("b"), F.col("shingles").alias("of_b")), "b")
-                .join(sets.select(F.col("entity").alias("a"), F.col("shingles").alias("of_a")), "a"))
-        shared = F.size(F.array_intersect("of_a", "of_b"))
-        union = F.size("of_a") + F.size("of_b") - shared
-        return stored(both.where(100 * shared >= self.percent * union).select("a", "b"), "jaccard-links")
+        # few wanted ids are sent to the texts, more of them meet the texts in a shuffle
+        keys = F.broadcast(keys) if wanted.count() <= BROADCAST_CLASSES else keys
+        texts = stored(
+            self.texts.select(text_key.alias("key"), "text").join(keys, "key").select("entity", "digest", "text")
+            .mapInArrow(_text_batches(self.words), "entity long, text string").dropDuplicates(["entity"]), "jaccard-texts")
+        both = (pairs.join(texts.select(F.col("entity").alias("b"), F.col("text").alias("of_b")), "b")
+                .join(texts.select(F.col("entity").alias("a"), F.col("text").alias("of_a")), "a"))
+        return stored(both.select("a", "b", "of_a", "of_b").mapInArrow(
+            _match_batches(self.words, self.percent), "a long, b long"), "jaccard-links")
 
     def result(self) -> DataFrame:
         """Per row: the id, ``n_shingles`` and ``component_id``, the least id of its component."""

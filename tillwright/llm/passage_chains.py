@@ -9,7 +9,8 @@
    chains, word gaps costing ``GAP_COST`` each; the best predecessor of a match comes from a Fenwick tree of
    prefix maxima over the earlier document's positions.
 4. Alignment: a chain's seeds are extended word by word, what lies between them is aligned by edit distance,
-   and its ends are extended while matches outweigh mismatches.  Alignments below ``IDENTITY`` are dropped.
+   and its ends are extended while matches outweigh mismatches.  Alignments below ``IDENTITY`` are split at their
+   widest gap, single seeds below it dropped.
 5. Aligned pieces that touch are one passage, whichever documents they come from, so a passage whose parts
    first occur in several documents is found whole.  Passages of ``MIN_WORDS`` and more are returned.
 
@@ -30,8 +31,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillwright.llm.common import raw
-from tillwright.llm.jaccard_join import _FACTORS, U, _WordHashes
+from tillwright.llm.common import chunked, raw
+from tillwright.llm.jaccard_join import CHUNK_BYTES, shingled
 from tillwright.session import stored
 
 K = 6
@@ -46,36 +47,31 @@ def words_of(text: bytes | None) -> list[bytes]:
     return (text or b"").lower().split()
 
 
-def seeds_of(words: list[bytes], hashes: dict, k: int = K, window: int = WINDOW) -> tuple[np.ndarray, np.ndarray]:
-    """Positions and hashes of the seeds, in order."""
-    if len(words) < k:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    h = np.fromiter(map(hashes.__getitem__, words), U, len(words))
-    mixed = np.zeros(len(h) - k + 1, U)
-    for i in range(k):
-        mixed += (h[i:len(h) - k + 1 + i] ^ (h[i:len(h) - k + 1 + i] >> U(31))) * _FACTORS[i]
-        mixed = (mixed ^ (mixed >> U(29))) * _FACTORS[6]
-    if len(mixed) <= window:
-        at = np.array([mixed.argmin()])
-    else:
-        views = np.lib.stride_tricks.sliding_window_view(mixed, window)
-        at = np.unique(views.argmin(axis=1) + np.arange(len(views)))
-    return at, mixed[at].astype(np.int64)
+def seeds_of(grams: np.ndarray, window: int = WINDOW) -> np.ndarray:
+    """Positions of the seeds among the hashes of a text's k-word grams."""
+    if len(grams) <= window:
+        return np.array([grams.argmin()]) if len(grams) else np.zeros(0, np.int64)
+    views = np.lib.stride_tricks.sliding_window_view(grams, window)
+    at = views.argmin(axis=1) + np.arange(len(views))
+    return at[np.diff(at, prepend=-1) != 0]  # the place of the least hash never goes back
 
 
 def _seed_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Numbered documents with their seeds; a seed's later occurrences in the same text are marked."""
-    hashes, node = _WordHashes(), TaskContext.get().partitionId() << 33
+    node = TaskContext.get().partitionId() << 33
     for batch in batches:
         ats, seeds, ends, firsts = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [0], [np.zeros(0, bool)]
-        for text in raw(batch.column(1)):
-            at, seed = seeds_of(words_of(text), hashes)
-            first = np.zeros(len(seed), bool)
-            first[np.unique(seed, return_index=True)[1]] = True
-            ats.append(at)
-            seeds.append(seed)
-            firsts.append(first)
-            ends.append(ends[-1] + len(at))
+        texts = raw(batch.column(1))
+        for a, b in chunked(texts, CHUNK_BYTES):
+            for grams in shingled(texts[a:b], K):
+                at = seeds_of(grams)
+                seed = grams[at].astype(np.int64)
+                first = np.zeros(len(seed), bool)
+                first[np.unique(seed, return_index=True)[1]] = True
+                ats.append(at)
+                seeds.append(seed)
+                firsts.append(first)
+                ends.append(ends[-1] + len(at))
         fields = [pa.array(np.concatenate(seeds)), pa.array(np.concatenate(ats).astype(np.int32)),
                   pa.array(np.concatenate(firsts))]
         listed = pa.ListArray.from_arrays(
@@ -249,6 +245,17 @@ def aligned(words: list[bytes], other: list[bytes], chain: list[tuple[int, int]]
     return start_y, end_y, start_x, end_x, matches / max(end_y - start_y, end_x - start_x)
 
 
+def aligned_pieces(words: list[bytes], other: list[bytes], chain: list[tuple[int, int]]) -> Iterator[tuple[int, int, float]]:
+    """Start, stop and identity of a chain's alignment; one below ``IDENTITY`` is split at its widest gap."""
+    start, stop, _, _, identity = aligned(words, other, chain)
+    if identity >= IDENTITY:
+        yield start, stop, identity
+    elif len(chain) > 1:
+        widest = max(range(1, len(chain)), key=lambda i: max(chain[i][0] - chain[i - 1][0], chain[i][1] - chain[i - 1][1]))
+        yield from aligned_pieces(words, other, chain[:widest])
+        yield from aligned_pieces(words, other, chain[widest:])
+
+
 _PASSAGE = pa.schema([
     ("node", pa.int64()), ("id", pa.int64()), ("start", pa.int64()), ("stop", pa.int64()), ("source_ids", pa.list_(pa.int64())),
     ("identity", pa.float64()), ("passage", pa.string())])
@@ -263,9 +270,7 @@ def _passage_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
                 if words is None:
                     words = words_of(text.encode())
                 chain = list(zip(at, (x - of_start for x in of_at)))
-                a, b, _, _, identity = aligned(words, segment.split(), chain)
-                if identity >= IDENTITY:
-                    pieces.append((a, b, of_id, identity))
+                pieces += [(a, b, of_id, identity) for a, b, identity in aligned_pieces(words, segment.split(), chain)]
             for a, b in _widest([p[:2] for p in pieces]):
                 if b - a >= MIN_WORDS:
                     mine = [p for p in pieces if a <= p[0] < b]
