@@ -12,7 +12,7 @@ FEED = [
      {"memory": "3 GB", "clock_speed": "0.4 GHz", "power_consumption": "12 W", "cores": "6"}, ["front", "back"]),
     ("RCK-3308", "Rack", "AI Hardware", "Stahl", "holds six", 640.0, "GBP", "true",
      {"shelves": "6", "memory": "0.5 TB", "storage": "1.5 TB", "load": "90 kg"}, ["side"]),
-    ("no id at all!", "Puzzle", "Toys", "Spiel", "in pieces", -1.0, "SEK", "maybe",
+    ("no id at all!", "Puzzle", "Toys", "Spiel", "in pieces", -1.0, "SEK", "yes",
      {"memory": "8GB", "clock_speed": "650 MHz", "power_consumption": "2 W"}, []),
 ]
 SPECS = [
