@@ -39,9 +39,9 @@ from tillwright.session import stored
 
 WORDS = 3  # per shingle
 PERCENT = 90  # of the union that two sets must share
-LOAD_BITS = 22
+LOAD_BITS = 24
 PARITY_BITS = 1024  # of the parity map that bounds how far two sets differ
-_BLOCK = 1 << 14  # loads per shuffled row
+_BLOCK = 1 << 16  # loads per shuffled row
 CHUNK_BYTES = 1 << 20
 BROADCAST_CLASSES = 100_000  # of some 60 bytes, whose texts are found without a shuffle
 
@@ -90,48 +90,50 @@ def _bucket(values: np.ndarray) -> np.ndarray:
 
 def _load_batches(words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        load = np.zeros(1 << LOAD_BITS, np.int64)
+        load = np.zeros(1 << LOAD_BITS, np.int32)
         for batch in batches:
             texts = raw(batch.column(0))
             for a, b in chunked(texts, CHUNK_BYTES):
                 found = np.concatenate(list(shingled(texts[a:b], words)))
-                load += np.bincount(_bucket(found), minlength=len(load))
+                used, times = np.unique(_bucket(found), return_counts=True)
+                load[used] += times.astype(np.int32)
         blocks = load.reshape(-1, _BLOCK)
         used = np.nonzero(blocks.any(axis=1))[0]
         yield pa.RecordBatch.from_arrays(
-            [pa.array(used), pa.array([_packed(blocks[i]) for i in used], pa.binary())],
+            [pa.array(used), pa.array([_packed(blocks[i], "<u2") for i in used], pa.binary())],
             names=["block", "load"])
     return run
 
 
-def _packed(loads: np.ndarray) -> bytes:
-    return zlib.compress(loads.clip(max=2**31 - 1).astype("<i4").tobytes(), 1)
+def _packed(loads: np.ndarray, kind: str) -> bytes:
+    return zlib.compress(loads.clip(max=np.iinfo(kind).max).astype(kind).tobytes(), 1)
 
 
-def _unpacked(loads: bytes) -> np.ndarray:
-    return np.frombuffer(zlib.decompress(loads), "<i4").astype(np.int64)
+def _unpacked(loads: bytes, kind: str) -> np.ndarray:
+    return np.frombuffer(zlib.decompress(loads), kind).astype(np.int64)
 
 
 def _add_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     total: dict[int, np.ndarray] = {}
     for batch in batches:
         for block, load in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            total[block] = total.get(block, 0) + _unpacked(load)
+            total[block] = total.get(block, 0) + _unpacked(load, "<u2")
     yield pa.RecordBatch.from_arrays(
         [pa.array(list(total), pa.int64()),
-         pa.array([_packed(v) for v in total.values()], pa.binary())],
+         pa.array([_packed(v, "<u4") for v in total.values()], pa.binary())],
         names=["block", "load"])
 
 
 def shingle_load(texts: DataFrame, words: int) -> np.ndarray:
-    """How many shingles of all texts fall in each of 2 ** LOAD_BITS buckets: a table of fixed size."""
+    """The logarithm of how many shingles of all texts fall in each of 2 ** LOAD_BITS buckets: a table of fixed size."""
     kind = "block long, load binary"
     rows = (texts.mapInArrow(_load_batches(words), kind).repartition("block")
             .mapInArrow(_add_blocks, kind).collect())
-    load = np.zeros((1 << LOAD_BITS) // _BLOCK * _BLOCK, np.int32).reshape(-1, _BLOCK)
+    load = np.zeros((1 << LOAD_BITS) // _BLOCK * _BLOCK, np.uint8).reshape(-1, _BLOCK)
     for r in rows:
-        load[r.block] = _unpacked(bytes(r.load))
-    return load.ravel().astype(np.int32)
+        # sixteen steps per doubling: an order needs no more, and the table is a byte per bucket
+        load[r.block] = np.minimum(16 * np.log2(_unpacked(bytes(r.load), "<u4") + 1), 255)
+    return load.ravel()
 
 
 def _digest(values: np.ndarray) -> bytes | None:
@@ -208,6 +210,20 @@ def _may_link(a: str, b: str, percent: int) -> Column:
         (100 + percent) * most >= percent * (n_a + n_b))
 
 
+_FOLDED_WORDS = 4  # of the maps that go along where open pairs meet
+
+
+def _folded(parities: str, words: int) -> list[Column]:
+    """A map of fewer buckets: the parity of joined buckets is the exclusive or of theirs."""
+    out = []
+    for i in range(words):
+        joined = F.get(parities, i)
+        for j in range(i + words, PARITY_BITS // 64, words):
+            joined = joined.bitwiseXOR(F.get(parities, j))
+        out.append(joined.alias(f"p{i}"))
+    return out
+
+
 class JaccardJoin:
     """The rows (id, n, digest), the classes (entity, n, digest, least id) and the links between classes."""
 
@@ -232,7 +248,8 @@ class JaccardJoin:
         # one row per shingle and group, with the number of groups that have the shingle
         groups = members.groupBy("grp").agg(F.any_value("n").alias("n"), F.any_value("prefix").alias("prefix"))
         entries = groups.select("grp", "n", F.posexplode("prefix").alias("at", "shingle"))
-        shared = entries.groupBy("shingle").agg(F.count("*").alias("df")).where("df > 1")
+        # counting n keeps the same columns on both sides, so the groups' exchange is made once
+        shared = entries.groupBy("shingle").agg(F.count("n").alias("df")).where("df > 1")
         entries = stored(entries.join(shared, "shingle"), "jaccard-entries")
         self.members, self.entries = members.select("entity", "n", "grp", "parities"), entries
 
@@ -264,7 +281,7 @@ class JaccardJoin:
         """All pairs that share a prefix shingle or a group, pass the filters and are in two components."""
         named = self.members.join(labels.withColumnRenamed("node", "entity"), "entity", "left").select(
             "entity", "n", "grp", F.coalesce("component", "entity").alias("component"),
-            *[F.get("parities", i).alias(f"p{i}") for i in range(PARITY_BITS // 64)])
+            *_folded("parities", _FOLDED_WORDS))
         # of each shingle the components with their sizes: only members outside the largest look for partners
         places = self.entries.select("shingle", "grp", "at").unionByName(
             self.members.groupBy("grp").agg(F.count("*").alias("m")).where("m > 1")
@@ -278,19 +295,19 @@ class JaccardJoin:
         other = rows.alias("y")
         apart = (F.col("x.shingle") == F.col("y.shingle")) & (F.col("x.component") != F.col("y.component"))
         once = (F.col("y.component") == F.col("y.largest")) | (F.col("x.entity") < F.col("y.entity"))
-        return (minor.join(other, apart & once & _may_link("x", "y", self.percent) & self._near_enough("x", "y"))
+        return (minor.join(other, apart & once & _may_link("x", "y", self.percent) & self._near_enough("x", "y", _FOLDED_WORDS))
                 .select(F.least("x.entity", "y.entity").alias("a"), F.greatest("x.entity", "y.entity").alias("b")).distinct())
 
     def _plausible(self, pairs: DataFrame) -> DataFrame:
         """The pairs whose sets may differ little enough: an odd bucket in one of them only is a shingle of one only."""
-        maps = self.classes.select("entity", "n", *[F.get("parities", i).alias(f"p{i}") for i in range(PARITY_BITS // 64)])
+        maps = self.classes.select("entity", "n", *_folded("parities", PARITY_BITS // 64))
         both = (pairs.join(maps.alias("x"), F.col("a") == F.col("x.entity"))
                 .join(maps.alias("y"), F.col("b") == F.col("y.entity")))
-        return both.where(self._near_enough("x", "y")).select("a", "b")
+        return both.where(self._near_enough("x", "y", PARITY_BITS // 64)).select("a", "b")
 
-    def _near_enough(self, x: str, y: str) -> Column:
+    def _near_enough(self, x: str, y: str, words: int) -> Column:
         apart = F.lit(0)
-        for i in range(PARITY_BITS // 64):
+        for i in range(words):
             apart = apart + F.bit_count(F.col(f"{x}.p{i}").bitwiseXOR(F.col(f"{y}.p{i}")))
         return apart * (100 + self.percent) <= (F.col(f"{x}.n") + F.col(f"{y}.n")) * (100 - self.percent)
 
