@@ -24,28 +24,25 @@ base is 0.1 / 0.1 per token; other columns are not looked at.  Tokens are identi
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillwright.llm.common import raw
+from tillwright.llm.common import chunked, hashed_words, raw
 from tillwright.session import stored
 
 ORDER = 6  # bytes of context; a gram with its symbol has to fit in 63 bits
-MAX_NODES = 1 << 20  # grams kept per order
-FREQUENT = 1 << 18  # tokens looked up without a join
-SLOT_BITS = 22
+MAX_NODES = 1 << 18  # grams kept per order
+FREQUENT = 1 << 17  # tokens looked up without a join
+SLOT_BITS = 20
 EDGE = b"\xff"
-CHUNK_BYTES = 4 << 20
-FLUSH = 400_000  # tokens counted before a task sends them on
-CACHE = 400_000  # tokens whose counts a task keeps at hand
-END = b""  # the end token: no word is empty
+CHUNK_BYTES = 1 << 20
+FLUSH = 600_000  # partial counts that a task holds before it sends them on
+END = 0  # stands for the end token among the words' hashes
 
 TOKEN, GRAM = 0, 1
 U = np.uint64
@@ -55,11 +52,6 @@ def tokens_of(text: bytes | None) -> list[bytes]:
     return (text or b"").lower().split()
 
 
-def token_hash(token: bytes) -> int:
-    value = xxhash.xxh3_64_intdigest(token)
-    return value - (1 << 64) if value >= 1 << 63 else value
-
-
 def grams_of(texts: list[bytes | None], order: int = ORDER) -> tuple[np.ndarray, np.ndarray]:
     """All grams of the texts, oldest byte lowest, and how many each text has (its bytes and the end)."""
     data = EDGE * order + (EDGE * order).join((t or b"") + EDGE for t in texts)
@@ -84,54 +76,36 @@ def runs(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return values[first], np.diff(np.concatenate((first, [len(values)])))
 
 
-def chunks(texts: list[bytes | None], limit: int = CHUNK_BYTES) -> Iterator[tuple[int, int]]:
-    start, held = 0, 0
-    for at, text in enumerate(texts):
-        if held and held + len(text or b"") > limit:
-            yield start, at
-            start, held = at, 0
-        held += len(text or b"")
-    if start < len(texts):
-        yield start, len(texts)
-
-
 def _counts_batch(kind: int, keys: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
         [pa.array(np.full(len(keys), kind, np.int32)), pa.array(keys.astype(np.int64)), pa.array(n.astype(np.int64))],
         names=["kind", "key", "n"])
 
 
-def _count_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    tokens: Counter = Counter()
-    grams, held = [], 0
-
-    def flush_tokens():
-        keys = np.fromiter(map(token_hash, tokens), np.int64, len(tokens))
-        return _counts_batch(TOKEN, keys, np.fromiter(tokens.values(), np.int64, len(tokens)))
+def _merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """The counts of several parts, each key once."""
+    keys, n = (np.concatenate(c) for c in zip(*parts))
+    order = np.argsort(keys)
+    keys, n = keys[order], n[order]
+    first = np.nonzero(np.concatenate(([True], keys[1:] != keys[:-1])))[0]
+    return keys[first], np.add.reduceat(n, first)
 
-    def flush_grams():
-        keys = np.concatenate([k for k, _ in grams])
-        distinct, where = np.unique(keys, return_inverse=True)
-        return _counts_batch(GRAM, distinct, np.bincount(where, np.concatenate([n for _, n in grams])))
 
+def _count_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    held: dict[int, list] = {TOKEN: [], GRAM: []}
     for batch in batches:
         texts = raw(batch.column(0))
-        for a, b in chunks(texts):
-            for text in texts[a:b]:
-                tokens.update(tokens_of(text))
-            tokens[END] += b - a
-            grams.append(runs(grams_of(texts[a:b])[0]))
-            held += len(grams[-1][0])
-            if len(tokens) > FLUSH:
-                yield flush_tokens()
-                tokens.clear()
-            if held > 4 * FLUSH:
-                yield flush_grams()
-                grams, held = [], 0
-    if tokens:
-        yield flush_tokens()
-    if grams:
-        yield flush_grams()
+        for a, b in chunked(texts, CHUNK_BYTES):
+            held[TOKEN] += [runs(hashed_words(texts[a:b])[0]), (np.array([END], U), np.array([b - a]))]
+            held[GRAM].append(runs(grams_of(texts[a:b])[0]))
+            for kind, parts in held.items():
+                if sum(len(k) for k, _ in parts) > 2 * FLUSH:
+                    held[kind] = [_merged(parts)]
+                    if len(held[kind][0][0]) > FLUSH:
+                        yield _counts_batch(kind, *held[kind].pop())
+    for kind, parts in held.items():
+        if parts:
+            yield _counts_batch(kind, *_merged(parts))
 
 
 class Trie:
@@ -240,6 +214,29 @@ def _limit(histogram: list[tuple[int, int]], most: int) -> int:
     return limit
 
 
+def _pack_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        k, key, n = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
+        for order in np.unique(k):
+            mine = k == order
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([order], pa.int32()), pa.array([key[mine].astype("<i8").tobytes()], pa.binary()),
+                 pa.array([n[mine].astype("<i8").tobytes()], pa.binary())], names=["k", "keys", "n"])
+
+
+def _packed(rows: DataFrame) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+    """Rows (k, key, n) of a bounded table by k, keys ascending; they come to the driver as packed numbers."""
+    parts: dict[int, list] = {}
+    for r in rows.mapInArrow(_pack_batches, "k int, keys binary, n binary").toLocalIterator():
+        parts.setdefault(r.k, []).append((np.frombuffer(r["keys"], "<i8"), np.frombuffer(r.n, "<i8")))
+    out = {}
+    for k, found in parts.items():
+        keys, n = (np.concatenate(c) for c in zip(*found))
+        order = np.argsort(keys)
+        out[k] = keys[order], n[order]
+    return out
+
+
 _BUCKET = "cast(floor(16 * log2(n)) as int)"
 
 
@@ -273,14 +270,12 @@ class Model:
         wanted = F.lit(False)
         for k, limit in enumerate(limits):
             wanted = wanted | ((F.col("k") == k) & (F.expr(_BUCKET) >= limit))
-        kept = grams.where(wanted).toPandas()  # at most max_nodes rows per order
-        self.grams = []
-        for k in range(order + 1):
-            mine = kept[kept["k"] == k].sort_values("key")
-            self.grams.append((mine["key"].to_numpy(np.int64).astype(U), mine["n"].to_numpy(np.int64)))
+        kept = _packed(grams.where(wanted).select("k", "key", "n"))  # at most max_nodes rows per order
+        self.grams = [kept.get(k, (np.zeros(0, np.int64), np.zeros(0, np.int64))) for k in range(order + 1)]
+        self.grams = [(keys.astype(U), n) for keys, n in self.grams]
         limit = _limit(by_order.get(-1, []), frequent)
-        top = self.vocabulary.where(F.expr(_BUCKET) >= limit).toPandas().sort_values("key")  # at most `frequent` rows
-        self.tokens = top["key"].to_numpy(np.int64), top["n"].to_numpy(np.int64)
+        top = self.vocabulary.where(F.expr(_BUCKET) >= limit).select(F.lit(0).alias("k"), "key", "n")
+        self.tokens = _packed(top).get(0, (np.zeros(0, np.int64), np.zeros(0, np.int64)))  # at most `frequent` rows
 
     @property
     def base_total(self) -> float:
@@ -299,26 +294,6 @@ class _Sent:
         return self.built
 
 
-class _Tokens:
-    """Counts of tokens: those sent along, and hashes of the others."""
-
-    def __init__(self, keys: np.ndarray, counts: np.ndarray):
-        self.keys, self.counts, self.known = keys, counts, {}
-        self.hash, self.n = np.zeros(0, np.int64), np.zeros(0, np.int64)
-
-    def ids(self, split: list[list[bytes]]) -> np.ndarray:
-        new = list({t for tokens in split for t in tokens}.difference(self.known))
-        if self.known and len(self.known) + len(new) > CACHE:
-            self.known, self.hash, self.n = {}, self.hash[:0], self.n[:0]
-            new = list({t for tokens in split for t in tokens})
-        self.known.update(zip(new, range(len(self.known), len(self.known) + len(new))))
-        hashes = np.fromiter(map(token_hash, new), np.int64, len(new))
-        at = np.searchsorted(self.keys, hashes).clip(max=max(len(self.keys) - 1, 0))
-        counts = np.where(self.keys[at] == hashes, self.counts[at], -1) if len(self.keys) else np.full(len(new), -1)
-        self.hash, self.n = np.concatenate((self.hash, hashes)), np.concatenate((self.n, counts))
-        return np.fromiter((self.known[t] for tokens in split for t in tokens), np.int64, sum(map(len, split)))
-
-
 _SCORED = ("row long, id {kind}, n_tokens long, n_known long, base double, score double, "
            "rare array<struct<key: bigint, n: bigint>>")
 _RARE = pa.list_(pa.struct([("key", pa.int64()), ("n", pa.int64())]))
@@ -326,24 +301,25 @@ _RARE = pa.list_(pa.struct([("key", pa.int64()), ("n", pa.int64())]))
 
 def _scorer(sent, total: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        trie = vocabulary = None
+        trie = None
         row = TaskContext.get().partitionId() << 40
         for batch in batches:
-            if trie is None:
-                trie, vocabulary = sent.value.trie(), _Tokens(*sent.value.tokens)
+            trie = trie or sent.value.trie()
+            keys, frequent = sent.value.tokens
             texts = raw(batch.column(1))
-            for a, b in chunks(texts):
-                split = [tokens_of(t) + [END] for t in texts[a:b]]
-                ids = vocabulary.ids(split)
-                sizes = np.array([len(s) for s in split], np.int64)
-                first, doc = np.cumsum(sizes) - sizes, np.repeat(np.arange(b - a), sizes)
-                n = vocabulary.n[ids]
+            for a, b in chunked(texts, CHUNK_BYTES):
+                words, sizes = hashed_words(texts[a:b])
+                hashes = np.insert(words.astype(np.int64), np.cumsum(sizes), END)
+                sizes = sizes + 1
+                doc = np.repeat(np.arange(b - a), sizes)
+                at = np.searchsorted(keys, hashes).clip(max=max(len(keys) - 1, 0))
+                n = np.where(keys[at] == hashes, frequent[at], -1) if len(keys) else np.full(len(hashes), -1)
                 known = n >= 0
                 base = np.bincount(doc, np.where(known, np.log10((n.clip(0) + 0.1) / total), 0), b - a)
                 n_known = np.bincount(doc, known, b - a).astype(np.int64)
                 # the others per text: distinct hashes and how often they occur
-                order = np.lexsort((vocabulary.hash[ids[~known]], doc[~known]))
-                hashes, docs = vocabulary.hash[ids[~known]][order], doc[~known][order]
+                order = np.lexsort((hashes[~known], doc[~known]))
+                hashes, docs = hashes[~known][order], doc[~known][order]
                 start = np.nonzero(np.concatenate(
                     ([True], (hashes[1:] != hashes[:-1]) | (docs[1:] != docs[:-1])))[:len(hashes)])[0]
                 times = np.diff(np.concatenate((start, [len(hashes)])))
@@ -351,8 +327,8 @@ def _scorer(sent, total: float):
                 rare = pa.ListArray.from_arrays(
                     pa.array(offsets, pa.int32()),
                     pa.StructArray.from_arrays([pa.array(hashes[start]), pa.array(times, pa.int64())], ["key", "n"]))
-                keys, lengths = grams_of(texts[a:b])
-                score = np.add.reduceat(trie.log10(keys), np.cumsum(lengths) - lengths)
+                grams, lengths = grams_of(texts[a:b])
+                score = np.add.reduceat(trie.log10(grams), np.cumsum(lengths) - lengths)
                 yield pa.RecordBatch.from_arrays([
                     pa.array(np.arange(row, row + b - a)), batch.column(0).slice(a, b - a), pa.array(sizes),
                     pa.array(n_known), pa.array(base), pa.array(score), rare.cast(_RARE)],

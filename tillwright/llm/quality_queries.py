@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from tillwright.llm.common import table
 from tillwright.llm.quality_rules import BASE, CURRENT, ledger, passes
 from tillwright.llm.registry import query
