@@ -41,8 +41,11 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicate_removal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each component the document with the least id stays; of rows with the same id and text, one."""
-    kept = near_duplicates(docs).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    """Of each component the document with the least id stays; of rows with the same id and text, one.
+
+    Near copies share four fifths of their five-word shingles; the query ``op8_jaccard_join`` has a contract of its own.
+    """
+    kept = near_duplicates(docs, words=5, percent=80).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
     kept = kept.groupBy(F.col("doc_id").alias("kept_id")).agg(F.count("*").alias("kept_rows"))
     rows = docs.join(kept, F.col("doc_id").eqNullSafe(F.col("kept_id")))
     # ids are unique as a rule: only repeated ones have their texts compared

@@ -4,7 +4,7 @@ import random
 
 from helpers import EDGES, SCHEMA, docs, empty
 
-from corpus_pipeline import STAGES
+from corpus_pipeline import STAGES, near_duplicate_removal
 
 
 def prose(rng, n):
@@ -61,3 +61,13 @@ def test_repeated_ids_and_empty_table(spark, tmp_path):
     assert kept[2] == [1, 1, 3]
     kept, manifest, _ = run(spark, str(tmp_path / "b"), empty(spark))
     assert kept == [[]] * 5 and len(SCHEMA.split(",")) == len(empty(spark).columns)
+
+
+def test_near_copies_of_five_words_and_eighty_percent(spark, tmp_path):
+    rng = random.Random(3)
+    base = prose(rng, 100).split()
+    near, far = list(base), list(base)
+    near[30], near[60] = "one", "two"  # 86 of 106 five-word shingles, but 92 of 104 three-word ones
+    far[10], far[30], far[50], far[70], far[90] = "abcde"  # 71 of 121 five-word shingles
+    rows = docs(spark, [(1, " ".join(base)), (2, " ".join(near)), (3, " ".join(far))])
+    assert sorted(r.doc_id for r in near_duplicate_removal(spark, rows, str(tmp_path)).collect()) == [1, 3]
