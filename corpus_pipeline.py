@@ -41,16 +41,21 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicate_removal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each component the document with the least id stays; of rows with the same id and text, one.
+    """Of each component the row with the least id stays, null ids last, and of equal ids the first row read.
 
+    Rows go through the join by a number of their own, as ids may be null or occur more than once.  Texts without a
+    word link with nothing: of those with the same id and text, one stays.
     Near copies share four fifths of their five-word shingles; the query ``op8_jaccard_join`` has a contract of its own.
     """
-    kept = near_duplicates(docs, words=5, percent=80).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    kept = kept.groupBy(F.col("doc_id").alias("kept_id")).agg(F.count("*").alias("kept_rows"))
-    rows = docs.join(kept, F.col("doc_id").eqNullSafe(F.col("kept_id")))
-    # ids are unique as a rule: only repeated ones have their texts compared
-    again = rows.where("kept_rows > 1").select(*docs.columns).dropDuplicates(["doc_id", "text"])
-    return rows.where("kept_rows = 1").select(*docs.columns).unionByName(again)
+    rows = stored(docs.select(F.struct(*docs.columns).alias("doc"), "text", F.struct(
+        F.col("doc_id").isNull().alias("missing"), "doc_id", F.monotonically_increasing_id().alias("row")).alias("place")),
+        "pipeline-rows")
+    found = near_duplicates(rows, "place", "text", words=5, percent=80)
+    kept = found.where(F.col("place.row") == F.col("component_id.row")).select(
+        F.col("place.row").alias("row"), (F.col("n_shingles") == 0).alias("wordless"))
+    rows = rows.join(kept, F.col("place.row") == F.col("row"))
+    again = rows.where("wordless").select("doc.*").dropDuplicates(["doc_id", "text"])
+    return rows.where("not wordless").select("doc.*").unionByName(again)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

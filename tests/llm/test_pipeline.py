@@ -71,3 +71,12 @@ def test_near_copies_of_five_words_and_eighty_percent(spark, tmp_path):
     far[10], far[30], far[50], far[70], far[90] = "abcde"  # 71 of 121 five-word shingles
     rows = docs(spark, [(1, " ".join(base)), (2, " ".join(near)), (3, " ".join(far))])
     assert sorted(r.doc_id for r in near_duplicate_removal(spark, rows, str(tmp_path)).collect()) == [1, 3]
+
+
+def test_one_of_a_group_stays_whatever_its_ids(spark, tmp_path):
+    rng = random.Random(4)
+    a, b, c = (prose(rng, 100) for _ in range(3))
+    rows = docs(spark, [(None, a + " x"), (1, a), (None, a), (None, b), (None, b + " y"), (7, c), (7, c + " z"), (3, c),
+                        (None, ""), (None, ""), (8, None)])
+    got = near_duplicate_removal(spark, rows, str(tmp_path)).collect()
+    assert sorted(((r.doc_id, r.text) for r in got), key=str) == sorted([(1, a), (None, b), (3, c), (None, ""), (8, None)], key=str)
