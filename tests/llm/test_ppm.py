@@ -116,3 +116,27 @@ def test_empty_tables(spark):
 def test_limit_keeps_at_most():
     assert ppm._limit([(0, 10), (5, 3), (9, 2)], 5) == 5 and ppm._limit([(0, 10)], 10) == 0
     assert ppm._limit([(7, 10)], 9) > 7
+
+
+def test_all_counted_grams_take_part(spark):
+    rng = random.Random(11)
+    train = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(1500)) for _ in range(250)]  # rare grams, over 2^18 per order
+    rows = [(i, t) for i, t in enumerate(train)]
+    plain_counts = plain([t.encode() for t in train], ORDER)
+    got = score(docs(spark, rows[:3] + [(900, train[5][:700] + train[9][:700])]), Model(docs(spark, rows))).collect()
+    for r in got:
+        text = train[r.doc_id] if r.doc_id < 900 else train[5][:700] + train[9][:700]
+        assert r.score == pytest.approx(plain_log10(plain_counts, ORDER, text.encode()), rel=1e-4)
+
+
+def test_buckets_give_the_scores_of_the_whole_trie(spark, monkeypatch):
+    rng = random.Random(12)
+    monkeypatch.setattr(ppm, "BUCKET_GRAMS", 5)
+    monkeypatch.setattr(ppm, "SCORED_BYTES", 100)
+    rows = [(i, "".join(rng.choice("abcé ") for _ in range(rng.randint(0, 60)))) for i in range(60)]
+    model = Model(docs(spark, rows[:40]))
+    assert model.buckets > ppm.LEAST_BUCKETS
+    trie = trie_of([t.encode() for _, t in rows[:40]])
+    got = {r.doc_id: r.score for r in score(docs(spark, rows), model).collect()}
+    for i, t in rows:
+        assert got[i] == pytest.approx(trie.log10(grams_of([t.encode()])[0]).sum(), rel=1e-5)

@@ -4,13 +4,16 @@ Counting.  One pass over the training texts counts tokens and the grams of ``ORD
 bytes (each byte with the bytes before it; texts begin after ``ORDER`` bytes 0xFF and end with
 one, a byte UTF-8 never has).  Tasks send partial counts; shorter grams are sums of longer ones.
 
-Trie.  Per order the most frequent grams are kept, ``MAX_NODES`` at most, by a count limit
-that never rises towards shorter contexts: what a context has seen, its suffix has seen too.
-The trie is the only thing sent to the tasks besides the ``FREQUENT`` commonest tokens.
+Buckets.  All counted grams are kept, in buckets by the last two bytes of their contexts.  What a gram of two or more
+bytes of context needs (its context's other symbols, the same for all shorter contexts down to two
+bytes) is in its bucket; the shorter grams, 65,792 at most, go to all tasks.  The number of buckets grows with
+the grams (``BUCKET_GRAMS``), and a task has the trie of one bucket at a time.
 
-Probability (escape method D).  A context with N occurrences predicts a kept symbol seen n times
-with (n - 1/2) / N.  What is left, half an occurrence per kept symbol and all occurrences of those that were not
-kept, is the escape to the next shorter context, where the symbols the longer one has seen are
+Scoring.  Texts are cut into chunks of about ``SCORED_BYTES``; a chunk's distinct grams go to their buckets as sorted
+blocks, their log probabilities come back as blocks in the same order, and are summed per text.
+
+Probability (escape method D).  A context with N occurrences predicts a symbol seen n times
+with (n - 1/2) / N.  What is left, half an occurrence per symbol, is the escape to the next shorter context, where the symbols the longer one has seen are
 excluded.  Below the empty context, the symbols never seen are equally likely.  As the symbols seen by a context are a subset of its suffix's, the excluded sums
 depend on the context alone and are stored with it.
 
@@ -36,11 +39,12 @@ from tillwright.llm.common import chunked, hashed_words, raw
 from tillwright.session import stored
 
 ORDER = 6  # bytes of context; a gram with its symbol has to fit in 63 bits
-MAX_NODES = 1 << 18  # grams kept per order
+BUCKET_GRAMS = 1 << 19  # longest grams per bucket, as many as share a context's last two bytes aside
+LEAST_BUCKETS = 48
 FREQUENT = 1 << 17  # tokens looked up without a join
-SLOT_BITS = 20
 EDGE = b"\xff"
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 20  # of text that is counted at a time
+SCORED_BYTES = 4 << 20  # of text whose distinct grams are looked up together
 FLUSH = 600_000  # partial counts that a task holds before it sends them on
 END = 0  # stands for the end token among the words' hashes
 
@@ -109,7 +113,7 @@ def _count_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 
 
 class Trie:
-    """Kept grams and contexts per order, with what escapes and exclusions need."""
+    """Grams and contexts per order, with what escapes and exclusions need: all of them, or those of a bucket."""
 
     def __init__(self, grams: list[tuple[np.ndarray, np.ndarray]]):
         """``grams[k]``: the keys of order k, ascending, and their counts."""
@@ -141,23 +145,6 @@ class Trie:
             self.left.append(np.where(known, self.total[k - 1][at] - excluded, 0))
             self.left_escape.append(np.where(
                 known, self.total[k - 1][at] - kept[k - 1][at] + (kinds[k - 1][at] - kinds[k]) / 2, 0))
-        self._slots()
-
-    def _slots(self) -> None:
-        """The longest grams in a direct-mapped table; where two meet, the more frequent one has the slot."""
-        keys, n = self.keys[-1], self.n[-1]
-        self.slot_key = np.full(1 << SLOT_BITS, U((1 << 64) - 1), U)
-        self.slot_value = np.zeros(1 << SLOT_BITS, np.float32)
-        if len(keys):
-            at, _ = self._find(self.contexts[-1], keys & U((1 << 8 * self.order) - 1))
-            value = np.log10((n - 0.5) / self.total[-1][at])
-            rising = np.argsort(n, kind="stable")
-            slot = self._slot(keys[rising])
-            self.slot_key[slot], self.slot_value[slot] = keys[rising], value[rising]
-
-    @staticmethod
-    def _slot(keys: np.ndarray) -> np.ndarray:
-        return ((keys * U(0x9E3779B97F4A7C15)) >> U(64 - SLOT_BITS)).astype(np.int64)
 
     @staticmethod
     def _find(table: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -168,15 +155,10 @@ class Trie:
 
     def log10(self, keys: np.ndarray) -> np.ndarray:
         """The log10 probability of each gram's last byte after the others."""
-        slot = self._slot(keys)
-        out = self.slot_value[slot].astype(np.float64)
-        rest = np.nonzero(self.slot_key[slot] != keys)[0]
-        if len(rest):
-            distinct, where = np.unique(keys[rest], return_inverse=True)
-            out[rest] = self._walk(distinct)[where]
-        return out
+        distinct, where = np.unique(keys, return_inverse=True)
+        return self.walk(distinct)[where]
 
-    def _walk(self, keys: np.ndarray) -> np.ndarray:
+    def walk(self, keys: np.ndarray) -> np.ndarray:
         """From the longest context down to the one that knows the symbol, escapes included."""
         out = np.zeros(len(keys))
         live = np.arange(len(keys))
@@ -240,40 +222,123 @@ def _packed(rows: DataFrame) -> dict[int, tuple[np.ndarray, np.ndarray]]:
 _BUCKET = "cast(floor(16 * log2(n)) as int)"
 
 
+def buckets_of(keys: np.ndarray, buckets: int) -> np.ndarray:
+    """The bucket of each longest gram, by the last two bytes of its context."""
+    last = (keys >> U(8 * (ORDER - 2))) & U(0xFFFF)
+    return ((((last * U(0x9E37)) & U(0xFFFF)) * U(buckets)) >> U(16)).astype(np.int64)
+
+
+def _by_bucket(keys: np.ndarray, buckets: int) -> Iterator[tuple[int, np.ndarray]]:
+    """Bucket by bucket the places of its keys, in their order."""
+    bucket = buckets_of(keys, buckets)
+    order = np.argsort(bucket, kind="stable")
+    ends = np.cumsum(np.bincount(bucket, minlength=buckets))
+    for b in np.unique(bucket):
+        yield int(b), order[ends[b - 1] if b else 0:ends[b]]
+
+
+_BLOCK = "bucket int, chunk long, keys binary, n binary"
+_MODEL = -1  # the chunk of a block that holds counts: it sorts before all chunks of texts
+
+
+def _block_batch(bucket: int, chunk: int, keys: np.ndarray, n: np.ndarray | None) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [pa.array([bucket], pa.int32()), pa.array([chunk], pa.int64()), pa.array([keys.astype("<u8").tobytes()], pa.binary()),
+         pa.array([None if n is None else n.astype("<i8").tobytes()], pa.binary())], names=["bucket", "chunk", "keys", "n"])
+
+
+def _model_batches(buckets: int):
+    """Counted longest grams as blocks per bucket."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def blocks() -> Iterator[pa.RecordBatch]:
+            keys, n = (np.concatenate(c) for c in zip(*held))
+            for bucket, at in _by_bucket(keys, buckets):
+                yield _block_batch(bucket, _MODEL, keys[at], n[at])
+
+        held, rows = [], 0
+        for batch in batches:
+            held.append((batch.column(0).to_numpy().astype(U), batch.column(1).to_numpy()))
+            rows += len(batch)
+            if rows > 4 * FLUSH:
+                yield from blocks()
+                held, rows = [], 0
+        if rows:
+            yield from blocks()
+    return run
+
+
+def _wanted_batches(buckets: int):
+    """The distinct grams of each chunk of texts as blocks per bucket."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for chunk, texts in zip(batch.column(0).to_pylist(), batch.column(1)):
+                keys, _ = runs(grams_of(texts.as_py())[0])
+                for bucket, at in _by_bucket(keys, buckets):
+                    yield _block_batch(bucket, chunk, keys[at], None)
+    return run
+
+
+def bucket_trie(keys: np.ndarray, n: np.ndarray, short: list[tuple[np.ndarray, np.ndarray]]) -> Trie:
+    """The trie of a bucket: the grams of up to one byte of context are the whole model's, the others the bucket's."""
+    grams = list(short)
+    for k in range(len(short), ORDER + 1):
+        found, where = np.unique(keys >> U(8 * (ORDER - k)), return_inverse=True)
+        grams.append((found, np.bincount(where, n, len(found)).astype(np.int64)))
+    return Trie(grams)
+
+
+_ANSWER = "chunk long, bucket int, value binary"
+
+
+def _answer_batches(short: list[tuple[np.ndarray, np.ndarray]]):
+    """Sorted by bucket, a bucket's counts first: the log probabilities of each block of grams."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        none = np.zeros(0, U), np.zeros(0, np.int64)
+        of, held, trie = None, [], None
+        for batch in batches:
+            for i in range(len(batch)):
+                bucket, chunk = batch.column(0)[i].as_py(), batch.column(1)[i].as_py()
+                keys = np.frombuffer(batch.column(2)[i].as_buffer(), "<u8")
+                if bucket != of:
+                    of, held, trie = bucket, [], None
+                if chunk == _MODEL:
+                    held.append((keys.copy(), np.frombuffer(batch.column(3)[i].as_buffer(), "<i8").copy()))
+                    continue
+                if trie is None:
+                    trie = bucket_trie(*([np.concatenate(c) for c in zip(*held)] if held else none), short)
+                    held = []
+                value = trie.walk(keys).astype("<f4")
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([chunk], pa.int64()), pa.array([bucket], pa.int32()), pa.array([value.tobytes()], pa.binary())],
+                    names=["chunk", "bucket", "value"])
+    return run
+
+
 class Model:
     """Counts in the shared folder, and the bounded parts that go to the tasks."""
 
-    def __init__(self, training: DataFrame, text_col: str = "text", order: int = ORDER, max_nodes: int = MAX_NODES,
-                 frequent: int = FREQUENT):
+    def __init__(self, training: DataFrame, text_col: str = "text", order: int = ORDER, frequent: int = FREQUENT):
         if order != ORDER:
             raise ValueError("the order is fixed when texts are counted")
         rows = training.select(F.col(text_col).cast("string").alias("text"))
         counts = stored(rows.mapInArrow(_count_batches, "kind int, key long, n long")
                         .groupBy("kind", "key").agg(F.sum("n").alias("n")), "ppm-counts")
         self.vocabulary = counts.where(F.col("kind") == TOKEN).select("key", "n")
-        orders = F.array(*[F.struct(F.lit(k).alias("k"), F.shiftrightunsigned("key", 8 * (order - k)).alias("key"))
-                           for k in range(order + 1)])
-        grams = stored(counts.where(F.col("kind") == GRAM).select(F.explode(orders).alias("g"), "n")
-                       .groupBy("g.k", "g.key").agg(F.sum("n").alias("n")), "ppm-grams")
-
-        # one row per count bucket: how many tokens and grams a count limit would keep
-        sizes = (self.vocabulary.select(F.lit(-1).alias("k"), "n").unionByName(grams.select("k", "n"))
-                 .groupBy("k", F.expr(_BUCKET).alias("bucket"))
+        self.grams = counts.where(F.col("kind") == GRAM).select("key", "n")
+        self.buckets = min(1 << 16, max(LEAST_BUCKETS, -(-self.grams.count() // BUCKET_GRAMS)))
+        # grams of one byte of context and of none: 65,792 at most, whatever the texts
+        pairs = _packed(self.grams.groupBy(F.shiftrightunsigned("key", 8 * (order - 1)).alias("key")).agg(
+            F.sum("n").alias("n")).select(F.lit(1).alias("k"), "key", "n")).get(1, (np.zeros(0, np.int64),) * 2)
+        pairs = pairs[0].astype(U), pairs[1]
+        single, where = np.unique(pairs[0] >> U(8), return_inverse=True)
+        self.short = [(single, np.bincount(where, pairs[1], len(single)).astype(np.int64)), pairs]
+
+        # one row per count bucket: how many tokens a count limit would send
+        sizes = (self.vocabulary.groupBy(F.expr(_BUCKET).alias("bucket"))
                  .agg(F.count("*").alias("rows"), F.sum("n").alias("n")).collect())
-        by_order: dict[int, list[tuple[int, int]]] = {}
-        for r in sizes:
-            by_order.setdefault(r.k, []).append((r.bucket, r.rows))
-        self.n_tokens = sum(r.n for r in sizes if r.k == -1)
-        self.n_distinct = sum(r.rows for r in sizes if r.k == -1)
-        limits = [_limit(by_order.get(k, []), max_nodes) for k in range(order + 1)]
-        limits = [min(limits[k:]) for k in range(order + 1)]
-        wanted = F.lit(False)
-        for k, limit in enumerate(limits):
-            wanted = wanted | ((F.col("k") == k) & (F.expr(_BUCKET) >= limit))
-        kept = _packed(grams.where(wanted).select("k", "key", "n"))  # at most max_nodes rows per order
-        self.grams = [kept.get(k, (np.zeros(0, np.int64), np.zeros(0, np.int64))) for k in range(order + 1)]
-        self.grams = [(keys.astype(U), n) for keys, n in self.grams]
-        limit = _limit(by_order.get(-1, []), frequent)
+        self.n_tokens = sum(r.n for r in sizes)
+        self.n_distinct = sum(r.rows for r in sizes)
+        limit = _limit([(r.bucket, r.rows) for r in sizes], frequent)
         top = self.vocabulary.where(F.expr(_BUCKET) >= limit).select(F.lit(0).alias("k"), "key", "n")
         self.tokens = _packed(top).get(0, (np.zeros(0, np.int64), np.zeros(0, np.int64)))  # at most `frequent` rows
 
@@ -282,16 +347,16 @@ class Model:
         return self.n_tokens + 0.1 * (self.n_distinct + 1)
 
 
-class _Sent:
-    """What the tasks get; a worker builds the trie once for all its tasks."""
-
-    def __init__(self, grams: list, tokens: tuple):
-        self.grams, self.tokens, self.built = grams, tokens, None
-
-    def trie(self) -> Trie:
-        if self.built is None:
-            self.built = Trie(self.grams)
-        return self.built
+def _chunk_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of texts as rows of chunks; a chunk's number is that of its first row."""
+    chunk = TaskContext.get().partitionId() << 40
+    for batch in batches:
+        texts = raw(batch.column(1))
+        for a, b in chunked(texts, SCORED_BYTES):
+            ids = pa.ListArray.from_arrays(pa.array([0, b - a], pa.int32()), pa.concat_arrays([batch.column(0).slice(a, b - a)]))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([chunk], pa.int64()), ids, pa.array([texts[a:b]], pa.list_(pa.binary()))], names=["chunk", "ids", "texts"])
+            chunk += b - a
 
 
 _SCORED = ("row long, id {kind}, n_tokens long, n_known long, base double, score double, "
@@ -299,52 +364,74 @@ _SCORED = ("row long, id {kind}, n_tokens long, n_known long, base double, score
 _RARE = pa.list_(pa.struct([("key", pa.int64()), ("n", pa.int64())]))
 
 
-def _scorer(sent, total: float):
+def _scorer(sent, total: float, buckets: int):
+    """Sorted by chunk, its texts first and then the values of its grams by bucket: the scores of its texts."""
+    def scored(row: int, ids: pa.Array, texts: list[bytes | None], values: list[np.ndarray]) -> pa.RecordBatch:
+        keys, frequent = sent.value
+        words, sizes = hashed_words(texts)
+        hashes = np.insert(words.astype(np.int64), np.cumsum(sizes), END)
+        sizes = sizes + 1
+        doc = np.repeat(np.arange(len(texts)), sizes)
+        at = np.searchsorted(keys, hashes).clip(max=max(len(keys) - 1, 0))
+        n = np.where(keys[at] == hashes, frequent[at], -1) if len(keys) else np.full(len(hashes), -1)
+        known = n >= 0
+        base = np.bincount(doc, np.where(known, np.log10((n.clip(0) + 0.1) / total), 0), len(texts))
+        n_known = np.bincount(doc, known, len(texts)).astype(np.int64)
+        # the others per text: distinct hashes and how often they occur
+        order = np.lexsort((hashes[~known], doc[~known]))
+        hashes, docs = hashes[~known][order], doc[~known][order]
+        start = np.nonzero(np.concatenate(
+            ([True], (hashes[1:] != hashes[:-1]) | (docs[1:] != docs[:-1])))[:len(hashes)])[0]
+        times = np.diff(np.concatenate((start, [len(hashes)])))
+        offsets = np.concatenate(([0], np.cumsum(np.bincount(docs[start], minlength=len(texts)))))
+        rare = pa.ListArray.from_arrays(
+            pa.array(offsets, pa.int32()),
+            pa.StructArray.from_arrays([pa.array(hashes[start]), pa.array(times, pa.int64())], ["key", "n"]))
+        grams, lengths = grams_of(texts)
+        distinct, where = np.unique(grams, return_inverse=True)
+        value = np.empty(len(distinct))
+        value[np.concatenate([at for _, at in _by_bucket(distinct, buckets)])] = np.concatenate(values)
+        score = np.add.reduceat(value[where], np.cumsum(lengths) - lengths)
+        return pa.RecordBatch.from_arrays([
+            pa.array(np.arange(row, row + len(texts))), ids, pa.array(sizes),
+            pa.array(n_known), pa.array(base), pa.array(score), rare.cast(_RARE)],
+            names=["row", "id", "n_tokens", "n_known", "base", "score", "rare"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        trie = None
-        row = TaskContext.get().partitionId() << 40
+        held = None
         for batch in batches:
-            trie = trie or sent.value.trie()
-            keys, frequent = sent.value.tokens
-            texts = raw(batch.column(1))
-            for a, b in chunked(texts, CHUNK_BYTES):
-                words, sizes = hashed_words(texts[a:b])
-                hashes = np.insert(words.astype(np.int64), np.cumsum(sizes), END)
-                sizes = sizes + 1
-                doc = np.repeat(np.arange(b - a), sizes)
-                at = np.searchsorted(keys, hashes).clip(max=max(len(keys) - 1, 0))
-                n = np.where(keys[at] == hashes, frequent[at], -1) if len(keys) else np.full(len(hashes), -1)
-                known = n >= 0
-                base = np.bincount(doc, np.where(known, np.log10((n.clip(0) + 0.1) / total), 0), b - a)
-                n_known = np.bincount(doc, known, b - a).astype(np.int64)
-                # the others per text: distinct hashes and how often they occur
-                order = np.lexsort((hashes[~known], doc[~known]))
-                hashes, docs = hashes[~known][order], doc[~known][order]
-                start = np.nonzero(np.concatenate(
-                    ([True], (hashes[1:] != hashes[:-1]) | (docs[1:] != docs[:-1])))[:len(hashes)])[0]
-                times = np.diff(np.concatenate((start, [len(hashes)])))
-                offsets = np.concatenate(([0], np.cumsum(np.bincount(docs[start], minlength=b - a))))
-                rare = pa.ListArray.from_arrays(
-                    pa.array(offsets, pa.int32()),
-                    pa.StructArray.from_arrays([pa.array(hashes[start]), pa.array(times, pa.int64())], ["key", "n"]))
-                grams, lengths = grams_of(texts[a:b])
-                score = np.add.reduceat(trie.log10(grams), np.cumsum(lengths) - lengths)
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(np.arange(row, row + b - a)), batch.column(0).slice(a, b - a), pa.array(sizes),
-                    pa.array(n_known), pa.array(base), pa.array(score), rare.cast(_RARE)],
-                    names=["row", "id", "n_tokens", "n_known", "base", "score", "rare"])
-                row += b - a
+            for i in range(len(batch)):
+                chunk, bucket = batch.column(0)[i].as_py(), batch.column(1)[i].as_py()
+                if bucket == _TEXTS:
+                    if held:
+                        yield scored(*held)
+                    held = chunk, pa.concat_arrays([batch.column(2)[i].values]), batch.column(3)[i].as_py(), []
+                else:
+                    held[3].append(np.frombuffer(batch.column(4)[i].as_buffer(), "<f4").copy())
+        if held:
+            yield scored(*held)
     return run
 
 
+_TEXTS = -1  # the bucket of a chunk's texts: it sorts before the values
+
+
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: the id, ``n_tokens``, ``n_known``, ``train_tokens``, ``base_score`` and ``score`` (both log10)."""
     spark = docs.sparkSession
     kind = docs.schema[id_col].dataType.simpleString()
-    sent = spark.sparkContext.broadcast(_Sent(model.grams, model.tokens))
+    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
+    chunks = stored(texts.mapInArrow(_chunk_batches, f"chunk long, ids array<{kind}>, texts array<binary>"), "ppm-chunks")
+    blocks = model.grams.mapInArrow(_model_batches(model.buckets), _BLOCK).unionByName(
+        chunks.select("chunk", "texts").mapInArrow(_wanted_batches(model.buckets), _BLOCK))
+    answers = (blocks.repartition("bucket").sortWithinPartitions("bucket", "chunk")
+               .mapInArrow(_answer_batches(model.short), _ANSWER))
+    both = chunks.withColumns({"bucket": F.lit(_TEXTS), "value": F.lit(None).cast("binary")}).select(
+        "chunk", "bucket", "ids", "texts", "value").unionByName(answers, allowMissingColumns=True)
+    sent = spark.sparkContext.broadcast(model.tokens)
     rows = stored(
-        docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-        .mapInArrow(_scorer(sent, model.base_total), _SCORED.format(kind=kind)), "ppm-scores")
+        both.repartition("chunk").sortWithinPartitions("chunk", "bucket")
+        .mapInArrow(_scorer(sent, model.base_total, model.buckets), _SCORED.format(kind=kind)), "ppm-scores")
     rare = rows.select("row", F.inline("rare"))
     n = F.coalesce(F.col("c"), F.lit(0))
     found = (rare.join(model.vocabulary.select("key", F.col("n").alias("c")), "key", "left").groupBy("row").agg(
