@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pytest
 from helpers import EDGES, docs, empty
 
 from tillwright.llm.passage_chains import GAP_COST, K, WINDOW, aligned, chains_of, repeated_passages, seeds_of
@@ -103,3 +104,25 @@ def test_hot_passage_and_empty(spark):
     # a seed at the edge may first be picked in another document than the first
     assert len(found) == 299 and all(1 <= len(r.source_ids) <= 3 for r in found)
     assert repeated_passages(empty(spark)).count() == 0
+
+
+@pytest.mark.parametrize("every", [8, 10])
+def test_changed_words_do_not_hide_a_passage(spark, every):
+    rng = random.Random(6)
+    rows = []
+    for i in range(60):
+        shared = words(rng, 64)
+        copy = [w if k % every != every - 1 else f"new{k}" for k, w in enumerate(shared)]  # identity 0.875 or more
+        rows += [(2 * i, " ".join([*words(rng, 30), *shared, *words(rng, 30)])),
+                 (2 * i + 1, " ".join([*words(rng, 20), *copy, *words(rng, 25)]))]
+    spans = covered(repeated_passages(docs(spark, rows).coalesce(1)).collect())
+    assert set(spans) == set(range(1, 120, 2))
+
+
+def test_single_seed_is_judged_by_its_alignment(spark):
+    rng = random.Random(7)
+    shared = words(rng, 65)
+    copy = [w if k % 6 != 5 or 24 <= k < 30 else f"new{k}" for k, w in enumerate(shared)]  # one run of eleven words, others of five
+    rows = [(1, " ".join([*words(rng, 30), *shared[:30], "only", *shared[31:], *words(rng, 30)])),
+            (2, " ".join([*words(rng, 20), *copy, *words(rng, 25)]))]
+    assert set(covered(repeated_passages(docs(spark, rows).coalesce(1)).collect())) == {2}

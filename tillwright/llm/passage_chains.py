@@ -1,7 +1,7 @@
 """Substring dedup: passages that earlier documents have as well, found by collinear chaining of shared seeds.
 
-1. Seeds: of every ``WINDOW`` consecutive k-word hashes of a text the least is a seed, so texts that share
-   ``WINDOW`` + k - 1 words in a row share a seed there, wherever the words stand.
+1. Seeds: of every ``WINDOW`` consecutive k-word hashes of a text the least is a seed; with a window of one every
+   k words in a row are, so texts that share k words in a row share a seed there, wherever the words stand.
 2. Seeds join on their hash.  Each occurrence is matched with the seed's first occurrence only (the
    first document read that has it), so a passage that very many documents share costs one match per
    occurrence and no pair of later copies is formed.
@@ -10,7 +10,8 @@
    prefix maxima over the earlier document's positions.
 4. Alignment: a chain's seeds are extended word by word, what lies between them is aligned by edit distance,
    and its ends are extended while matches outweigh mismatches.  Alignments below ``IDENTITY`` are split at their
-   widest gap, single seeds below it dropped.
+   widest gap, single seeds below it dropped.  All chains are aligned, those of a single seed too: length is judged
+   on the aligned words, not on the spread of the seeds.
 5. Aligned pieces that touch are one passage, whichever documents they come from, so a passage whose parts
    first occur in several documents is found whole.  Passages of ``MIN_WORDS`` and more are returned.
 
@@ -27,7 +28,6 @@ from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -36,7 +36,7 @@ from tillwright.llm.jaccard_join import CHUNK_BYTES, shingled
 from tillwright.session import stored
 
 K = 6
-WINDOW = 12
+WINDOW = 1
 MIN_WORDS = 50
 GAP_COST = 0.05  # per word skipped in either text; a match is worth its words
 IDENTITY = 0.8
@@ -57,8 +57,7 @@ def seeds_of(grams: np.ndarray, window: int = WINDOW) -> np.ndarray:
 
 
 def _seed_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Numbered documents with their seeds; a seed's later occurrences in the same text are marked."""
-    node = TaskContext.get().partitionId() << 33
+    """The seeds of numbered documents; a seed's later occurrences in the same text are marked."""
     for batch in batches:
         ats, seeds, ends, firsts = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [0], [np.zeros(0, bool)]
         texts = raw(batch.column(1))
@@ -72,14 +71,10 @@ def _seed_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
                 seeds.append(seed)
                 firsts.append(first)
                 ends.append(ends[-1] + len(at))
-        fields = [pa.array(np.concatenate(seeds)), pa.array(np.concatenate(ats).astype(np.int32)),
-                  pa.array(np.concatenate(firsts))]
-        listed = pa.ListArray.from_arrays(
-            pa.array(ends, pa.int32()), pa.StructArray.from_arrays(fields, ["seed", "at", "first"]))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.arange(node, node + len(batch))), batch.column(0), batch.column(1), listed],
-            names=["node", "id", "text", "seeds"])
-        node += len(batch)
+        nodes = np.repeat(batch.column(0).to_numpy(), np.diff(ends))
+        fields = [nodes, np.concatenate(seeds), np.concatenate(ats).astype(np.int32), np.concatenate(firsts)]
+        for a in range(0, len(nodes), 100_000):
+            yield pa.RecordBatch.from_arrays([pa.array(f[a:a + 100_000]) for f in fields], names=["node", "seed", "at", "first"])
 
 
 def chains_of(matches: list[tuple[int, int]], weight: float = K, gap_cost: float = GAP_COST) -> list[list[tuple[int, int]]]:
@@ -154,24 +149,15 @@ def _batched(rows: Iterator[tuple], schema: pa.Schema, size: int = 2_000) -> Ite
 
 
 def _chain_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per document, sorted by earlier document: the chains that may be part of a passage."""
+    """Per document, sorted by earlier document: the chains."""
     def chains() -> Iterator[tuple]:
-        for node, matches in groupby(_rows(batches), key=lambda r: r[0]):
-            found = [(of, chain) for of, group in groupby(matches, key=lambda r: r[1])
-                     for chain in chains_of([(y, x) for _, _, y, x in group])]
-            # an exact repeat goes on for less than a window beyond its outer seeds; mismatches let seeds vanish
-            reach = WINDOW + K
-            near = _widest([(c[0][0] - reach, c[-1][0] + K + reach) for _, c in found])
-            wide = [(a, b) for a, b in near if b - a >= MIN_WORDS]
-            starts = np.array([a for a, _ in wide])
-            for of, chain in found:
-                at = int(np.searchsorted(starts, chain[0][0] - reach, side="right")) - 1
-                if at >= 0 and chain[0][0] < wide[at][1]:
-                    yield node, of, [y for y, _ in chain], [x for _, x in chain]
+        for (node, of), matches in groupby(_rows(batches), key=lambda r: r[:2]):
+            for chain in chains_of([(y, x) for _, _, y, x in matches]):
+                yield node, of, [y for y, _ in chain], [x for _, x in chain]
     yield from _batched(chains(), _CHAIN)
 
 
-_MARGIN = 4 * (WINDOW + K)  # words beyond a chain's ends that its alignment may reach
+_MARGIN = 72  # words beyond a chain's ends that its alignment may reach
 
 
 def _segment_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -283,10 +269,9 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     """One row per passage: its document (``id``; ``node``, the row's number), ``start`` and ``stop`` (words), the ids
     of the earlier documents that have its parts, the least identity of the parts, and the words."""
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    rows = stored(texts.mapInArrow(
-        _seed_batches, "node long, id long, text string, seeds array<struct<seed: bigint, at: int, first: boolean>>"),
-        "passage-seeds")
-    seeds = rows.select("node", F.inline("seeds"))
+    rows = stored(texts.select(F.monotonically_increasing_id().alias("node"), "id", "text"), "passage-texts")
+    # as many rows as words: made twice rather than stored
+    seeds = rows.select("node", "text").mapInArrow(_seed_batches, "node long, seed long, at int, first boolean")
     originals = (seeds.groupBy("seed").agg(
         F.count("*").alias("n"), F.min("node").alias("of"),
         F.min_by("at", F.when(F.col("first"), F.col("node"))).alias("of_at")).where("n > 1").drop("n"))
