@@ -126,3 +126,14 @@ def test_single_seed_is_judged_by_its_alignment(spark):
     rows = [(1, " ".join([*words(rng, 30), *shared[:30], "only", *shared[31:], *words(rng, 30)])),
             (2, " ".join([*words(rng, 20), *copy, *words(rng, 25)]))]
     assert set(covered(repeated_passages(docs(spark, rows).coalesce(1)).collect())) == {2}
+
+
+def test_repeats_within_a_document(spark):
+    rng = random.Random(8)
+    shared, line = words(rng, 60), words(rng, 4)
+    rows = [(1, " ".join([*words(rng, 10), *shared, *words(rng, 15), *shared, *words(rng, 5), *shared])),
+            (2, " ".join(line * 40)), (3, " ".join(words(rng, 200)))]
+    found = repeated_passages(docs(spark, rows).coalesce(1)).collect()
+    spans = covered(found)
+    assert spans == {1: {*range(85, 145), *range(150, 210)}, 2: set(range(4, 160))}
+    assert all(r.source_ids == [r.id] for r in found)

@@ -1,9 +1,9 @@
-"""Substring dedup: passages that earlier documents have as well, found by collinear chaining of shared seeds.
+"""Substring dedup: passages that occur earlier, in other documents or the same one, found by collinear chaining of shared seeds.
 
 1. Seeds: of every ``WINDOW`` consecutive k-word hashes of a text the least is a seed; with a window of one every
    k words in a row are, so texts that share k words in a row share a seed there, wherever the words stand.
 2. Seeds join on their hash.  Each occurrence is matched with the seed's first occurrence only (the
-   first document read that has it), so a passage that very many documents share costs one match per
+   first document read that has it, and its first place there), so a passage that very many documents share costs one match per
    occurrence and no pair of later copies is formed.
 3. Chaining: the matches between a document and an earlier one are linked to the best-scoring ordered
    chains, word gaps costing ``GAP_COST`` each; the best predecessor of a match comes from a Fenwick tree of
@@ -16,8 +16,8 @@
    first occur in several documents is found whole.  Passages of ``MIN_WORDS`` and more are returned.
 
 Words are lower-cased.  Defined cases: null and empty texts have no seeds; repeated rows are copies like
-others, the first one read is the original; null ids take part and are null in the result; repeats within one
-document are not looked for; a text of fewer words than a seed has none; an empty table gives no rows; other
+others, the first one read is the original; null ids take part and are null in the result; a passage that a document
+has again is a copy of its own first one; a text of fewer words than a seed has none; an empty table gives no rows; other
 columns are not looked at.
 """
 
@@ -275,7 +275,7 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     originals = (seeds.groupBy("seed").agg(
         F.count("*").alias("n"), F.min("node").alias("of"),
         F.min_by("at", F.when(F.col("first"), F.col("node"))).alias("of_at")).where("n > 1").drop("n"))
-    matches = seeds.join(originals, "seed").where("node <> of").select("node", "of", "at", "of_at")
+    matches = seeds.join(originals, "seed").where("node <> of or at <> of_at").select("node", "of", "at", "of_at")
     chains = stored(
         matches.repartition("node").sortWithinPartitions("node", "of", "at", "of_at")
         .mapInArrow(_chain_batches, "node long, of long, at array<int>, of_at array<int>"), "passage-chains")
