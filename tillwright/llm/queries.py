@@ -12,6 +12,7 @@ from tillwright.llm import (  # noqa: F401
     phrase_queries,
     ppm_queries,
     quality_queries,
+    repair_queries,
     toxic_queries,
 )
 from tillwright.llm.registry import QUERIES, SQL
