@@ -14,6 +14,8 @@ from tillwright.llm import (  # noqa: F401
     quality_queries,
     repair_queries,
     toxic_queries,
+    url_queries,
+    vector_queries,
 )
 from tillwright.llm.registry import QUERIES, SQL
 
