@@ -1,5 +1,3 @@
-import math
-
 import numpy as np
 import pytest
 from hypothesis import given, settings
@@ -35,7 +33,7 @@ POINTS = st.lists(st.tuples(*[st.integers(-9, 9)] * 3), min_size=1, max_size=90)
 @given(POINTS, st.lists(st.tuples(*[st.integers(-9, 9)] * 3), min_size=1, max_size=16), st.sampled_from([1, 4, 16]))
 def test_walk_against_all_distances(points, entries, leaf):
     points, entries = np.array(points, np.int64), np.array(entries, np.int64)
-    walk = Walk(grow(points, leaf), grow(entries, 1, depth=int(math.log2(len(entries)))))
+    walk = Walk(grow(points, leaf), grow(entries, 1))
     want = ((points[:, None] - entries[None]) ** 2).sum(axis=2).argmin(axis=1)
     assert walk.nearest().tolist() == want.tolist()
     count, total = walk.totals()
@@ -47,7 +45,7 @@ def test_far_groups_are_assigned_as_wholes():
     rng = np.random.default_rng(1)
     centres = rng.integers(-100_000, 100_000, (16, 8))
     points = np.concatenate([c + rng.integers(-50, 50, (128, 8)) for c in centres])
-    walk = Walk(grow(points, 16), grow(centres, 1, depth=4))
+    walk = Walk(grow(points, 16), grow(centres, 1))
     assert sum(len(nodes) for _, nodes, _ in walk.whole) < 64 and not sum(len(p) for p, _ in walk.single)
 
 

@@ -64,10 +64,10 @@ class Tree:
         return np.arange((1 << level) + 1, dtype=_I) * len(self.points) >> level
 
 
-def grow(points: np.ndarray, leaf: int, order: np.ndarray | None = None, depth: int | None = None) -> Tree:
-    """The tree over the rows of ``points``.  With ``order`` the rows are in place already."""
+def grow(points: np.ndarray, leaf: int, order: np.ndarray | None = None) -> Tree:
+    """The tree over the rows of ``points``, with about ``leaf`` in a leaf and one at least.  With ``order`` they are in place already."""
     n = len(points)
-    depth = max(0, math.ceil(math.log2(n / leaf))) if depth is None else depth
+    depth = max(0, min(math.ceil(math.log2(n / leaf)), n.bit_length() - 1))
     placed = np.arange(n) if order is None else order
     if order is None:
         for level in range(depth):
@@ -237,7 +237,7 @@ def _trees(batch: pa.RecordBatch, row: int, width: int) -> list[Tree]:
 
 
 def _walks(codebooks: list[np.ndarray], width: int, batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, int, list[Walk]]]:
-    entries = [grow(book, 1, depth=int(math.log2(len(book)))) for book in codebooks]
+    entries = [grow(book, 1) for book in codebooks]
     for batch in batches:
         for row in range(batch.num_rows):
             yield batch, row, [Walk(t, e) for t, e in zip(_trees(batch, row, width), entries)]
@@ -299,18 +299,17 @@ def usable(df: DataFrame) -> DataFrame:
 def compress(df: DataFrame, entries: int = ENTRIES, rounds: int = ROUNDS) -> Compressed:
     """Codes of the vectors of ``df`` (vec_id, embedding, label)."""
     vectors = usable(df)
-    first = vectors.orderBy(F.col("id").asc_nulls_last(), "vector", "label").limit(1).select("vector").head()
-    width = len(first[0]) if first and len(first[0]) % PARTS == 0 else 0
-    vectors = vectors.where(F.size("vector") == width)
     # the first vectors by id start the codebooks: ``entries`` rows, whatever the input
-    start = [r.vector for r in vectors.orderBy(F.col("id").asc_nulls_last(), "vector").limit(entries).collect()] if width else []
+    in_order = [F.col("id").asc_nulls_last(), "vector"]
+    first = vectors.orderBy(*in_order).select("vector").head()
+    if first is None or len(first.vector) % PARTS:
+        return Compressed(df.sparkSession.createDataFrame([], "vec_id long, label long, code string, error long"), [])
+    width = len(first.vector)
+    vectors, limit = vectors.where(F.size("vector") == width), bound(width)
+    start = np.array([r.vector for r in vectors.orderBy(*in_order).limit(entries).collect()], np.float64)
+    scaled = np.clip(np.floor(start * SCALE), -limit, limit).astype(_I)
+    codebooks = list(np.moveaxis(scaled.reshape(len(start), PARTS, -1), 1, 0).copy())
     blocks = stored(vectors.mapInArrow(_packed(width), BLOCKS), "vector-blocks")
-    limit = bound(width)
-    scaled = np.clip(np.floor(np.array(start, np.float64).reshape(len(start), -1) * SCALE), -limit, limit).astype(_I)
-    codebooks = [np.ascontiguousarray(b) for b in np.moveaxis(scaled.reshape(len(start), PARTS, -1), 1, 0)] if start else []
-    if not start:
-        nothing = df.sparkSession.createDataFrame([], "vec_id long, label long, code string, error long")
-        return Compressed(nothing, [])
     for _ in range(rounds):
         sums = blocks.mapInArrow(_summed(codebooks, width), "position int, entry int, component int, n long, total long")
         found = sums.groupBy("position", "entry", "component").agg(F.sum("n").alias("n"), F.sum("total").alias("total"))
