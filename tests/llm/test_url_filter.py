@@ -101,4 +101,4 @@ def test_scores_are_per_character(spark):
     rows = spark.createDataFrame([(i, *r) for i, r in enumerate([*names, ("ab", 0, 0, 1), ("a" * 40, 0, 0, 1), ("", 0, 0, 1)])],
                                  "number long, address string, accepted long, rejected long, open long")
     got = {r.address: r.score for r in address_scores(rows).collect()}
-    assert -5 < got["a" * 40] < 0 and got["a" * 40] < got["ab"] and got[""] is None
+    assert -10 < got["a" * 40] < 0 and got["a" * 40] < got["ab"] and got[""] is None
