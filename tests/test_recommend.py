@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tillwright.operators import recommend as R
+from tillwright.operators.features import feature_texts, rarest_pieces, with_features
 from tillwright.operators.ordering import running_totals
 
 # (id, category, description); the order is that of the ids
@@ -134,13 +135,48 @@ def test_feature_search(spark):
     want = {y: found for y, found in want.items() if found}
     rows = t.withColumn("extra", F.lit(1)).unionByName(t.withColumn("extra", F.lit(2))).unionByName(
         spark.createDataFrame([(None, 1)], "text string, extra int"))
-    got = R.with_features(rows, f).collect()
+    got = with_features(rows, f).collect()
     assert {r["text"]: r["found"] for r in got} == want and len(got) == 2 * len(want)
     for prefix in (1, 3, 6):
-        pairs = R.feature_texts(f, t, prefix).collect()
+        pairs = feature_texts(f, t, prefix).collect()
         assert sorted(tuple(r) for r in pairs) == sorted((x, y) for y, found in want.items() for x in found)
 
 
+def test_a_feature_is_looked_up_by_its_rarest_piece(spark):
+    """Every text begins as the features do; each feature still meets the one text that has it."""
+    texts = spark.createDataFrame([(f"common start {i:04d}",) for i in range(300)], "text string")
+    features = spark.createDataFrame([(f"common start {i:04d}",) for i in range(0, 300, 3)] + [("common",)], "feature string")
+    cut = F.transform(F.sequence(F.lit(1), F.length("text") - 3), lambda i: F.substring("text", i, 4))
+    pieces = texts.select(F.xxhash64("text").alias("mark"), F.explode(F.array_distinct(cut)).alias("piece"))
+    chosen = {r.feature: r.n for r in rarest_pieces(features, pieces).collect()}
+    assert chosen.pop("common") == 300 and max(chosen.values()) <= 30
+    pairs = feature_texts(features, texts).groupBy("feature").count().collect()
+    assert {r.feature: r["count"] for r in pairs} == {**dict.fromkeys(chosen, 1), "common": 300}
+
+
+def test_one_feature_in_all_profiles_and_products(spark):
+    """Rows of the joins stay near the sum of the inputs: a key costs a row per 32,768 products."""
+    catalogue = spark.range(4000).selectExpr("id", "id pos", "concat('c', id % 50) category", "concat('oak ', id % 7) description")
+    profiles = spark.range(500).selectExpr(
+        "array(concat('c', id % 50)) preferred_categories", "array('oak', concat('x', id)) preferred_features")
+    numbered = R.numbered_products(catalogue)
+    pairs = feature_texts(R._distinct_features(profiles), numbered.select("text").distinct())
+    bitmaps = R.feature_bitmaps(numbered, pairs)
+    assert bitmaps.count() <= max(1, numbered.rdd.getNumPartitions()) + 1
+    counts = R.relevant_counts(profiles, catalogue).collect()
+    assert len(counts) == 500 and {r.relevant_products for r in counts} == {4000}
+
+
+def test_whole_products(spark, catalogue):
+    v = views(spark, [(1, 1), (4, 10), (None, 4)], categories_of(catalogue))
+    rows = catalogue.unionByName(catalogue.withColumn("pos", F.col("pos") + 50))
+    got = R.recommend(v, R.catalogue_heads(rows, 5, ("id", "category", "description"))).collect()
+    want = recommended(R.recommend(v, R.catalogue_heads(catalogue, 5)))
+    names = {i: (i, c, d) for i, c, d in CATALOGUE}
+    for r in got:
+        assert r.recs == want[r.event_id] and [tuple(p) for p in r.products] == [names[i] for i in r.recs]
+
+
 def test_running_totals_with_a_hot_key(spark):
     """One key holds most rows and spans several partitions."""
     rnd = random.Random(7)

@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame, GroupedData, Window
 from pyspark.sql import functions as F
 
 from tillwright.functions.numbers import share
+from tillwright.operators.features import feature_texts
 from tillwright.operators.ordering import running_totals
 from tillwright.session import stored
 
@@ -30,13 +31,14 @@ PROFILE = ["preferred_categories", "preferred_features"]
 class Heads:
     """Leading products of the catalogue: per category, per description text, overall.
 
-    ``picks`` are arrays of (pos, id) and ``ids`` the ids alone, in catalogue order.
+    ``picks`` are arrays of (pos, id) and the ``details`` asked for, and ``ids`` the ids alone, in catalogue order.
     """
 
     k: int
     by_category: DataFrame
     by_text: DataFrame
     overall: DataFrame
+    details: tuple[str, ...] = ()
 
     def stored(self, path: str) -> Heads:
         """Write the three tables, so that micro-batches do not rescan the catalogue."""
@@ -45,68 +47,42 @@ class Heads:
         for name in ("by_category", "by_text", "overall"):
             getattr(self, name).write.mode("overwrite").parquet(f"{path}/{name}")
             out[name] = spark.read.parquet(f"{path}/{name}")
-        return Heads(self.k, **out)
+        return Heads(self.k, **out, details=self.details)
 
 
-def _first_per(df: DataFrame, key: str, n: int) -> DataFrame:
+def _first_per(df: DataFrame, key: str, n: int, details: tuple[str, ...]) -> DataFrame:
     """(key, picks): the ``n`` leading products per key.  The rank limit acts before the shuffle too."""
     ranked = df.withColumn("rank", F.row_number().over(Window.partitionBy(key).orderBy("pos", "id")))
-    return _ordered(ranked.where(F.col("rank") <= n).groupBy(key))
+    return _ordered(ranked.where(F.col("rank") <= n).groupBy(key), details)
 
 
-def _ordered(grouped: GroupedData) -> DataFrame:
-    picks = grouped.agg(F.sort_array(F.collect_list(F.struct("pos", "id"))).alias("picks"))
+def _ordered(grouped: GroupedData, details: tuple[str, ...]) -> DataFrame:
+    picks = grouped.agg(F.sort_array(F.collect_list(F.struct("pos", "id", *_nested(details)))).alias("picks"))
     return picks.withColumn("ids", F.col("picks.id"))
 
 
-def catalogue_heads(catalogue: DataFrame, k: int) -> Heads:
+def _nested(details: tuple[str, ...]) -> list[str]:
+    return ["product"] if details else []
+
+
+def catalogue_heads(catalogue: DataFrame, k: int, details: tuple[str, ...] = ()) -> Heads:
     """``catalogue`` has id, pos, category, description; ``pos`` is the catalogue order.
 
     A product listed more than once counts at its first place, so the ``k + 1`` leading rows are as many products.
+    ``details`` are the columns that a recommended product is to have besides its id.
     """
-    row = F.struct("pos", "category", F.lower("description").alias("text"))
+    product = [F.struct(*[F.col(c) for c in details]).alias("product")] if details else []
+    row = F.struct("pos", "category", F.lower("description").alias("text"), *product)
     products = catalogue.groupBy("id").agg(F.min(row).alias("first")).select("id", "first.*")
     return Heads(
         k=k,
-        by_category=_first_per(products.where("category IS NOT NULL"), "category", k + 1),
-        by_text=_first_per(products.where("text IS NOT NULL"), "text", k + 1),
-        overall=_ordered(products.orderBy("pos", "id").limit(k + 1).groupBy()),
+        by_category=_first_per(products.where("category IS NOT NULL"), "category", k + 1, details),
+        by_text=_first_per(products.where("text IS NOT NULL"), "text", k + 1, details),
+        overall=_ordered(products.orderBy("pos", "id").limit(k + 1).groupBy(), details),
+        details=details,
     )
 
 
-def _pieces(text: Column, size: Column) -> Column:
-    """The pieces of ``size`` characters, one per position; the empty piece for size 0."""
-    starts = F.sequence(F.lit(1), F.length(text) - size + 1)
-    every = F.transform(starts, lambda i: F.substring(text, i, size))
-    return F.when(size == 0, F.array(F.lit(""))).when(F.length(text) >= size, every).otherwise(F.array().cast("array<string>"))
-
-
-def with_features(texts: DataFrame, features: DataFrame) -> DataFrame:
-    """The rows of ``texts`` whose ``text`` contains a feature, with those features, sorted, as ``found``.
-
-    ``features`` are distinct, and lower-case like the texts.
-    """
-    pairs = feature_texts(features, texts.select("text").where("text IS NOT NULL").distinct())
-    return texts.join(pairs.groupBy("text").agg(F.sort_array(F.collect_set("feature")).alias("found")), "text")
-
-
-def feature_texts(features: DataFrame, texts: DataFrame, prefix: int = 6) -> DataFrame:
-    """(feature, text) for every text that contains the feature; both inputs hold distinct values.
-
-    Features and texts meet on the features' first ``prefix`` characters.  A text is cut into the lengths
-    that occur among them, which a scalar subquery tells, so planning runs no job.  The join
-    carries digests of the texts, and the candidates it yields are tested on the text itself.
-    """
-    size = F.least(F.length("feature"), F.lit(prefix))
-    sizes = features.agg(F.collect_set(size).alias("sizes")).scalar()
-    marked = texts.select("text", F.xxhash64("text").alias("mark"))
-    wanted = features.select("feature", F.substring("feature", 1, prefix).alias("piece"))
-    cut = F.array_distinct(F.flatten(F.transform("sizes", lambda n: _pieces(F.col("text"), n))))
-    pieces = marked.withColumn("sizes", sizes).select("mark", F.explode(cut).alias("piece"))
-    candidates = pieces.join(wanted, "piece").select("feature", "mark")
-    return candidates.join(marked, "mark").where(F.contains("text", "feature")).select("feature", "text")
-
-
 def profiled(views: DataFrame) -> Column:
     """True when the view carries a profile and a user; user 0 counts as anonymous."""
     return F.coalesce(F.col("preferred_categories").isNotNull() & (F.col("user_id") != 0), F.lit(False))
@@ -134,14 +110,18 @@ def _distinct_features(profiles: DataFrame) -> DataFrame:
     return profiles.select(F.explode("preferred_features").alias("feature")).where("feature IS NOT NULL").distinct()
 
 
-def _liked_products(profiles: DataFrame, heads: Heads) -> DataFrame:
-    """Each distinct profile with the ids of its ``k + 1`` leading products of tiers 1 and 2."""
-    hits = with_features(heads.by_text.select("text", "picks"), _distinct_features(profiles))
-    products = hits.select("picks", F.explode("found").alias("feature")).select("feature", F.inline("picks"))
-    by_feature = _first_per(products, "feature", heads.k + 1)
+def feature_heads(pairs: DataFrame, heads: Heads) -> DataFrame:
+    """(feature, picks) of the features found in texts; ``pairs`` (feature, text) come from ``feature_texts``."""
+    picks = pairs.join(heads.by_text.select("text", "picks"), "text").select("feature", F.inline("picks"))
+    return _first_per(picks, "feature", heads.k + 1, heads.details)
+
+
+def liked_lists(profiles: DataFrame, heads: Heads, by_feature: DataFrame) -> DataFrame:
+    """Each distinct profile with its ``k + 1`` leading products of tiers 1 and 2, as ``liked_ids`` and ``liked_picks``."""
 
     def tier(n: int) -> Column:
-        return F.transform("picks", lambda p: F.struct(F.lit(n).alias("tier"), p["pos"].alias("pos"), p["id"].alias("id")))
+        kept = ["pos", "id", *_nested(heads.details)]
+        return F.transform("picks", lambda p: F.struct(F.lit(n).alias("tier"), *[p[c].alias(c) for c in kept]))
 
     liked = (
         profiles.select(*PROFILE, F.explode("preferred_categories").alias("category"))
@@ -154,21 +134,26 @@ def _liked_products(profiles: DataFrame, heads: Heads) -> DataFrame:
     # a group holds one short list per category and feature of the profile
     return (
         liked.unionByName(described).groupBy(*PROFILE)
-        .agg(F.sort_array(F.flatten(F.collect_list("picks"))).alias("picks"))
-        .select(*PROFILE, F.slice(F.array_distinct(F.col("picks.id")), 1, heads.k + 1).alias("liked_ids"))
+        .agg(F.sort_array(F.flatten(F.collect_list("picks"))).alias("liked_picks"))
+        .withColumn("liked_ids", F.slice(F.array_distinct(F.col("liked_picks.id")), 1, heads.k + 1))
     )
 
 
-def recommend(views: DataFrame, heads: Heads, profiles: DataFrame | None = None) -> DataFrame:
-    """Views with ``has_profile``, ``recs`` and ``liked_recs``.
+def _liked_products(profiles: DataFrame, heads: Heads) -> DataFrame:
+    texts = heads.by_text.select("text")
+    return liked_lists(profiles, heads, feature_heads(feature_texts(_distinct_features(profiles), texts), heads))
+
+
+def recommend(views: DataFrame, heads: Heads, profiles: DataFrame | None = None, liked: DataFrame | None = None) -> DataFrame:
+    """Views with ``has_profile``, ``recs`` and ``liked_recs``, and ``products`` if the heads have details.
 
     ``recs`` holds up to ``k`` product ids; the first ``liked_recs`` of them are of
     tiers 1 and 2, which are the products relevant to the user.  ``views`` has
     user_id, product_id, category (of the viewed product) and the profile arrays,
     NULL for a view without profile.  ``profiles`` are their distinct profiles, if
-    the caller has them.
+    the caller has them, ``liked`` their lists (``liked_lists``).
     """
-    liked = _liked_products(profiles or distinct_profiles(views), heads)
+    liked = _liked_products(profiles or distinct_profiles(views), heads) if liked is None else liked
     views = _profiles(views)
     return _ranked(views.join(liked, PROFILE, "left"), views.columns, heads)
 
@@ -179,18 +164,30 @@ def _ranked(views: DataFrame, keep: list[str], heads: Heads) -> DataFrame:
     chain = F.array_distinct(F.concat(
         F.coalesce("liked_ids", F.array()), F.coalesce("ids", F.array()), F.coalesce("overall_ids", F.array())))
     others = F.when(viewed.isNull(), chain).otherwise(F.array_remove(chain, viewed))
-    return (
-        views.join(heads.by_category.select("category", "ids"), "category", "left")
+    ranked = (
+        views.join(heads.by_category.select("category", "ids", *([F.col("picks").alias("alike")] if heads.details else [])),
+                   "category", "left")
         .withColumn("overall_ids", heads.overall.select("ids").scalar())
         .withColumn("recs", F.slice(others, 1, heads.k))
         .withColumn("liked_recs", F.size(F.array_intersect("recs", F.coalesce("liked_ids", F.array()))))
-        .select(*keep, "recs", "liked_recs")
     )
+    if not heads.details:
+        return ranked.select(*keep, "recs", "liked_recs")
+    # a subquery can't stand within a function over an array, so its result gets a name first
+    ranked = ranked.withColumn("every", heads.overall.select("picks").scalar())
+    known = [F.coalesce(F.transform(c, lambda p: F.struct(p["id"].alias("id"), p["product"].alias("product"))), F.array())
+             for c in ("liked_picks", "alike", "every")]
+    ranked = ranked.withColumn("known", F.concat(*known))
+    whole = F.transform("recs", lambda r: F.element_at(F.filter("known", lambda p: p["id"] == r), 1)["product"])
+    return ranked.withColumn("products", whole).select(*keep, "recs", "liked_recs", "products")
 
 
 def same_category(views: DataFrame, heads: Heads) -> DataFrame:
     """The same without regard to profiles: the viewed category, then the others."""
-    return _ranked(views.withColumn("liked_ids", F.array().cast("array<bigint>")), views.columns, heads)
+    none = views.withColumn("liked_ids", F.array().cast("array<bigint>"))
+    if heads.details:
+        none = none.withColumn("liked_picks", F.lit(None).cast(heads.overall.schema["picks"].dataType))
+    return _ranked(none, views.columns, heads)
 
 
 def rec_rows(recs: DataFrame, *keep: str) -> DataFrame:
@@ -207,36 +204,48 @@ def is_relevant(category: str = "category", description: str = "description") ->
     return liked | described
 
 
+def numbered_products(catalogue: DataFrame) -> DataFrame:
+    """(n, category, text), stored: the numbers are consecutive within a partition, so bitmaps over them are dense."""
+    products = catalogue.select("category", F.lower("description").alias("text"))
+    return stored(products.select((F.monotonically_increasing_id() + 1).alias("n"), "*"), "numbered-products")
+
+
+def _bitmaps(rows: DataFrame, kind: str, key: str) -> DataFrame:
+    bits = F.bitmap_construct_agg(F.bitmap_bit_position("n")).alias("bits")
+    return rows.groupBy(F.lit(kind).alias("kind"), F.col(key).alias("key"), F.bitmap_bucket_number("n").alias("bucket")).agg(bits)
+
+
+def category_bitmaps(numbered: DataFrame) -> DataFrame:
+    """(kind, key, bucket, bits): the products of each category, a bit each, in buckets of 32,768 numbers."""
+    return _bitmaps(numbered.where("category IS NOT NULL"), "category", "category")
+
+
+def feature_bitmaps(numbered: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The same for the products whose text has a feature; ``pairs`` (feature, text) come from ``feature_texts``."""
+    return _bitmaps(numbered.select("n", "text").join(pairs, "text"), "feature", "feature")
+
+
+def united_counts(profiles: DataFrame, bitmaps: DataFrame) -> DataFrame:
+    """(profile, relevant_products): how many products are in one of the profile's categories or have one of its features."""
+    def keys(kind: str, column: str) -> DataFrame:
+        return profiles.select(*PROFILE, F.lit(kind).alias("kind"), F.explode(F.array_distinct(column)).alias("key"))
+
+    wanted = keys("category", "preferred_categories").unionByName(keys("feature", "preferred_features"))
+    united = wanted.join(bitmaps, ["kind", "key"]).groupBy(*PROFILE, "bucket").agg(
+        F.bitmap_count(F.bitmap_or_agg("bits")).alias("n"))
+    return united.groupBy(*PROFILE).agg(F.sum("n").alias("relevant_products"))
+
+
 def relevant_counts(profiles: DataFrame, catalogue: DataFrame) -> DataFrame:
     """(profile, relevant_products): catalogue products each distinct profile would like.
 
-    These are the products of the preferred categories, plus the products that
-    contain a feature, minus those counted in both.  Products are first counted per
-    category and set of features found, and feature counts are made per distinct
-    feature set, so profiles never meet products.
+    The union of the profile's categories and features is taken on bitmaps, so a product in several of them
+    counts once and profiles never meet products: a key costs a row per 32,768 products, however many have it.
     """
-    products = catalogue.select("category", F.lower("description").alias("text"))
-    sizes = products.groupBy("category").agg(F.count("*").alias("n"))
-    groups = (
-        with_features(products, _distinct_features(profiles))
-        .groupBy("category", "found").agg(F.count("*").alias("n"))
-    )
-    profiles = profiles.withColumn("wanted", F.array_sort(F.array_distinct(F.array_compact("preferred_features"))))
-    # a set and a group that share several features meet at the first of them only
-    described = (
-        profiles.select("wanted").distinct().select("wanted", F.explode("wanted").alias("feature"))
-        .join(groups.select("*", F.explode("found").alias("feature")), "feature")
-        .where(F.col("feature") == F.array_min(F.array_intersect("wanted", "found")))
-        .groupBy("wanted", "category").agg(F.sum("n").alias("described"))
-    )
-    by_category = (
-        profiles.select(*PROFILE, "wanted", F.explode(F.array_distinct("preferred_categories")).alias("category"))
-        .join(sizes, "category").join(described, ["wanted", "category"], "left")
-        .select(*PROFILE, (F.col("n") - F.coalesce("described", F.lit(0))).alias("n"))
-    )
-    by_feature = profiles.join(
-        described.groupBy("wanted").agg(F.sum("described").alias("n")), "wanted").select(*PROFILE, "n")
-    return by_category.unionByName(by_feature).groupBy(*PROFILE).agg(F.sum("n").alias("relevant_products"))
+    numbered = numbered_products(catalogue)
+    texts = numbered.select("text").where("text IS NOT NULL").distinct()
+    pairs = feature_texts(_distinct_features(profiles), texts)
+    return united_counts(profiles, category_bitmaps(numbered).unionByName(feature_bitmaps(numbered, pairs)))
 
 
 COUNTERS = ["total_recommendations", "relevant_recommendations", "total_relevant_products"]

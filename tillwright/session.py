@@ -56,3 +56,15 @@ def stored(df: DataFrame, purpose: str, path: str | None = None) -> DataFrame:
     path = path or scratch_dir(df.sparkSession, purpose)
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def dropped(spark: SparkSession, *paths: str) -> None:
+    """Delete intermediate tables that nothing reads any more."""
+    for path in paths:
+        target = spark._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def there(spark: SparkSession, path: str) -> bool:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
