@@ -274,7 +274,8 @@ def user_counters(counters: DataFrame) -> DataFrame:
     ).select("*", F.coalesce("first.relevant_products", F.lit(0)).alias("total_relevant_products"))
 
 
-def _scores(df: DataFrame, *keep: str) -> DataFrame:
+def scored(df: DataFrame, *keep: str) -> DataFrame:
+    """Precision, recall and F1 of rows that have the ``COUNTERS``; zero where there is nothing to divide by."""
     ratio = {
         "precision": share("relevant_recommendations", "total_recommendations"),
         "recall": share("relevant_recommendations", "total_relevant_products"),
@@ -286,46 +287,13 @@ def _scores(df: DataFrame, *keep: str) -> DataFrame:
 
 def metrics_by_user(counters: DataFrame) -> DataFrame:
     """(user_id, precision, recall, f1, counters)."""
-    return _scores(user_counters(counters), "user_id")
+    return scored(user_counters(counters), "user_id")
 
 
 def metrics_overall(counters: DataFrame) -> DataFrame:
     """One row over all users; recall can exceed 1, since views repeat and relevant products do not."""
     totals = user_counters(counters).agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in COUNTERS])
-    return _scores(totals)
-
-
-def metric_updates(events: DataFrame, counters: DataFrame, every: int = 10) -> DataFrame:
-    """The metrics as they stand at each view that finds a multiple of ``every`` events processed before it.
-
-    ``events`` has event_id, timestamp, event_type of all messages.  A last row,
-    with no event id, holds the figures after the last event.
-    """
-    counters = stored(counters, "counters")
-    first = user_counters(counters).select(
-        "user_id", F.col("first.event_id").alias("counted_at"), "total_relevant_products")
-    session = counters.groupBy("user_id").agg(F.min(F.struct("timestamp", "event_id"))["event_id"].alias("opened_at"))
-    marks = counters.join(first, "user_id").join(session, "user_id").select(
-        "event_id", "total_recommendations", "relevant_recommendations",
-        F.when(F.col("event_id") == F.col("counted_at"), F.col("total_relevant_products")).otherwise(0)
-        .alias("total_relevant_products"),
-        (F.col("event_id") == F.col("opened_at")).cast("bigint").alias("active_user_sessions"))
-    names = [*COUNTERS, "active_user_sessions"]
-    steps = events.select("event_id", "timestamp", "event_type").join(marks, "event_id", "left").select(
-        "event_id", "timestamp", "event_type", *[F.coalesce(n, F.lit(0)).alias(f"step_{n}") for n in names])
-    run = running_totals(
-        steps, [], ["timestamp", "event_id"],
-        {"events_processed": F.lit(1), **{n: F.col(f"step_{n}") for n in names}})
-    # the event itself is counted after its update is sent
-    due = run.where((F.col("event_type") == "product_view") & ((F.col("events_processed") - 1) % every == 0))
-    due = due.withColumn("events_processed", F.col("events_processed") - 1)
-    # running figures never fall, so the last ones are the largest
-    last = run.agg(
-        F.lit(None).cast("bigint").alias("event_id"),
-        *[F.coalesce(F.max(n), F.lit(0)).alias(n) for n in ["events_processed", *names]])
-    columns = ["event_id", "events_processed", *names]
-    every_row = due.select(*columns).unionByName(last.select(*columns))
-    return _scores(every_row, "event_id", "events_processed", "active_user_sessions")
+    return scored(totals)
 
 
 def history_chunks(events: DataFrame, size: int = 1000) -> DataFrame:

@@ -7,8 +7,12 @@ from pyspark.sql import functions as F
 from tillwright.operators import recommend as R
 from tillwright.plans.registry import query
 from tillwright.plans.shop import Shop, with_ctes
-from tillwright.session import scratch_dir
+from tillwright.session import scratch_dir, stored
+from tillwright.sources.topic import append, read_topic, send_to_topic, topic_messages
 from tillwright.streaming import events as E
+from tillwright.streaming.recommender import (
+    CatalogueIndex, last_metrics, start_metrics, start_recommendations, to_batches, to_topic)
+from tillwright.streaming.sessions import open_sessions, session_purchases, start_sessions
 
 K_BATCH, K_STREAM = 3, 5
 
@@ -123,30 +127,6 @@ def agg_history_lists(s):
     return out.withColumn("product_ids", F.concat_ws(",", F.col("product_ids").cast("array<string>")))
 
 
-# The running metrics after every tenth event, as windows over all events in one order.
-@query("stream_metrics_updates", f"""{RECS}, {RELEVANT},
-per_view AS (SELECT event_id, count(*) AS recs, sum(CASE WHEN tier <= 2 THEN 1 ELSE 0 END) AS good
-  FROM ranked WHERE has_profile GROUP BY event_id),
-steps AS (SELECT m.event_id, m.event_type, row_number() OVER w - 1 AS events_processed,
-    sum(coalesce(p.recs, 0)) OVER w AS total_recommendations, sum(coalesce(p.good, 0)) OVER w AS relevant_recommendations,
-    sum(CASE WHEN p.event_id = f.event_id THEN coalesce(r.n, 0) ELSE 0 END) OVER w AS total_relevant_products,
-    sum(CASE WHEN p.event_id = f.event_id THEN 1 ELSE 0 END) OVER w AS active_user_sessions
-  FROM messages m LEFT JOIN per_view p ON p.event_id = m.event_id
-  LEFT JOIN (SELECT user_id, min(event_id) AS event_id FROM messages WHERE {PROFILED} AND event_type = 'product_view' GROUP BY user_id) f
-    ON f.user_id = m.user_id
-  LEFT JOIN relevant r ON r.user_id = m.user_id
-  WINDOW w AS (ORDER BY m."timestamp", m.event_id ROWS UNBOUNDED PRECEDING)),
-due AS (SELECT * FROM steps WHERE event_type = 'product_view' AND events_processed % 10 = 0
-  UNION ALL (SELECT NULL, NULL, events_processed + 1, total_recommendations, relevant_recommendations, total_relevant_products,
-    active_user_sessions FROM steps ORDER BY events_processed DESC LIMIT 1))
-SELECT event_id, CAST(events_processed AS BIGINT) AS events_processed, CAST(active_user_sessions AS BIGINT) AS active_user_sessions,
-  {scores_sql(PRECISION, RECALL)}, CAST(total_recommendations AS BIGINT) AS total_recommendations,
-  CAST(relevant_recommendations AS BIGINT) AS relevant_recommendations, CAST(total_relevant_products AS BIGINT) AS total_relevant_products
-FROM due""")
-def stream_metrics_updates(s):
-    return _rounded(R.metric_updates(s.messages().select("event_id", "timestamp", "event_type"), _counters(s)))
-
-
 def _begin(s: Shop, start, *args, **kw):
     """Start a streaming query over everything there is; calling the result waits and reads what it wrote."""
     root = scratch_dir(s.spark, "stream")
@@ -163,8 +143,34 @@ def _run(s: Shop, start, *args, **kw):
     return _begin(s, start, *args, **kw)()
 
 
-def _stored_heads(s: Shop) -> R.Heads:
-    return R.catalogue_heads(s.catalogue(), K_STREAM).stored(scratch_dir(s.spark, "heads"))
+def _over_batches(s: Shop, begin, batches: int = 4) -> str:
+    """Send the shop's messages to a topic and run a query over it in so many batches, with a stop and a restart halfway.
+
+    ``begin(events, root)`` starts the query below the folder ``root``, which is returned.
+    """
+    root = scratch_dir(s.spark, "stream")
+    values = stored(s.values(), "values")
+    n = values.count()
+    middle = values.agg(F.percentile("timestamp", 0.5)).scalar()
+    for half in (F.col("timestamp") <= middle, F.col("timestamp") > middle):
+        part = values.where(half).repartitionByRange(4, "timestamp").sortWithinPartitions("timestamp")
+        append(part.select("value"), f"{root}/topic", partitions=1)
+        running = begin(E.parse(read_topic(s.spark, f"{root}/topic", "query", -(-n // batches))), root)
+        running.processAllAvailable()
+        running.stop()
+    return root
+
+
+AT_ONCE = {"processingTime": "0 seconds"}
+
+
+def _index(s: Shop, root: str) -> CatalogueIndex:
+    return CatalogueIndex(s.catalogue(), K_STREAM, f"{root}/index")
+
+
+def _sent_id(column="event_id"):
+    """The id that a message came with; ids made from its place are none."""
+    return F.when(F.col(column) >= 0, F.col(column))
 
 
 @query("src_event_stream", f"""{BASE} SELECT event_id, m.event_type, m."timestamp", user_id, m.product_id, c.name AS product_name,
@@ -185,15 +191,22 @@ def stream_route_events(s):
     return out.select("event_id", "event_type", "route")
 
 
-@query("stream_recommend", f"""{RECS}
-SELECT event_id, 'recommendations_generated' AS event_type, user_id, product_id AS viewed_product_id,
-  viewed_name AS viewed_product_name, string_agg(rec_id, ',' ORDER BY rank) AS recommendations,
-  CAST(count(*) AS INTEGER) AS recommendation_count, has_profile AS has_user_profile
-FROM ranked GROUP BY ALL""")
+SENT = with_ctes("catalogue", "messages", "sent")
+
+
+@query("stream_recommend", f"""{SENT}, {_tiers(str(K_STREAM))}
+SELECT s.id AS event_id, 'recommendations_generated' AS event_type, r.user_id, r.product_id AS viewed_product_id,
+  viewed_name AS viewed_product_name, recommendations, recommendation_count, has_profile AS has_user_profile
+FROM (SELECT event_id, user_id, product_id, viewed_name, has_profile, CAST(count(*) AS INTEGER) AS recommendation_count,
+    string_agg(rec_id || ':' || c.name || ':' || c.price, ',' ORDER BY rank) AS recommendations
+  FROM ranked JOIN catalogue c ON c.id = rec_id GROUP BY ALL) r JOIN sent s ON s.event_id = r.event_id""")
 def stream_recommend(s):
-    out = _run(s, E.start_recommendations, s.message_stream(), _stored_heads(s))
-    return out.drop("batch_id", "timestamp").withColumn(
-        "recommendations", F.concat_ws(",", F.col("recommendations").cast("array<string>")))
+    def begin(events, root):
+        return start_recommendations(events, _index(s, root), to_batches(f"{root}/out"), f"{root}/checkpoint", AT_ONCE)
+
+    out = s.spark.read.parquet(f"{_over_batches(s, begin)}/out")
+    whole = F.transform("recommendations", lambda p: F.concat_ws(":", p["id"], p["name"], p["price"].cast("string")))
+    return out.drop("batch_id", "timestamp").withColumns({"recommendations": F.array_join(whole, ","), "event_id": _sent_id()})
 
 
 CONFIRMED = """SELECT event_id, 'purchase_confirmed' AS event_type, m."timestamp", user_id, product_id,
@@ -205,67 +218,111 @@ def stream_purchase_confirm(s):
     return _run(s, E.start, E.purchase_confirmations(s.message_stream())).drop("batch_id")
 
 
-def _sent(messages):
-    return messages.select(F.to_json(F.struct("*")).alias("value"))
+METRIC_STEPS = f"""per_view AS (SELECT event_id, count(*) AS recs, sum(CASE WHEN tier <= 2 THEN 1 ELSE 0 END) AS good
+  FROM ranked WHERE has_profile GROUP BY event_id),
+steps AS (SELECT m.id AS event_id, m.event_type, row_number() OVER w - 1 AS events_processed,
+    sum(coalesce(p.recs, 0)) OVER w AS total_recommendations, sum(coalesce(p.good, 0)) OVER w AS relevant_recommendations,
+    sum(CASE WHEN p.event_id = f.event_id AND copy = 0 THEN coalesce(r.n, 0) ELSE 0 END) OVER w AS total_relevant_products,
+    sum(CASE WHEN p.event_id = f.event_id AND copy = 0 THEN 1 ELSE 0 END) OVER w AS active_user_sessions
+  FROM sent m LEFT JOIN per_view p ON p.event_id = m.event_id
+  LEFT JOIN (SELECT user_id, min(event_id) AS event_id FROM messages WHERE {PROFILED} AND event_type = 'product_view' GROUP BY user_id) f
+    ON f.user_id = m.user_id
+  LEFT JOIN relevant r ON r.user_id = m.user_id
+  WINDOW w AS (ORDER BY m."timestamp", copy ROWS UNBOUNDED PRECEDING)),
+due AS (SELECT * FROM steps WHERE event_type = 'product_view' AND events_processed % 10 = 0
+  UNION ALL (SELECT NULL, NULL, events_processed + 1, total_recommendations, relevant_recommendations, total_relevant_products,
+    active_user_sessions FROM steps ORDER BY events_processed DESC LIMIT 1))"""
+STREAM_RECS = f"{SENT}, {_tiers(str(K_STREAM))}"
+
+
+def _metrics_run(s: Shop, send=None) -> str:
+    def begin(events, root):
+        return start_metrics(events, _index(s, root), f"{root}/metrics", send(root) if send else to_batches(f"{root}/out"),
+                             f"{root}/checkpoint", trigger=AT_ONCE)
+    return _over_batches(s, begin)
 
 
-# All three kinds of message as JSON, as they would be sent.
-@query("sink_event_stream", f"""{RECS}, sent AS ({CONFIRMED}),
-due AS (SELECT event_type, row_number() OVER (ORDER BY "timestamp", event_id) - 1 AS events_processed FROM messages)
-SELECT 'purchase_confirmed' AS event_type, event_id, user_id, product_name, price, NULL::VARCHAR AS recommended, NULL::BIGINT AS events_processed FROM sent
-UNION ALL SELECT 'recommendations_generated', event_id, user_id, NULL, NULL,
-  string_agg(c.id || ':' || c.name, ',' ORDER BY rank), NULL FROM ranked JOIN catalogue c ON c.id = rec_id GROUP BY ALL
-UNION ALL SELECT 'metrics_update', NULL, NULL, NULL, NULL, NULL, CAST(events_processed AS BIGINT) FROM due
-WHERE event_type = 'product_view' AND events_processed % 10 = 0""")
+# The running metrics after every tenth event and at the end, as windows over all messages in one order.
+@query("stream_metrics_updates", f"""{STREAM_RECS}, {RELEVANT}, {METRIC_STEPS}
+SELECT CAST(events_processed AS BIGINT) AS events_processed, CAST(active_user_sessions AS BIGINT) AS active_user_sessions,
+  {scores_sql(PRECISION, RECALL)}, CAST(total_recommendations AS BIGINT) AS total_recommendations,
+  CAST(relevant_recommendations AS BIGINT) AS relevant_recommendations, CAST(total_relevant_products AS BIGINT) AS total_relevant_products
+FROM due""")
+def stream_metrics_updates(s):
+    root = _metrics_run(s)
+    messages = s.spark.read.parquet(f"{root}/out").drop("batch_id").unionByName(last_metrics(s.spark, f"{root}/metrics"))
+    return _rounded(messages.select("metrics.*"))
+
+
+# All three kinds of message, as running streams send them to their topics.
+@query("sink_event_stream", f"""{STREAM_RECS}, {RELEVANT}, {METRIC_STEPS}
+SELECT 'purchase_confirmed' AS event_type, m.id AS event_id, user_id, c.name AS product_name, c.price, NULL::VARCHAR AS recommended,
+  NULL::BIGINT AS events_processed
+FROM sent m JOIN catalogue c ON c.id = m.product_id WHERE m.event_type = 'product_purchase'
+UNION ALL SELECT 'recommendations_generated', s.id, r.user_id, NULL, NULL, r.recommended, NULL
+FROM (SELECT event_id, user_id, string_agg(c.id || ':' || c.name, ',' ORDER BY rank) AS recommended
+  FROM ranked JOIN catalogue c ON c.id = rec_id GROUP BY ALL) r JOIN sent s ON s.event_id = r.event_id
+UNION ALL SELECT 'metrics_update', NULL, NULL, NULL, NULL, NULL, CAST(events_processed AS BIGINT) FROM due""")
 def sink_event_stream(s):
-    bought = _run(s, E.start, _sent(E.purchase_confirmations(s.message_stream())))
-    recommended = E.with_products(_run(s, E.start_recommendations, s.message_stream(), _stored_heads(s)).drop("batch_id"), s.catalogue())
-    # the metrics so far, at every tenth event
-    updates = R.metric_updates(s.messages().select("event_id", "timestamp", "event_type"), _counters(s)).where("event_id IS NOT NULL")
-    updates = updates.join(s.messages().select("event_id", "timestamp"), "event_id")
-    values = bought.select("value").unionByName(_sent(recommended)).unionByName(_sent(E.metrics_messages(updates, 0.0)))
+    def begin_confirmations(events, root):
+        return send_to_topic(E.purchase_confirmations(events), f"{root}/recommendations", f"{root}/checkpoint", "purchases", **AT_ONCE)
+
+    def begin_recommendations(events, root):
+        return start_recommendations(events, _index(s, root), to_topic(f"{root}/recommendations", "views"), f"{root}/checkpoint", AT_ONCE)
+
+    bought, viewed = _over_batches(s, begin_confirmations), _over_batches(s, begin_recommendations)
+    metrics = _metrics_run(s, lambda root: to_topic(f"{root}/sent", "metrics"))
+    append(last_metrics(s.spark, f"{metrics}/metrics"), f"{metrics}/sent")
+    values = topic_messages(s.spark, f"{bought}/recommendations").unionByName(
+        topic_messages(s.spark, f"{viewed}/recommendations")).unionByName(topic_messages(s.spark, f"{metrics}/sent"))
     message = F.from_json("value", """event_type string, event_id bigint, user_id bigint, product_name string, price double,
         recommendations array<struct<id: bigint, name: string>>, metrics struct<events_processed: bigint>""")
     recs = F.transform("m.recommendations", lambda p: F.concat(p["id"].cast("string"), F.lit(":"), p["name"]))
     return values.select(message.alias("m")).select(
-        "m.event_type", "m.event_id", "m.user_id", "m.product_name", "m.price",
+        "m.event_type", _sent_id("m.event_id").alias("event_id"), "m.user_id", "m.product_name", "m.price",
         F.when(F.col("m.recommendations").isNotNull(), F.array_join(recs, ",")).alias("recommended"),
         F.col("m.metrics.events_processed").alias("events_processed"))
 
 
-@query("stream_user_sessions", f"""{BASE},
-last_view AS (SELECT user_id, max(event_id) AS last_view, any_value(cats) AS cats FROM messages
-  WHERE {PROFILED} AND event_type = 'product_view' GROUP BY user_id)
-SELECT l.user_id, last_view, array_to_string(cats, ',') AS categories, CAST(1 AS INTEGER) AS restored_views,
-  (SELECT count(*) FROM messages p WHERE p.event_type = 'product_purchase' AND p.user_id = l.user_id AND p.event_id > last_view)
+def _sessions_run(s: Shop) -> str:
+    def begin(events, root):
+        return start_sessions(events, f"{root}/out", f"{root}/checkpoint", trigger=AT_ONCE)
+    return f"{_over_batches(s, begin)}/checkpoint"
+
+
+LAST_VIEW = f"""last_view AS (SELECT user_id, max_by(id, "timestamp") AS last_view, max("timestamp") AS viewed, any_value(cats) AS cats FROM sent
+  WHERE {PROFILED} AND event_type = 'product_view' GROUP BY user_id)"""
+
+
+@query("stream_user_sessions", f"""{SENT}, {LAST_VIEW}
+SELECT l.user_id, CASE WHEN (SELECT bool_or(id IS NULL) FROM sent s WHERE s.user_id = l.user_id AND s."timestamp" = viewed) THEN NULL
+    ELSE last_view END AS last_view, array_to_string(cats, ',') AS categories, CAST(1 AS INTEGER) AS restored_views,
+  (SELECT count(*) FROM sent p WHERE p.event_type = 'product_purchase' AND p.user_id = l.user_id AND p."timestamp" > viewed)
     AS purchases_since
 FROM last_view l""")
 def stream_user_sessions(s):
-    profiles = _begin(s, E.start, s.message_stream(), build=E.last_profiles)
-    purchases = _begin(s, E.start, E.purchase_confirmations(s.message_stream()))
-    return E.sessions(profiles(), purchases()).select(
-        "user_id", "last_view", F.concat_ws(",", "profile.preferred_categories").alias("categories"),
+    return open_sessions(s.spark, _sessions_run(s)).select(
+        "user_id", _sent_id("last_view").alias("last_view"), F.concat_ws(",", "profile.preferred_categories").alias("categories"),
         "restored_views", "purchases_since")
 
 
-@query("stream_session_purchases", f"""{BASE},
-last_view AS (SELECT user_id, max(event_id) AS last_view FROM messages
-  WHERE {PROFILED} AND event_type = 'product_view' GROUP BY user_id),
-placed AS (SELECT m.user_id, m.product_id, row_number() OVER (PARTITION BY m.user_id ORDER BY m."timestamp", m.event_id) - 1 AS place
-  FROM messages m JOIN last_view l ON l.user_id = m.user_id WHERE m.event_type = 'product_purchase' AND m.event_id > last_view)
+@query("stream_session_purchases", f"""{SENT}, {LAST_VIEW},
+placed AS (SELECT m.user_id, m.product_id, row_number() OVER (PARTITION BY m.user_id ORDER BY m."timestamp", m.copy) - 1 AS place
+  FROM sent m JOIN last_view l ON l.user_id = m.user_id WHERE m.event_type = 'product_purchase' AND m."timestamp" > viewed)
 SELECT user_id, place // 2 AS chunk, string_agg(product_id, ',' ORDER BY place) AS product_ids FROM placed GROUP BY ALL""")
 def stream_session_purchases(s):
-    profiles = _begin(s, E.start, s.message_stream(), build=E.last_profiles)
-    purchases = _begin(s, E.start, E.purchase_confirmations(s.message_stream()))
-    out = E.session_purchases(profiles(), purchases(), 2)
+    out = session_purchases(s.spark, _sessions_run(s), 2)
     return out.withColumn("product_ids", F.concat_ws(",", F.col("product_ids").cast("array<string>")))
 
 
-@query("stream_metrics", f"""{USER_COUNTERS} SELECT {SCORES},
-  (SELECT count(*) FROM messages) AS events_processed, (SELECT count(*) FROM counters) AS active_user_sessions FROM ({TOTALS})""")
+# the totals after the last message
+@query("stream_metrics", f"""{STREAM_RECS}, {RELEVANT}, {METRIC_STEPS}
+SELECT {scores_sql(PRECISION, RECALL)}, CAST(total_recommendations AS BIGINT) AS total_recommendations,
+  CAST(relevant_recommendations AS BIGINT) AS relevant_recommendations, CAST(total_relevant_products AS BIGINT) AS total_relevant_products,
+  CAST(events_processed AS BIGINT) AS events_processed, CAST(active_user_sessions AS BIGINT) AS active_user_sessions
+FROM due WHERE event_type IS NULL""")
 def stream_metrics(s):
-    written = _run(s, E.start_counters, s.message_stream(), _stored_heads(s), s.catalogue())
-    return _rounded(E.metrics_update(written))
+    return _rounded(last_metrics(s.spark, f"{_metrics_run(s)}/metrics").select("metrics.*"))
 
 
 @query("stream_monitor", f"""{BASE}

@@ -74,6 +74,10 @@ CTE = {
     "catalogue": """catalogue AS (
   SELECT p_partkey AS id, p_partkey AS pos, p_name AS name, p_brand || '/' || p_size AS category, p_retailprice AS price,
          p_name AS description FROM part)""",
+    # the messages as sent: every tenth twice and without an id
+    "sent": """sent AS (
+  SELECT CASE WHEN event_id % 10 <> 0 THEN event_id END AS id, 0 AS copy, * FROM messages
+  UNION ALL SELECT NULL, 1, * FROM messages WHERE event_id % 10 = 0)""",
     # events as messages; user % 10 = 9 sends no profile
     "messages": """messages AS (
   SELECT event_id, CASE event_type WHEN 'view' THEN 'product_view' WHEN 'purchase' THEN 'product_purchase' ELSE event_type END AS event_type,
@@ -257,6 +261,15 @@ class Shop:
     def messages(self) -> DataFrame:
         return self._messages(self.table("events"))
 
+    def values(self) -> DataFrame:
+        """The messages as sent, in order of time: JSON, every tenth message twice and without an id."""
+        tenth = F.col("event_id") % 10 == 0
+        rows = self.messages().withColumn("_times", F.array_repeat(F.lit(1), F.when(tenth, 2).otherwise(1)))
+        rows = rows.withColumn("event_id", F.when(~tenth, F.col("event_id")))
+        sent = rows.select("timestamp", F.explode("_times"), F.to_json(F.struct(
+            *[c for c in rows.columns if c != "_times"])).alias("value"))
+        return sent.repartitionByRange(8, "timestamp").sortWithinPartitions("timestamp").select("timestamp", "value")
+
     def message_stream(self) -> DataFrame:
         """The same messages as JSON, read as a stream of files and parsed."""
         schema = self.table("events").schema

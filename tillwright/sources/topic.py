@@ -8,7 +8,7 @@ Writing is exactly once: tasks write staged files, and the commit of a micro-bat
 they become, then moves them.  A commit that is repeated finishes the moves recorded and throws its own files away.
 
 Options: ``path``; ``reader``, the name that a limited reader keeps its place under (one per query); ``writer``, the name
-of a writing query (one per query); ``partitions`` of a new topic (3).  A message is a line: line breaks within
+of a writing query (one per query); ``commit``, a name that a batch write is done under once; ``partitions`` of a new topic (3).  A message is a line: line breaks within
 it have to be escaped, as JSON does.  Any folder that ``pyarrow.fs`` opens will do, if all executors see it.
 """
 
@@ -195,7 +195,9 @@ class TopicStreamReader(DataSourceStreamReader):
 
     def partitions(self, start: dict, end: dict) -> Sequence[InputPartition]:
         Segments(self.path).write_json(self.place, end)
-        return [Slice(int(p), start.get(p, 0), n) for p, n in sorted(end.items()) if n > start.get(p, 0)]
+        # a task per segment, or the part of it that is wanted
+        return [Slice(int(p), max(first, start.get(p, 0)), min(last, n)) for p, n in sorted(end.items())
+                for first, last, _ in Segments(self.path).listed(int(p)) if last > start.get(p, 0) and first < n]
 
     def read(self, partition: Slice) -> Iterator[pa.RecordBatch]:
         return _lines(self.path, partition)
@@ -225,7 +227,7 @@ class _Writing:
 
 class TopicWriter(_Writing, DataSourceArrowWriter):
     def commit(self, messages) -> None:
-        self._commit(messages, f"write-{uuid.uuid4().hex}")
+        self._commit(messages, self.writer or f"write-{uuid.uuid4().hex}")
 
     def abort(self, messages) -> None:
         self._abort(messages)
@@ -256,18 +258,18 @@ class TopicSource(DataSource):
             raise ValueError("a limited reader needs the option 'reader', a name of its own")
         return TopicStreamReader(self.options["path"], self.options.get("reader", "any"), int(limit) if limit else None)
 
-    def _writing(self, schema) -> tuple[str, str, int]:
+    def _writing(self, schema, name: str) -> tuple[str, str, int]:
         if "value" not in schema.fieldNames():
             raise ValueError("a topic takes a column 'value'")
-        return self.options["path"], self.options.get("writer", "any"), int(self.options.get("partitions", PARTITIONS))
+        return self.options["path"], name, int(self.options.get("partitions", PARTITIONS))
 
     def writer(self, schema, overwrite: bool) -> TopicWriter:
         if overwrite:
             raise ValueError("a topic is only appended to")
-        return TopicWriter(*self._writing(schema))
+        return TopicWriter(*self._writing(schema, self.options.get("commit", "")))
 
     def streamWriter(self, schema, overwrite: bool) -> TopicStreamWriter:
-        return TopicStreamWriter(*self._writing(schema))
+        return TopicStreamWriter(*self._writing(schema, self.options.get("writer", "any")))
 
 
 def read_topic(spark: SparkSession, path: str, reader: str = "any", max_per_batch: int | None = None) -> DataFrame:
@@ -283,10 +285,11 @@ def topic_messages(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.format("topic").option("path", path).load()
 
 
-def append(values: DataFrame, path: str, partitions: int = PARTITIONS) -> None:
-    """Send the rows of a table: its column ``value``, or each row as JSON."""
+def append(values: DataFrame, path: str, partitions: int = PARTITIONS, commit: str | None = None) -> None:
+    """Send the rows of a table: its column ``value``, or each row as JSON.  What has a ``commit`` of the same name is sent once."""
     values.sparkSession.dataSource.register(TopicSource)
-    _as_values(values).write.format("topic").option("path", path).option("partitions", partitions).mode("append").save()
+    writing = _as_values(values).write.format("topic").option("path", path).option("partitions", partitions)
+    (writing.option("commit", commit) if commit else writing).mode("append").save()
 
 
 def send_to_topic(stream: DataFrame, path: str, checkpoint: str, writer: str, **trigger):

@@ -9,18 +9,17 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillwright.operators import recommend as R
-
 # fixed values: topics
 TOPICS = {"events": "user-events", "recommendations": "recommendations", "metrics": "metrics"}
 
 PRODUCT = "struct<id:bigint,name:string,category:string,price:double,description:string>"
-PROFILE = ("struct<preferred_categories:array<string>,preferred_features:array<string>,price_sensitivity:double,"
-           "viewing_history:array<bigint>,purchase_history:array<bigint>>")
-# ``event_id`` is optional: messages without one are told apart by their text
+PROFILE_FIELDS = {"preferred_categories": "array<string>", "preferred_features": "array<string>", "price_sensitivity": "double",
+                  "viewing_history": "array<bigint>", "purchase_history": "array<bigint>"}
+PROFILE = f"struct<{','.join(f'{name}:{kind}' for name, kind in PROFILE_FIELDS.items())}>"
+# ``event_id`` is optional: messages without one get an id from their place in the source
 MESSAGE = (f"event_id bigint, event_type string, timestamp double, user_id bigint, product_id bigint, "
            f"product {PRODUCT}, user_profile {PROFILE}")
 
@@ -31,20 +30,34 @@ def kafka_options(servers: str, topic: str) -> dict[str, str]:
 
 def read_kafka(spark: SparkSession, servers: str, topic: str = TOPICS["events"],
                max_per_batch: int | None = None) -> DataFrame:
-    """(value) of the topic's messages, from the earliest offset.  Needs Spark's Kafka package."""
+    """(partition, offset, value) of the topic's messages, from the earliest offset.  Needs Spark's Kafka package."""
     options = kafka_options(servers, topic)
     if max_per_batch:
         options["maxOffsetsPerTrigger"] = str(max_per_batch)
     stream = spark.readStream.format("kafka").options(**options).load()
-    return stream.select(F.col("value").cast("string").alias("value"))
+    return stream.select("partition", "offset", F.col("value").cast("string").alias("value"))
 
 
 def read_files(spark: SparkSession, path: str, files_per_batch: int | None = None) -> DataFrame:
-    """(value) of the JSON lines files in a folder."""
+    """(file, value) of the JSON lines files in a folder."""
     reader = spark.readStream.format("text")
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return reader.load(path)
+    return reader.load(path).select(F.col("_metadata.file_path").alias("file"), "value")
+
+
+# ids made from a place lie below all that shops give out, and grow with the offset
+_OWN_IDS, _OFFSET_BITS = -(1 << 62), 44
+
+
+def place_id(raw: DataFrame) -> Column:
+    """An id for a message without one: its partition and offset, or in files the file and the text.
+
+    Equal lines of one file can't be told apart by what they say and share an id; the jobs here count rows, not ids.
+    """
+    if "offset" in raw.columns:
+        return F.lit(_OWN_IDS) + F.shiftleft(F.col("partition").cast("long"), _OFFSET_BITS) + F.col("offset")
+    return F.xxhash64(*[c for c in ("file", "value") if c in raw.columns])
 
 
 def parse(raw: DataFrame) -> DataFrame:
@@ -52,8 +65,8 @@ def parse(raw: DataFrame) -> DataFrame:
 
     ``inline`` keeps later filters above the parser; pushed below, they would parse every message again.
     """
-    message = raw.select("value", F.inline(F.array(F.from_json("value", MESSAGE))))
-    return message.withColumn("event_id", F.coalesce("event_id", F.xxhash64("value"))).drop("value")
+    message = raw.select(place_id(raw).alias("place"), F.inline(F.array(F.from_json("value", MESSAGE))))
+    return message.withColumn("event_id", F.coalesce("event_id", "place")).drop("place")
 
 
 def route(events: DataFrame) -> DataFrame:
@@ -74,32 +87,36 @@ def views_of(events: DataFrame) -> DataFrame:
 
 
 def recommendation_messages(recs: DataFrame) -> DataFrame:
-    """The message sent for each view."""
+    """The message sent for each view, with whole products if ``recs`` has them."""
     return recs.select(
         "event_id", F.lit("recommendations_generated").alias("event_type"), "timestamp", "user_id",
         F.col("product_id").alias("viewed_product_id"), F.col("product_name").alias("viewed_product_name"),
-        F.col("recs").alias("recommendations"),
+        F.col("products" if "products" in recs.columns else "recs").alias("recommendations"),
         F.size("recs").alias("recommendation_count"), F.col("has_profile").alias("has_user_profile"))
 
 
 def with_products(messages: DataFrame, catalogue: DataFrame) -> DataFrame:
     """Recommendation messages with whole products in place of their ids, in the same order.
 
-    Only the ids are joined, so the catalogue's side is each product once and the messages stay narrow until the end.
+    Messages go through the join once, by a number of their own, as ids may be missing or equal; a product that is listed
+    more than once has its first row by ``DETAILS``.
     """
-    columns = ("id", "name", "category", "price", "description")
-    listed = messages.select("event_id", F.posexplode("recommendations").alias("place", "id"))
-    products = catalogue.select("id", F.struct(*columns).alias("product"))
-    whole = listed.join(products, "id").groupBy("event_id").agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("place", "product"))), lambda x: x["product"]).alias("products"))
-    return messages.join(whole, "event_id", "left").select(
-        *[F.coalesce("products", F.array()).alias(c) if c == "recommendations" else c for c in messages.columns])
+    details = ("name", "category", "price", "description")
+    kept = [c for c in messages.columns if c != "recommendations"]
+    listed = messages.withColumn("_row", F.monotonically_increasing_id()).select(
+        "_row", F.struct(*kept).alias("_message"), F.posexplode_outer("recommendations").alias("_place", "_id"))
+    products = catalogue.groupBy("id").agg(F.min(F.struct(*details)).alias("first")).select(
+        F.col("id").alias("_id"), F.struct("id", "first.*").alias("_product"))
+    found = F.when(F.col("_product").isNotNull(), F.struct("_place", "_product"))
+    whole = listed.join(products, "_id", "left").groupBy("_row").agg(
+        F.first("_message").alias("_message"), F.array_sort(F.collect_list(found)).alias("_found"))
+    return whole.select("_message.*", F.transform("_found", lambda x: x["_product"]).alias("recommendations")).select(*messages.columns)
 
 
 def metrics_messages(updates: DataFrame, started: float, every: int = 10) -> DataFrame:
     """The metrics message after every ``every``-th event: totals so far, run time and events per second.
 
-    ``updates`` has a row per due event, with its ``timestamp`` (``recommend.metric_updates``).
+    ``updates`` has a row per due event, with its ``timestamp``.
     """
     runtime = F.greatest(F.col("timestamp") - F.lit(started), F.lit(0.0))
     per_second = F.when(runtime > 0, F.col("events_processed") / runtime).otherwise(0.0)
@@ -116,55 +133,6 @@ def purchase_confirmations(events: DataFrame) -> DataFrame:
         F.coalesce("product.price", F.lit(0.0)).alias("price"))
 
 
-def last_profiles(events: DataFrame) -> DataFrame:
-    """Per user of a batch: the profile of the latest view and when it came.
-
-    ``max_by`` combines on the map side, so a user with a large part of the stream costs no more than any
-    other.  Each batch writes its own rows and the latest is taken on reading: the stream keeps no state.
-    """
-    views = events.where((F.col("event_type") == "product_view") & F.col("user_profile").isNotNull()
-                         & (F.col("user_id") != 0))
-    at = F.struct("timestamp", "event_id")
-    return views.groupBy("user_id").agg(F.max(at).alias("at"), F.max_by("user_profile", at).alias("profile"))
-
-
-def latest_profiles(profiles: DataFrame, idle_seconds: float | None = None) -> DataFrame:
-    """The newest of the written profiles of each user; users idle for longer before the newest view are left out."""
-    latest = profiles.groupBy("user_id").agg(F.max("at").alias("at"), F.max_by("profile", "at").alias("profile"))
-    if idle_seconds is None:
-        return latest
-    newest = profiles.agg(F.max("at.timestamp").alias("newest")).scalar()
-    return latest.where(F.col("at.timestamp") >= newest - F.lit(idle_seconds))
-
-
-def purchases_since(latest: DataFrame, purchases: DataFrame) -> DataFrame:
-    """The confirmed purchases after each user's latest view."""
-    return purchases.join(latest.select("user_id", "at"), "user_id").where(F.struct("timestamp", "event_id") > F.col("at"))
-
-
-def session_purchases(profiles: DataFrame, purchases: DataFrame, size: int = 1000,
-                      idle_seconds: float | None = None) -> DataFrame:
-    """The purchase history of each session, in order, in rows of at most ``size`` products."""
-    since = purchases_since(latest_profiles(profiles, idle_seconds), purchases)
-    rows = since.select("user_id", F.lit("purchased").alias("kind"), "timestamp", "event_id", "product_id")
-    return R.history_chunks(rows, size).drop("kind")
-
-
-def sessions(profiles: DataFrame, purchases: DataFrame, idle_seconds: float | None = None) -> DataFrame:
-    """Session per user: the latest profile, its restored history, and how many purchases came since.
-
-    ``profiles`` has several versions per user, ``purchases`` are the confirmations.  A purchase counts only
-    after the user's latest view: an earlier one was replaced with the session it belonged to.
-    """
-    latest = latest_profiles(profiles, idle_seconds)
-    since = purchases_since(latest, purchases).groupBy("user_id").agg(F.count("*").alias("purchases_since"))
-    return latest.join(since, "user_id", "left").select(
-        "user_id", F.col("at.event_id").alias("last_view"), "profile",
-        F.size(F.coalesce("profile.viewing_history", F.array())).alias("restored_views"),
-        F.size(F.coalesce("profile.purchase_history", F.array())).alias("restored_purchases"),
-        F.coalesce("purchases_since", F.lit(0)).alias("purchases_since"))
-
-
 def counts_by_type(events: DataFrame, window: str = "1 minute", topic: str = TOPICS["events"]) -> DataFrame:
     """Messages of one batch per topic, event type and time window.
 
@@ -225,36 +193,3 @@ def start(stream: DataFrame, path: str, checkpoint: str, build: Callable[[DataFr
         stream.writeStream.foreachBatch(save_batches(path, build, reread)).outputMode(mode)
         .option("checkpointLocation", checkpoint).trigger(**trigger).start()
     )
-
-
-def start_recommendations(events: DataFrame, heads: R.Heads, path: str, checkpoint: str, **kw):
-    """Recommendation messages for every view of the stream."""
-
-    def build(batch: DataFrame) -> DataFrame:
-        views = views_of(batch)
-        return recommendation_messages(R.recommend(views, heads, R.distinct_profiles(views, f"{path}-profiles")))
-
-    return start(events, path, checkpoint, build, reread=True, **kw)
-
-
-def start_counters(events: DataFrame, heads: R.Heads, catalogue: DataFrame, path: str, checkpoint: str, **kw):
-    """Per view the counters that the metrics are made of, and per batch the number of events."""
-
-    def build(batch: DataFrame) -> DataFrame:
-        views = views_of(batch)
-        profiles = R.distinct_profiles(views, f"{path}-profiles")
-        views = R.event_counters(R.recommend(views, heads, profiles), R.relevant_counts(profiles, catalogue))
-        counted = batch.agg(F.count("*").alias("events_processed"))
-        return views.withColumn("kind", F.lit("view")).unionByName(
-            counted.withColumn("kind", F.lit("batch")), allowMissingColumns=True)
-
-    return start(events, path, checkpoint, build, reread=True, **kw)
-
-
-def metrics_update(written: DataFrame) -> DataFrame:
-    """One row: precision, recall, F1, events processed and active sessions over all batches."""
-    counters = written.where("kind = 'view'").drop("kind")
-    seen = counters.agg(F.count_distinct("user_id").alias("active_user_sessions"))
-    processed = written.agg(F.coalesce(F.sum("events_processed"), F.lit(0)).alias("events_processed"))
-    return R.metrics_overall(counters).select(
-        "*", processed.scalar().alias("events_processed"), seen.scalar().alias("active_user_sessions"))
