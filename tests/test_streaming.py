@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tillwright.operators import recommend as R
+from tillwright.sources.topic import append, read_topics
 from tillwright.streaming import events as E
 from tillwright.streaming.recommender import (
     CatalogueIndex, Ledger, last_metrics, start_metrics, start_recommendations, to_batches)
@@ -189,6 +190,27 @@ def test_monitor_counts(spark, tmp_path):
     assert {r["topic"] for r in got} == {"user-events"} and max(r["per_second"] for r in got) == 5 / 3600
 
 
+def test_rates_of_a_monitor_of_three_topics(spark, tmp_path):
+    paths = {name: str(tmp_path / name) for name in E.TOPICS.values()}
+    with E.Rates(spark) as rates:
+        for n, lines in enumerate((FIRST, SECOND, FOURTH, FIRST[:1])):
+            for topic, path in list(paths.items())[:1 + n % 3]:
+                append(spark.createDataFrame([(x,) for x in lines], "value string"), path)
+            running = E.start_monitor(E.parse(read_topics(spark, paths, "m")), str(tmp_path / "out"), str(tmp_path / "state"),
+                                      window="1 hour", trigger={"processingTime": "0 seconds"})
+            running.processAllAvailable()
+            running.stop()
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(10_000)
+        table = rates.table().orderBy("batch_id").collect()
+    assert [r["messages"] for r in table] == [5, 10, 6, 1] and all(r["per_second"] > 0 for r in table)
+    assert table[0]["newest"] == 1004.0
+    got = {}
+    for r in E.monitored(spark.read.parquet(str(tmp_path / "out"))).collect():
+        got[r["topic"]] = got.get(r["topic"], 0) + r["messages"]
+    # text that is no message has no time and so no window
+    assert got == {"user-events": 4 + 5 + 2 + 1, "recommendations": 5 + 2, "metrics": 2}
+
+
 def without_id(line):
     message = json.loads(line)
     del message["event_id"]

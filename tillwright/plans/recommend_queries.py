@@ -8,7 +8,7 @@ from tillwright.operators import recommend as R
 from tillwright.plans.registry import query
 from tillwright.plans.shop import Shop, with_ctes
 from tillwright.session import scratch_dir, stored
-from tillwright.sources.topic import append, read_topic, send_to_topic, topic_messages
+from tillwright.sources.topic import append, read_topic, read_topics, send_to_topic, topic_messages
 from tillwright.streaming import events as E
 from tillwright.streaming.recommender import (
     CatalogueIndex, last_metrics, start_metrics, start_recommendations, to_batches, to_topic)
@@ -325,10 +325,30 @@ def stream_metrics(s):
     return _rounded(last_metrics(s.spark, f"{_metrics_run(s)}/metrics").select("metrics.*"))
 
 
-@query("stream_monitor", f"""{BASE}
-SELECT 'user-events' AS topic, date_trunc('day', make_timestamp(CAST("timestamp" * 1000000 AS BIGINT))) AS window_start,
+# Three topics by kind of message; the first messages come last.
+TOPIC_OF = "CASE event_type WHEN 'product_view' THEN 'user-events' WHEN 'product_purchase' THEN 'recommendations' ELSE 'metrics' END"
+
+
+@query("stream_monitor", f"""{SENT}
+SELECT {TOPIC_OF} AS topic, date_trunc('day', make_timestamp(CAST("timestamp" * 1000000 AS BIGINT))) AS window_start,
   event_type, count(*) AS messages, round(CAST(count(*) AS DOUBLE) / 86400, 9) AS per_second
-FROM messages GROUP BY ALL""")
+FROM sent GROUP BY ALL UNION ALL SELECT 'all, as observed', NULL, NULL, count(*), NULL FROM sent""")
 def stream_monitor(s):
-    return E.monitored(_run(s, E.start_monitor, s.message_stream(), window="1 day")).withColumns(
-        {"window_start": F.col("window_start").cast("timestamp_ntz"), "per_second": F.round("per_second", 9)})
+    root = scratch_dir(s.spark, "monitor")
+    values = stored(s.values().withColumn("event_type", F.get_json_object("value", "$.event_type")).withColumn(
+        "topic", F.expr(TOPIC_OF)), "values")
+    paths = {name: f"{root}/{name}" for name in E.TOPICS.values()}
+    n, early = values.count(), values.agg(F.percentile("timestamp", 0.1)).scalar()
+    with E.Rates(s.spark) as rates:
+        for part in (F.col("timestamp") > early, F.col("timestamp") <= early):
+            for name, path in paths.items():
+                append(values.where(part & (F.col("topic") == name)).select("value"), path)
+            events = E.parse(read_topics(s.spark, paths, "monitor", max(1, n // 6)))
+            running = E.start_monitor(events, f"{root}/out", f"{root}/checkpoint", window="1 day", trigger=AT_ONCE)
+            running.processAllAvailable()
+            running.stop()
+        s.spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+        counts = E.monitored(s.spark.read.parquet(f"{root}/out"))
+        observed = rates.table().agg(F.sum("messages").alias("messages"))
+    both = counts.unionByName(observed.select(F.lit("all, as observed").alias("topic"), "messages"), allowMissingColumns=True)
+    return both.withColumns({"window_start": F.col("window_start").cast("timestamp_ntz"), "per_second": F.round("per_second", 9)})

@@ -16,7 +16,8 @@ from __future__ import annotations
 
 import json
 import uuid
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterator, Mapping, Sequence
+from functools import reduce
 
 import pyarrow as pa
 from pyarrow import fs
@@ -279,6 +280,12 @@ def read_topic(spark: SparkSession, path: str, reader: str = "any", max_per_batc
     return (stream.option("maxOffsetsPerTrigger", max_per_batch) if max_per_batch else stream).load()
 
 
+def read_topics(spark: SparkSession, paths: Mapping[str, str], reader: str = "any", max_per_batch: int | None = None) -> DataFrame:
+    """(topic, partition, offset, value) of several topics, name to path, as one stream."""
+    streams = [read_topic(spark, path, reader, max_per_batch).select(F.lit(name).alias("topic"), "*") for name, path in paths.items()]
+    return reduce(DataFrame.unionByName, streams)
+
+
 def topic_messages(spark: SparkSession, path: str) -> DataFrame:
     """All that the topic holds by now."""
     spark.dataSource.register(TopicSource)

@@ -7,10 +7,12 @@ replaced as a whole when a batch is retried, so every message counts once.
 
 from __future__ import annotations
 
+from collections import OrderedDict
 from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQueryListener
 
 # fixed values: topics
 TOPICS = {"events": "user-events", "recommendations": "recommendations", "metrics": "metrics"}
@@ -65,7 +67,8 @@ def parse(raw: DataFrame) -> DataFrame:
 
     ``inline`` keeps later filters above the parser; pushed below, they would parse every message again.
     """
-    message = raw.select(place_id(raw).alias("place"), F.inline(F.array(F.from_json("value", MESSAGE))))
+    topic = [c for c in ("topic",) if c in raw.columns]
+    message = raw.select(*topic, place_id(raw).alias("place"), F.inline(F.array(F.from_json("value", MESSAGE))))
     return message.withColumn("event_id", F.coalesce("event_id", "place")).drop("place")
 
 
@@ -134,21 +137,25 @@ def purchase_confirmations(events: DataFrame) -> DataFrame:
 
 
 def counts_by_type(events: DataFrame, window: str = "1 minute", topic: str = TOPICS["events"]) -> DataFrame:
-    """Messages of one batch per topic, event type and time window.
+    """Messages of one batch per topic, event type and time window; ``topic`` if the events don't say theirs.
 
     The counts of all batches add up, whenever a message came, so the stream keeps no state and drops nothing.
     """
+    if "topic" not in events.columns:
+        events = events.withColumn("topic", F.lit(topic))
     return (
         events.withColumn("event_time", F.timestamp_seconds("timestamp"))
-        .groupBy(F.window("event_time", window).alias("span"), "event_type").agg(F.count("*").alias("messages"))
-        .select(F.lit(topic).alias("topic"), F.col("span.start").alias("window_start"),
+        .groupBy("topic", F.window("event_time", window).alias("span"), "event_type").agg(F.count("*").alias("messages"))
+        .select("topic", F.col("span.start").alias("window_start"),
                 F.col("span.end").alias("window_end"), "event_type", "messages")
     )
 
 
 def start_monitor(events: DataFrame, path: str, checkpoint: str, window: str = "1 minute",
                   topic: str = TOPICS["events"], **kw):
-    return start(events, path, checkpoint, lambda batch: counts_by_type(batch, window, topic), **kw)
+    """Count the messages of a stream of one or more topics; ``Rates`` sees how fast they are processed."""
+    seen = F.count("*").alias("messages"), F.max("timestamp").alias("newest")
+    return start(events.observe(OBSERVED, *seen), path, checkpoint, lambda batch: counts_by_type(batch, window, topic), **kw)
 
 
 def monitored(written: DataFrame) -> DataFrame:
@@ -158,6 +165,51 @@ def monitored(written: DataFrame) -> DataFrame:
         "topic", "window_start", "event_type", "messages", (F.col("messages") / seconds).alias("per_second"))
 
 
+OBSERVED = "monitor"
+
+
+class Rates(StreamingQueryListener):
+    """How fast the monitors of a session process, from the figures that they observe: a row per batch, the last ``keep``.
+
+    ``with Rates(spark) as rates`` listens; ``rates.table()`` has (query, batch_id, messages, newest, seconds, per_second).
+    A listener hears of a batch a moment after it ended.
+    """
+
+    def __init__(self, spark: SparkSession, keep: int = 10_000):
+        self.spark, self.batches = spark, OrderedDict()
+        self.keep = keep
+
+    def __enter__(self) -> Rates:
+        self.spark.streams.addListener(self)
+        return self
+
+    def __exit__(self, *_) -> None:
+        self.spark.streams.removeListener(self)
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        progress = event.progress
+        row = progress.observedMetrics.get(OBSERVED)
+        if row is not None and row["messages"]:
+            seconds = progress.durationMs.get("triggerExecution", 0) / 1000
+            self.batches[str(progress.id), progress.batchId] = (row["messages"], row["newest"], seconds)
+            if len(self.batches) > self.keep:
+                self.batches.popitem(last=False)
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        pass
+
+    def table(self) -> DataFrame:
+        rows = [(*key, *value, value[0] / value[2] if value[2] else None) for key, value in self.batches.items()]
+        return self.spark.createDataFrame(
+            rows, "query string, batch_id long, messages long, newest double, seconds double, per_second double")
+
+
 def save_batches(path: str, build: Callable[[DataFrame], DataFrame] = lambda df: df, reread: bool = False):
     """``foreachBatch`` function: write ``build(batch)`` to the batch's own folder.
 
