@@ -79,3 +79,28 @@ def test_incremental_runs(spark, tmp_path):
     assert load(6) == [4, 5] and load(6) == [] and C.load_bookmark(spark, marks) == (2, 5)
     spark.range(1).write.parquet(f"{out}/run=3")  # left by a run that broke off
     assert load(10) == [6, 8, 9] and sorted(r["id"] for r in spark.read.parquet(out).collect()) == [0, 1, 2, 4, 5, 6, 8, 9]
+
+
+def test_incremental_stream(spark, tmp_path, monkeypatch):
+    """Three exports that overlap; the second run stops between its rows and its bookmark and is done again."""
+    out, marks, source = str(tmp_path / "rows"), str(tmp_path / "marks"), str(tmp_path / "in")
+
+    def run(n):
+        if n:
+            spark.range(n).withColumn("x", F.when(F.col("id") % 4 != 3, 1)).write.mode("append").parquet(f"{source}/export={n}")
+        stream = spark.readStream.schema("id long, x int").parquet(f"{source}/export=*")
+        C.start_incremental(stream, lambda df: df.dropna(), out, marks, str(tmp_path / "state"), default=-1).awaitTermination()
+
+    def broken(*_):
+        raise RuntimeError("stopped before the bookmark")
+
+    run(4)
+    assert C.load_bookmark(spark, marks) == (0, 2)
+    with monkeypatch.context() as patch, pytest.raises(Exception, match="stopped"):
+        patch.setattr(C, "_save_bookmark", broken)
+        run(6)
+    assert C.load_bookmark(spark, marks) == (0, 2)
+    run(0)
+    assert C.load_bookmark(spark, marks) == (1, 5)
+    run(10)
+    assert sorted(r["id"] for r in spark.read.parquet(out).collect()) == [0, 1, 2, 4, 5, 6, 8, 9]

@@ -105,3 +105,24 @@ def test_tasks(spark):
     assert [r["Issues"] for r in V.check_tasks(df).collect()] == [w for _, _, w in rows]
     clean, errors = V.split_tasks(df)
     assert (clean.count(), errors.count()) == (4, 4) and "Issues" not in clean.columns
+
+
+def test_records_tell_absent_keys_from_nulls(spark, tmp_path):
+    whole = ('{"product_id": "ABC-123", "name": "n", "category": "GPUs", "brand": "b", "description": "d", "price": 1.5, "currency": "USD",'
+             ' "in_stock": true, "specifications": {"memory": "2 TB"}, "images": ["a"]}')
+    lines = [whole, whole.replace('"brand": "b", ', ""), whole.replace('"b"', "null"), whole.replace("1.5", "7"), whole.replace("1.5", "null"),
+             whole.replace('"price": 1.5, ', ""), whole.replace("true", '"Yes"'), whole.replace('["a"]', '"a"'), "no json", whole.replace("GPUs", "x")]
+    (tmp_path / "feed.json").write_text("\n".join(lines))
+    from tillwright.sources.readers import read_variants
+    records = read_variants(spark, str(tmp_path / "feed.json"))
+    rows = V.validate_records(records).collect()
+    assert [r["line"] for r in rows] == lines
+    wrong = [r["errors"] for r in rows]
+    assert wrong[0] == [] and wrong[1] == ["Missing required field: brand"] and wrong[2] == ["Field 'brand' must be of type str"]
+    # a whole number is no float, but is read as one; a null price is not out of range, an absent one is only missing
+    assert wrong[3] == ["Field 'price' must be of type float"] and rows[3]["price"] == 7.0
+    assert wrong[4] == ["Field 'price' must be of type float"] and wrong[5] == ["Missing required field: price"]
+    assert wrong[6] == ["Field 'in_stock' must be of type bool"] and rows[6]["in_stock"] is True
+    assert wrong[7] == ["Field 'images' must be of type list"] and wrong[8] == ["Not a JSON record"] and len(wrong[9]) == 1
+    assert rows[0]["specifications"] == {"memory": "2048.00 GB"} and rows[0]["images"] == ["a"]
+    assert "price: DECIMAL" in V.feed_schema(records.limit(1)).first()[0]

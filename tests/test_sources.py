@@ -131,3 +131,11 @@ def test_csv_splits_and_keeps_nested_values_as_json(spark, tmp_path):
     spark.conf.set("spark.sql.files.maxPartitionBytes", "1m")
     assert readers.read_csv(spark, path).rdd.getNumPartitions() > 5
     spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_csv_keeps_blanks_and_empty_texts(spark, tmp_path):
+    from tillwright.sources.readers import read_csv
+    from tillwright.sources.writers import save_csv
+    rows = [("  x ", ""), ("", None), (None, 'a "quoted", text'), ("\ttab", " "), ("null", '""')]
+    save_csv(spark.createDataFrame(rows, "a string, b string"), str(tmp_path / "t.csv"))
+    assert sorted(map(tuple, read_csv(spark, str(tmp_path / "t.csv")).collect()), key=str) == sorted(rows, key=str)

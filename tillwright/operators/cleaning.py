@@ -7,7 +7,7 @@ from typing import Any
 
 import yaml
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -153,18 +153,30 @@ def next_bookmark(cleaned: DataFrame, bookmark: int, key: str = "id") -> DataFra
     return cleaned.agg(F.coalesce(F.max(key), F.lit(bookmark)).alias("bookmark"))
 
 
-def load_bookmark(spark: SparkSession, path: str, default: int = 0) -> tuple[int, int]:
-    """(run, bookmark) of the last finished run below ``path``; run -1 and ``default`` before the first."""
+def load_bookmark(spark: SparkSession, path: str, default: int = 0, before: int | None = None) -> tuple[int, int]:
+    """(run, bookmark) of the last finished run below ``path``, or the last one ``before`` a run; run -1 and ``default`` without any."""
     try:
         runs = spark.read.schema("bookmark bigint, run int").parquet(path)
     except AnalysisException as missing:
         if missing.getCondition() != "PATH_NOT_FOUND":
             raise
         return -1, default
-    last = runs.orderBy(F.desc("run")).first()
+    last = runs.where(F.lit(True) if before is None else F.col("run") < before).orderBy(F.desc("run")).first()
     return (last["run"], last["bookmark"]) if last else (-1, default)
 
 
+def _observed_write(cleaned: DataFrame, path: str, key: str, bookmark: int) -> int:
+    """Write the rows; the largest key among them is observed on the way, so nothing is read again."""
+    seen = Observation()
+    cleaned.observe(seen, F.max(key).alias("last")).write.mode("overwrite").parquet(path)
+    last = seen.get.get("last")
+    return bookmark if last is None else last
+
+
+def _save_bookmark(spark: SparkSession, bookmark: int, path: str) -> None:
+    spark.createDataFrame([(bookmark,)], "bookmark bigint").coalesce(1).write.mode("overwrite").parquet(path)
+
+
 def incremental_load(df: DataFrame, clean: Callable[[DataFrame], DataFrame], out: str, bookmarks: str, key: str = "id",
                      default: int = 0) -> DataFrame:
     """Clean the rows added since the last run, write them below ``out`` and move the bookmark.
@@ -173,10 +185,27 @@ def incremental_load(df: DataFrame, clean: Callable[[DataFrame], DataFrame], out
     its folder is complete, so a run that broke off is repeated from the same bookmark and replaces its rows.
     """
     run, bookmark = load_bookmark(df.sparkSession, bookmarks, default)
-    clean(rows_after(df, bookmark, key)).write.mode("overwrite").parquet(f"{out}/run={run + 1}")
-    written = df.sparkSession.read.parquet(f"{out}/run={run + 1}")
-    next_bookmark(written, bookmark, key).write.mode("overwrite").parquet(f"{bookmarks}/run={run + 1}")
-    return written
+    path = f"{out}/run={run + 1}"
+    last = _observed_write(clean(rows_after(df, bookmark, key)), path, key, bookmark)
+    _save_bookmark(df.sparkSession, last, f"{bookmarks}/run={run + 1}")
+    return df.sparkSession.read.parquet(path)
+
+
+def start_incremental(stream: DataFrame, clean: Callable[[DataFrame], DataFrame], out: str, bookmarks: str, checkpoint: str,
+                      key: str = "id", default: int = 0, trigger: Mapping = {"availableNow": True}):
+    """The same over a stream of exports, which may hold rows that earlier ones had.
+
+    The micro-batch is the run: it starts from the bookmark of the last batch before it, so a batch that is run
+    again, after a stop between its rows and its bookmark, loads the same rows and replaces them.
+    """
+    spark = stream.sparkSession
+
+    def load(batch: DataFrame, batch_id: int) -> None:
+        _, bookmark = load_bookmark(spark, bookmarks, default, batch_id)
+        last = _observed_write(clean(rows_after(batch, bookmark, key)), f"{out}/run={batch_id}", key, bookmark)
+        _save_bookmark(spark, last, f"{bookmarks}/run={batch_id}")
+
+    return stream.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint).trigger(**trigger).start()
 
 
 def clean_cart_extended(cart: DataFrame, as_of: str) -> DataFrame:

@@ -57,7 +57,7 @@ def standard_unit(key: Column, value: Column) -> Column:
     The factor goes by the value's unit and the label by the key, whatever family
     the unit belongs to.  Other values stay as they are.
     """
-    shape = r"^([\d.]+)\s*([a-zA-Z]+)$"
+    shape = r"^([\d.]+)\s*([a-zA-Z]+)$"  # fixed value: a number and its unit
     factors = F.create_map(*[F.lit(x) for pair in UNITS.items() for x in pair])
     # inside a lambda nothing is shared, so each step is bound to a name by transform
     parts = F.transform(F.array(strip(value)), lambda t: F.struct(
@@ -167,6 +167,54 @@ def validate_feed(feed: DataFrame, rules: FeedRules = FeedRules()) -> DataFrame:
     return feed.select(*cells, F.array_compact(F.array(*messages)).alias("errors"))
 
 
+# fixed values: JSON types that are right for the type names of the messages, as they begin in a VARIANT's schema
+JSON_TYPES = {"str": ("STRING",), "float": ("DOUBLE", "DECIMAL", "FLOAT"), "bool": ("BOOLEAN",), "dict": ("OBJECT",), "list": ("ARRAY",)}
+
+
+def _part(record: str, name: str) -> Column:
+    return F.try_variant_get(record, f"$['{name}']", "variant")
+
+
+def record_errors(kinds: Mapping[str, str], record: str = "record") -> list[Column]:
+    """For each field of a VARIANT record the message that its key is absent, or that its value is of another type.
+
+    Null is of no type here, and a whole number is not a fraction.
+    """
+    messages = []
+    for name, kind in kinds.items():
+        part = _part(record, name)
+        wrong = F.lit(True)
+        for start in JSON_TYPES[kind]:
+            wrong = wrong & ~F.startswith(F.schema_of_variant(part), F.lit(start))
+        messages.append(F.when(part.isNull(), f"Missing required field: {name}").when(wrong, f"Field '{name}' must be of type {kind}"))
+    return messages
+
+
+def validate_records(records: DataFrame, rules: FeedRules = FeedRules(), record: str = "record") -> DataFrame:
+    """A feed of VARIANT records as typed, standardised fields and an ``errors`` array; invalid rows stay in.
+
+    Absent fields have no value and no message but that they are missing; a null price is of the wrong type and not out of
+    range.  A text in the place of a number or a flag is read as one where that works.
+    """
+    targets = {"str": "string", "float": "string", "bool": "string", "dict": "map<string,string>", "list": "array<string>"}
+    kept = [c for c in records.columns if c != record]
+    texts = records.select(*kept, record, *[
+        F.try_variant_get(record, f"$['{name}']", targets[kind]).alias(name) for name, kind in rules.fields.items()])
+    messages = record_errors(rules.fields, record)
+    for name, check in VALUE_ERRORS.items():
+        if name in rules.fields:
+            given = F.col(name).isNotNull()
+            messages.append(F.when(given, check(rules)))
+    cells = [coerced(texts, name, kind).alias(name) for name, kind in rules.fields.items()]
+    unread = F.when(F.col(record).isNull(), F.array(F.lit("Not a JSON record")))
+    return texts.select(*kept, *cells, F.coalesce(unread, F.array_compact(F.array(*messages))).alias("errors"))
+
+
+def feed_schema(records: DataFrame, record: str = "record") -> DataFrame:
+    """One row: the schema that all records together have."""
+    return records.agg(F.schema_of_variant_agg(record).alias("schema"))
+
+
 def error_report(validated: DataFrame, row_id: str | None = None) -> DataFrame:
     """(product_id, ord, error, rows): each error of each product and the number of rows showing it.
 

@@ -161,6 +161,18 @@ def cdc_incremental(s):
     return C.incremental_load(orders, with_customer, f"{folder}/orders", f"{folder}/bookmarks")
 
 
+@query("cdc_stream", f"WITH {NEW_ORDERS} SELECT *, (SELECT coalesce(max(id), {BOOKMARK}) FROM new_orders) AS bookmark FROM new_orders")
+def cdc_stream(s):
+    """Two exports as files of a stream: the first ends at the bookmark, the second is the whole table; a run for each."""
+    folder, orders = scratch_dir(s.spark, "increments"), arriving_orders(s)
+    for n, export in enumerate((orders.where(F.col("id") <= BOOKMARK), orders)):
+        export.write.parquet(f"{folder}/in/export={n}")
+        stream = s.spark.readStream.schema(orders.schema).parquet(f"{folder}/in/export=*")
+        C.start_incremental(stream, with_customer, f"{folder}/orders", f"{folder}/bookmarks", f"{folder}/checkpoint").awaitTermination()
+    run, bookmark = C.load_bookmark(s.spark, f"{folder}/bookmarks")
+    return s.spark.read.parquet(f"{folder}/orders/run={run}").withColumn("bookmark", F.lit(bookmark).cast("bigint"))
+
+
 @query("cdc_bookmark", f"WITH {NEW_ORDERS} SELECT coalesce(max(id), {BOOKMARK}) AS bookmark FROM new_orders")
 def cdc_bookmark(s):
     return C.next_bookmark(new_orders(s), BOOKMARK)

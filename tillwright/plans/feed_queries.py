@@ -75,12 +75,44 @@ TYPE_ERRORS = {
 ALL_ERRORS = [*TYPE_ERRORS.values(), ID_ERROR, CATEGORY_ERROR, PRICE_ERROR, CURRENCY_ERROR]
 
 
-@query("feed_required_fields", f"""WITH {FEED}
-SELECT row_id, 'Missing required field: brand | Missing required field: images' AS errors FROM feed""")
+# The feed as JSON lines; some records lack a key, others have it with null.
+JSON_GAPS = {"brand": 7, "images": 5, "price": 9}
+
+
+def json_feed(s):
+    """The feed written as JSON lines and read as VARIANT, with the row's number beside each record."""
+    k = F.col("row_id")
+    names = [c for c in feed(s).columns]
+    values = {c: F.when(k % 15 != 0, F.col(c)) if c == "brand" else F.col(c) for c in names}
+    # an array of (key, JSON of the value) keeps nulls; keys that are to be absent drop out
+    pairs = [F.when(~(k % JSON_GAPS[c] == 0) if c in JSON_GAPS else F.lit(True), F.concat(
+        F.lit(f'"{c}":'), F.coalesce(F.substring_index(F.to_json(F.struct(values[c].alias("v"))), '{"v":', -1), F.lit("null}")))) for c in names]
+    texts = F.transform(F.array_compact(F.array(*pairs)), lambda p: F.when(p.endswith(":{}"), F.replace(p, F.lit("{}"), F.lit("null")))
+                        .otherwise(F.substring(p, F.lit(1), F.length(p) - 1)))
+    lines = feed(s).select(F.concat(F.lit("{"), F.array_join(texts, ","), F.lit("}")).alias("value"))
+    lines.write.text(path := f"{scratch_dir(s.spark, 'feed')}/feed")
+    records = readers.read_variants(s.spark, path)
+    return records.select(F.try_variant_get("record", "$.row_id", "bigint").alias("row_id"), "record")
+
+
+GAP_SQL = {c: f"CASE WHEN row_id % {n} = 0 THEN 'Missing required field: {c}'" for c, n in JSON_GAPS.items()}
+TEXT = "CASE WHEN {0} IS NULL THEN 'Field ''{0}'' must be of type str' END"
+JSON_ERRORS = [
+    TEXT.format("product_id"), TEXT.format("name"), GAP_SQL["brand"] + " WHEN row_id % 15 = 0 THEN 'Field ''brand'' must be of type str' END",
+    GAP_SQL["price"] + " ELSE 'Field ''price'' must be of type float' END", "'Field ''in_stock'' must be of type bool'", GAP_SQL["images"] + " END"]
+
+
+@query("feed_required_fields", f"""WITH {FEED} SELECT row_id, concat_ws(' | ', {', '.join(JSON_ERRORS)}) AS errors FROM feed""")
 def feed_required_fields(s):
-    df = feed(s).drop("brand", "images")
-    messages = [V.missing_field(df, f) for f in V.FIELDS]
-    return df.select("row_id", F.concat_ws(" | ", *messages).alias("errors"))
+    """Fields that a record lacks or has in another type: all prices and flags of this feed are texts."""
+    return json_feed(s).select("row_id", F.concat_ws(" | ", *V.record_errors(V.FIELDS)).alias("errors"))
+
+
+@query("feed_validate_records", f"""WITH {FEED}, gaps AS (SELECT * REPLACE (CASE WHEN row_id % {JSON_GAPS['price']} <> 0 THEN price END AS price) FROM feed)
+SELECT row_id, concat_ws(' | ', {', '.join(JSON_ERRORS)}, {ID_ERROR}, {CATEGORY_ERROR}, CASE WHEN price IS NOT NULL THEN {PRICE_ERROR} END,
+  {CURRENCY_ERROR}) AS errors, TRY_CAST(price AS DOUBLE) AS price, {STOCK} AS in_stock FROM gaps""")
+def feed_validate_records(s):
+    return V.validate_records(json_feed(s)).select("row_id", F.concat_ws(" | ", "errors").alias("errors"), "price", "in_stock")
 
 
 @query("feed_type_coerce", f"""WITH {FEED}

@@ -8,6 +8,7 @@ from tillwright.operators import enrich as J
 from tillwright.operators import profiling as P
 from tillwright.plans.registry import query
 from tillwright.plans.shop import with_ctes
+from tillwright.session import scratch_dir
 
 LINEITEM = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount",
             "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"]
@@ -83,6 +84,24 @@ def profile_distinct_counts(s):
     return P.distinct_counts(holes(s))
 
 
+# Three daily loads, profiled one by one; the estimate of distinct values is asserted to be within 3 %.
+@query("profile_merged_loads", f"WITH {HOLES} " + _union(
+    f"SELECT '{c}' AS \"column\", count(*) AS row_count, count(*) - count({c}) AS null_count, "
+    + (f"round(avg({c}), 4) AS mean, round(stddev_samp({c}), 4) AS stddev, CAST(min({c}) AS DOUBLE) AS min, CAST(max({c}) AS DOUBLE) AS max"
+       if c in NUMBERS else "NULL::DOUBLE AS mean, NULL::DOUBLE AS stddev, NULL::DOUBLE AS min, NULL::DOUBLE AS max")
+    + ", true AS estimate_is_near FROM holes" for c in LINEITEM))
+def profile_merged_loads(s):
+    path = scratch_dir(s.spark, "profiles")
+    for n in (0, 1, 2, 2):  # the last load twice, as a repeated run would
+        P.load_profile(holes(s).where(F.col("l_orderkey") % 3 == n), f"load {n}").write.mode("append").parquet(path)
+    merged = P.merged_profile(s.spark.read.parquet(path))
+    exact = P.distinct_counts(holes(s))
+    near = F.abs(F.col("distinct_estimate") - F.col("distinct_count")) <= 0.03 * F.col("distinct_count")
+    return merged.join(exact, "column").select(
+        "column", "row_count", "null_count", F.round("mean", 4).alias("mean"), F.round("stddev", 4).alias("stddev"), "min", "max",
+        near.alias("estimate_is_near"))
+
+
 COUNTS = "counts AS (" + _union(
     f"SELECT '{c}' AS \"column\", CAST({c} AS VARCHAR) AS value, count(*) AS n FROM holes GROUP BY {c}"
     for c in LINEITEM) + ")"

@@ -73,12 +73,18 @@ def read_json_array(spark: SparkSession, path: str, schema: Schema = None) -> Da
     return files.select(F.inline(rows))
 
 
+def read_variants(spark: SparkSession, path: str) -> DataFrame:
+    """(line, record) of JSON lines as VARIANT, which tells an absent key from a null; NULL where a line is no JSON."""
+    lines = spark.read.text(path)
+    return lines.select(F.col("value").alias("line"), F.try_parse_json("value").alias("record"))
+
+
 def read_csv(spark: SparkSession, path: str, schema: Schema = None, line_breaks: bool = False) -> DataFrame:
     """CSV with a header; without a schema every column is text, which needs no extra pass.
 
     With ``line_breaks`` quoted values may go over several lines; each file is then one task.
     """
-    reader = spark.read.options(header=True, escape='"', multiLine=line_breaks)
+    reader = spark.read.options(header=True, escape='"', multiLine=line_breaks, emptyValue="", nullValue=None)
     return (reader.schema(schema) if schema else reader).csv(path)
 
 

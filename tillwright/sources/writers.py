@@ -13,6 +13,8 @@ from tillwright.operators import feeds
 from tillwright.session import stored
 
 ARRAY_FILE_BYTES = 64 << 20
+# texts as they are: no trimming, and an empty text is not NULL
+CSV_VALUES = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False, "emptyValue": '""', "nullValue": ""}
 
 
 def nested_as_json(df: DataFrame) -> DataFrame:
@@ -33,9 +35,9 @@ def save_json_lines(df: DataFrame, path: str, folders_by: Sequence[str] = (), mo
 
 
 def save_csv(df: DataFrame, path: str, folders_by: Sequence[str] = (), mode: str = "overwrite") -> None:
-    """CSV with a header, as ``read_csv`` reads it."""
+    """CSV with a header, as ``read_csv`` reads it: blanks stay, an empty text is quoted, NULL is nothing."""
     writer = nested_as_json(df).write.mode(mode)
-    (writer.partitionBy(*folders_by) if folders_by else writer).csv(path, header=True, escape='"')
+    (writer.partitionBy(*folders_by) if folders_by else writer).csv(path, header=True, escape='"', **CSV_VALUES)
 
 
 SAVE = {"parquet": save_parquet, "json": save_json_lines, "csv": save_csv}
