@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tillwright.operators import recommend as R
+from tillwright.operators.features import feature_texts
 from tillwright.plans.registry import query
 from tillwright.plans.shop import Shop, with_ctes
 from tillwright.session import scratch_dir, stored
@@ -101,6 +102,19 @@ def rec_relevance(s):
     return sent.select("event_id", "user_id", "product_id", R.is_relevant().alias("relevant"))
 
 
+# Thousands of features, the long words of all documents, searched in all documents.
+@query("rec_feature_search", """WITH features AS (
+  SELECT DISTINCT unnest(regexp_extract_all(lower(text), '[a-z]{12,}')) AS feature FROM documents)
+SELECT feature, count(*) AS documents, min(doc_id) AS first_document
+FROM features JOIN documents ON contains(lower(text), feature) GROUP BY feature""")
+def rec_feature_search(s):
+    documents = s.table("documents").select("doc_id", F.lower("text").alias("text"))
+    features = documents.select(F.explode(F.regexp_extract_all("text", F.lit("([a-z]{12,})"))).alias("feature")).distinct()
+    texts = documents.where("text IS NOT NULL").groupBy("text").agg(F.count("*").alias("n"), F.min("doc_id").alias("first"))
+    found = feature_texts(features, texts.select("text")).join(texts, "text")
+    return found.groupBy("feature").agg(F.sum("n").alias("documents"), F.min("first").alias("first_document"))
+
+
 @query("rec_metrics_overall", f"{USER_COUNTERS} SELECT {SCORES} FROM ({TOTALS})")
 def rec_metrics_overall(s):
     return _rounded(R.metrics_overall(_counters(s)))
