@@ -1,10 +1,13 @@
+import math
 import random
+from collections import Counter
 
 import numpy as np
 import pytest
 from helpers import EDGES, docs, empty
 from pyspark.sql import functions as F
 
+from tillwright.llm.phrase_index import words_of
 from tillwright.llm.toxic_neighbours import BlockMaxIndex, fit, toxicity
 
 
@@ -46,19 +49,61 @@ def rows_and_labels(spark, n=240):
 def test_scores(spark):
     df, labels = rows_and_labels(spark)
     model = fit(df, labels)
-    assert set(model.index.numbers) == {b"awful", b"nasty"}
+    assert len(model.index.numbers) == 62  # every word of an example
     got = toxicity(df, model).collect()
     assert len(got) == df.count() and all(0 <= r.score <= 1 for r in got)
     for r in got:
         toxic = r.doc_id is not None and r.doc_id < 240 and r.doc_id % 6 == 0
-        assert (r.score >= 0.3) == toxic and bool(r.evidence) == toxic
-        assert all(e.toxic == 1 and 0 < e.similarity <= 1.0000001 for e in r.evidence)
+        assert (r.score >= 0.3) == toxic
+        assert bool(r.evidence) == (r.doc_id is not None and r.doc_id < 240)
+        assert all(0 < e.similarity <= 1.0000001 for e in r.evidence)
+
+
+def test_an_equal_text_is_the_nearest(spark):
+    """Also one of rare words only, which no selection of terms by label would keep."""
+    df, labels = rows_and_labels(spark)
+    rare = " ".join(f"rare{i}" for i in range(30))
+    more = docs(spark, [(500, rare), (501, rare.upper())])
+    model = fit(df.unionByName(more), labels.unionByName(spark.createDataFrame([(500, 1, 0)], labels.schema)))
+    got = {r.doc_id: r for r in toxicity(df.unionByName(more), model).collect()}
+    for i in [*range(0, 240, 7), 500]:
+        assert got[i].evidence[0].similarity == pytest.approx(1) and i in [
+            e.id for e in got[i].evidence if e.similarity > 1 - 1e-9]
+    assert got[501].evidence[0].id == 500 and got[501].score >= 0.3
+
+
+def test_nearest_over_all_terms(spark):
+    """The neighbours of some texts against cosines of all examples, term by term."""
+    df, labels = rows_and_labels(spark)
+    model = fit(df, labels)
+    texts = {r.doc_id: r.text for r in df.where("doc_id < 240").collect()}
+    example = {i: Counter(words_of(t.encode())) for i, t in texts.items()}
+    weight = dict(zip(model.index.numbers, model.index.term_weights))
+
+    def vector(c):
+        v = {t: (1 + math.log(n)) * weight[t] for t, n in c.items()}
+        size = math.sqrt(sum(x * x for x in v.values()))
+        return {t: x / size for t, x in v.items()}
+
+    vectors = {i: vector(c) for i, c in example.items()}
+    for r in toxicity(df.where("doc_id < 20"), model).collect():
+        own = vectors[r.doc_id]
+        want = sorted((-round(sum(x * own.get(t, 0) for t, x in v.items()), 9), i) for i, v in vectors.items())[:15]
+        assert [round(e.similarity, 9) for e in r.evidence] == [-c for c, _ in want]
+
+
+def test_ids_of_text(spark):
+    df, labels = rows_and_labels(spark)
+    as_text = df.withColumn("doc_id", F.concat(F.lit("d"), F.col("doc_id").cast("string")))
+    named = labels.withColumn("doc_id", F.concat(F.lit("d"), F.col("doc_id").cast("string")))
+    got = toxicity(as_text, fit(as_text, named)).where("doc_id = 'd6'").first()
+    assert got.score >= 0.3 and got.evidence[0].id == "d6"
 
 
 def test_sampled_examples_and_empty_tables(spark):
     df, labels = rows_and_labels(spark)
-    assert 20 < len(fit(df, labels, examples=240).index.ids) <= 40
-    assert len(fit(df, labels, examples=60).index.ids) < 30
+    assert 200 < len(fit(df, labels, examples=240).index.ids) <= 240
+    assert len(fit(df, labels, examples=60).index.ids) < 100
     model = fit(df, labels.limit(0))
     assert {r.score for r in toxicity(df, model).select("score").distinct().collect()} == {0.0}
     assert toxicity(empty(spark), fit(empty(spark), labels)).count() == 0

@@ -1,160 +1,161 @@
 """Toxicity by the nearest labelled examples: exact TF-IDF cosine over a block-max inverted index.
 
-Fitting, on a sample of about ``EXAMPLES`` labelled rows (all of them if there are fewer):
-* terms (runs of ASCII letters and digits and of all beyond ASCII, lower-cased) that occur in toxic
-  examples at least ``LIFT`` times as often as in others and whose chi-square is ``CHI_SQUARE`` or more
-  are selected, ``TERMS`` at most;
-* an example's vector has (1 + ln tf) * idf for these terms and unit length.
+Fitting, on a sample of about ``EXAMPLES`` labelled rows (all of them if there are fewer): every term of the examples (runs of ASCII
+letters and digits and of all beyond ASCII, lower-cased) is indexed.  A term weighs its idf times how well it tells toxic
+examples from others (the phi coefficient, ``FLOOR`` at least, so none is left out), an example's vector has
+(1 + ln tf) * weight for its terms and unit length.  So an equal text has cosine 1, whatever its words.
 
 The index has the examples in blocks of ``BLOCK`` numbers, similar ones next to each other, and per term and
-block the largest weight.  A text's bound for a block is the sum of its weights times these maxima.  Blocks are
-scored in order of their bounds until the next bound is below the k-th best cosine, so the k nearest are exact; ties
-go to the smaller id.
+block that has it the largest weight.  A text's bound for a block is the sum of its weights times these maxima.  Blocks are
+scored in order of their bounds, a few and then more at a time, until the next bound is below the k-th best cosine, so the k
+nearest are exact; ties go to the smaller id.
 
 Score: votes weighted by 1 / (distance + 0.1), with ``PRIOR_VOTES`` votes of the examples' toxic share.  A text
-without a selected term has no neighbours; its score is the toxic share of the examples that have none either.
+without a term of any example has no neighbours; its score is the toxic share of the examples without a term.
 
 Defined cases: null and empty texts have no term; labels without id, value or document teach nothing,
 and of several labels of one id the highest holds; without examples all scores are 0; null ids keep their rows;
-repeated rows are scored each; other columns are not looked at.
+ids may be of any type that sorts; repeated rows are scored each; other columns are not looked at.
 """
 
 from __future__ import annotations
 
-import math
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillwright.llm.common import raw
 from tillwright.llm.phrase_index import words_of
-from tillwright.session import stored
 
-EXAMPLES = 20_000
-TERMS = 1_000
-LIFT = 2.0
-CHI_SQUARE = 30.0
+EXAMPLES = 4_000
+FLOOR = 0.02
 BLOCK = 64
+FIRST_BLOCKS = 4
+REMEMBERED = 5_000  # texts that a task keeps the scores of, as copies come again
 NEIGHBOURS = 15
 PRIOR_VOTES = 1.0
 
 
 @dataclass
 class Neighbour:
-    id: int
+    id: object
     similarity: float
     toxic: int
 
 
+def _spread(starts: np.ndarray, stops: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The numbers from each start up to its stop, and which range each came from."""
+    sizes = stops - starts
+    of = np.repeat(np.arange(len(starts)), sizes)
+    return np.arange(len(of)) - np.repeat(np.cumsum(sizes) - sizes - starts, sizes), of
+
+
 class BlockMaxIndex:
     """Postings of unit vectors in blocks of consecutive examples."""
 
-    def __init__(self, terms: list[bytes], idf: np.ndarray, rows: list[tuple[int, int, list[int], list[int]]]):
+    def __init__(self, terms: list[bytes], term_weights: np.ndarray, rows: list[tuple[object, int, list[int], list[int]]]):
         """``rows``: id, label, term numbers and their frequencies; rows without a term are not indexed."""
-        self.numbers, self.idf = {t: i for i, t in enumerate(terms)}, idf
-        vectors = [(i, y, *self.weigh(t, tf)) for i, y, t, tf in rows if t]
+        self.numbers, self.term_weights = {t: i for i, t in enumerate(terms)}, term_weights
+        vectors = [(i, y, *self.weigh(t, tf)) for i, y, t, tf in rows if len(t)]
         # examples with the same heaviest terms are neighbours, which makes maxima tight
-        vectors.sort(key=lambda v: (v[2][np.argsort(-v[3], kind="stable")].tolist(), v[0]))
-        self.ids = np.array([v[0] for v in vectors], np.int64)
+        vectors.sort(key=lambda v: (v[2][np.argsort(-v[3], kind="stable")[:20]].tolist(), v[0]))
+        self.ids = [v[0] for v in vectors]
+        self.rank = np.empty(len(vectors), np.int64)
+        self.rank[sorted(range(len(vectors)), key=self.ids.__getitem__)] = np.arange(len(vectors))
         self.labels = np.array([v[1] for v in vectors], np.int64)
         self.blocks = -(-len(vectors) // BLOCK)
         example = np.repeat(np.arange(len(vectors)), [len(v[2]) for v in vectors])
         term = np.concatenate([np.zeros(0, np.int64), *[v[2] for v in vectors]])
         weight = np.concatenate([np.zeros(0), *[v[3] for v in vectors]])
         order = np.lexsort((example, term))
-        self.example, self.weight, term = example[order], weight[order], term[order]
-        # postings of a term in a block: start[term, block] to start[term, block + 1]
-        key = term * self.blocks + self.example // BLOCK
-        self.start = np.searchsorted(key, np.arange(len(terms) * self.blocks + 1))
-        self.most = np.zeros(len(terms) * self.blocks)
-        np.maximum.at(self.most, key, self.weight)
-        self.most = self.most.reshape(len(terms), self.blocks)
+        self.example, self.weight, term = example[order].astype(np.int32), weight[order], term[order]
+        # an entry is a term in a block: its postings, its largest weight, and which entries a term has
+        key = term * max(self.blocks, 1) + self.example // BLOCK
+        first = np.flatnonzero(np.diff(key, prepend=-1))
+        self.posting = np.append(first, len(key))
+        self.block = self.example[first] // BLOCK
+        self.most = np.maximum.reduceat(self.weight, first) if len(first) else np.zeros(0)
+        self.entry = np.searchsorted(term[first], np.arange(len(terms) + 1))
 
     def weigh(self, terms: list[int], tf: list[int]) -> tuple[np.ndarray, np.ndarray]:
         numbers = np.array(terms, np.int64)
-        weights = (1 + np.log(np.array(tf, np.float64))) * self.idf[numbers]
+        weights = (1 + np.log(np.array(tf, np.float64))) * self.term_weights[numbers]
         return numbers, weights / np.sqrt((weights * weights).sum())
 
     def nearest(self, terms: list[int], tf: list[int], k: int = NEIGHBOURS) -> list[Neighbour]:
         """The k examples of the largest cosine, those of cosine 0 left out."""
         numbers, weights = self.weigh(terms, tf)
-        bound = weights @ self.most[numbers] if self.blocks else np.zeros(0)
-        ids, cosines, kept = np.zeros(0, np.int64), np.zeros(0), np.zeros(0, np.int64)
-        for block in np.argsort(-bound, kind="stable"):
-            # a little slack, as sums in another order may differ in the last bits
-            if bound[block] <= 0 or len(cosines) == k and bound[block] < cosines[-1] - 1e-9:
-                break
-            scores = np.zeros(BLOCK)
-            for number, weight in zip(numbers, weights):
-                a, b = self.start[number * self.blocks + block], self.start[number * self.blocks + block + 1]
-                scores[self.example[a:b] - block * BLOCK] += weight * self.weight[a:b]
-            found = np.nonzero(scores > 0)[0]
-            at = np.concatenate((kept, found + block * BLOCK))
-            cosines = np.concatenate((cosines, scores[found].round(12)))
-            ids = self.ids[at]
-            best = np.lexsort((ids, -cosines))[:k]
-            kept, cosines = at[best], cosines[best]
-        return [Neighbour(int(self.ids[i]), float(c), int(self.labels[i])) for i, c in zip(kept, cosines)]
-
-
-def _count_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """In how many toxic and how many other texts each term occurs."""
-    counts = (Counter(), Counter())
+        entries, of = _spread(self.entry[numbers], self.entry[numbers + 1])
+        block, weight = self.block[entries], weights[of]
+        bound = np.bincount(block, weight * self.most[entries], self.blocks)
+        order = np.argsort(-bound, kind="stable")
+        order = order[bound[order] > 0]
+        cosines, kept, at, size = np.zeros(0), np.zeros(0, np.int64), 0, FIRST_BLOCKS
+        # a little slack, as sums in another order may differ in the last bits
+        while at < len(order) and not (len(cosines) == k and bound[order[at]] < cosines[-1] - 1e-9):
+            visited = np.zeros(self.blocks, bool)
+            visited[order[at:at + size]] = True
+            here = visited[block]
+            postings, which = _spread(self.posting[entries[here]], self.posting[entries[here] + 1])
+            scores = np.bincount(self.example[postings], weight[here][which] * self.weight[postings], len(self.ids))
+            found = np.flatnonzero(scores > 0)
+            kept, cosines = np.concatenate((kept, found)), np.concatenate((cosines, scores[found].round(12)))
+            best = np.lexsort((self.rank[kept], -cosines))[:k]
+            kept, cosines, at, size = kept[best], cosines[best], at + size, 4 * size
+        return [Neighbour(self.ids[i], float(c), int(self.labels[i])) for i, c in zip(kept, cosines)]
+
+
+def _frequencies(words: list[bytes], numbers: dict[bytes, int]) -> tuple[list[int], list[int]]:
+    times = Counter(words)
+    found = sorted((numbers[t], n) for t, n in times.items() if t in numbers)
+    return [t for t, _ in found], [n for _, n in found]
+
+
+def _term_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The terms of each text and how often it has them."""
     for batch in batches:
-        for toxic, text in zip(batch.column(0).to_pylist(), raw(batch.column(1))):
-            counts[toxic].update(set(words_of(text)))
-    terms = list(counts[0].keys() | counts[1].keys())
-    yield pa.RecordBatch.from_arrays(
-        [pa.array(terms, pa.binary()), *[pa.array([c[t] for t in terms], pa.int64()) for c in counts[::-1]]],
-        names=["term", "n_toxic", "n_other"])
-
-
-def _frequencies(words: list[bytes], known: set[bytes], numbers: dict[bytes, int]) -> tuple[list[int], list[int]]:
-    found = known.intersection(words)
-    if not found:
-        return [], []
-    times = Counter(w for w in words if w in found)
-    return [list(t) for t in zip(*sorted((numbers[t], n) for t, n in times.items()))]
-
-
-def _vector_batches(terms: list[bytes]):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        numbers = {t: i for i, t in enumerate(terms)}
-        for batch in batches:
-            vectors = [_frequencies(words_of(text), set(numbers), numbers) for text in raw(batch.column(2))]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array([t for t, _ in vectors], pa.list_(pa.int64())),
-                 pa.array([tf for _, tf in vectors], pa.list_(pa.int64()))], names=["id", "toxic", "terms", "tf"])
-    return run
+        counts = [Counter(words_of(text)) for text in raw(batch.column(2))]
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(0), batch.column(1), pa.array([list(c) for c in counts], pa.list_(pa.binary())),
+             pa.array([list(c.values()) for c in counts], pa.list_(pa.int64()))], names=["id", "toxic", "terms", "tf"])
 
 
 class Model:
-    """The index, and the toxic share of the examples: all of them, and those without a selected term."""
+    """The index, and the toxic share of the examples: all of them, and those without a term."""
 
     def __init__(self, index: BlockMaxIndex, share: float, share_without: float, k: int = NEIGHBOURS):
         self.index, self.share, self.share_without, self.k = index, share, share_without, k
-        self.known, self.seen = set(index.numbers), {}
+        self.seen = {}
 
     def score(self, words: list[bytes]) -> tuple[float, list[Neighbour]]:
-        terms, tf = _frequencies(words, self.known, self.index.numbers)
+        terms, tf = _frequencies(words, self.index.numbers)
         if not terms:
             return self.share_without, []
-        key = (*terms, *tf)
+        key = xxhash.xxh3_128_digest(np.array([terms, tf], np.int64).tobytes())
         if key not in self.seen:
-            if len(self.seen) > 50_000:
+            if len(self.seen) >= REMEMBERED:
                 self.seen.clear()
             near = self.index.nearest(terms, tf, self.k)
-            votes = [1 / (1 - n.similarity + 0.1) for n in near]
+            votes = [1 / (1 - min(n.similarity, 1.0) + 0.1) for n in near]
             toxic = sum(v for v, n in zip(votes, near) if n.toxic)
             self.seen[key] = (toxic + PRIOR_VOTES * self.share) / (sum(votes) + PRIOR_VOTES), near
         return self.seen[key]
 
 
+def term_weights(with_term: np.ndarray, toxic_with: np.ndarray, n: int, n_toxic: int) -> np.ndarray:
+    """idf times the phi coefficient of a term and the label, ``FLOOR`` at least."""
+    df, a = with_term.astype(np.float64), toxic_with.astype(np.float64)
+    spread = df * (n - df) * n_toxic * (n - n_toxic)
+    phi = np.divide(a * n - df * n_toxic, np.sqrt(spread), out=np.zeros(len(df)), where=spread > 0)
+    return np.log(1 + n / df) * np.maximum(phi, FLOOR)
+
+
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
         examples: int = EXAMPLES, k: int = NEIGHBOURS) -> Model:
     known = labels.where(F.col(id_col).isNotNull() & F.col(label_col).isNotNull()).groupBy(
@@ -164,32 +165,27 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     known = known.join(texts.select("id").distinct(), "id", "left_semi")
     share = min(1.0, examples / max(1, known.count()))
     sample = known.where(F.pmod(F.xxhash64("id"), F.lit(1 << 30)) < int(share * (1 << 30)))
-    labelled = stored(texts.join(F.broadcast(sample), "id").select("id", "toxic", "text"), "toxic-examples")
-
-    by_label = {r.toxic: r.n for r in labelled.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
-    n_toxic, n_other = by_label.get(1, 0), by_label.get(0, 0)
-    n = max(1, n_toxic + n_other)
-    counts = labelled.select("toxic", "text").mapInArrow(_count_batches, "term binary, n_toxic long, n_other long")
-    counts = counts.groupBy("term").agg(F.sum("n_toxic").alias("a"), F.sum("n_other").alias("b"))
-    a, b, with_term = F.col("a").cast("double"), F.col("b").cast("double"), (F.col("a") + F.col("b")).cast("double")
-    chi = F.lit(float(n)) * F.pow(a * (n_other - b) - b * (n_toxic - a), 2) / (
-        with_term * (n - with_term) * float(max(1, n_toxic)) * float(max(1, n_other)))
-    chosen = (counts.where((with_term < n) & (a * n_other >= LIFT * b * n_toxic) & (a > 0))
-              .withColumn("chi", chi).where(F.col("chi") >= CHI_SQUARE)
-              .orderBy(F.desc("chi"), "term").limit(TERMS).collect())
-    terms = [bytes(r.term) for r in chosen]
-    idf = np.array([math.log(1 + n / (r.a + r.b)) for r in chosen])
-    rows = [(r.id, r.toxic, r.terms, r.tf) for r in labelled.select("id", "toxic", "text").mapInArrow(
-        _vector_batches(terms), "id long, toxic int, terms array<bigint>, tf array<bigint>").collect()]
-    without = [y for _, y, t, _ in rows if not t]
-    share = n_toxic / n
-    return Model(BlockMaxIndex(terms, idf, rows), share,
+    labelled = texts.join(F.broadcast(sample), "id").select("id", "toxic", "text")
+    kind = texts.schema["id"].dataType.simpleString()
+    # the examples, `examples` rows or so whatever the input, come to the driver as terms
+    found = labelled.mapInArrow(_term_batches, f"id {kind}, toxic int, terms array<binary>, tf array<bigint>").toArrow()
+    n, toxic = found.num_rows, np.array(found.column("toxic").to_pylist(), np.int64)
+    lists = found.column("terms").combine_chunks()
+    names = lists.flatten().dictionary_encode()
+    of = np.repeat(np.arange(n), np.diff(lists.offsets.to_numpy()) if n else [])
+    number, terms = names.indices.to_numpy(), [bytes(t) for t in names.dictionary.to_pylist()]
+    with_term = np.bincount(number, minlength=len(terms))
+    weights = term_weights(with_term, np.bincount(number, toxic[of], len(terms)), n, int(toxic.sum()))
+    ends = np.cumsum(np.bincount(of, minlength=n)) if n else []
+    tf = found.column("tf").combine_chunks().flatten().to_numpy()
+    rows = [(i, int(y), number[a:b], tf[a:b]) for i, y, a, b in zip(
+        found.column("id").to_pylist(), toxic, np.concatenate(([0], ends[:-1])).astype(int) if n else [], ends)]
+    without = [y for _, y, t, _ in rows if not len(t)]
+    share = float(toxic.sum()) / max(1, n)
+    return Model(BlockMaxIndex(terms, weights, rows), share,
                  (sum(without) + PRIOR_VOTES * share) / (len(without) + PRIOR_VOTES), k)
 
 
-_EVIDENCE = pa.list_(pa.struct([("id", pa.int64()), ("similarity", pa.float64()), ("toxic", pa.int32())]))
-
-
 def toxicity(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: the id, ``score`` and the neighbours it rests on (``evidence``)."""
     sent = docs.sparkSession.sparkContext.broadcast(model)
@@ -197,11 +193,12 @@ def toxicity(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [sent.value.score(words_of(text)) for text in raw(batch.column(1))]
+            evidence = pa.list_(pa.struct([("id", batch.schema.field(0).type), ("similarity", pa.float64()), ("toxic", pa.int32())]))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array([s for s, _ in found], pa.float64()),
-                 pa.array([[vars(n) for n in near] for _, near in found], _EVIDENCE)], names=["id", "score", "evidence"])
+                 pa.array([[vars(n) for n in near] for _, near in found], evidence)], names=["id", "score", "evidence"])
 
     kind = docs.schema[id_col].dataType.simpleString()
     return docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(
-        run, f"id {kind}, score double, evidence array<struct<id: bigint, similarity: double, toxic: int>>"
+        run, f"id {kind}, score double, evidence array<struct<id: {kind}, similarity: double, toxic: int>>"
     ).withColumnRenamed("id", id_col)
