@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from tillwright.llm.common import raw
 from tillwright.llm.phrase_index import words_of
 
-EXAMPLES = 4_000
+EXAMPLES = 2_500
 FLOOR = 0.02
 BLOCK = 64
 FIRST_BLOCKS = 4
@@ -50,10 +50,10 @@ class Neighbour:
 
 
 def _spread(starts: np.ndarray, stops: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The numbers from each start up to its stop, and which range each came from."""
+    """The numbers from each start up to its stop, and how many each range has."""
     sizes = stops - starts
-    of = np.repeat(np.arange(len(starts)), sizes)
-    return np.arange(len(of)) - np.repeat(np.cumsum(sizes) - sizes - starts, sizes), of
+    offset = np.repeat(np.cumsum(sizes) - sizes - starts, sizes)
+    return np.arange(len(offset)) - offset, sizes
 
 
 class BlockMaxIndex:
@@ -74,7 +74,7 @@ class BlockMaxIndex:
         term = np.concatenate([np.zeros(0, np.int64), *[v[2] for v in vectors]])
         weight = np.concatenate([np.zeros(0), *[v[3] for v in vectors]])
         order = np.lexsort((example, term))
-        self.example, self.weight, term = example[order].astype(np.int32), weight[order], term[order]
+        self.example, self.weight, term = example[order], weight[order], term[order]
         # an entry is a term in a block: its postings, its largest weight, and which entries a term has
         key = term * max(self.blocks, 1) + self.example // BLOCK
         first = np.flatnonzero(np.diff(key, prepend=-1))
@@ -91,8 +91,8 @@ class BlockMaxIndex:
     def nearest(self, terms: list[int], tf: list[int], k: int = NEIGHBOURS) -> list[Neighbour]:
         """The k examples of the largest cosine, those of cosine 0 left out."""
         numbers, weights = self.weigh(terms, tf)
-        entries, of = _spread(self.entry[numbers], self.entry[numbers + 1])
-        block, weight = self.block[entries], weights[of]
+        entries, sizes = _spread(self.entry[numbers], self.entry[numbers + 1])
+        block, weight = self.block[entries], np.repeat(weights, sizes)
         bound = np.bincount(block, weight * self.most[entries], self.blocks)
         order = np.argsort(-bound, kind="stable")
         order = order[bound[order] > 0]
@@ -101,9 +101,10 @@ class BlockMaxIndex:
         while at < len(order) and not (len(cosines) == k and bound[order[at]] < cosines[-1] - 1e-9):
             visited = np.zeros(self.blocks, bool)
             visited[order[at:at + size]] = True
-            here = visited[block]
-            postings, which = _spread(self.posting[entries[here]], self.posting[entries[here] + 1])
-            scores = np.bincount(self.example[postings], weight[here][which] * self.weight[postings], len(self.ids))
+            here = np.flatnonzero(visited[block])
+            start, stop = self.posting[entries[here]], self.posting[entries[here] + 1]
+            postings, _ = _spread(start, stop)
+            scores = np.bincount(self.example[postings], np.repeat(weight[here], stop - start) * self.weight[postings], len(self.ids))
             found = np.flatnonzero(scores > 0)
             kept, cosines = np.concatenate((kept, found)), np.concatenate((cosines, scores[found].round(12)))
             best = np.lexsort((self.rank[kept], -cosines))[:k]
