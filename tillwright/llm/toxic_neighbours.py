@@ -6,7 +6,8 @@ examples from others (the phi coefficient, ``FLOOR`` at least, so none is left o
 (1 + ln tf) * weight for its terms and unit length.  So an equal text has cosine 1, whatever its words.
 
 The index has the examples in blocks of ``BLOCK`` numbers, similar ones next to each other, and per term and
-block that has it the largest weight.  A text's bound for a block is the sum of its weights times these maxima.  Blocks are
+block that has it the largest weight; terms of very many examples have a row of weights instead, which is summed for all.  A
+text's bound for a block is the largest of these sums in it, and the sum of its other weights times the maxima.  Blocks are
 scored in order of their bounds, a few and then more at a time, until the next bound is below the k-th best cosine, so the k
 nearest are exact; ties go to the smaller id.
 
@@ -37,6 +38,7 @@ EXAMPLES = 2_500
 FLOOR = 0.02
 BLOCK = 64
 FIRST_BLOCKS = 4
+OFTEN = 12  # a term that more than one in so many examples has is kept as a row
 REMEMBERED = 5_000  # texts that a task keeps the scores of, as copies come again
 NEIGHBOURS = 15
 PRIOR_VOTES = 1.0
@@ -75,6 +77,12 @@ class BlockMaxIndex:
         weight = np.concatenate([np.zeros(0), *[v[3] for v in vectors]])
         order = np.lexsort((example, term))
         self.example, self.weight, term = example[order], weight[order], term[order]
+        # terms of many examples have a row of weights for all of them instead of postings
+        often = np.bincount(term, minlength=len(terms)) * OFTEN > len(vectors)
+        self.row = np.where(often, np.cumsum(often) - 1, -1)
+        self.dense = np.zeros((int(often.sum()), self.blocks * BLOCK))
+        self.dense[self.row[term[often[term]]], self.example[often[term]]] = self.weight[often[term]]
+        self.example, self.weight, term = (x[~often[term]] for x in (self.example, self.weight, term))
         # an entry is a term in a block: its postings, its largest weight, and which entries a term has
         key = term * max(self.blocks, 1) + self.example // BLOCK
         first = np.flatnonzero(np.diff(key, prepend=-1))
@@ -91,9 +99,11 @@ class BlockMaxIndex:
     def nearest(self, terms: list[int], tf: list[int], k: int = NEIGHBOURS) -> list[Neighbour]:
         """The k examples of the largest cosine, those of cosine 0 left out."""
         numbers, weights = self.weigh(terms, tf)
+        row = self.row[numbers]
+        partial = weights[row >= 0] @ self.dense[row[row >= 0]]
         entries, sizes = _spread(self.entry[numbers], self.entry[numbers + 1])
         block, weight = self.block[entries], np.repeat(weights, sizes)
-        bound = np.bincount(block, weight * self.most[entries], self.blocks)
+        bound = np.bincount(block, weight * self.most[entries], self.blocks) + partial.reshape(-1, BLOCK).max(axis=1, initial=0)
         order = np.argsort(-bound, kind="stable")
         order = order[bound[order] > 0]
         cosines, kept, at, size = np.zeros(0), np.zeros(0, np.int64), 0, FIRST_BLOCKS
@@ -104,7 +114,8 @@ class BlockMaxIndex:
             here = np.flatnonzero(visited[block])
             start, stop = self.posting[entries[here]], self.posting[entries[here] + 1]
             postings, _ = _spread(start, stop)
-            scores = np.bincount(self.example[postings], np.repeat(weight[here], stop - start) * self.weight[postings], len(self.ids))
+            scores = partial * np.repeat(visited, BLOCK) + np.bincount(
+                self.example[postings], np.repeat(weight[here], stop - start) * self.weight[postings], len(partial))
             found = np.flatnonzero(scores > 0)
             kept, cosines = np.concatenate((kept, found)), np.concatenate((cosines, scores[found].round(12)))
             best = np.lexsort((self.rank[kept], -cosines))[:k]
