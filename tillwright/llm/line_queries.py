@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tillwright.llm.common import table
-from tillwright.llm.line_runs import LONG_LINE, delete_repeated_runs
+from tillwright.llm.line_runs import MIN_CHARS, delete_repeated_runs
 from tillwright.llm.registry import query
 
 
@@ -18,14 +18,17 @@ def runs_sql(documents: str) -> str:
         worded AS (
             SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY num) AS k
             FROM l2 WHERE regexp_matches(line, '[^\x20\x09-\x0D]')),
-        runs AS (SELECT *, lead(line) OVER (PARTITION BY doc_id ORDER BY k) AS following FROM worded),
-        firsts AS (
-            SELECT doc_id, k, length(line) >= {LONG_LINE} AND row_number() OVER (PARTITION BY line ORDER BY doc_id, k) > 1 AS one,
-                   following IS NOT NULL
-                   AND row_number() OVER (PARTITION BY line, following ORDER BY doc_id, k) > 1 AS two
-            FROM runs),
-        gone AS (
-            SELECT doc_id, k FROM firsts WHERE one OR two UNION SELECT doc_id, k + 1 FROM firsts WHERE two),
+        ends AS (SELECT *, sum(length(line)) OVER (PARTITION BY doc_id ORDER BY k) AS upto FROM worded),
+        starts AS (SELECT *, upto - length(line) AS begins FROM ends),
+        runs AS (
+            SELECT doc_id, min(k) OVER w AS k, list(line) OVER w AS run, sum(length(line)) OVER w AS size FROM starts
+            WINDOW w AS (PARTITION BY doc_id ORDER BY begins RANGE BETWEEN CURRENT ROW AND {MIN_CHARS - 1} FOLLOWING)
+            UNION SELECT doc_id, min(k) OVER w AS k, list(line) OVER w AS run, sum(length(line)) OVER w AS size FROM starts
+            WINDOW w AS (PARTITION BY doc_id ORDER BY upto RANGE BETWEEN {MIN_CHARS - 1} PRECEDING AND CURRENT ROW)),
+        later AS (
+            SELECT doc_id, k, len(run) AS n FROM runs WHERE size >= {MIN_CHARS}
+            QUALIFY row_number() OVER (PARTITION BY run ORDER BY doc_id, k) > 1),
+        gone AS (SELECT DISTINCT doc_id, unnest(range(k, k + n)) AS k FROM later),
         marked AS (
             SELECT l2.doc_id, l2.num, l2.line, worded.k IS NOT NULL AS is_worded, gone.k IS NOT NULL AS is_gone
             FROM l2 LEFT JOIN worded ON worded.doc_id = l2.doc_id AND worded.num = l2.num
