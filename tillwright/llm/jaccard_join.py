@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from tillwright.llm.common import chunked, hashed_words, raw
 from tillwright.llm.components import components
-from tillwright.session import stored
+from tillwright.session import released, stored
 
 WORDS = 3  # per shingle
 PERCENT = 90  # of the union that two sets must share
@@ -151,7 +151,7 @@ def _prefix_batches(sent, words: int, percent: int):
         load = sent.value
         for batch in batches:
             sizes, digests, prefixes, maps = [], [], [], []
-            for values in shingle_sets(raw(batch.column(1)), words):
+            for values in shingle_sets(raw(batch.column(2)), words):
                 n = len(values)
                 sizes.append(n)
                 digests.append(_digest(values))
@@ -164,11 +164,11 @@ def _prefix_batches(sent, words: int, percent: int):
                     prefixes.append(np.zeros(0, np.int64))
             ends = np.cumsum([0, *map(len, prefixes)])
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()),
+                [batch.column(0), batch.column(1), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()),
                  pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate([np.zeros(0, np.int64), *prefixes]))),
                  pa.ListArray.from_arrays(pa.array(np.arange(len(maps) + 1) * (PARITY_BITS // 64), pa.int32()),
                                           pa.array(np.concatenate([np.zeros(0, np.int64), *maps])))],
-                names=["id", "n", "digest", "prefix", "parities"])
+                names=["id", "mark", "n", "digest", "prefix", "parities"])
     return run
 
 
@@ -232,15 +232,18 @@ class JaccardJoin:
         if not 50 < percent <= 100:
             raise ValueError("the threshold must be above 50 and at most 100 percent")
         self.words, self.percent, self.id_col = words, percent, id_col
+        self._used: list[DataFrame] = []  # tables that are removed as soon as nothing builds on them
         spark = docs.sparkSession
-        self.texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
+        text = F.col(text_col).cast("string")
+        # a text is found again by its mark: ids may be missing or equal
+        self.texts = docs.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("mark"), text.alias("text"))
         self.kind = self.texts.schema["id"].dataType.simpleString()
         sent = spark.sparkContext.broadcast(shingle_load(self.texts.select("text"), words))
         self.rows = stored(self.texts.mapInArrow(
-            _prefix_batches(sent, words, percent), f"id {self.kind}, n long, digest binary, prefix array<bigint>, parities array<bigint>"), "jaccard-rows")
+            _prefix_batches(sent, words, percent), f"id {self.kind}, mark long, n long, digest binary, prefix array<bigint>, parities array<bigint>"), "jaccard-rows")
         self.classes = stored(
             self.rows.where("digest is not null").groupBy("digest").agg(
-                F.min("id").alias("least_id"), F.any_value("n").alias("n"), F.any_value("prefix").alias("prefix"),
+                F.min("id").alias("least_id"), F.min("mark").alias("mark"), F.any_value("n").alias("n"), F.any_value("prefix").alias("prefix"),
                 F.any_value("parities").alias("parities"))
             .withColumn("entity", F.monotonically_increasing_id()), "jaccard-classes")
         members = self.classes.where(F.size("prefix") > 0).select(
@@ -255,12 +258,15 @@ class JaccardJoin:
 
         tested = stored(self._pivot_pairs(), "jaccard-pairs")
         links = self._verified(tested)
-        self.found = links
-        rest = stored(self._open_pairs(components(links)).join(
-            tested.select("a", "b").union(tested.select("b", "a")), ["a", "b"], "left_anti"), "jaccard-pairs")
+        self.labels, self.found = components(links), links
+        found = self._open_pairs(self.labels)
+        rest = stored(found.join(tested.select("a", "b").union(tested.select("b", "a")), ["a", "b"], "left_anti"), "jaccard-pairs")
+        released(entries, tested, *self._used)
         if rest.head(1):
-            self.found = links.unionByName(self._verified(rest))
-        self.labels = components(self.found) if self.found is not links else components(links)
+            more = self._verified(rest)
+            self.found = stored(links.unionByName(more), "jaccard-links")
+            self.labels = components(self.found)
+        released(rest, *self._used)
 
     def _pivot_pairs(self) -> DataFrame:
         """Pairs of classes to test first: members of a group with its first, and members of groups with pivots."""
@@ -291,6 +297,7 @@ class JaccardJoin:
         largest = parts.groupBy("shingle").agg(
             F.max_by("component", F.struct("m", "component")).alias("largest"), F.count("*").alias("parts")).where("parts > 1")
         rows = stored(rows.join(largest, "shingle").drop("parts", "m"), "jaccard-open")
+        self._used.append(rows)
         minor = rows.where("component <> largest").alias("x")
         other = rows.alias("y")
         apart = (F.col("x.shingle") == F.col("y.shingle")) & (F.col("x.component") != F.col("y.component"))
@@ -314,19 +321,20 @@ class JaccardJoin:
     def _verified(self, pairs: DataFrame) -> DataFrame:
         """The pairs whose whole sets reach the threshold."""
         pairs = stored(self._plausible(pairs), "jaccard-pairs")
-        text_key = F.coalesce(F.col("id").cast("string"), F.lit("null"))
         wanted = pairs.select(F.col("a").alias("entity")).union(pairs.select("b")).distinct()
-        keys = self.classes.join(wanted, "entity").select(
-            "entity", "digest", F.coalesce(F.col("least_id").cast("string"), F.lit("null")).alias("key"))
-        # few wanted ids are sent to the texts, more of them meet the texts in a shuffle
+        keys = self.classes.join(wanted, "entity").select("entity", "digest", "mark")
+        # few wanted marks are sent to the texts, more of them meet the texts in a shuffle
         keys = F.broadcast(keys) if wanted.count() <= BROADCAST_CLASSES else keys
-        texts = stored(
-            self.texts.select(text_key.alias("key"), "text").join(keys, "key").select("entity", "digest", "text")
-            .mapInArrow(_text_batches(self.words), "entity long, text string").dropDuplicates(["entity"]), "jaccard-texts")
+        # copies of a text are one row before they move; equal marks of other texts don't have the class's set
+        same = self.texts.select("mark", "text").join(keys, "mark").groupBy("entity", "digest", "text").agg(F.lit(1))
+        texts = stored(same.select("entity", "digest", "text").mapInArrow(
+            _text_batches(self.words), "entity long, text string"), "jaccard-texts")
         both = (pairs.join(texts.select(F.col("entity").alias("b"), F.col("text").alias("of_b")), "b")
                 .join(texts.select(F.col("entity").alias("a"), F.col("text").alias("of_a")), "a"))
-        return stored(both.select("a", "b", "of_a", "of_b").mapInArrow(
+        found = stored(both.select("a", "b", "of_a", "of_b").mapInArrow(
             _match_batches(self.words, self.percent), "a long, b long"), "jaccard-links")
+        released(pairs, texts)
+        return found
 
     def result(self) -> DataFrame:
         """Per row: the id, ``n_shingles`` and ``component_id``, the least id of its component."""
