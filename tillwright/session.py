@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import weakref
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -48,14 +51,43 @@ def scratch_dir(spark: SparkSession, purpose: str) -> str:
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
+_PATHS: weakref.WeakKeyDictionary[DataFrame, str] = weakref.WeakKeyDictionary()
+_SCOPES: list[list[str]] = []
+
+
 def stored(df: DataFrame, purpose: str, path: str | None = None) -> DataFrame:
     """Write ``df`` and read it back, where several results build on it.
 
     It goes to a new folder in the shared scratch folder, or replaces what is at ``path``.
     """
+    own = path is None
     path = path or scratch_dir(df.sparkSession, purpose)
     df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    back = df.sparkSession.read.schema(df.schema).parquet(path)
+    if own:
+        _PATHS[back] = path
+        for scope in _SCOPES:
+            scope.append(path)
+    return back
+
+
+def released(*tables: DataFrame) -> None:
+    """Delete tables that ``stored`` gave, once nothing builds on them any more."""
+    for df in tables:
+        path = _PATHS.pop(df, None)
+        if path:
+            dropped(df.sparkSession, path)
+
+
+@contextmanager
+def scratch_tables() -> Iterator[list[str]]:
+    """The folders of the tables stored meanwhile, for a caller that knows when nothing reads them any more."""
+    scope: list[str] = []
+    _SCOPES.append(scope)
+    try:
+        yield scope
+    finally:
+        _SCOPES[:] = [s for s in _SCOPES if s is not scope]
 
 
 def dropped(spark: SparkSession, *paths: str) -> None:
