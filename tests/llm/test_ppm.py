@@ -131,7 +131,7 @@ def test_all_counted_grams_take_part(spark):
 
 def test_buckets_give_the_scores_of_the_whole_trie(spark, monkeypatch):
     rng = random.Random(12)
-    monkeypatch.setattr(ppm, "BUCKET_GRAMS", 5)
+    monkeypatch.setattr(ppm, "BUCKET_BYTES", 5)
     monkeypatch.setattr(ppm, "SCORED_BYTES", 100)
     rows = [(i, "".join(rng.choice("abcé ") for _ in range(rng.randint(0, 60)))) for i in range(60)]
     model = Model(docs(spark, rows[:40]))

@@ -7,10 +7,11 @@ one, a byte UTF-8 never has).  Tasks send partial counts; shorter grams are sums
 Buckets.  All counted grams are kept, in buckets by the last two bytes of their contexts.  What a gram of two or more
 bytes of context needs (its context's other symbols, the same for all shorter contexts down to two
 bytes) is in its bucket; the shorter grams, 65,792 at most, go to all tasks.  The number of buckets grows with
-the grams (``BUCKET_GRAMS``), and a task has the trie of one bucket at a time.
+the training texts (``BUCKET_BYTES``), and a task has the trie of one bucket at a time; grams that share the last two bytes of
+their contexts are never apart, so the commonest pair of bytes bounds it from below.
 
 Scoring.  Texts are cut into chunks of about ``SCORED_BYTES``; a chunk's distinct grams go to their buckets as sorted
-blocks, their log probabilities come back as blocks in the same order, and are summed per text.
+blocks, their log probabilities come back as blocks of 32-bit floats in the same order, and are summed per text as doubles.
 
 Probability (escape method D).  A context with N occurrences predicts a symbol seen n times
 with (n - 1/2) / N.  What is left, half an occurrence per symbol, is the escape to the next shorter context, where the symbols the longer one has seen are
@@ -39,7 +40,7 @@ from tillwright.llm.common import chunked, hashed_words, raw
 from tillwright.session import stored
 
 ORDER = 6  # bytes of context; a gram with its symbol has to fit in 63 bits
-BUCKET_GRAMS = 1 << 19  # longest grams per bucket, as many as share a context's last two bytes aside
+BUCKET_BYTES = 8 << 20  # training text per bucket
 LEAST_BUCKETS = 48
 FREQUENT = 1 << 17  # tokens looked up without a join
 EDGE = b"\xff"
@@ -80,10 +81,32 @@ def runs(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return values[first], np.diff(np.concatenate((first, [len(values)])))
 
 
-def _counts_batch(kind: int, keys: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays(
-        [pa.array(np.full(len(keys), kind, np.int32)), pa.array(keys.astype(np.int64)), pa.array(n.astype(np.int64))],
-        names=["kind", "key", "n"])
+def pack_keys(keys: np.ndarray) -> bytes:
+    """Ascending keys as differences, byte by byte of equal weight, compressed."""
+    steps = np.diff(keys.astype("<u8"), prepend=U(0))
+    return len(keys).to_bytes(4, "little") + pa.compress(
+        np.ascontiguousarray(steps.view(np.uint8).reshape(-1, 8).T).tobytes(), "zstd", asbytes=True)
+
+
+def unpack_keys(block: bytes) -> np.ndarray:
+    n = int.from_bytes(block[:4], "little")
+    planes = np.frombuffer(pa.decompress(block[4:], 8 * n, "zstd"), np.uint8).reshape(8, n)
+    return np.cumsum(np.ascontiguousarray(planes.T).view("<u8").ravel(), dtype=U)
+
+
+def pack_counts(n: np.ndarray) -> bytes:
+    """Counts, a byte each where they are below 255, the others after them in full."""
+    small, large = np.minimum(n, 255).astype(np.uint8), n[n >= 255].astype("<i8")
+    return len(n).to_bytes(4, "little") + len(large).to_bytes(4, "little") + pa.compress(
+        small.tobytes() + large.tobytes(), "zstd", asbytes=True)
+
+
+def unpack_counts(block: bytes) -> np.ndarray:
+    n, more = (int.from_bytes(block[i:i + 4], "little") for i in (0, 4))
+    data = pa.decompress(block[8:], n + 8 * more, "zstd", asbytes=True)
+    out = np.frombuffer(data, np.uint8, n).astype(np.int64)
+    out[out == 255] = np.frombuffer(data, "<i8", more, n)
+    return out
 
 
 def _merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
@@ -95,21 +118,76 @@ def _merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.
     return keys[first], np.add.reduceat(n, first)
 
 
-def _count_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    held: dict[int, list] = {TOKEN: [], GRAM: []}
+_COUNTS = "bucket int, keys binary, n binary"
+
+
+def _count_block(bucket: int, keys: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [pa.array([bucket], pa.int32()), pa.array([pack_keys(keys)], pa.binary()), pa.array([pack_counts(n)], pa.binary())],
+        names=["bucket", "keys", "n"])
+
+
+def _count_batches(buckets: int):
+    """A task's counts as blocks: grams in buckets from 0 on, tokens in buckets below 0."""
+    def blocks(kind: int, keys: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
+        if kind == GRAM:
+            for bucket, at in _by_bucket(keys, buckets):
+                yield _count_block(bucket, keys[at], n[at])
+            return
+        share = ((keys >> U(40)) * U(buckets)) >> U(24)  # keys are hashes; the end token is in the first share
+        for bucket in np.unique(share):
+            yield _count_block(-1 - int(bucket), keys[share == bucket], n[share == bucket])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, list] = {TOKEN: [], GRAM: []}
+        for batch in batches:
+            texts = raw(batch.column(0))
+            for a, b in chunked(texts, CHUNK_BYTES):
+                held[TOKEN] += [runs(hashed_words(texts[a:b])[0]), (np.array([END], U), np.array([b - a]))]
+                held[GRAM].append(runs(grams_of(texts[a:b])[0]))
+                for kind, parts in held.items():
+                    if sum(len(k) for k, _ in parts) > 2 * FLUSH:
+                        held[kind] = [_merged(parts)]
+                        if len(held[kind][0][0]) > FLUSH:
+                            yield from blocks(kind, *held[kind].pop())
+        for kind, parts in held.items():
+            if parts:
+                yield from blocks(kind, *_merged(parts))
+    return run
+
+
+def _merge_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sorted by bucket: the blocks of a bucket as one.  Parts are merged as they come, so about two of them are held."""
+    of, parts = None, []
+    for batch in batches:
+        for bucket, keys, n in zip(*[c.to_pylist() for c in batch.columns]):
+            if bucket != of:
+                if parts:
+                    yield _count_block(of, *_merged(parts))
+                of, parts = bucket, []
+            parts.append((unpack_keys(keys), unpack_counts(n)))
+            if len(parts) > 1 and sum(len(k) for k, _ in parts[1:]) > len(parts[0][0]):
+                parts = [_merged(parts)]
+    if parts:
+        yield _count_block(of, *_merged(parts))
+
+
+def _token_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for keys, n in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(unpack_keys(keys).astype(np.int64)), pa.array(unpack_counts(n))], names=["key", "n"])
+
+
+def _pair_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Counts of the last two bytes of grams."""
+    total = np.zeros(1 << 16, np.int64)
     for batch in batches:
-        texts = raw(batch.column(0))
-        for a, b in chunked(texts, CHUNK_BYTES):
-            held[TOKEN] += [runs(hashed_words(texts[a:b])[0]), (np.array([END], U), np.array([b - a]))]
-            held[GRAM].append(runs(grams_of(texts[a:b])[0]))
-            for kind, parts in held.items():
-                if sum(len(k) for k, _ in parts) > 2 * FLUSH:
-                    held[kind] = [_merged(parts)]
-                    if len(held[kind][0][0]) > FLUSH:
-                        yield _counts_batch(kind, *held[kind].pop())
-    for kind, parts in held.items():
-        if parts:
-            yield _counts_batch(kind, *_merged(parts))
+        for keys, n in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            pair = (unpack_keys(keys) >> U(8 * (ORDER - 1))).astype(np.int64)
+            total += np.bincount(pair, unpack_counts(n), 1 << 16).astype(np.int64)
+    seen = np.flatnonzero(total)
+    yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(total[seen])], names=["key", "n"])
 
 
 class Trie:
@@ -241,30 +319,10 @@ _BLOCK = "bucket int, chunk long, keys binary, n binary"
 _MODEL = -1  # the chunk of a block that holds counts: it sorts before all chunks of texts
 
 
-def _block_batch(bucket: int, chunk: int, keys: np.ndarray, n: np.ndarray | None) -> pa.RecordBatch:
+def _block_batch(bucket: int, chunk: int, keys: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
-        [pa.array([bucket], pa.int32()), pa.array([chunk], pa.int64()), pa.array([keys.astype("<u8").tobytes()], pa.binary()),
-         pa.array([None if n is None else n.astype("<i8").tobytes()], pa.binary())], names=["bucket", "chunk", "keys", "n"])
-
-
-def _model_batches(buckets: int):
-    """Counted longest grams as blocks per bucket."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def blocks() -> Iterator[pa.RecordBatch]:
-            keys, n = (np.concatenate(c) for c in zip(*held))
-            for bucket, at in _by_bucket(keys, buckets):
-                yield _block_batch(bucket, _MODEL, keys[at], n[at])
-
-        held, rows = [], 0
-        for batch in batches:
-            held.append((batch.column(0).to_numpy().astype(U), batch.column(1).to_numpy()))
-            rows += len(batch)
-            if rows > 4 * FLUSH:
-                yield from blocks()
-                held, rows = [], 0
-        if rows:
-            yield from blocks()
-    return run
+        [pa.array([bucket], pa.int32()), pa.array([chunk], pa.int64()), pa.array([pack_keys(keys)], pa.binary()),
+         pa.array([None], pa.binary())], names=["bucket", "chunk", "keys", "n"])
 
 
 def _wanted_batches(buckets: int):
@@ -274,7 +332,7 @@ def _wanted_batches(buckets: int):
             for chunk, texts in zip(batch.column(0).to_pylist(), batch.column(1)):
                 keys, _ = runs(grams_of(texts.as_py())[0])
                 for bucket, at in _by_bucket(keys, buckets):
-                    yield _block_batch(bucket, chunk, keys[at], None)
+                    yield _block_batch(bucket, chunk, keys[at])
     return run
 
 
@@ -298,11 +356,11 @@ def _answer_batches(short: list[tuple[np.ndarray, np.ndarray]]):
         for batch in batches:
             for i in range(len(batch)):
                 bucket, chunk = batch.column(0)[i].as_py(), batch.column(1)[i].as_py()
-                keys = np.frombuffer(batch.column(2)[i].as_buffer(), "<u8")
+                keys = unpack_keys(batch.column(2)[i].as_py())
                 if bucket != of:
                     of, held, trie = bucket, [], None
                 if chunk == _MODEL:
-                    held.append((keys.copy(), np.frombuffer(batch.column(3)[i].as_buffer(), "<i8").copy()))
+                    held.append((keys, unpack_counts(batch.column(3)[i].as_py())))
                     continue
                 if trie is None:
                     trie = bucket_trie(*([np.concatenate(c) for c in zip(*held)] if held else none), short)
@@ -321,13 +379,15 @@ class Model:
         if order != ORDER:
             raise ValueError("the order is fixed when texts are counted")
         rows = training.select(F.col(text_col).cast("string").alias("text"))
-        counts = stored(rows.mapInArrow(_count_batches, "kind int, key long, n long")
-                        .groupBy("kind", "key").agg(F.sum("n").alias("n")), "ppm-counts")
-        self.vocabulary = counts.where(F.col("kind") == TOKEN).select("key", "n")
-        self.grams = counts.where(F.col("kind") == GRAM).select("key", "n")
-        self.buckets = min(1 << 16, max(LEAST_BUCKETS, -(-self.grams.count() // BUCKET_GRAMS)))
+        size = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+        self.buckets = int(min(1 << 16, max(LEAST_BUCKETS, -(-size // BUCKET_BYTES))))
+        counts = stored(rows.mapInArrow(_count_batches(self.buckets), _COUNTS).repartition("bucket").sortWithinPartitions("bucket")
+                        .mapInArrow(_merge_batches, _COUNTS), "ppm-counts")
+        self.vocabulary = stored(counts.where("bucket < 0").select("keys", "n").mapInArrow(
+            _token_batches, "key long, n long"), "ppm-tokens")
+        self.grams = counts.where("bucket >= 0")
         # grams of one byte of context and of none: 65,792 at most, whatever the texts
-        pairs = _packed(self.grams.groupBy(F.shiftrightunsigned("key", 8 * (order - 1)).alias("key")).agg(
+        pairs = _packed(self.grams.select("keys", "n").mapInArrow(_pair_batches, "key long, n long").groupBy("key").agg(
             F.sum("n").alias("n")).select(F.lit(1).alias("k"), "key", "n")).get(1, (np.zeros(0, np.int64),) * 2)
         pairs = pairs[0].astype(U), pairs[1]
         single, where = np.unique(pairs[0] >> U(8), return_inverse=True)
@@ -422,7 +482,7 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     kind = docs.schema[id_col].dataType.simpleString()
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     chunks = stored(texts.mapInArrow(_chunk_batches, f"chunk long, ids array<{kind}>, texts array<binary>"), "ppm-chunks")
-    blocks = model.grams.mapInArrow(_model_batches(model.buckets), _BLOCK).unionByName(
+    blocks = model.grams.select("bucket", F.lit(_MODEL).cast("long").alias("chunk"), "keys", "n").unionByName(
         chunks.select("chunk", "texts").mapInArrow(_wanted_batches(model.buckets), _BLOCK))
     answers = (blocks.repartition("bucket").sortWithinPartitions("bucket", "chunk")
                .mapInArrow(_answer_batches(model.short), _ANSWER))
