@@ -83,3 +83,26 @@ def test_whole_conversations_and_empty(spark):
     assert read_back(format_conversations(df.limit(0))).count() == 0
     with pytest.raises(TemplateError):
         format_conversations(df, "{% for %}")
+
+
+def test_ids_of_text(spark):
+    df = spark.createDataFrame([("a", 0, "user", "x"), ("b", 0, "user", "y"), (None, 0, "user", "z")], "conv_id string, turn long, role string, text string")
+    assert {r.conv_id: r.n_turns for r in read_back(format_conversations(df)).collect()} == {"a": 1, "b": 1, None: 1}
+
+
+def test_a_long_turn_is_read_in_proportion():
+    """Pieces of one open turn are kept as they come: 400 pieces take about four times as long as 100."""
+    import time
+
+    def seconds(n):
+        reader, piece = chat_format.TurnReader(), "a <tur" * 10_000
+        start = time.perf_counter()
+        reader.feed(OPEN + "user\n", [])
+        for _ in range(n):
+            reader.feed(piece, [])
+        reader.feed(CLOSE[:3], [])
+        reader.feed(CLOSE[3:] + "\n", [])
+        assert reader.row()[0] == 1
+        return time.perf_counter() - start
+    seconds(50)
+    assert seconds(1600) < 12 * seconds(400) + 0.05

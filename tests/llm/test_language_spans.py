@@ -29,6 +29,16 @@ def test_scripts():
     assert [_NAMES[i] for i in scripts_of(["abc", "кот", "猫", "ねこ", "ελ", "éa"])] == ["latin", "cyrillic", "han", "kana", "greek", "latin"]
 
 
+def test_words_are_letters_and_their_marks():
+    assert words_of("² ½ ① x² 3rd_place") == ["x", "rd", "place"]
+    assert words_of("हिन्दी भाषा") == ["हिन्दी", "भाषा"] and words_of("e\u0301te\u0301") == ["e\u0301te\u0301"] and words_of("\u0301 _") == []
+
+
+def test_texts_without_a_letter(spark):
+    model = fit(docs(spark, [(1, EN, "en"), (2, DE, "de")]))
+    assert {r.lang_pred for r in identify(docs(spark, [(1, "² ½ ①"), (2, "\u0301"), (3, "12 _")]), model).collect()} == {"und"}
+
+
 def test_fit_and_identify(spark):
     train = docs(spark, [(i, t, la) for i, (t, la) in enumerate([(EN, "en"), (DE, "de"), (RU, "ru")] * 3)] + [(90, None, "en"), (91, EN, None)])
     model = fit(train)

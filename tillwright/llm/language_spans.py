@@ -17,13 +17,13 @@ count as often as they occur; null ids keep their rows; other columns are not lo
 
 from __future__ import annotations
 
-import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -46,7 +46,8 @@ _STARTS = np.array([start for start, _ in SCRIPTS])
 _NAMES = sorted({name for _, name in SCRIPTS})
 _SCRIPT_OF_RANGE = np.array([_NAMES.index(name) for _, name in SCRIPTS])
 
-_WORD = re.compile(r"[^\W\d_]+")
+# a letter, and the letters and combining marks that follow: signs such as superscripts and fractions are none
+_WORD = regex.compile(r"\p{L}[\p{L}\p{M}]*")
 
 
 def words_of(text: str | None) -> list[str]:

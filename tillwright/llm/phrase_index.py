@@ -33,6 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tillwright.session import released, stored
 from tillwright.llm.common import raw
 
 WINDOW = 13
@@ -182,7 +183,8 @@ def search_shard(texts: list[bytes | None], phrases: PhraseSet) -> list[tuple[in
         doc = np.searchsorted(ends, at, side="right")
         for d, p in np.unique(np.stack((doc, phrase), 1), axis=0):
             items[d].update(phrases.items[p])
-    return [(c, s, sorted(i)) for c, s, i in zip(counts, spans, items)]
+    # phrases of items without an id hit words and are no item of the list
+    return [(c, s, sorted(i - {None})) for c, s, i in zip(counts, spans, items)]
 
 
 def _shards(texts: list[bytes | None]) -> Iterator[tuple[int, int]]:
@@ -222,7 +224,7 @@ def _phrase_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
     for batch in batches:
         out = {(item, b" ".join(words[i:i + WINDOW]))
                for item, text in zip(batch.column(0).to_pylist(), raw(batch.column(1)))
-               for words in [words_of(text)] if words and item is not None
+               for words in [words_of(text)] if words
                for i in range(max(1, len(words) - WINDOW + 1))}
         yield pa.RecordBatch.from_arrays(
             [pa.array([i for i, _ in out], pa.string()), pa.array([p for _, p in out], pa.binary())],
@@ -242,14 +244,17 @@ def find_phrases(docs: DataFrame, phrases: DataFrame, id_col: str = "doc_id", te
     n = phrases.count()
     blocks = max(1, -(-n // block))
     # a block is a hash bucket: about `block` phrases, never more than the whole set
-    of_block = F.pmod(F.xxhash64("phrase", "item"), F.lit(blocks))
+    of_block = F.pmod(F.xxhash64("phrase", F.coalesce("item", F.lit(""))), F.lit(blocks))
     rows = docs.select(
         F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"), F.lit(0).cast("long").alias("n_words"),
         F.expr("cast(array() as array<struct<start: bigint, stop: bigint>>)").alias("spans"),
         F.expr("cast(array() as array<string>)").alias("items"))
     for b in range(blocks):
         sent = [(bytes(r.phrase), r.item) for r in phrases.where(of_block == b).collect()]
-        rows = rows.mapInArrow(_searcher(spark.sparkContext.broadcast(sent)), rows.schema)
+        before, rows = rows, rows.mapInArrow(_searcher(spark.sparkContext.broadcast(sent)), rows.schema)
+        if b + 1 < blocks:  # written out, so that one block of phrases is alive at a time
+            rows = stored(rows, "phrase-rows")
+            released(before)
     if blocks > 1:  # the blocks' spans may overlap
         rows = rows.withColumn("spans", _merged("spans"))
     return rows.withColumnRenamed("id", id_col).withColumnRenamed("text", text_col)

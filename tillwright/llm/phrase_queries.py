@@ -14,7 +14,7 @@ def hits_sql(documents: str) -> str:
     return f"""
         WITH d10 AS (SELECT row_number() OVER () AS rid, * FROM {documents}),
         dw AS (SELECT rid, {words} AS w FROM d10),
-        iw AS (SELECT CAST(item_id AS VARCHAR) AS item, {words} AS w FROM benchmark WHERE item_id IS NOT NULL),
+        iw AS (SELECT CAST(item_id AS VARCHAR) AS item, {words} AS w FROM benchmark),
         phrases AS (
             SELECT DISTINCT item, least(len(w), 13) AS n,
                    unnest(list_transform(range(1, greatest(1, len(w) - 12) + 1),
@@ -31,7 +31,7 @@ def hits_sql(documents: str) -> str:
             FROM (SELECT DISTINCT rid, unnest(range(pos, pos + n)) AS p FROM found) GROUP BY rid),
         items AS (
             SELECT rid, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ids
-            FROM (SELECT DISTINCT rid, item FROM found) GROUP BY rid)
+            FROM (SELECT DISTINCT rid, item FROM found WHERE item IS NOT NULL) GROUP BY rid)
         SELECT d10.*, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
                sha256(coalesce(ids, '')) AS items_sha256,
                coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
