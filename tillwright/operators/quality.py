@@ -116,6 +116,7 @@ def quarantine(df: DataFrame, checks: Sequence[Check], strict: bool = False) ->
     return df.withColumn("failed_checks", F.array_compact(F.array(*failed))).where(F.size("failed_checks") > 0)
 
 
+# fixed values: the columns of the checks and their bounds
 def product_checks() -> list[Check]:
     return [
         is_not_null("id"), is_positive("id"),
@@ -126,6 +127,7 @@ def product_checks() -> list[Check]:
     ]
 
 
+# fixed values: the columns of the checks and their bounds
 def user_checks() -> list[Check]:
     return [
         is_not_null("id"), is_positive("id"),
@@ -135,6 +137,7 @@ def user_checks() -> list[Check]:
     ]
 
 
+# fixed values: the columns of the checks and their bounds
 def wishlist_checks() -> list[Check]:
     ids = [check(c) for c in ("id", "user_id", "product_id") for check in (is_not_null, is_positive)]
     return ids + [
