@@ -4,7 +4,10 @@ import numpy as np
 import pytest
 from helpers import EDGES, docs, empty
 
-from tillwright.llm.passage_chains import GAP_COST, K, WINDOW, aligned, chains_of, repeated_passages, seeds_of
+from pyspark.sql import functions as F
+
+from tillwright.llm.passage_chains import (
+    GAP_COST, K, WINDOW, Places, _between, _numbers, _numbers_of, aligned, aligned_pieces, chains_of, repeated_passages, seeds_of)
 
 
 def best_chain(matches):
@@ -137,3 +140,76 @@ def test_repeats_within_a_document(spark):
     spans = covered(found)
     assert spans == {1: {*range(85, 145), *range(150, 210)}, 2: set(range(4, 160))}
     assert all(r.source_ids == [r.id] for r in found)
+
+
+def test_places_against_all_occurrences():
+    """Matches with the first and the previous occurrence, whatever the sizes of the blocks."""
+    rng = random.Random(9)
+    for _ in range(60):
+        occurrences = sorted({(rng.randint(0, 30), rng.randint(0, 9)): rng.randint(0, 12) for _ in range(rng.randint(1, 80))}.items())
+        places, got, at = Places(), [], 0
+        while at < len(occurrences):
+            part = occurrences[at:at + rng.randint(1, 30)]
+            at += len(part)
+            got += places.matches(np.array([s for _, s in part], np.uint64), np.array([p for p, _ in part], np.int64)).tolist()
+        want, first, last = [], {}, {}
+        for (node, k), s in occurrences:
+            if s in first:
+                want += [[node, of[0], k, of[1]] for of in {first[s], *([last[s]] if last[s][0] != node else [])}]
+            last[s] = (node, k)
+            first.setdefault(s, (node, k))
+        assert sorted(got) == sorted(want)
+
+
+def test_packed_numbers():
+    for values in ([], [0], [3, 1 << 50, 7], list(range(1000))):
+        assert _numbers_of(_numbers(np.array(values, np.uint64))).tolist() == values
+
+
+def test_matches_between_against_a_table():
+    rng = random.Random(10)
+    for _ in range(200):
+        a, b = ([rng.choice([b"a", b"b", b"c"]) for _ in range(rng.randint(0, 20))] for _ in range(2))
+        table = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+        for i, x in enumerate(a):
+            for j, y in enumerate(b):
+                table[i + 1][j + 1] = table[i][j] + 1 if x == y else max(table[i][j + 1], table[i + 1][j])
+        assert _between(a, b) == table[-1][-1]
+
+
+def test_long_texts_are_quick():
+    """20,000 words with a seed in every 15, and two texts of 20,000 words that differ in their middle half."""
+    import time
+    rng = random.Random(11)
+    start = time.perf_counter()
+    a = [w.encode() for w in words(rng, 20_000)]
+    b = [w if k % 15 < 6 else b"x%d" % k for k, w in enumerate(a)]
+    assert not [p for p in aligned_pieces(a, b, [(k, k) for k in range(0, 19_990, 15)]) if p[1] - p[0] >= 50]
+    c = [*a[:5_000], *[w.encode() for w in words(rng, 10_000)], *a[15_000:]]
+    chain = [(k, k) for k in [*range(0, 4_995), *range(15_000, 19_995)]]
+    assert sorted(p[:2] for p in aligned_pieces(a, c, chain)) == [(0, 5_000), (15_000, 20_000)]
+    assert time.perf_counter() - start < 20
+
+
+def test_passages_whose_parts_were_quoted_before(spark):
+    """Every ninth word of the copy is another, and the eight words between have each been quoted in an earlier text."""
+    rng = random.Random(12)
+    rows, wanted = [], set()
+    for i in range(30):
+        shared = words(rng, 72)
+        for k in range(0, 72, 9):
+            rows.append((1000 * i + k, " ".join([*words(rng, 20), *shared[k:k + 8], *words(rng, 20)])))
+        rows.append((1000 * i + 500, " ".join([*words(rng, 15), *shared, *words(rng, 15)])))
+        copy = [w if k % 9 != 8 else f"new{k}" for k, w in enumerate(shared)]
+        rows.append((1000 * i + 501, " ".join([*words(rng, 25), *copy, *words(rng, 5)])))
+        wanted.add(1000 * i + 501)
+    found = set(covered(repeated_passages(docs(spark, rows).coalesce(1)).collect()))
+    assert len(found & wanted) >= 0.9 * len(wanted) and found <= wanted
+
+
+def test_ids_of_text_and_several_tasks(spark):
+    rng = random.Random(13)
+    shared = words(rng, 60)
+    rows = docs(spark, [(i, " ".join([*shared, *words(rng, 20)])) for i in range(40)]).repartition(7).withColumn("doc_id", F.concat(F.lit("d"), "doc_id"))
+    found = repeated_passages(rows).collect()
+    assert len(found) == 39 and all(r.id.startswith("d") and len(r.source_ids) == 1 for r in found)

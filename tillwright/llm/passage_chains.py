@@ -2,13 +2,16 @@
 
 1. Seeds: of every ``WINDOW`` consecutive k-word hashes of a text the least is a seed; with a window of one every
    k words in a row are, so texts that share k words in a row share a seed there, wherever the words stand.
-2. Seeds join on their hash.  Each occurrence is matched with the seed's first occurrence only (the
-   first document read that has it, and its first place there), so a passage that very many documents share costs one match per
-   occurrence and no pair of later copies is formed.
+2. Seeds go to buckets by their hash, as sorted and packed blocks: the one exchange of them.  A bucket's task reads the blocks in document
+   order and keeps of each seed its first and its last place so far; each occurrence is matched with the first one and, if that is in
+   another document, with the one before it.  So a passage that very many documents share costs two matches per occurrence, no pair of later copies
+   beyond that is formed, and a hot seed takes no more memory than another.  A passage is found even if its
+   seeds occurred before in other texts, as long as no text between the two has quoted them again.
 3. Chaining: the matches between a document and an earlier one are linked to the best-scoring ordered
    chains, word gaps costing ``GAP_COST`` each; the best predecessor of a match comes from a Fenwick tree of
    prefix maxima over the earlier document's positions.
-4. Alignment: a chain's seeds are extended word by word, what lies between them is aligned by edit distance,
+   A chain whose seeds all lie in equal stretches of other chains of the document, ``MIN_WORDS`` long, adds nothing and goes.
+4. Alignment: a chain's seeds are joined to runs, what lies between them is aligned for the most matches (bit vectors, exact),
    and its ends are extended while matches outweigh mismatches.  Alignments below ``IDENTITY`` are split at their
    widest gap, single seeds below it dropped.  All chains are aligned, those of a single seed too: length is judged
    on the aligned words, not on the spread of the seeds.
@@ -16,15 +19,16 @@
    first occur in several documents is found whole.  Passages of ``MIN_WORDS`` and more are returned.
 
 Words are lower-cased.  Defined cases: null and empty texts have no seeds; repeated rows are copies like
-others, the first one read is the original; null ids take part and are null in the result; a passage that a document
+others, the first one read is the original; null ids take part and are null in the result; ids may be of any type; a passage that a document
 has again is a copy of its own first one; a text of fewer words than a seed has none; an empty table gives no rows; other
 columns are not looked at.
 """
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from collections.abc import Iterator
-from itertools import groupby
+from itertools import chain, groupby
 
 import numpy as np
 import pyarrow as pa
@@ -35,11 +39,17 @@ from tillwright.llm.common import chunked, raw
 from tillwright.llm.jaccard_join import CHUNK_BYTES, shingled
 from tillwright.session import stored
 
+U = np.uint64
+
 K = 6
 WINDOW = 1
 MIN_WORDS = 50
 GAP_COST = 0.05  # per word skipped in either text; a match is worth its words
 IDENTITY = 0.8
+SEED_BITS = 52  # of a seed's hash; equal hashes of other words are told apart by the alignment
+BUCKET_BYTES = 8 << 20  # of text per bucket of seeds
+LEAST_BUCKETS = 48
+FLUSH = 1_000_000  # seeds that a task holds before it sends them on
 DROP = 6  # an end is extended until its score falls so far below the best
 
 
@@ -56,25 +66,117 @@ def seeds_of(grams: np.ndarray, window: int = WINDOW) -> np.ndarray:
     return at[np.diff(at, prepend=-1) != 0]  # the place of the least hash never goes back
 
 
-def _seed_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The seeds of numbered documents; a seed's later occurrences in the same text are marked."""
+_BLOCK = "bucket int, first long, seeds binary, nodes binary, ats binary"
+
+
+def _numbers(values: np.ndarray) -> bytes:
+    """Numbers byte by byte of equal weight, compressed; ascending ones should come as differences."""
+    wide = values.astype("<u8").view(np.uint8).reshape(-1, 8).T
+    return len(values).to_bytes(4, "little") + pa.compress(np.ascontiguousarray(wide).tobytes(), "zstd", asbytes=True)
+
+
+def _numbers_of(block: bytes) -> np.ndarray:
+    n = int.from_bytes(block[:4], "little")
+    planes = np.frombuffer(pa.decompress(block[4:], 8 * n, "zstd"), np.uint8).reshape(8, n)
+    return np.ascontiguousarray(planes.T).view("<u8").ravel()
+
+
+def _seed_batches(buckets: int):
+    """The seeds of numbered documents as blocks: sorted by seed, then place."""
+    def blocks(parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
+        seed, node, at = (np.concatenate(c) for c in zip(*parts))
+        order = np.lexsort((at, node, seed))
+        seed, node, at = seed[order], node[order], at[order]
+        bucket = ((seed >> U(SEED_BITS - 24)) * U(buckets)) >> U(24)
+        first = np.flatnonzero(np.diff(bucket.astype(np.int64), prepend=-1))
+        rows = [(int(bucket[a]), int(node[a:b].min()), a, b) for a, b in zip(first, np.append(first[1:], len(seed)))]
+        for i in range(0, len(rows), 2_000):
+            part = rows[i:i + 2_000]
+            yield pa.RecordBatch.from_arrays([
+                pa.array([r[0] for r in part], pa.int32()), pa.array([r[1] for r in part], pa.int64()),
+                pa.array([_numbers(np.diff(seed[a:b], prepend=U(0))) for _, _, a, b in part], pa.binary()),
+                pa.array([_numbers(node[a:b] - low) for _, low, a, b in part], pa.binary()),
+                pa.array([_numbers(at[a:b]) for _, _, a, b in part], pa.binary())],
+                names=["bucket", "first", "seeds", "nodes", "ats"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, n = [], 0
+        for batch in batches:
+            numbers, texts, row = batch.column(0).to_numpy(), raw(batch.column(1)), 0
+            for a, b in chunked(texts, CHUNK_BYTES):
+                for grams in shingled(texts[a:b], K):
+                    at = seeds_of(grams)
+                    held.append((grams[at] >> U(64 - SEED_BITS), np.full(len(at), numbers[row]), at))
+                    n, row = n + len(at), row + 1
+                if n > FLUSH:
+                    yield from blocks(held)
+                    held, n = [], 0
+        if n:
+            yield from blocks(held)
+    return run
+
+
+class Places:
+    """The first and the last place of every seed of a bucket so far, and the matches of new ones with them."""
+
+    def __init__(self):
+        self.seed = np.zeros(0, U)
+        self.first, self.last = np.zeros((0, 2), np.int64), np.zeros((0, 2), np.int64)
+
+    def matches(self, seed: np.ndarray, place: np.ndarray) -> np.ndarray:
+        """Rows (node, of, at, of_at) for new occurrences, later in document order than all before; ``place``: node, at."""
+        order = np.lexsort((place[:, 1], place[:, 0], seed))
+        seed, place = seed[order], place[order]
+        start = np.concatenate(([True], seed[1:] != seed[:-1]))
+        own = np.flatnonzero(start)[np.cumsum(start) - 1]  # the seed's first occurrence here
+        at = np.searchsorted(self.seed, seed)
+        known = np.zeros(len(seed), bool)
+        known[at < len(self.seed)] = self.seed[at[at < len(self.seed)]] == seed[at < len(self.seed)]
+        held = np.where(known, at, 0)
+        first = np.where(known[:, None], self.first[held] if len(self.first) else 0, place[own])
+        before = np.concatenate((place[:1], place[:-1]))
+        before[start] = np.where(known[start][:, None], self.last[held[start]] if len(self.last) else 0, place[start])
+        to_first = np.flatnonzero((first != place).any(axis=1))
+        # within a document the first one is partner enough
+        to_before = np.flatnonzero((before[:, 0] != place[:, 0]) & (before != first).any(axis=1))
+        rows = np.concatenate([np.stack((place[i, 0], of[i, 0], place[i, 1], of[i, 1]), 1)
+                               for i, of in ((to_first, first), (to_before, before))])
+        end = np.concatenate((start[1:], [True]))
+        new = start & ~known
+        self.last[at[end & known]] = place[end & known]
+        merged = np.concatenate((self.seed, seed[new]))
+        sort = np.argsort(merged, kind="stable")
+        self.seed = merged[sort]
+        self.first = np.concatenate((self.first, place[new]))[sort]
+        self.last = np.concatenate((self.last, place[end & ~known]))[sort]
+        return rows
+
+
+_MATCH = "node long, of long, at int, of_at int"
+
+
+def _match_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Blocks sorted by bucket and first document: the matches of their seeds."""
+    def emit(rows: np.ndarray) -> Iterator[pa.RecordBatch]:
+        for a in range(0, len(rows), 100_000):
+            node, of, at, of_at = rows[a:a + 100_000].T
+            yield pa.RecordBatch.from_arrays([pa.array(node), pa.array(of), pa.array(at.astype(np.int32)), pa.array(of_at.astype(np.int32))],
+                                             names=["node", "of", "at", "of_at"])
+
+    of, places, held, n = None, Places(), [], 0
     for batch in batches:
-        ats, seeds, ends, firsts = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [0], [np.zeros(0, bool)]
-        texts = raw(batch.column(1))
-        for a, b in chunked(texts, CHUNK_BYTES):
-            for grams in shingled(texts[a:b], K):
-                at = seeds_of(grams)
-                seed = grams[at].astype(np.int64)
-                first = np.zeros(len(seed), bool)
-                first[np.unique(seed, return_index=True)[1]] = True
-                ats.append(at)
-                seeds.append(seed)
-                firsts.append(first)
-                ends.append(ends[-1] + len(at))
-        nodes = np.repeat(batch.column(0).to_numpy(), np.diff(ends))
-        fields = [nodes, np.concatenate(seeds), np.concatenate(ats).astype(np.int32), np.concatenate(firsts)]
-        for a in range(0, len(nodes), 100_000):
-            yield pa.RecordBatch.from_arrays([pa.array(f[a:a + 100_000]) for f in fields], names=["node", "seed", "at", "first"])
+        for bucket, low, seeds, nodes, ats in zip(*[c.to_pylist() for c in batch.columns]):
+            # blocks wait until they are as many as what is known, so that the merging stays in proportion
+            if held and (bucket != of or n > max(FLUSH // 4, len(places.seed))):
+                yield from emit(places.matches(*(np.concatenate(c) for c in zip(*held))))
+                held, n = [], 0
+            if bucket != of:
+                of, places = bucket, Places()
+            seed = np.cumsum(_numbers_of(seeds), dtype=U)
+            held.append((seed, np.stack((_numbers_of(nodes).astype(np.int64) + low, _numbers_of(ats).astype(np.int64)), 1)))
+            n += len(seed)
+    if held:
+        yield from emit(places.matches(*(np.concatenate(c) for c in zip(*held))))
 
 
 def chains_of(matches: list[tuple[int, int]], weight: float = K, gap_cost: float = GAP_COST) -> list[list[tuple[int, int]]]:
@@ -148,11 +250,42 @@ def _batched(rows: Iterator[tuple], schema: pa.Schema, size: int = 2_000) -> Ite
         yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*held), schema)], schema=schema)
 
 
+def runs_of(chain: list[tuple[int, int]]) -> list[tuple[int, int, int]]:
+    """A chain's seeds as runs of equal words (position, earlier position, words); seeds that overlap a run on another diagonal go."""
+    out = [(*chain[0], K)]
+    for y, x in chain[1:]:
+        at, of, n = out[-1]
+        if y - at == x - of and y <= at + n:
+            out[-1] = (at, of, max(n, y + K - at))
+        elif y >= at + n and x >= of + n:
+            out.append((y, x, K))
+    return out
+
+
+def _not_covered(chains: list[tuple[int, list[tuple[int, int]]]]) -> list[tuple[int, list[tuple[int, int]]]]:
+    """The chains (document, chain) but for those whose seeds all lie in long equal runs of the ones before; most seeds first."""
+    covered: list[tuple[int, int]] = []
+    out = []
+    for of, chain in sorted(chains, key=lambda c: (-len(c[1]), c[0])):
+        inside = bool(covered)
+        for y, _ in chain if covered else ():
+            at = bisect_right(covered, (y, 1 << 62)) - 1
+            if at < 0 or covered[at][1] < y + K:
+                inside = False
+                break
+        if not inside:
+            out.append((of, chain))
+            covered = _widest(covered + [(y, y + n) for y, _, n in runs_of(chain) if n >= MIN_WORDS])
+    return out
+
+
 def _chain_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Per document, sorted by earlier document: the chains."""
     def chains() -> Iterator[tuple]:
-        for (node, of), matches in groupby(_rows(batches), key=lambda r: r[:2]):
-            for chain in chains_of([(y, x) for _, _, y, x in matches]):
+        for node, own in groupby(_rows(batches), key=lambda r: r[0]):
+            found = [(of, chain) for of, matches in groupby(own, key=lambda r: r[1])
+                     for chain in chains_of([(y, x) for _, _, y, x in matches])]
+            for of, chain in _not_covered(found):
                 yield node, of, [y for y, _ in chain], [x for _, x in chain]
     yield from _batched(chains(), _CHAIN)
 
@@ -174,15 +307,18 @@ def _segment_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
 
 
 def _between(a: list[bytes], b: list[bytes]) -> int:
-    """Matched words in the best alignment of two short word lists."""
+    """Matched words in the best alignment of two word lists: the longest common subsequence, a bit per word of the first."""
     if not a or not b:
         return 0
-    row = [0] * (len(b) + 1)
-    for word in a:
-        diagonal = 0
-        for j, other in enumerate(b, 1):
-            diagonal, row[j] = row[j], max(row[j], row[j - 1], diagonal + (word == other))
-    return row[-1]
+    places: dict[bytes, int] = {}
+    for i, word in enumerate(a):
+        places[word] = places.get(word, 0) | 1 << i
+    whole = (1 << len(a)) - 1
+    row = whole
+    for word in b:
+        here = row & places.get(word, 0)
+        row = (row + here | row - here) & whole
+    return len(a) - row.bit_count()
 
 
 def _extended(a: list[bytes], b: list[bytes]) -> tuple[int, int]:
@@ -206,45 +342,73 @@ def _extended(a: list[bytes], b: list[bytes]) -> tuple[int, int]:
     return (far_i, far_j, kept)
 
 
-def aligned(words: list[bytes], other: list[bytes], chain: list[tuple[int, int]]) -> tuple[int, int, int, int, float]:
-    """A chain's alignment: start and stop in either text, and the identity (matches by the longer side)."""
-    y, x = chain[0]
-    back_y, back_x, matches = _extended(words[max(0, y - _MARGIN):y][::-1], other[max(0, x - _MARGIN):x][::-1])
-    start_y, start_x = y - back_y, x - back_x
-    matches, end_y, end_x = matches + K, y + K, x + K
-    for y, x in chain[1:]:
-        if y < end_y or x < end_x:  # overlaps what is aligned: on the same diagonal it only goes on
-            if y - end_y == x - end_x:
-                matches, end_y, end_x = matches + y + K - end_y, y + K, x + K
-            continue
-        a, b = words[end_y:y], other[end_x:x]
+class Alignment:
+    """The runs of a chain and the matches between them, each gap aligned once; any stretch of runs is then told from sums."""
+
+    def __init__(self, words: list[bytes], other: list[bytes], chain: list[tuple[int, int]]):
+        self.words, self.other, self.runs = words, other, runs_of(chain)
+        matched = [self.runs[0][2]]
+        for (y, x, n), (to_y, to_x, m) in zip(self.runs, self.runs[1:]):
+            matched.append(matched[-1] + self._gap(words[y + n:to_y], other[x + n:to_x]) + m)
+        self.matched = matched
+        self.width = np.array([max(b[0] - a[0] - a[2], b[1] - a[1] - a[2]) for a, b in zip(self.runs, self.runs[1:])] or [0])
+
+    @staticmethod
+    def _gap(a: list[bytes], b: list[bytes]) -> int:
         if a == b:
-            matches += len(a) + K
-        else:
-            head = next((i for i, (p, q) in enumerate(zip(a, b)) if p != q), min(len(a), len(b)))
-            a, b = a[head:], b[head:]
-            tail = next((i for i, (p, q) in enumerate(zip(a[::-1], b[::-1])) if p != q), min(len(a), len(b)))
-            matches += head + tail + K + _between(a[:len(a) - tail], b[:len(b) - tail])
-        end_y, end_x = y + K, x + K
-    on_y, on_x, more = _extended(words[end_y:end_y + _MARGIN], other[end_x:end_x + _MARGIN])
-    end_y, end_x, matches = end_y + on_y, end_x + on_x, matches + more
-    return start_y, end_y, start_x, end_x, matches / max(end_y - start_y, end_x - start_x)
+            return len(a)
+        head = next((i for i, (p, q) in enumerate(zip(a, b)) if p != q), min(len(a), len(b)))
+        a, b = a[head:], b[head:]
+        tail = next((i for i, (p, q) in enumerate(zip(a[::-1], b[::-1])) if p != q), min(len(a), len(b)))
+        return head + tail + _between(a[:len(a) - tail], b[:len(b) - tail])
+
+    def stretch(self, low: int, high: int) -> tuple[int, int, int, int, float]:
+        """Runs from ``low`` up to ``high``, ends extended: start and stop in either text, and the identity (matches by the longer side)."""
+        words, other = self.words, self.other
+        y, x, n = self.runs[low]
+        back_y, back_x, before = _extended(words[max(0, y - _MARGIN):y][::-1], other[max(0, x - _MARGIN):x][::-1])
+        end_y, end_x, m = self.runs[high - 1]
+        end_y, end_x = end_y + m, end_x + m
+        on_y, on_x, after = _extended(words[end_y:end_y + _MARGIN], other[end_x:end_x + _MARGIN])
+        matches = self.matched[high - 1] - self.matched[low] + n + before + after
+        start_y, start_x, end_y, end_x = y - back_y, x - back_x, end_y + on_y, end_x + on_x
+        return start_y, end_y, start_x, end_x, matches / max(end_y - start_y, end_x - start_x)
 
 
-def aligned_pieces(words: list[bytes], other: list[bytes], chain: list[tuple[int, int]]) -> Iterator[tuple[int, int, float]]:
-    """Start, stop and identity of a chain's alignment; one below ``IDENTITY`` is split at its widest gap."""
-    start, stop, _, _, identity = aligned(words, other, chain)
-    if identity >= IDENTITY:
-        yield start, stop, identity
-    elif len(chain) > 1:
-        widest = max(range(1, len(chain)), key=lambda i: max(chain[i][0] - chain[i - 1][0], chain[i][1] - chain[i - 1][1]))
-        yield from aligned_pieces(words, other, chain[:widest])
-        yield from aligned_pieces(words, other, chain[widest:])
+def aligned(words: list[bytes], other: list[bytes], chain: list[tuple[int, int]]) -> tuple[int, int, int, int, float]:
+    """A chain's alignment: start and stop in either text, and the identity."""
+    whole = Alignment(words, other, chain)
+    return whole.stretch(0, len(whole.runs))
 
 
-_PASSAGE = pa.schema([
-    ("node", pa.int64()), ("id", pa.int64()), ("start", pa.int64()), ("stop", pa.int64()), ("source_ids", pa.list_(pa.int64())),
-    ("identity", pa.float64()), ("passage", pa.string())])
+def aligned_pieces(words: list[bytes], other: list[bytes], chain: list[tuple[int, int]]) -> Iterator[tuple[int, int, float]]:
+    """Start, stop and identity of a chain's alignment; one below ``IDENTITY`` is split at its widest gap."""
+    whole = Alignment(words, other, chain)
+    open_ = [(0, len(whole.runs))]
+    while open_:
+        low, high = open_.pop()
+        start, stop, _, _, identity = whole.stretch(low, high)
+        if identity >= IDENTITY:
+            yield start, stop, identity
+        elif high - low > 1:
+            at = low + 1 + int(whole.width[low:high - 1].argmax())
+            open_ += [(at, high), (low, at)]
+
+
+def _passage_schema(id_type: pa.DataType) -> pa.Schema:
+    return pa.schema([
+        ("node", pa.int64()), ("id", id_type), ("start", pa.int64()), ("stop", pa.int64()), ("source_ids", pa.list_(id_type)),
+        ("identity", pa.float64()), ("passage", pa.string())])
+
+
+def _needed(pieces: list[tuple]) -> list[tuple]:
+    """Of the pieces (start, stop, document, ...) of a passage those that add words to the ones of earlier documents."""
+    covered, out = [], []
+    for piece in sorted(pieces, key=lambda p: (p[2], p[0], -p[1])):
+        if not any(a <= piece[0] and piece[1] <= b for a, b in covered):
+            out.append(piece)
+            covered = _widest([*covered, piece[:2]])
+    return out
 
 
 def _passage_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -252,39 +416,42 @@ def _passage_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
     def passages() -> Iterator[tuple]:
         for node, rows in groupby(_rows(batches), key=lambda r: r[0]):
             pieces, words, doc = [], None, None
-            for _, at, of_at, of_id, of_start, segment, doc, text in rows:
+            for _, at, of_at, of_id, of_start, segment, doc, text, of in rows:
                 if words is None:
                     words = words_of(text.encode())
-                chain = list(zip(at, (x - of_start for x in of_at)))
-                pieces += [(a, b, of_id, identity) for a, b, identity in aligned_pieces(words, segment.split(), chain)]
+                seeds = list(zip(at, (x - of_start for x in of_at)))
+                pieces += [(a, b, of, of_id, identity) for a, b, identity in aligned_pieces(words, segment.split(), seeds)]
             for a, b in _widest([p[:2] for p in pieces]):
                 if b - a >= MIN_WORDS:
-                    mine = [p for p in pieces if a <= p[0] < b]
-                    yield (node, doc, a, b, sorted({p[2] for p in mine if p[2] is not None}), min(p[3] for p in mine),
+                    mine = _needed([p for p in pieces if a <= p[0] < b])
+                    yield (node, doc, a, b, sorted({p[3] for p in mine if p[3] is not None}), min(p[4] for p in mine),
                            b" ".join(words[a:b]).decode())
-    yield from _batched(passages(), _PASSAGE, 500)
+    first = next(batches, None)
+    if first is None:
+        return
+    schema, batches = _passage_schema(first.schema.field("id").type), chain([first], batches)
+    yield from _batched(passages(), schema, 500)
 
 
 def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per passage: its document (``id``; ``node``, the row's number), ``start`` and ``stop`` (words), the ids
     of the earlier documents that have its parts, the least identity of the parts, and the words."""
-    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
+    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
+    kind = texts.schema["id"].dataType.simpleString()
     rows = stored(texts.select(F.monotonically_increasing_id().alias("node"), "id", "text"), "passage-texts")
-    # as many rows as words: made twice rather than stored
-    seeds = rows.select("node", "text").mapInArrow(_seed_batches, "node long, seed long, at int, first boolean")
-    originals = (seeds.groupBy("seed").agg(
-        F.count("*").alias("n"), F.min("node").alias("of"),
-        F.min_by("at", F.when(F.col("first"), F.col("node"))).alias("of_at")).where("n > 1").drop("n"))
-    matches = seeds.join(originals, "seed").where("node <> of or at <> of_at").select("node", "of", "at", "of_at")
+    size = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+    buckets = int(min(1 << 20, max(LEAST_BUCKETS, -(-size // BUCKET_BYTES))))
+    seeds = rows.select("node", "text").mapInArrow(_seed_batches(buckets), _BLOCK)
+    matches = seeds.repartition("bucket").sortWithinPartitions("bucket", "first").mapInArrow(_match_batches, _MATCH)
     chains = stored(
         matches.repartition("node").sortWithinPartitions("node", "of", "at", "of_at")
         .mapInArrow(_chain_batches, "node long, of long, at array<int>, of_at array<int>"), "passage-chains")
     segments = chains.join(rows.select(F.col("node").alias("of"), F.col("id").alias("of_id"), "text"), "of").select(
         "node", "of", "at", "of_at", "of_id", "text").mapInArrow(
-        _segment_batches, "node long, of long, at array<int>, of_at array<int>, of_id long, of_start long, segment binary")
-    both = segments.drop("of").join(rows.select("node", "id", "text"), "node")
+        _segment_batches, f"node long, of long, at array<int>, of_at array<int>, of_id {kind}, of_start long, segment binary")
+    both = segments.join(rows.select("node", "id", "text"), "node")
     # the join's order need not be by node when a hot partition is split
-    ordered = both.select("node", "at", "of_at", "of_id", "of_start", "segment", "id", "text").repartition(
-        "node").sortWithinPartitions("node", "at", "of_at")
+    ordered = both.select("node", "at", "of_at", "of_id", "of_start", "segment", "id", "text", "of").repartition(
+        "node").sortWithinPartitions("node", "at", "of_at", "of")
     return ordered.mapInArrow(
-        _passage_batches, "node long, id long, start long, stop long, source_ids array<bigint>, identity double, passage string")
+        _passage_batches, f"node long, id {kind}, start long, stop long, source_ids array<{kind}>, identity double, passage string")
