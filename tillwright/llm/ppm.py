@@ -45,8 +45,8 @@ LEAST_BUCKETS = 48
 FREQUENT = 1 << 17  # tokens looked up without a join
 EDGE = b"\xff"
 CHUNK_BYTES = 1 << 20  # of text that is counted at a time
-SCORED_BYTES = 4 << 20  # of text whose distinct grams are looked up together
-FLUSH = 600_000  # partial counts that a task holds before it sends them on
+SCORED_BYTES = 3 << 20  # of text whose distinct grams are looked up together
+FLUSH = 900_000  # partial counts that a task holds before it sends them on
 END = 0  # stands for the end token among the words' hashes
 
 TOKEN, GRAM = 0, 1
@@ -65,7 +65,7 @@ def grams_of(texts: list[bytes | None], order: int = ORDER) -> tuple[np.ndarray,
         return np.zeros(0, U), sizes
     # one 64-bit word from each byte on; what a text's padding gives is left out
     view = np.ndarray((len(data) - order,), "<u8", data + bytes(8), strides=(1,))
-    keys = view.astype(U) & U((1 << 8 * (order + 1)) - 1)
+    keys = np.bitwise_and(view, U((1 << 8 * (order + 1)) - 1))
     if len(texts) > 1:
         skip = np.ones(len(keys), bool)
         ends = np.cumsum(sizes[:-1]) + order * np.arange(len(sizes) - 1)
@@ -82,16 +82,15 @@ def runs(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def pack_keys(keys: np.ndarray) -> bytes:
-    """Ascending keys as differences, byte by byte of equal weight, compressed."""
-    steps = np.diff(keys.astype("<u8"), prepend=U(0))
+    """Ascending keys byte by byte of equal weight, compressed: the higher bytes hardly change, the lower ones are text."""
     return len(keys).to_bytes(4, "little") + pa.compress(
-        np.ascontiguousarray(steps.view(np.uint8).reshape(-1, 8).T).tobytes(), "zstd", asbytes=True)
+        np.ascontiguousarray(keys.astype("<u8").view(np.uint8).reshape(-1, 8).T).tobytes(), "zstd", asbytes=True)
 
 
 def unpack_keys(block: bytes) -> np.ndarray:
     n = int.from_bytes(block[:4], "little")
     planes = np.frombuffer(pa.decompress(block[4:], 8 * n, "zstd"), np.uint8).reshape(8, n)
-    return np.cumsum(np.ascontiguousarray(planes.T).view("<u8").ravel(), dtype=U)
+    return np.ascontiguousarray(planes.T).view("<u8").ravel().astype(U)
 
 
 def pack_counts(n: np.ndarray) -> bytes:
@@ -330,7 +329,9 @@ def _wanted_batches(buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for chunk, texts in zip(batch.column(0).to_pylist(), batch.column(1)):
-                keys, _ = runs(grams_of(texts.as_py())[0])
+                keys = grams_of(texts.as_py())[0]
+                keys.sort()
+                keys = keys[np.flatnonzero(np.diff(keys, prepend=~keys[:1]))]
                 for bucket, at in _by_bucket(keys, buckets):
                     yield _block_batch(bucket, chunk, keys[at])
     return run
