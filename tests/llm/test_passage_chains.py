@@ -31,6 +31,17 @@ def test_chains_against_all_predecessors():
         assert abs(value - best_chain(matches)) < 1e-6
 
 
+def test_chains_of_runs_score_as_their_seeds():
+    rng = random.Random(14)
+    for _ in range(100):
+        starts = {(rng.randint(0, 60), rng.randint(0, 60)): rng.randint(1, 9) for _ in range(rng.randint(1, 8))}
+        runs = [(y, x, n) for (y, x), n in starts.items()]
+        chains = chains_of(runs)
+        assert sorted(m for c in chains for m in c) == sorted(runs)
+        for c in chains:
+            assert all(a[0] + a[2] <= b[0] and a[1] + a[2] <= b[1] for a, b in zip(c, c[1:]))
+
+
 def test_equal_runs_share_a_seed():
     rng = np.random.default_rng(1)
     for _ in range(100):

@@ -26,8 +26,9 @@ columns are not looked at.
 
 from __future__ import annotations
 
-from bisect import bisect_right
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
+from heapq import heappop, heappush
 from itertools import chain, groupby
 
 import numpy as np
@@ -37,7 +38,7 @@ from pyspark.sql import functions as F
 
 from tillwright.llm.common import chunked, raw
 from tillwright.llm.jaccard_join import CHUNK_BYTES, shingled
-from tillwright.session import stored
+from tillwright.session import collected, stored
 
 U = np.uint64
 
@@ -179,35 +180,38 @@ def _match_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         yield from emit(places.matches(*(np.concatenate(c) for c in zip(*held))))
 
 
-def chains_of(matches: list[tuple[int, int]], weight: float = K, gap_cost: float = GAP_COST) -> list[list[tuple[int, int]]]:
-    """Disjoint chains of (position, earlier position), rising in both, the best-scoring first.
+def chains_of(matches: list[tuple], gap_cost: float = GAP_COST) -> list[list[tuple]]:
+    """Disjoint chains of matches (position, earlier position, seeds in a row), rising in both, the best-scoring first.
 
-    score(i) = weight + max(0, max over j before i in both of score(j) - gap_cost * (distance in both)),
-    the inner maximum from a Fenwick tree over the earlier positions.
+    A match of n seeds in a row stands for as many matches, one word apart; without n it is one.  score(i) =
+    weight(i) + max(0, max over j that end before i begins in both of score(j) - gap_cost * (distance in both)),
+    the inner maximum from a Fenwick tree over the ends in the earlier text.
     """
     if len(matches) == 1:
         return [list(matches)]
     matches = sorted(matches)
-    places = {x: i for i, x in enumerate(sorted({x for _, x in matches}), 1)}
+    n = [m[2] if len(m) > 2 else 1 for m in matches]
+    weight = [K * k - 2 * gap_cost * (k - 1) for k in n]
+    ends = [(m[0] + k - 1, m[1] + k - 1) for m, k in zip(matches, n)]
+    places = sorted({x for _, x in ends})
     tree = [(float("-inf"), -1)] * (len(places) + 1)
     score, before = [0.0] * len(matches), [-1] * len(matches)
-    waiting: list[int] = []  # matches at the position in work: they don't follow each other
-    for i, (y, x) in enumerate(matches):
-        if waiting and matches[waiting[0]][0] != y:
-            for j in waiting:
-                value, at = (score[j] + gap_cost * sum(matches[j]), j), places[matches[j][1]]
-                while at < len(tree):
-                    if value > tree[at]:
-                        tree[at] = value
-                    at += at & -at
-            waiting = []
-        best, at = (float("-inf"), -1), places[x] - 1
+    waiting: list[tuple[int, int]] = []  # matches that have not ended where the one in work begins
+    for i, (y, x, *_) in enumerate(matches):
+        while waiting and waiting[0][0] < y:
+            j = heappop(waiting)[1]
+            value, at = (score[j] + gap_cost * sum(ends[j]), j), bisect_left(places, ends[j][1]) + 1
+            while at < len(tree):
+                if value > tree[at]:
+                    tree[at] = value
+                at += at & -at
+        best, at = (float("-inf"), -1), bisect_left(places, x)
         while at:
             best = max(best, tree[at])
             at -= at & -at
         gain = best[0] - gap_cost * (x + y)
-        score[i], before[i] = (weight + gain, best[1]) if gain > 0 else (weight, -1)
-        waiting.append(i)
+        score[i], before[i] = (weight[i] + gain, best[1]) if gain > 0 else (weight[i], -1)
+        heappush(waiting, (ends[i][0], i))
     used, out = [False] * len(matches), []
     for i in sorted(range(len(matches)), key=lambda i: (-score[i], i)):
         chain = []
@@ -236,7 +240,7 @@ def _widest(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-_CHAIN = pa.schema([("node", pa.int64()), ("of", pa.int64()), ("at", pa.list_(pa.int32())), ("of_at", pa.list_(pa.int32()))])
+_CHAIN = pa.schema([("node", pa.int64()), ("of", pa.int64()), *[(c, pa.list_(pa.int32())) for c in ("at", "of_at", "seeds")]])
 
 
 def _batched(rows: Iterator[tuple], schema: pa.Schema, size: int = 2_000) -> Iterator[pa.RecordBatch]:
@@ -250,43 +254,62 @@ def _batched(rows: Iterator[tuple], schema: pa.Schema, size: int = 2_000) -> Ite
         yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*held), schema)], schema=schema)
 
 
-def runs_of(chain: list[tuple[int, int]]) -> list[tuple[int, int, int]]:
-    """A chain's seeds as runs of equal words (position, earlier position, words); seeds that overlap a run on another diagonal go."""
-    out = [(*chain[0], K)]
-    for y, x in chain[1:]:
-        at, of, n = out[-1]
+def runs_of(chain: list[tuple]) -> list[tuple[int, int, int]]:
+    """A chain's matches as runs of equal words (position, earlier position, words); those that overlap a run on another diagonal go."""
+    out: list[tuple[int, int, int]] = []
+    for y, x, *seeds in chain:
+        words = K - 1 + (seeds[0] if seeds else 1)
+        at, of, n = out[-1] if out else (y, x, 0)
         if y - at == x - of and y <= at + n:
-            out[-1] = (at, of, max(n, y + K - at))
+            out[-1:] = [(at, of, max(n, y + words - at))]
         elif y >= at + n and x >= of + n:
-            out.append((y, x, K))
+            out.append((y, x, words))
     return out
 
 
-def _not_covered(chains: list[tuple[int, list[tuple[int, int]]]]) -> list[tuple[int, list[tuple[int, int]]]]:
-    """The chains (document, chain) but for those whose seeds all lie in long equal runs of the ones before; most seeds first."""
+def _not_covered(chains: list[tuple[int, list[tuple]]]) -> list[tuple[int, list[tuple]]]:
+    """The chains (document, chain) but for those whose runs all lie in long equal runs of the ones before; most words first."""
     covered: list[tuple[int, int]] = []
     out = []
-    for of, chain in sorted(chains, key=lambda c: (-len(c[1]), c[0])):
-        inside = bool(covered)
-        for y, _ in chain if covered else ():
+    for of, found in sorted(chains, key=lambda c: (-sum(m[2] for m in c[1]), c[0])):
+        for y, _, n in found if covered else ((0, 0, 0),):
             at = bisect_right(covered, (y, 1 << 62)) - 1
-            if at < 0 or covered[at][1] < y + K:
-                inside = False
+            if at < 0 or covered[at][1] < y + n + K - 1:
                 break
-        if not inside:
-            out.append((of, chain))
-            covered = _widest(covered + [(y, y + n) for y, _, n in runs_of(chain) if n >= MIN_WORDS])
+        else:
+            continue
+        out.append((of, found))
+        covered = _widest(covered + [(y, y + n) for y, _, n in runs_of(found) if n >= MIN_WORDS])
     return out
 
 
+def _run_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, int, int, int, int]]:
+    """Matches sorted by documents, diagonal and place as rows (node, of, position, earlier position, seeds in a row)."""
+    held = None
+    for batch in batches:
+        node, of, at, of_at = (c.to_numpy().astype(np.int64) for c in batch.columns)
+        start = np.ones(len(node), bool)
+        start[1:] = (np.diff(node) != 0) | (np.diff(of) != 0) | (np.diff(at) != 1) | (np.diff(of_at) != 1)
+        first = np.flatnonzero(start)
+        n = np.diff(np.append(first, len(node)))
+        for row in zip(*(c[first].tolist() for c in (node, of, at, of_at)), n.tolist()):
+            if held is not None and held[:2] == row[:2] and held[2] + held[4] == row[2] and held[3] + held[4] == row[3]:
+                held = (*held[:4], held[4] + row[4])  # a run over the end of a batch
+                continue
+            if held is not None:
+                yield held
+            held = row
+    if held is not None:
+        yield held
+
+
 def _chain_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Per document, sorted by earlier document: the chains."""
     def chains() -> Iterator[tuple]:
-        for node, own in groupby(_rows(batches), key=lambda r: r[0]):
-            found = [(of, chain) for of, matches in groupby(own, key=lambda r: r[1])
-                     for chain in chains_of([(y, x) for _, _, y, x in matches])]
-            for of, chain in _not_covered(found):
-                yield node, of, [y for y, _ in chain], [x for _, x in chain]
+        for node, own in groupby(_run_batches(batches), key=lambda r: r[0]):
+            found = [(of, c) for of, matches in groupby(own, key=lambda r: r[1]) for c in chains_of([r[2:] for r in matches])]
+            for of, c in _not_covered(found):
+                yield (node, of, *[list(v) for v in zip(*c)])
     yield from _batched(chains(), _CHAIN)
 
 
@@ -295,15 +318,18 @@ _MARGIN = 72  # words beyond a chain's ends that its alignment may reach
 
 def _segment_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Replace the earlier document's text by the part that a chain can reach."""
+    of, words = None, []
     for batch in batches:
-        segments, starts = [], []
-        for text, at in zip(raw(batch.column(batch.num_columns - 1)), batch.column(3).to_pylist()):
+        segments, starts, texts = [], [], batch.column("text")
+        for i, (node, at, n) in enumerate(zip(*[batch.column(c).to_pylist() for c in ("of", "of_at", "seeds")])):
+            if node != of:
+                of, words = node, words_of(texts[i].as_py().encode())
             start = max(0, at[0] - _MARGIN)
-            segments.append(b" ".join(words_of(text)[start:at[-1] + K + _MARGIN]))
+            segments.append(b" ".join(words[start:at[-1] + n[-1] + K + _MARGIN]))
             starts.append(start)
         yield pa.RecordBatch.from_arrays(
-            [*batch.columns[:-1], pa.array(starts, pa.int64()), pa.array(segments, pa.binary())],
-            names=["node", "of", "at", "of_at", "of_id", "of_start", "segment"])
+            [*[batch.column(c) for c in ("node", "of", "at", "of_at", "seeds", "of_id")], pa.array(starts, pa.int64()),
+             pa.array(segments, pa.binary())], names=["node", "of", "at", "of_at", "seeds", "of_id", "of_start", "segment"])
 
 
 def _between(a: list[bytes], b: list[bytes]) -> int:
@@ -412,15 +438,15 @@ def _needed(pieces: list[tuple]) -> list[tuple]:
 
 
 def _passage_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Aligned chains of a document (all in a row) joined to passages."""
+    """Per document a row with its text, then its chains: the aligned pieces joined to passages."""
     def passages() -> Iterator[tuple]:
         for node, rows in groupby(_rows(batches), key=lambda r: r[0]):
-            pieces, words, doc = [], None, None
-            for _, at, of_at, of_id, of_start, segment, doc, text, of in rows:
-                if words is None:
-                    words = words_of(text.encode())
-                seeds = list(zip(at, (x - of_start for x in of_at)))
-                pieces += [(a, b, of, of_id, identity) for a, b, identity in aligned_pieces(words, segment.split(), seeds)]
+            _, _, _, _, _, _, _, _, doc, text = next(rows)
+            pieces, words = [], None
+            for _, of, at, of_at, seeds, of_id, of_start, segment, _, _ in rows:
+                words = words_of(text.encode()) if words is None else words
+                found = list(zip(at, (x - of_start for x in of_at), seeds))
+                pieces += [(a, b, of, of_id, identity) for a, b, identity in aligned_pieces(words, segment.split(), found)]
             for a, b in _widest([p[:2] for p in pieces]):
                 if b - a >= MIN_WORDS:
                     mine = _needed([p for p in pieces if a <= p[0] < b])
@@ -443,15 +469,17 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     buckets = int(min(1 << 20, max(LEAST_BUCKETS, -(-size // BUCKET_BYTES))))
     seeds = rows.select("node", "text").mapInArrow(_seed_batches(buckets), _BLOCK)
     matches = seeds.repartition("bucket").sortWithinPartitions("bucket", "first").mapInArrow(_match_batches, _MATCH)
+    lists = "at array<int>, of_at array<int>, seeds array<int>"
     chains = stored(
-        matches.repartition("node").sortWithinPartitions("node", "of", "at", "of_at")
-        .mapInArrow(_chain_batches, "node long, of long, at array<int>, of_at array<int>"), "passage-chains")
-    segments = chains.join(rows.select(F.col("node").alias("of"), F.col("id").alias("of_id"), "text"), "of").select(
-        "node", "of", "at", "of_at", "of_id", "text").mapInArrow(
-        _segment_batches, f"node long, of long, at array<int>, of_at array<int>, of_id {kind}, of_start long, segment binary")
-    both = segments.join(rows.select("node", "id", "text"), "node")
-    # the join's order need not be by node when a hot partition is split
-    ordered = both.select("node", "at", "of_at", "of_id", "of_start", "segment", "id", "text", "of").repartition(
-        "node").sortWithinPartitions("node", "at", "of_at", "of")
+        matches.repartition("node").sortWithinPartitions("node", "of", F.col("at") - F.col("of_at"), "at")
+        .mapInArrow(_chain_batches, f"node long, of long, {lists}"), "passage-chains")
+    collected(rows.sparkSession)
+    segments = chains.join(rows.select(F.col("node").alias("of"), F.col("id").alias("of_id"), "text"), "of").mapInArrow(
+        _segment_batches, f"node long, of long, {lists}, of_id {kind}, of_start long, segment binary")
+    # a document's text goes to its chains once
+    own = rows.join(chains.select("node").distinct(), "node", "left_semi").select("node", "id", "text")
+    both = segments.unionByName(own, allowMissingColumns=True).select(
+        "node", "of", "at", "of_at", "seeds", "of_id", "of_start", "segment", "id", "text")
+    ordered = both.repartition("node").sortWithinPartitions("node", F.col("of").asc_nulls_first(), "at", "of_at")
     return ordered.mapInArrow(
         _passage_batches, f"node long, id {kind}, start long, stop long, source_ids array<{kind}>, identity double, passage string")
