@@ -100,3 +100,8 @@ def dropped(spark: SparkSession, *paths: str) -> None:
 def there(spark: SparkSession, path: str) -> bool:
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+
+
+def collected(spark: SparkSession) -> None:
+    """Let the driver's JVM collect garbage: the shuffle files of jobs that are done and read by nothing go with it."""
+    spark.sparkContext._jvm.System.gc()
