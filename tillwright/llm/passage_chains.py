@@ -473,11 +473,12 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     chains = stored(
         matches.repartition("node").sortWithinPartitions("node", "of", F.col("at") - F.col("of_at"), "at")
         .mapInArrow(_chain_batches, f"node long, of long, {lists}"), "passage-chains")
+    del seeds, matches
     collected(rows.sparkSession)
     segments = chains.join(rows.select(F.col("node").alias("of"), F.col("id").alias("of_id"), "text"), "of").mapInArrow(
         _segment_batches, f"node long, of long, {lists}, of_id {kind}, of_start long, segment binary")
     # a document's text goes to its chains once
-    own = rows.join(chains.select("node").distinct(), "node", "left_semi").select("node", "id", "text")
+    own = rows.select("node", "id", "text")
     both = segments.unionByName(own, allowMissingColumns=True).select(
         "node", "of", "at", "of_at", "seeds", "of_id", "of_start", "segment", "id", "text")
     ordered = both.repartition("node").sortWithinPartitions("node", F.col("of").asc_nulls_first(), "at", "of_at")

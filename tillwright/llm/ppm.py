@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillwright.llm.common import chunked, hashed_words, raw
-from tillwright.session import stored
+from tillwright.session import collected, stored
 
 ORDER = 6  # bytes of context; a gram with its symbol has to fit in 63 bits
 BUCKET_BYTES = 8 << 20  # training text per bucket
@@ -45,7 +45,7 @@ LEAST_BUCKETS = 48
 FREQUENT = 1 << 17  # tokens looked up without a join
 EDGE = b"\xff"
 CHUNK_BYTES = 1 << 20  # of text that is counted at a time
-SCORED_BYTES = 3 << 20  # of text whose distinct grams are looked up together
+SCORED_BYTES = 2 << 20  # of text whose distinct grams are looked up together
 FLUSH = 900_000  # partial counts that a task holds before it sends them on
 END = 0  # stands for the end token among the words' hashes
 
@@ -149,6 +149,7 @@ def _count_batches(buckets: int):
                         held[kind] = [_merged(parts)]
                         if len(held[kind][0][0]) > FLUSH:
                             yield from blocks(kind, *held[kind].pop())
+                            pa.default_memory_pool().release_unused()
         for kind, parts in held.items():
             if parts:
                 yield from blocks(kind, *_merged(parts))
@@ -334,6 +335,7 @@ def _wanted_batches(buckets: int):
                 keys = keys[np.flatnonzero(np.diff(keys, prepend=~keys[:1]))]
                 for bucket, at in _by_bucket(keys, buckets):
                     yield _block_batch(bucket, chunk, keys[at])
+                pa.default_memory_pool().release_unused()
     return run
 
 
@@ -387,6 +389,7 @@ class Model:
         self.vocabulary = stored(counts.where("bucket < 0").select("keys", "n").mapInArrow(
             _token_batches, "key long, n long"), "ppm-tokens")
         self.grams = counts.where("bucket >= 0")
+        collected(training.sparkSession)
         # grams of one byte of context and of none: 65,792 at most, whatever the texts
         pairs = _packed(self.grams.select("keys", "n").mapInArrow(_pair_batches, "key long, n long").groupBy("key").agg(
             F.sum("n").alias("n")).select(F.lit(1).alias("k"), "key", "n")).get(1, (np.zeros(0, np.int64),) * 2)
@@ -418,6 +421,7 @@ def _chunk_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
             yield pa.RecordBatch.from_arrays(
                 [pa.array([chunk], pa.int64()), ids, pa.array([texts[a:b]], pa.list_(pa.binary()))], names=["chunk", "ids", "texts"])
             chunk += b - a
+        pa.default_memory_pool().release_unused()
 
 
 _SCORED = ("row long, id {kind}, n_tokens long, n_known long, base double, score double, "
