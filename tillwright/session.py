@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 import weakref
@@ -104,4 +105,5 @@ def there(spark: SparkSession, path: str) -> bool:
 
 def collected(spark: SparkSession) -> None:
     """Let the driver's JVM collect garbage: the shuffle files of jobs that are done and read by nothing go with it."""
+    gc.collect()
     spark.sparkContext._jvm.System.gc()
