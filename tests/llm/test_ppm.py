@@ -140,3 +140,13 @@ def test_buckets_give_the_scores_of_the_whole_trie(spark, monkeypatch):
     got = {r.doc_id: r.score for r in score(docs(spark, rows), model).collect()}
     for i, t in rows:
         assert got[i] == pytest.approx(trie.log10(grams_of([t.encode()])[0]).sum(), rel=1e-5)
+
+
+def test_packed_blocks():
+    keys = np.unique(np.array([0, 1, 1 << 55, 77, 300], np.uint64))
+    n = np.array([1, 254, 255, 256, 1 << 40])
+    assert ppm.unpack_keys(ppm.pack_keys(keys)).tolist() == keys.tolist() and ppm.unpack_counts(ppm.pack_counts(n)).tolist() == n.tolist()
+    assert ppm.unpack_values(ppm.pack_values(np.array([-0.5, -3.25]))).tolist() == [-0.5, -3.25]
+    assert ppm.unpack_texts(ppm.pack_texts([b"ab", None, b"", b"c" * 1000])) == [b"ab", b"", b"", b"c" * 1000]
+    for pack, unpack in ((ppm.pack_keys, ppm.unpack_keys), (ppm.pack_counts, ppm.unpack_counts)):
+        assert unpack(pack(keys[:0])).tolist() == []

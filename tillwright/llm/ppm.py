@@ -117,6 +117,30 @@ def _merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.
     return keys[first], np.add.reduceat(n, first)
 
 
+def pack_values(values: np.ndarray) -> bytes:
+    """32-bit floats, compressed: many grams have the same."""
+    return len(values).to_bytes(4, "little") + pa.compress(values.astype("<f4").tobytes(), "zstd", asbytes=True)
+
+
+def unpack_values(block: bytes) -> np.ndarray:
+    n = int.from_bytes(block[:4], "little")
+    return np.frombuffer(pa.decompress(block[4:], 4 * n, "zstd"), "<f4")
+
+
+def pack_texts(texts: list[bytes | None]) -> bytes:
+    """Texts as one compressed block; a null one is empty."""
+    sizes = np.array([len(t or b"") for t in texts], "<i8")
+    data = b"".join(t or b"" for t in texts)
+    return len(sizes).to_bytes(4, "little") + len(data).to_bytes(8, "little") + sizes.tobytes() + pa.compress(data, "zstd", asbytes=True)
+
+
+def unpack_texts(block: bytes) -> list[bytes]:
+    n, size = int.from_bytes(block[:4], "little"), int.from_bytes(block[4:12], "little")
+    ends = np.cumsum(np.frombuffer(block, "<i8", n, 12)).tolist()
+    data = pa.decompress(block[12 + 8 * n:], size, "zstd", asbytes=True)
+    return [data[a:b] for a, b in zip([0, *ends], ends)]
+
+
 _COUNTS = "bucket int, keys binary, n binary"
 
 
@@ -330,7 +354,7 @@ def _wanted_batches(buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for chunk, texts in zip(batch.column(0).to_pylist(), batch.column(1)):
-                keys = grams_of(texts.as_py())[0]
+                keys = grams_of(unpack_texts(texts.as_py()))[0]
                 keys.sort()
                 keys = keys[np.flatnonzero(np.diff(keys, prepend=~keys[:1]))]
                 for bucket, at in _by_bucket(keys, buckets):
@@ -368,9 +392,9 @@ def _answer_batches(short: list[tuple[np.ndarray, np.ndarray]]):
                 if trie is None:
                     trie = bucket_trie(*([np.concatenate(c) for c in zip(*held)] if held else none), short)
                     held = []
-                value = trie.walk(keys).astype("<f4")
+                value = trie.walk(keys)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([chunk], pa.int64()), pa.array([bucket], pa.int32()), pa.array([value.tobytes()], pa.binary())],
+                    [pa.array([chunk], pa.int64()), pa.array([bucket], pa.int32()), pa.array([pack_values(value)], pa.binary())],
                     names=["chunk", "bucket", "value"])
     return run
 
@@ -419,7 +443,7 @@ def _chunk_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         for a, b in chunked(texts, SCORED_BYTES):
             ids = pa.ListArray.from_arrays(pa.array([0, b - a], pa.int32()), pa.concat_arrays([batch.column(0).slice(a, b - a)]))
             yield pa.RecordBatch.from_arrays(
-                [pa.array([chunk], pa.int64()), ids, pa.array([texts[a:b]], pa.list_(pa.binary()))], names=["chunk", "ids", "texts"])
+                [pa.array([chunk], pa.int64()), ids, pa.array([pack_texts(texts[a:b])], pa.binary())], names=["chunk", "ids", "texts"])
             chunk += b - a
         pa.default_memory_pool().release_unused()
 
@@ -470,9 +494,9 @@ def _scorer(sent, total: float, buckets: int):
                 if bucket == _TEXTS:
                     if held:
                         yield scored(*held)
-                    held = chunk, pa.concat_arrays([batch.column(2)[i].values]), batch.column(3)[i].as_py(), []
+                    held = chunk, pa.concat_arrays([batch.column(2)[i].values]), unpack_texts(batch.column(3)[i].as_py()), []
                 else:
-                    held[3].append(np.frombuffer(batch.column(4)[i].as_buffer(), "<f4").copy())
+                    held[3].append(unpack_values(batch.column(4)[i].as_py()))
         if held:
             yield scored(*held)
     return run
@@ -486,7 +510,7 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     spark = docs.sparkSession
     kind = docs.schema[id_col].dataType.simpleString()
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    chunks = stored(texts.mapInArrow(_chunk_batches, f"chunk long, ids array<{kind}>, texts array<binary>"), "ppm-chunks")
+    chunks = stored(texts.mapInArrow(_chunk_batches, f"chunk long, ids array<{kind}>, texts binary"), "ppm-chunks")
     blocks = model.grams.select("bucket", F.lit(_MODEL).cast("long").alias("chunk"), "keys", "n").unionByName(
         chunks.select("chunk", "texts").mapInArrow(_wanted_batches(model.buckets), _BLOCK))
     answers = (blocks.repartition("bucket").sortWithinPartitions("bucket", "chunk")
