@@ -147,6 +147,8 @@ def test_packed_blocks():
     n = np.array([1, 254, 255, 256, 1 << 40])
     assert ppm.unpack_keys(ppm.pack_keys(keys)).tolist() == keys.tolist() and ppm.unpack_counts(ppm.pack_counts(n)).tolist() == n.tolist()
     assert ppm.unpack_values(ppm.pack_values(np.array([-0.5, -3.25]))).tolist() == [-0.5, -3.25]
+    many = np.random.default_rng(1).normal(size=70_000).astype(np.float32)
+    assert ppm.unpack_values(ppm.pack_values(many)).tolist() == many.tolist() and len(ppm.unpack_values(ppm.pack_values(many[:0]))) == 0
     assert ppm.unpack_texts(ppm.pack_texts([b"ab", None, b"", b"c" * 1000])) == [b"ab", b"", b"", b"c" * 1000]
     for pack, unpack in ((ppm.pack_keys, ppm.unpack_keys), (ppm.pack_counts, ppm.unpack_counts)):
         assert unpack(pack(keys[:0])).tolist() == []

@@ -118,13 +118,25 @@ def _merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.
 
 
 def pack_values(values: np.ndarray) -> bytes:
-    """32-bit floats, compressed: many grams have the same."""
-    return len(values).to_bytes(4, "little") + pa.compress(values.astype("<f4").tobytes(), "zstd", asbytes=True)
+    """32-bit floats: the distinct ones, most frequent first, and their numbers in two bytes, or as they are if these don't do."""
+    values = values.astype("<f4")
+    distinct, where, n = np.unique(values, return_inverse=True, return_counts=True)
+    head = len(values).to_bytes(4, "little")
+    if len(distinct) > 1 << 16:
+        return head + bytes(4) + pa.compress(values.tobytes(), "zstd", asbytes=True)
+    order = np.argsort(-n, kind="stable")
+    place = np.empty(len(order), "<u2")
+    place[order] = np.arange(len(order))
+    numbers = np.ascontiguousarray(place[where].view(np.uint8).reshape(-1, 2).T).tobytes()
+    return head + len(order).to_bytes(4, "little") + distinct[order].tobytes() + pa.compress(numbers, "zstd", asbytes=True)
 
 
 def unpack_values(block: bytes) -> np.ndarray:
-    n = int.from_bytes(block[:4], "little")
-    return np.frombuffer(pa.decompress(block[4:], 4 * n, "zstd"), "<f4")
+    n, m = (int.from_bytes(block[i:i + 4], "little") for i in (0, 4))
+    if not m:
+        return np.frombuffer(pa.decompress(block[8:], 4 * n, "zstd"), "<f4")
+    numbers = np.frombuffer(pa.decompress(block[8 + 4 * m:], 2 * n, "zstd"), np.uint8).reshape(2, n)
+    return np.frombuffer(block, "<f4", m, 8)[np.ascontiguousarray(numbers.T).view("<u2").ravel()]
 
 
 def pack_texts(texts: list[bytes | None]) -> bytes:
