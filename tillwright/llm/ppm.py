@@ -45,7 +45,7 @@ LEAST_BUCKETS = 48
 FREQUENT = 1 << 17  # tokens looked up without a join
 EDGE = b"\xff"
 CHUNK_BYTES = 1 << 20  # of text that is counted at a time
-SCORED_BYTES = 4 << 20  # of text whose distinct grams are looked up together
+SCORED_BYTES = 3 << 20  # of text whose distinct grams are looked up together
 FLUSH = 900_000  # partial counts that a task holds before it sends them on
 END = 0  # stands for the end token among the words' hashes
 
@@ -74,6 +74,13 @@ def grams_of(texts: list[bytes | None], order: int = ORDER) -> tuple[np.ndarray,
     return keys, sizes
 
 
+def distinct_grams(texts: list[bytes | None]) -> np.ndarray:
+    """The texts' grams in order, each once; sorted in place, as there may be millions."""
+    keys = grams_of(texts)[0]
+    keys.sort()
+    return keys[np.concatenate(([True], keys[1:] != keys[:-1]))[:len(keys)]]
+
+
 def runs(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct values in order and their numbers."""
     values = np.sort(values)
@@ -354,9 +361,7 @@ def _wanted_batches(buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for chunk, texts in zip(batch.column(0).to_pylist(), batch.column(1)):
-                keys = grams_of(unpack_texts(texts.as_py()))[0]
-                keys.sort()
-                keys = keys[np.flatnonzero(np.diff(keys, prepend=~keys[:1]))]
+                keys = distinct_grams(unpack_texts(texts.as_py()))
                 for bucket, at in _by_bucket(keys, buckets):
                     yield _block_batch(bucket, chunk, keys[at])
                 pa.default_memory_pool().release_unused()
@@ -455,7 +460,8 @@ _RARE = pa.list_(pa.struct([("key", pa.int64()), ("n", pa.int64())]))
 
 def _scorer(sent, total: float, buckets: int):
     """Sorted by chunk, its texts first and then the values of its grams by bucket: the scores of its texts."""
-    def scored(row: int, ids: pa.Array, texts: list[bytes | None], values: list[np.ndarray]) -> pa.RecordBatch:
+    def base_of(texts: list[bytes | None]) -> tuple:
+        """Per text: tokens, known tokens and base of the frequent ones, and the others as (key, n)."""
         keys, frequent = sent.value
         words, sizes = hashed_words(texts)
         hashes = np.insert(words.astype(np.int64), np.cumsum(sizes), END)
@@ -476,15 +482,22 @@ def _scorer(sent, total: float, buckets: int):
         rare = pa.ListArray.from_arrays(
             pa.array(offsets, pa.int32()),
             pa.StructArray.from_arrays([pa.array(hashes[start]), pa.array(times, pa.int64())], ["key", "n"]))
-        grams, lengths = grams_of(texts)
-        distinct, where = np.unique(grams, return_inverse=True)
+        return sizes, n_known, base, rare.cast(_RARE)
+
+    def scored(row: int, ids: pa.Array, texts: list[bytes | None], values: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        distinct = distinct_grams(texts)
         value = np.empty(len(distinct))
         value[np.concatenate([at for _, at in _by_bucket(distinct, buckets)])] = np.concatenate(values)
-        score = np.add.reduceat(value[where], np.cumsum(lengths) - lengths)
-        return pa.RecordBatch.from_arrays([
-            pa.array(np.arange(row, row + len(texts))), ids, pa.array(sizes),
-            pa.array(n_known), pa.array(base), pa.array(score), rare.cast(_RARE)],
-            names=["row", "id", "n_tokens", "n_known", "base", "score", "rare"])
+        # the values are for the whole chunk, the texts are summed up a part at a time
+        for a, b in chunked(texts, CHUNK_BYTES):
+            sizes, n_known, base, rare = base_of(texts[a:b])
+            grams, lengths = grams_of(texts[a:b])
+            score = np.add.reduceat(value[np.searchsorted(distinct, grams)], np.cumsum(lengths) - lengths)
+            yield pa.RecordBatch.from_arrays([
+                pa.array(np.arange(row + a, row + b)), ids.slice(a, b - a), pa.array(sizes),
+                pa.array(n_known), pa.array(base), pa.array(score), rare],
+                names=["row", "id", "n_tokens", "n_known", "base", "score", "rare"])
+        pa.default_memory_pool().release_unused()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None
@@ -493,12 +506,12 @@ def _scorer(sent, total: float, buckets: int):
                 chunk, bucket = batch.column(0)[i].as_py(), batch.column(1)[i].as_py()
                 if bucket == _TEXTS:
                     if held:
-                        yield scored(*held)
+                        yield from scored(*held)
                     held = chunk, pa.concat_arrays([batch.column(2)[i].values]), unpack_texts(batch.column(3)[i].as_py()), []
                 else:
                     held[3].append(unpack_values(batch.column(4)[i].as_py()))
         if held:
-            yield scored(*held)
+            yield from scored(*held)
     return run
 
 
