@@ -45,7 +45,7 @@ LEAST_BUCKETS = 48
 FREQUENT = 1 << 17  # tokens looked up without a join
 EDGE = b"\xff"
 CHUNK_BYTES = 1 << 20  # of text that is counted at a time
-SCORED_BYTES = 3 << 20  # of text whose distinct grams are looked up together
+SCORED_BYTES = 4 << 20  # of text whose distinct grams are looked up together
 FLUSH = 900_000  # partial counts that a task holds before it sends them on
 END = 0  # stands for the end token among the words' hashes
 
@@ -492,7 +492,10 @@ def _scorer(sent, total: float, buckets: int):
         for a, b in chunked(texts, CHUNK_BYTES):
             sizes, n_known, base, rare = base_of(texts[a:b])
             grams, lengths = grams_of(texts[a:b])
-            score = np.add.reduceat(value[np.searchsorted(distinct, grams)], np.cumsum(lengths) - lengths)
+            # looked up in order, which goes through the table once
+            order, each = np.argsort(grams), np.empty(len(grams))
+            each[order] = value[np.searchsorted(distinct, grams[order])]
+            score = np.add.reduceat(each, np.cumsum(lengths) - lengths)
             yield pa.RecordBatch.from_arrays([
                 pa.array(np.arange(row + a, row + b)), ids.slice(a, b - a), pa.array(sizes),
                 pa.array(n_known), pa.array(base), pa.array(score), rare],
