@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tillwright.operators import recommend as R
-from tillwright.operators.features import feature_texts, rarest_pieces, with_features
+from tillwright.operators.features import feature_candidates, feature_texts, rarest_pieces, with_features
 from tillwright.operators.ordering import running_totals
 
 # (id, category, description); the order is that of the ids
@@ -154,6 +154,18 @@ def test_a_feature_is_looked_up_by_its_rarest_piece(spark):
     assert {r.feature: r["count"] for r in pairs} == {**dict.fromkeys(chosen, 1), "common": 300}
 
 
+def test_long_features_of_common_syllables_meet_few_texts(spark):
+    """Every text has every four characters of a feature somewhere; candidates stay near the texts that have the feature."""
+    rnd = random.Random(5)
+    words = ["".join(rnd.choices(["tion", "ande", "erst", "zung"], k=5)) for _ in range(120)]
+    pairs = sorted(x + y for x in ("tion", "ande", "erst", "zung") for y in ("tion", "ande", "erst", "zung"))
+    texts = spark.createDataFrame([(f"{' '.join(pairs)} {w}",) for w in set(words)], "text string")
+    features = spark.createDataFrame([(w,) for w in set(words)], "feature string")
+    marked = texts.select("text", F.xxhash64("text").alias("mark"))
+    assert feature_candidates(features, marked).count() <= 10 * len(set(words))
+    assert feature_texts(features, texts).count() == len(set(words))
+
+
 def test_one_feature_in_all_profiles_and_products(spark):
     """Rows of the joins stay near the sum of the inputs: a key costs a row per 32,768 products."""
     catalogue = spark.range(4000).selectExpr("id", "id pos", "concat('c', id % 50) category", "concat('oak ', id % 7) description")

@@ -1,7 +1,8 @@
 """Which texts contain which features, as a join on the rarest piece of each feature.
 
-A feature is looked up by one of its pieces of ``PIECE`` characters (a shorter feature by itself): the one that occurs in the
-fewest texts.  So a feature that begins like half of the catalogue still meets few candidates.  Pieces that are in more than
+A feature is looked up by one of its pieces: the one that occurs in the fewest texts.  So a feature that begins like half of
+the catalogue still meets few candidates.  Pieces have the largest of ``SIZES`` characters that the feature has: four characters
+are in so many texts that long features would meet most of them.  Pieces that are in more than
 one text of ``HOT`` are spread over several keys.  Candidates are tested on the text itself.
 """
 
@@ -12,7 +13,8 @@ from pyspark.sql import functions as F
 
 from tillwright.session import stored
 
-PIECE = 4
+SIZES = (1, 2, 3, 4, 6, 8, 12)
+PIECE, LONGEST = 4, SIZES[-1]
 HOT = 100
 SALTS = 64
 
@@ -27,12 +29,18 @@ def _pieces(text: Column, size: Column) -> Column:
     return F.when(size == 0, F.array(F.lit(""))).otherwise(every)
 
 
+def _piece_size(feature: Column, piece: int) -> Column:
+    """The largest of ``SIZES`` up to ``piece`` that the feature has; 0 for the empty feature."""
+    sizes = [n for n in SIZES if n < piece] + [piece]
+    return F.greatest(F.lit(0), *[F.when(F.length(feature) >= n, n) for n in sizes])
+
+
 def rarest_pieces(features: DataFrame, text_pieces: DataFrame, piece: int = PIECE) -> DataFrame:
     """(feature, piece, n): the piece of each feature that the fewest texts have, and how many have it.
 
     ``text_pieces`` (mark, piece) has a row per text and distinct piece.  Features with a piece that no text has are left out.
     """
-    size = F.least(F.length("feature"), F.lit(piece))
+    size = _piece_size(F.col("feature"), piece)
     own = features.select("feature", F.explode(_pieces(F.col("feature"), size)).alias("piece"))
     counts = text_pieces.join(own.select("piece").distinct(), "piece").groupBy("piece").agg(F.count("*").alias("n"))
     least = own.join(counts, "piece", "left").groupBy("feature").agg(
@@ -40,26 +48,36 @@ def rarest_pieces(features: DataFrame, text_pieces: DataFrame, piece: int = PIEC
     return least.where("least.n > 0").select("feature", "least.piece", "least.n")
 
 
-def feature_texts(features: DataFrame, texts: DataFrame, piece: int = PIECE) -> DataFrame:
-    """(feature, text) for every text that contains the feature; both inputs hold distinct values, lower-case alike.
+def feature_candidates(features: DataFrame, marked: DataFrame, piece: int = LONGEST) -> DataFrame:
+    """(feature, mark) of the texts (mark, text) that have the feature's rarest piece.
 
     A text is cut into the lengths that occur among the features, which a scalar subquery tells, so planning runs
-    no job over the texts.  The join carries digests of the texts.  The pieces that are hot and chosen are told by another scalar
-    subquery; there are at most ``HOT`` times as many as a text has pieces on average.
+    no job over the texts.  The texts are cut once: the pieces that some feature has are stored.  The pieces that are hot and chosen are told
+    by another scalar subquery; there are at most ``HOT`` times as many as a text has pieces on average.
     """
-    marked = texts.select("text", F.xxhash64("text").alias("mark"))
-    sizes = features.agg(F.collect_set(F.least(F.length("feature"), F.lit(piece))).alias("sizes")).scalar()
+    size = _piece_size(F.col("feature"), piece)
+    sizes = features.agg(F.collect_set(size).alias("sizes")).scalar()
     cut = F.array_distinct(F.flatten(F.transform("sizes", lambda n: _pieces(F.col("text"), n))))
-    pieces = marked.withColumn("sizes", sizes).select("mark", F.explode(cut).alias("piece"))
+    own = features.select(F.explode(_pieces(F.col("feature"), size)).alias("piece")).distinct()
+    pieces = stored(marked.withColumn("sizes", sizes).select("mark", F.explode(cut).alias("piece")).join(own, "piece", "left_semi"), "pieces")
     chosen = stored(rarest_pieces(features, pieces, piece), "feature-pieces")
-    share = F.col("n") * HOT / texts.agg(F.count("*")).scalar()
+    share = F.col("n") * HOT / marked.agg(F.count("*")).scalar()
     salts = F.when(share > 1, F.least(F.lit(SALTS), F.ceil(share))).otherwise(1).cast("int")
     chosen = chosen.withColumn("salts", salts)
     hot = chosen.where("salts > 1").select("piece", "salts").distinct().agg(
         F.map_from_entries(F.collect_list(F.struct("piece", "salts"))).alias("hot")).scalar()
     salt = F.pmod("mark", F.coalesce(F.try_element_at(hot, F.col("piece")), F.lit(1))).cast("int")
     wanted = chosen.select("feature", "piece", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"))
-    candidates = pieces.withColumn("salt", salt).join(wanted, ["piece", "salt"]).select("feature", "mark")
+    return pieces.withColumn("salt", salt).join(wanted, ["piece", "salt"]).select("feature", "mark")
+
+
+def feature_texts(features: DataFrame, texts: DataFrame, piece: int = LONGEST) -> DataFrame:
+    """(feature, text) for every text that contains the feature; both inputs hold distinct values, lower-case alike.
+
+    The join carries digests of the texts.
+    """
+    marked = texts.select("text", F.xxhash64("text").alias("mark"))
+    candidates = feature_candidates(features, marked, piece)
     return candidates.join(marked, "mark").where(F.contains("text", "feature")).select("feature", "text")
 
 
