@@ -58,7 +58,8 @@ def feature_candidates(features: DataFrame, marked: DataFrame, piece: int = LONG
     size = _piece_size(F.col("feature"), piece)
     sizes = features.agg(F.collect_set(size).alias("sizes")).scalar()
     cut = F.array_distinct(F.flatten(F.transform("sizes", lambda n: _pieces(F.col("text"), n))))
-    own = features.select(F.explode(_pieces(F.col("feature"), size)).alias("piece")).distinct()
+    # stored, so that its size is known: few wanted pieces are sent to the texts, whose pieces then don't move
+    own = stored(features.select(F.explode(_pieces(F.col("feature"), size)).alias("piece")).distinct(), "wanted-pieces")
     pieces = stored(marked.withColumn("sizes", sizes).select("mark", F.explode(cut).alias("piece")).join(own, "piece", "left_semi"), "pieces")
     chosen = stored(rarest_pieces(features, pieces, piece), "feature-pieces")
     share = F.col("n") * HOT / marked.agg(F.count("*")).scalar()
