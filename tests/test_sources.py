@@ -139,3 +139,23 @@ def test_csv_keeps_blanks_and_empty_texts(spark, tmp_path):
     rows = [("  x ", ""), ("", None), (None, 'a "quoted", text'), ("\ttab", " "), ("null", '""')]
     save_csv(spark.createDataFrame(rows, "a string, b string"), str(tmp_path / "t.csv"))
     assert sorted(map(tuple, read_csv(spark, str(tmp_path / "t.csv")).collect()), key=str) == sorted(rows, key=str)
+
+
+def test_schema_of_many_small_array_files_takes_several_tasks(spark, tmp_path):
+    df = spark.range(2_000).selectExpr("id", "concat('é \"', id) name", "id / 2 price", "if(id % 2 = 0, null, array(id)) tags")
+    path = writers.write_json_arrays(df, str(tmp_path / "arrays.json"), 1_000)
+    spark.sparkContext.setJobGroup("infer", "schema of arrays")
+    try:
+        back = readers.read_json_array(spark, path)
+        status = spark.sparkContext.statusTracker()
+        stages = [i for job in status.getJobIdsForGroup("infer") for i in status.getJobInfo(job).stageIds]
+        assert max(status.getStageInfo(i).numTasks for i in stages if status.getStageInfo(i)) > 1
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert back.schema == spark.read.option("multiLine", True).json(path).schema
+    assert sorted(back.select("id", "name").collect()) == sorted(df.select("id", "name").collect())
+
+
+def test_schema_of_arrays_behind_byte_order_marks(spark, tmp_path):
+    (tmp_path / "a.json").write_bytes(b"\xef\xbb\xbf" + b'[{"id": 1}, {"id": 2.5, "x": "y"}]')
+    assert readers.read_json_array(spark, str(tmp_path)).schema == spark.read.option("multiLine", True).json(str(tmp_path)).schema

@@ -63,7 +63,10 @@ def read_json_array(spark: SparkSession, path: str, schema: Schema = None) -> Da
     """
     files = spark.read.text(path, wholetext=True)
     if schema is None:
-        schema = spark.read.option("multiLine", True).json(path).schema
+        # from the texts: read as multi-line JSON, small files of up to 128 MB together would be one task
+        schema = spark.read.json(files.rdd.map(lambda row: row.value.removeprefix("\ufeff"))).schema
+        if not schema.fields:  # no file, or no record
+            schema = spark.read.option("multiLine", True).json(path).schema
     elif isinstance(schema, str):
         schema = T.StructType.fromDDL(schema)
     is_array = F.col("value").rlike(r"\A[\s\uFEFF]*\[") & F.col("value").rlike(r"\]\s*\z")
