@@ -1,6 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from __spark_entry__ import queries
 from tillwright.functions.numbers import two_decimals
 from tillwright.operators import feeds as V
 from tillwright.sources import writers
@@ -126,3 +127,14 @@ def test_records_tell_absent_keys_from_nulls(spark, tmp_path):
     assert wrong[7] == ["Field 'images' must be of type list"] and wrong[8] == ["Not a JSON record"] and len(wrong[9]) == 1
     assert rows[0]["specifications"] == {"memory": "2048.00 GB"} and rows[0]["images"] == ["a"]
     assert "price: DECIMAL" in V.feed_schema(records.limit(1)).first()[0]
+
+
+def test_specs_are_standardised_once(spark, tmp_path, capsys):
+    spark.createDataFrame([(7, "a b", "Brand#1", "TYPE", 2, 9.5), (8, None, None, None, None, None)],
+                          "p_partkey long, p_name string, p_brand string, p_type string, p_size int, p_retailprice double"
+                          ).write.parquet(str(tmp_path / "part.parquet"))
+    specs = queries()["feed_spec_units"](spark, str(tmp_path))
+    specs.explain()
+    assert capsys.readouterr().out.count("transform_values(") == 1
+    rows = {(r.row_id, r.spec_key): r.spec_value for r in specs.collect()}
+    assert len(rows) == 14 and rows[7, "power"] == "2000.00 W" and rows[8, "power"] is None

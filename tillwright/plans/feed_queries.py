@@ -153,7 +153,8 @@ SPECS_SQL = " UNION ALL ".join([
 @query("feed_spec_units", SPECS_SQL)
 def feed_spec_units(s):
     specs = feed(s).select("row_id", V.standardize_specs(F.col("specifications")).alias("specs"))
-    return specs.select("row_id", F.explode("specs").alias("spec_key", "spec_value"))
+    # a plain explode puts a filter on its input, which would standardise every map three times
+    return specs.select("row_id", F.explode_outer("specs").alias("spec_key", "spec_value")).where("spec_key IS NOT NULL")
 
 
 VALIDATED = f"""validated AS (SELECT row_id, product_id, name, category, brand, description, TRY_CAST(price AS DOUBLE) AS price,
