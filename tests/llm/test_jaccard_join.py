@@ -1,7 +1,9 @@
 import random
+import tracemalloc
 from itertools import combinations
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from helpers import EDGES, docs, empty
 
@@ -115,3 +117,21 @@ def test_parities_bound_the_difference():
         b = np.unique(np.concatenate((a[rng.random(len(a)) < 0.95], rng.integers(0, 3000, 20).astype(np.uint64))))
         apart = sum(bin(int(x) & (2**64 - 1)).count("1") for x in jaccard_join._parities(a) ^ jaccard_join._parities(b))
         assert apart <= len(np.setxor1d(a, b))
+
+
+def test_loads_beyond_16_bits_stay_the_largest():
+    text = pa.array(["a b c " * 50_000] * 2, pa.string())
+    batch = pa.RecordBatch.from_arrays([text], names=["text"])
+    (found,) = jaccard_join._load_batches(3)(iter([batch, batch]))
+    loads = np.concatenate([jaccard_join._unpacked(b, "<u2") for b in found.column(1).to_pylist()])
+    assert sorted(loads[loads > 0]) == [65_535] * 3
+
+
+def test_loads_take_two_bytes_a_bucket():
+    batch = pa.RecordBatch.from_arrays([pa.array(["a b c d"], pa.string())], names=["text"])
+    hashed_words([b"a"])  # makes the powers, which stay
+    tracemalloc.start()
+    list(jaccard_join._load_batches(3)(iter([batch])))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 48 << 20

@@ -90,13 +90,13 @@ def _bucket(values: np.ndarray) -> np.ndarray:
 
 def _load_batches(words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        load = np.zeros(1 << LOAD_BITS, np.int32)
+        load = np.zeros(1 << LOAD_BITS, np.uint16)  # loads are sent in 16 bits, larger ones as the largest
         for batch in batches:
             texts = raw(batch.column(0))
             for a, b in chunked(texts, CHUNK_BYTES):
                 found = np.concatenate(list(shingled(texts[a:b], words)))
                 used, times = np.unique(_bucket(found), return_counts=True)
-                load[used] += times.astype(np.int32)
+                load[used] = np.minimum(load[used] + times, np.iinfo(np.uint16).max)
             pa.default_memory_pool().release_unused()
         blocks = load.reshape(-1, _BLOCK)
         used = np.nonzero(blocks.any(axis=1))[0]
