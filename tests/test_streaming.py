@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tillwright.operators import recommend as R
+from tillwright.plans.recommend_queries import _segments
 from tillwright.sources.topic import append, read_topics
 from tillwright.streaming import events as E
 from tillwright.streaming.recommender import (
@@ -248,3 +249,8 @@ def test_metrics_in_messages(spark):
 def test_kafka_options():
     assert E.kafka_options("h:9092", "user-events") == {
         "kafka.bootstrap.servers": "h:9092", "subscribe": "user-events", "startingOffsets": "earliest"}
+
+
+def test_segments_grow_with_the_messages():
+    """A task reads a segment: a batch of many messages is read by many tasks."""
+    assert [_segments(n) for n in (0, 1_000, 400_000, 6_600_000)] == [4, 4, 4, 66]

@@ -157,6 +157,14 @@ def _run(s: Shop, start, *args, **kw):
     return _begin(s, start, *args, **kw)()
 
 
+SEGMENT = 50_000  # messages of a topic's segment, which one task reads
+
+
+def _segments(messages: int) -> int:
+    """Segments of half the messages: a batch has tasks in proportion to its messages."""
+    return max(4, -(-messages // (2 * SEGMENT)))
+
+
 def _over_batches(s: Shop, begin, batches: int = 4) -> str:
     """Send the shop's messages to a topic and run a query over it in so many batches, with a stop and a restart halfway.
 
@@ -167,7 +175,7 @@ def _over_batches(s: Shop, begin, batches: int = 4) -> str:
     n = values.count()
     middle = values.agg(F.percentile("timestamp", 0.5)).scalar()
     for half in (F.col("timestamp") <= middle, F.col("timestamp") > middle):
-        part = values.where(half).repartitionByRange(4, "timestamp").sortWithinPartitions("timestamp")
+        part = values.where(half).repartitionByRange(_segments(n), "timestamp").sortWithinPartitions("timestamp")
         append(part.select("value"), f"{root}/topic", partitions=1)
         running = begin(E.parse(read_topic(s.spark, f"{root}/topic", "query", -(-n // batches))), root)
         running.processAllAvailable()

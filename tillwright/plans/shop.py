@@ -268,7 +268,7 @@ class Shop:
         rows = rows.withColumn("event_id", F.when(~tenth, F.col("event_id")))
         sent = rows.select("timestamp", F.explode("_times"), F.to_json(F.struct(
             *[c for c in rows.columns if c != "_times"])).alias("value"))
-        return sent.repartitionByRange(8, "timestamp").sortWithinPartitions("timestamp").select("timestamp", "value")
+        return sent.repartitionByRange("timestamp").sortWithinPartitions("timestamp").select("timestamp", "value")
 
     def message_stream(self) -> DataFrame:
         """The same messages as JSON, read as a stream of files and parsed."""
