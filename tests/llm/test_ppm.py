@@ -152,3 +152,28 @@ def test_packed_blocks():
     assert ppm.unpack_texts(ppm.pack_texts([b"ab", None, b"", b"c" * 1000])) == [b"ab", b"", b"", b"c" * 1000]
     for pack, unpack in ((ppm.pack_keys, ppm.unpack_keys), (ppm.pack_counts, ppm.unpack_counts)):
         assert unpack(pack(keys[:0])).tolist() == []
+
+
+def test_blocks_on_disk_are_small():
+    rng = np.random.default_rng(3)
+    # as a bucket answers: logarithms of few counts over totals, most of them more than once
+    values = np.log10((rng.geometric(0.3, 20_000) - 0.5) / rng.integers(1, 4_000, 20_000)).astype(np.float32)
+    block = ppm.pack_values(values)
+    assert ppm.unpack_values(block).tolist() == values.tolist()
+    assert len(block) < 2.9 * len(values)  # 3.4 bytes each as plain floats, compressed
+    words = ["".join(map(chr, rng.integers(97, 123, n))) for n in rng.integers(2, 10, 3_000)]
+    texts = [" ".join(words[min(int(i), 2_999)] for i in rng.zipf(1.3, 200)).encode() for _ in range(300)]
+    packed = ppm.pack_texts(texts)
+    assert ppm.unpack_texts(packed) == texts and len(packed) < 0.95 * len(ppm.pa.compress(b"".join(texts), "zstd", asbytes=True))
+
+
+def test_odd_values_come_back():
+    values = np.array([0.0, -0.0, np.inf, -np.inf, np.nan, 1e-40, -3.5, -3.5], np.float32)
+    assert ppm.unpack_values(ppm.pack_values(values)).tobytes() == values.tobytes()
+
+
+def test_exchanged_blocks_go_before_the_rare_tokens(spark, monkeypatch):
+    gone = []
+    monkeypatch.setattr(ppm, "released", lambda *tables: gone.extend(t.columns for t in tables))
+    rows = docs(spark, [(1, "a b"), (2, "c")])
+    assert score(rows, Model(rows)).count() == 2 and gone == [["chunk", "ids", "texts"]]

@@ -11,7 +11,8 @@ the training texts (``BUCKET_BYTES``), and a task has the trie of one bucket at
 their contexts are never apart, so the commonest pair of bytes bounds it from below.
 
 Scoring.  Texts are cut into chunks of about ``SCORED_BYTES``; a chunk's distinct grams go to their buckets as sorted
-blocks, their log probabilities come back as blocks of 32-bit floats in the same order, and are summed per text as doubles.
+blocks, their log probabilities come back as blocks of 32-bit floats in the same order (places in a list of the block's distinct ones),
+and are summed per text as doubles.
 
 Probability (escape method D).  A context with N occurrences predicts a symbol seen n times
 with (n - 1/2) / N.  What is left, half an occurrence per symbol, is the escape to the next shorter context, where the symbols the longer one has seen are
@@ -37,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillwright.llm.common import chunked, hashed_words, raw
-from tillwright.session import collected, stored
+from tillwright.session import collected, released, stored
 
 ORDER = 6  # bytes of context; a gram with its symbol has to fit in 63 bits
 BUCKET_BYTES = 8 << 20  # training text per bucket
@@ -51,6 +52,7 @@ END = 0  # stands for the end token among the words' hashes
 
 TOKEN, GRAM = 0, 1
 U = np.uint64
+_PACKED = pa.Codec("zstd", compression_level=6)  # what waits on disk is written once
 
 
 def tokens_of(text: bytes | None) -> list[bytes]:
@@ -88,16 +90,24 @@ def runs(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return values[first], np.diff(np.concatenate((first, [len(values)])))
 
 
+def _planes(values: np.ndarray) -> bytes:
+    """The numbers' bytes, those of equal weight together."""
+    return np.ascontiguousarray(values.view(np.uint8).reshape(-1, values.dtype.itemsize).T).tobytes()
+
+
+def _from_planes(data: bytes, kind: str, n: int, at: int = 0) -> np.ndarray:
+    width = np.dtype(kind).itemsize
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8, n * width, at).reshape(width, n).T).view(kind).ravel()
+
+
 def pack_keys(keys: np.ndarray) -> bytes:
     """Ascending keys byte by byte of equal weight, compressed: the higher bytes hardly change, the lower ones are text."""
-    return len(keys).to_bytes(4, "little") + pa.compress(
-        np.ascontiguousarray(keys.astype("<u8").view(np.uint8).reshape(-1, 8).T).tobytes(), "zstd", asbytes=True)
+    return len(keys).to_bytes(4, "little") + _PACKED.compress(_planes(keys.astype("<u8")), asbytes=True)
 
 
 def unpack_keys(block: bytes) -> np.ndarray:
     n = int.from_bytes(block[:4], "little")
-    planes = np.frombuffer(pa.decompress(block[4:], 8 * n, "zstd"), np.uint8).reshape(8, n)
-    return np.ascontiguousarray(planes.T).view("<u8").ravel().astype(U)
+    return _from_planes(_PACKED.decompress(block[4:], 8 * n), "<u8", n).astype(U)
 
 
 def pack_counts(n: np.ndarray) -> bytes:
@@ -125,26 +135,35 @@ def _merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.
 
 
 def pack_values(values: np.ndarray) -> bytes:
-    """32-bit floats, compressed: many grams have the same."""
-    return len(values).to_bytes(4, "little") + pa.compress(values.astype("<f4").tobytes(), "zstd", asbytes=True)
+    """32-bit floats: the distinct ones in the order of their bits, as differences, and each one's place among them, compressed."""
+    distinct, place = np.unique(values.astype("<f4").view("<u4"), return_inverse=True)
+    return len(values).to_bytes(4, "little") + len(distinct).to_bytes(4, "little") + _PACKED.compress(
+        _planes(np.diff(distinct, prepend=np.uint32(0))) + _planes(place.astype(_place_kind(len(distinct)))), asbytes=True)
+
+
+def _place_kind(n: int) -> str:
+    return "<u2" if n <= 1 << 16 else "<u4"
 
 
 def unpack_values(block: bytes) -> np.ndarray:
-    n = int.from_bytes(block[:4], "little")
-    return np.frombuffer(pa.decompress(block[4:], 4 * n, "zstd"), "<f4")
+    n, kinds = (int.from_bytes(block[i:i + 4], "little") for i in (0, 4))
+    kind = _place_kind(kinds)
+    data = _PACKED.decompress(block[8:], 4 * kinds + np.dtype(kind).itemsize * n)
+    distinct = np.cumsum(_from_planes(data, "<u4", kinds), dtype="<u4").view("<f4")
+    return distinct[_from_planes(data, kind, n, 4 * kinds)]
 
 
 def pack_texts(texts: list[bytes | None]) -> bytes:
     """Texts as one compressed block; a null one is empty."""
     sizes = np.array([len(t or b"") for t in texts], "<i8")
     data = b"".join(t or b"" for t in texts)
-    return len(sizes).to_bytes(4, "little") + len(data).to_bytes(8, "little") + sizes.tobytes() + pa.compress(data, "zstd", asbytes=True)
+    return len(sizes).to_bytes(4, "little") + len(data).to_bytes(8, "little") + sizes.tobytes() + _PACKED.compress(data, asbytes=True)
 
 
 def unpack_texts(block: bytes) -> list[bytes]:
     n, size = int.from_bytes(block[:4], "little"), int.from_bytes(block[4:12], "little")
     ends = np.cumsum(np.frombuffer(block, "<i8", n, 12)).tolist()
-    data = pa.decompress(block[12 + 8 * n:], size, "zstd", asbytes=True)
+    data = _PACKED.decompress(block[12 + 8 * n:], size, asbytes=True)
     return [data[a:b] for a, b in zip([0, *ends], ends)]
 
 
@@ -537,6 +556,10 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     rows = stored(
         both.repartition("chunk").sortWithinPartitions("chunk", "bucket")
         .mapInArrow(_scorer(sent, model.base_total, model.buckets), _SCORED.format(kind=kind)), "ppm-scores")
+    # the texts, and the grams and values that were exchanged, are read by nothing from here on
+    del blocks, answers, both
+    released(chunks)
+    collected(spark)
     rare = rows.select("row", F.inline("rare"))
     n = F.coalesce(F.col("c"), F.lit(0))
     found = (rare.join(model.vocabulary.select("key", F.col("n").alias("c")), "key", "left").groupBy("row").agg(
