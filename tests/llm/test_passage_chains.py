@@ -1,11 +1,13 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from helpers import EDGES, docs, empty
 
 from pyspark.sql import functions as F
 
+from tillwright.llm import passage_chains
 from tillwright.llm.passage_chains import (
     GAP_COST, K, WINDOW, Places, _between, _numbers, _numbers_of, aligned, aligned_pieces, chains_of, repeated_passages, seeds_of)
 
@@ -224,3 +226,58 @@ def test_ids_of_text_and_several_tasks(spark):
     rows = docs(spark, [(i, " ".join([*shared, *words(rng, 20)])) for i in range(40)]).repartition(7).withColumn("doc_id", F.concat(F.lit("d"), "doc_id"))
     found = repeated_passages(rows).collect()
     assert len(found) == 39 and all(r.id.startswith("d") and len(r.source_ids) == 1 for r in found)
+
+
+def _copies_with_scattered_changes(rng):
+    """Documents that share passages whose ends go on with a changed word in every five, so that no seeds lie there."""
+    common = [f"w{rng.randrange(400)}" for _ in range(160)]
+    rows = []
+    for i in range(14):
+        copy = list(common)
+        for k in [*range(i % 5, 45, 5), *range(115 + i % 3, 160, 5)] if i else []:
+            copy[k] = f"changed{i}x{k}"
+        own = [f"own{i}x{k}" for k in range(30)]
+        rows.append((i, " ".join([*own, *copy[i % 4:160 - i % 7], *own[::-1]])))
+    return [*rows, (None, rows[3][1]), (20, None), (21, ""), (3, rows[3][1])]
+
+
+def test_far_ends_are_aligned_as_with_all_their_words(spark, monkeypatch):
+    rows = _copies_with_scattered_changes(random.Random(8))
+
+    def found(near):
+        monkeypatch.setattr(passage_chains, "NEAR", near)
+        got = repeated_passages(docs(spark, rows).coalesce(1)).collect()
+        return sorted((r.node, r.start, r.stop, tuple(r.source_ids), r.identity, r.passage) for r in got)
+
+    whole = found(passage_chains._MARGIN)
+    assert len(whole) >= 10 and any(stop - start > 130 for _, start, stop, *_ in whole)
+    assert found(0) == found(4) == found(24) == whole
+
+
+def test_open_ends_are_told():
+    a = [f"w{i}" for i in range(60)]
+    b = [w if i % 5 else "other" for i, w in enumerate(a[:30])] + a[30:40] + ["x"] * 20
+    chain = [(30, 30, 5)]
+    full = passage_chains.Alignment(a, b, chain)
+    span = full.stretch(0, 1)
+    assert not full.open and span[:2] == (1, 40)
+    near = passage_chains.Alignment(a, b[20:50], [(30, 10, 5)], (True, True))
+    near.stretch(0, 1)
+    assert near.open  # the beginning goes on further than the words given
+    enough = passage_chains.Alignment(a[30:], b[30:52], [(0, 0, 5)], (False, True))
+    assert enough.stretch(0, 1)[:2] == (0, 10) and not enough.open
+
+
+def test_segments_have_the_words_near_the_chain():
+    n = passage_chains._GROUP + 3
+    text = " ".join(f"w{i}" for i in range(1_000))
+    rows = [(i, 5, [0], [400 + i % 9], [7]) for i in range(n)] + [(1, 9, [2], [3], [1])]
+    batch = pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), passage_chains._CHAIN)], schema=passage_chains._CHAIN)
+    (groups,) = passage_chains._group_batches(iter([batch]))
+    assert groups.column("of").to_pylist() == [5, 5, 9] and [len(c) for c in groups.column("chains")] == [n - 3, 3, 1]
+    joined = groups.append_column("of_id", pa.array([50, 50, None], pa.int64())).append_column("text", pa.array([text] * 3))
+    out = [r for b in passage_chains._segment_batches(24)(iter([joined])) for r in b.to_pylist()]
+    assert [(r["node"], r["of"], r["at"], r["of_at"], r["seeds"]) for r in out] == rows
+    assert all(len(r["segment"].split()) == 7 + K + 48 and r["segment"].split()[24] == b"w%d" % r["of_at"][0] for r in out[:-1])
+    assert (out[-1]["of_start"], out[-1]["of_more"], out[-1]["of_id"]) == (0, True, None)
+    assert list(passage_chains._group_batches(iter([batch.slice(0, 0)])))[0].num_rows == 0

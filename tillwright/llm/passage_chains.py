@@ -15,6 +15,8 @@
    and its ends are extended while matches outweigh mismatches.  Alignments below ``IDENTITY`` are split at their
    widest gap, single seeds below it dropped.  All chains are aligned, those of a single seed too: length is judged
    on the aligned words, not on the spread of the seeds.
+   The earlier document's part goes to the alignment with ``NEAR`` words beyond the chain's ends.  Chains of which an end
+   reaches as far as that are aligned again with all the words that an end may reach, so the results are those of the latter.
 5. Aligned pieces that touch are one passage, whichever documents they come from, so a passage whose parts
    first occur in several documents is found whole.  Passages of ``MIN_WORDS`` and more are returned.
 
@@ -37,8 +39,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillwright.llm.common import chunked, raw
-from tillwright.llm.jaccard_join import CHUNK_BYTES, shingled
-from tillwright.session import collected, stored
+from tillwright.llm.jaccard_join import BROADCAST_CLASSES, CHUNK_BYTES, shingled
+from tillwright.session import collected, released, stored
 
 U = np.uint64
 
@@ -51,6 +53,7 @@ SEED_BITS = 52  # of a seed's hash; equal hashes of other words are told apart b
 BUCKET_BYTES = 8 << 20  # of text per bucket of seeds
 LEAST_BUCKETS = 48
 FLUSH = 1_000_000  # seeds that a task holds before it sends them on
+NEAR = 24  # words beyond a chain's ends that its first alignment has
 DROP = 6  # an end is extended until its score falls so far below the best
 
 
@@ -159,6 +162,7 @@ _MATCH = "node long, of long, at int, of_at int"
 def _match_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Blocks sorted by bucket and first document: the matches of their seeds."""
     def emit(rows: np.ndarray) -> Iterator[pa.RecordBatch]:
+        rows = rows[np.argsort(rows[:, 0], kind="stable")]  # in order they take less room
         for a in range(0, len(rows), 100_000):
             node, of, at, of_at = rows[a:a + 100_000].T
             yield pa.RecordBatch.from_arrays([pa.array(node), pa.array(of), pa.array(at.astype(np.int32)), pa.array(of_at.astype(np.int32))],
@@ -316,20 +320,38 @@ def _chain_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 _MARGIN = 72  # words beyond a chain's ends that its alignment may reach
 
 
-def _segment_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Replace the earlier document's text by the part that a chain can reach."""
-    of, words = None, []
+_GROUPED = "of long, chains array<struct<node: bigint, at: array<int>, of_at: array<int>, seeds: array<int>>>"
+_GROUP = 500  # chains that go to an earlier document's text in one row
+
+
+def _group_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Chains sorted by earlier document: rows of up to ``_GROUP`` chains, so that its text is not repeated for each."""
+    names = ["node", "at", "of_at", "seeds"]
     for batch in batches:
-        segments, starts, texts = [], [], batch.column("text")
-        for i, (node, at, n) in enumerate(zip(*[batch.column(c).to_pylist() for c in ("of", "of_at", "seeds")])):
-            if node != of:
-                of, words = node, words_of(texts[i].as_py().encode())
-            start = max(0, at[0] - _MARGIN)
-            segments.append(b" ".join(words[start:at[-1] + n[-1] + K + _MARGIN]))
-            starts.append(start)
+        of = batch.column("of").to_numpy()
+        start = np.flatnonzero(np.concatenate(([True], of[1:] != of[:-1]))[:len(of)])
+        cuts = np.concatenate([np.arange(a, b, _GROUP) for a, b in zip(start, np.append(start[1:], len(of)))] + [[len(of)]])
+        each = pa.StructArray.from_arrays([batch.column(c) for c in names], names)
         yield pa.RecordBatch.from_arrays(
-            [*[batch.column(c) for c in ("node", "of", "at", "of_at", "seeds", "of_id")], pa.array(starts, pa.int64()),
-             pa.array(segments, pa.binary())], names=["node", "of", "at", "of_at", "seeds", "of_id", "of_start", "segment"])
+            [pa.array(of[cuts[:-1].astype(np.int64)]), pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), each)], names=["of", "chains"])
+
+
+def _segment_batches(margin: int):
+    """Groups of chains with the earlier document's text: each chain with the part it can reach, ``margin`` words beyond its ends."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i, of in enumerate(batch.column("of").to_pylist()):
+                chains = batch.column("chains")[i].values
+                node, at, of_at, seeds = (chains.field(c) for c in range(4))
+                words = words_of(batch.column("text")[i].as_py().encode())
+                spans = [(max(0, x[0] - margin), x[-1] + n[-1] + K + margin) for x, n in zip(of_at.to_pylist(), seeds.to_pylist())]
+                yield pa.RecordBatch.from_arrays(
+                    [node, pa.array([of] * len(spans), pa.int64()), at, of_at, seeds,
+                     pa.concat_arrays([batch.column("of_id").slice(i, 1)] * len(spans)),
+                     pa.array([a for a, _ in spans], pa.int64()), pa.array([b < len(words) for _, b in spans], pa.bool_()),
+                     pa.array([b" ".join(words[a:b]) for a, b in spans], pa.binary())],
+                    names=["node", "of", "at", "of_at", "seeds", "of_id", "of_start", "of_more", "segment"])
+    return run
 
 
 def _between(a: list[bytes], b: list[bytes]) -> int:
@@ -347,8 +369,8 @@ def _between(a: list[bytes], b: list[bytes]) -> int:
     return len(a) - row.bit_count()
 
 
-def _extended(a: list[bytes], b: list[bytes]) -> tuple[int, int]:
-    """How far equal beginnings go on, substitutions, single insertions and deletions included, and the matches."""
+def _extended(a: list[bytes], b: list[bytes]) -> tuple[int, int, int, int]:
+    """How far equal beginnings go on, substitutions, single insertions and deletions included, the matches, and the words of b gone through."""
     i = j = score = best = far_i = far_j = matched = kept = 0
     while i < len(a) and j < len(b) and score > best - DROP:
         if a[i] == b[j]:
@@ -365,14 +387,19 @@ def _extended(a: list[bytes], b: list[bytes]) -> tuple[int, int]:
         i, j, score, matched = i + step[0], j + step[1], score + (1 if hit else -1), matched + hit
         if score > best:
             best, far_i, far_j, kept = score, i, j, matched
-    return (far_i, far_j, kept)
+    return far_i, far_j, kept, j
 
 
 class Alignment:
-    """The runs of a chain and the matches between them, each gap aligned once; any stretch of runs is then told from sums."""
+    """The runs of a chain and the matches between them, each gap aligned once; any stretch of runs is then told from sums.
 
-    def __init__(self, words: list[bytes], other: list[bytes], chain: list[tuple[int, int]]):
+    The other text may go on before or after the words given (``more``); ``open`` tells whether an end could have gone
+    on otherwise with the words that are missing.
+    """
+
+    def __init__(self, words: list[bytes], other: list[bytes], chain: list[tuple[int, int]], more: tuple[bool, bool] = (False, False)):
         self.words, self.other, self.runs = words, other, runs_of(chain)
+        self.more, self.open = more, False
         matched = [self.runs[0][2]]
         for (y, x, n), (to_y, to_x, m) in zip(self.runs, self.runs[1:]):
             matched.append(matched[-1] + self._gap(words[y + n:to_y], other[x + n:to_x]) + m)
@@ -392,14 +419,32 @@ class Alignment:
         """Runs from ``low`` up to ``high``, ends extended: start and stop in either text, and the identity (matches by the longer side)."""
         words, other = self.words, self.other
         y, x, n = self.runs[low]
-        back_y, back_x, before = _extended(words[max(0, y - _MARGIN):y][::-1], other[max(0, x - _MARGIN):x][::-1])
+        back_y, back_x, before = self._end(words[max(0, y - _MARGIN):y][::-1], other[max(0, x - _MARGIN):x][::-1], self.more[0])
         end_y, end_x, m = self.runs[high - 1]
         end_y, end_x = end_y + m, end_x + m
-        on_y, on_x, after = _extended(words[end_y:end_y + _MARGIN], other[end_x:end_x + _MARGIN])
+        on_y, on_x, after = self._end(words[end_y:end_y + _MARGIN], other[end_x:end_x + _MARGIN], self.more[1])
         matches = self.matched[high - 1] - self.matched[low] + n + before + after
         start_y, start_x, end_y, end_x = y - back_y, x - back_x, end_y + on_y, end_x + on_x
         return start_y, end_y, start_x, end_x, matches / max(end_y - start_y, end_x - start_x)
 
+    def _end(self, a: list[bytes], b: list[bytes], more: bool) -> tuple[int, int, int]:
+        far_i, far_j, matched, read = _extended(a, b)
+        # a step looks two words ahead
+        self.open |= more and len(b) < _MARGIN and read > len(b) - 3
+        return far_i, far_j, matched
+
+    def pieces(self) -> Iterator[tuple[int, int, float]]:
+        """Start, stop and identity of the alignment; one below ``IDENTITY`` is split at its widest gap."""
+        open_ = [(0, len(self.runs))]
+        while open_:
+            low, high = open_.pop()
+            start, stop, _, _, identity = self.stretch(low, high)
+            if identity >= IDENTITY:
+                yield start, stop, identity
+            elif high - low > 1:
+                at = low + 1 + int(self.width[low:high - 1].argmax())
+                open_ += [(at, high), (low, at)]
+
 
 def aligned(words: list[bytes], other: list[bytes], chain: list[tuple[int, int]]) -> tuple[int, int, int, int, float]:
     """A chain's alignment: start and stop in either text, and the identity."""
@@ -409,22 +454,24 @@ def aligned(words: list[bytes], other: list[bytes], chain: list[tuple[int, int]]
 
 def aligned_pieces(words: list[bytes], other: list[bytes], chain: list[tuple[int, int]]) -> Iterator[tuple[int, int, float]]:
     """Start, stop and identity of a chain's alignment; one below ``IDENTITY`` is split at its widest gap."""
-    whole = Alignment(words, other, chain)
-    open_ = [(0, len(whole.runs))]
-    while open_:
-        low, high = open_.pop()
-        start, stop, _, _, identity = whole.stretch(low, high)
-        if identity >= IDENTITY:
-            yield start, stop, identity
-        elif high - low > 1:
-            at = low + 1 + int(whole.width[low:high - 1].argmax())
-            open_ += [(at, high), (low, at)]
+    return Alignment(words, other, chain).pieces()
 
 
 def _passage_schema(id_type: pa.DataType) -> pa.Schema:
+    done = pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64()), ("of", pa.int64()), ("of_id", id_type), ("identity", pa.float64())]))
     return pa.schema([
         ("node", pa.int64()), ("id", id_type), ("start", pa.int64()), ("stop", pa.int64()), ("source_ids", pa.list_(id_type)),
-        ("identity", pa.float64()), ("passage", pa.string())])
+        ("identity", pa.float64()), ("passage", pa.string()), ("done", done),
+        ("left", pa.list_(pa.struct([("of", pa.int64()), ("at", pa.int32()), ("of_at", pa.int32())])))])
+
+
+def _passage_kind(kind: str) -> str:
+    return (f"node long, id {kind}, start long, stop long, source_ids array<{kind}>, identity double, passage string, {_done_kind(kind)}, "
+            "left array<struct<of: bigint, at: int, of_at: int>>")
+
+
+def _done_kind(kind: str) -> str:
+    return f"done array<struct<start: bigint, stop: bigint, of: bigint, of_id: {kind}, identity: double>>"
 
 
 def _needed(pieces: list[tuple]) -> list[tuple]:
@@ -437,21 +484,38 @@ def _needed(pieces: list[tuple]) -> list[tuple]:
     return out
 
 
+_PIECE, _LEFT = ("start", "stop", "of", "of_id", "identity"), ("of", "at", "of_at")
+
+
 def _passage_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per document a row with its text, then its chains: the aligned pieces joined to passages."""
+    """Per document a row with its text, one with pieces aligned before, if any, then its chains: the aligned pieces joined to passages.
+
+    A document with open ends has one row with its pieces and the chains that are left instead.
+    """
     def passages() -> Iterator[tuple]:
         for node, rows in groupby(_rows(batches), key=lambda r: r[0]):
-            _, _, _, _, _, _, _, _, doc, text = next(rows)
-            pieces, words = [], None
-            for _, of, at, of_at, seeds, of_id, of_start, segment, _, _ in rows:
+            *_, doc, text, _ = next(rows)
+            pieces, words, left = [], None, []
+            for _, of, at, of_at, seeds, of_id, of_start, of_more, segment, _, _, done in rows:
+                if done is not None:
+                    pieces += [tuple(p.values()) for p in done]
+                    continue
                 words = words_of(text.encode()) if words is None else words
                 found = list(zip(at, (x - of_start for x in of_at), seeds))
-                pieces += [(a, b, of, of_id, identity) for a, b, identity in aligned_pieces(words, segment.split(), found)]
+                whole = Alignment(words, segment.split(), found, (of_start > 0, of_more))
+                mine = [(a, b, of, of_id, identity) for a, b, identity in whole.pieces()]
+                if whole.open:
+                    left.append((of, at[0], of_at[0]))
+                else:
+                    pieces += mine
+            if left:
+                yield (node, doc, None, None, None, None, None, [dict(zip(_PIECE, p)) for p in pieces], [dict(zip(_LEFT, c)) for c in left])
+                continue
             for a, b in _widest([p[:2] for p in pieces]):
                 if b - a >= MIN_WORDS:
                     mine = _needed([p for p in pieces if a <= p[0] < b])
                     yield (node, doc, a, b, sorted({p[3] for p in mine if p[3] is not None}), min(p[4] for p in mine),
-                           b" ".join(words[a:b]).decode())
+                           b" ".join(words[a:b]).decode(), None, None)
     first = next(batches, None)
     if first is None:
         return
@@ -459,28 +523,57 @@ def _passage_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
     yield from _batched(passages(), schema, 500)
 
 
+def _passages(chains: DataFrame, rows: DataFrame, kind: str, margin: int, done: DataFrame | None = None) -> DataFrame:
+    """The passages of the chains' documents; ``rows`` (node, id, text) has these and the earlier ones, ``done`` pieces aligned before."""
+    groups = chains.repartition("of").sortWithinPartitions("of").mapInArrow(_group_batches, _GROUPED)
+    segments = stored(groups.join(rows.select(F.col("node").alias("of"), F.col("id").alias("of_id"), "text"), "of").mapInArrow(
+        _segment_batches(margin), f"node long, of long, at array<int>, of_at array<int>, seeds array<int>, of_id {kind}, "
+        "of_start long, of_more boolean, segment binary"), "passage-segments", compression="zstd")
+    collected(rows.sparkSession)
+    # a document's text goes to its chains once
+    own = rows.select("node", "id", "text")
+    both = segments.unionByName(own, allowMissingColumns=True)
+    if done is None:
+        both = both.withColumn("done", F.lit(None).cast(_done_kind(kind).partition(" ")[2]))
+    else:
+        both = both.unionByName(done.withColumn("of", F.lit(-1).cast("long")), allowMissingColumns=True)
+    ordered = both.select("node", "of", "at", "of_at", "seeds", "of_id", "of_start", "of_more", "segment", "id", "text", "done").repartition(
+        "node").sortWithinPartitions("node", F.col("of").asc_nulls_first(), "at", "of_at")
+    found = stored(ordered.mapInArrow(_passage_batches, _passage_kind(kind)), "passages", compression="zstd")
+    released(segments)
+    return found
+
+
 def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per passage: its document (``id``; ``node``, the row's number), ``start`` and ``stop`` (words), the ids
     of the earlier documents that have its parts, the least identity of the parts, and the words."""
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     kind = texts.schema["id"].dataType.simpleString()
-    rows = stored(texts.select(F.monotonically_increasing_id().alias("node"), "id", "text"), "passage-texts")
+    rows = stored(texts.select(F.monotonically_increasing_id().alias("node"), "id", "text"), "passage-texts", compression="zstd")
     size = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     buckets = int(min(1 << 20, max(LEAST_BUCKETS, -(-size // BUCKET_BYTES))))
     seeds = rows.select("node", "text").mapInArrow(_seed_batches(buckets), _BLOCK)
-    matches = seeds.repartition("bucket").sortWithinPartitions("bucket", "first").mapInArrow(_match_batches, _MATCH)
+    # each exchange is gone before the next one is made
+    matches = stored(seeds.repartition("bucket").sortWithinPartitions("bucket", "first").mapInArrow(_match_batches, _MATCH),
+                     "passage-matches", compression="zstd")
+    collected(rows.sparkSession)
     lists = "at array<int>, of_at array<int>, seeds array<int>"
     chains = stored(
         matches.repartition("node").sortWithinPartitions("node", "of", F.col("at") - F.col("of_at"), "at")
-        .mapInArrow(_chain_batches, f"node long, of long, {lists}"), "passage-chains")
-    del seeds, matches
+        .mapInArrow(_chain_batches, f"node long, of long, {lists}"), "passage-chains", compression="zstd")
+    released(matches)
     collected(rows.sparkSession)
-    segments = chains.join(rows.select(F.col("node").alias("of"), F.col("id").alias("of_id"), "text"), "of").mapInArrow(
-        _segment_batches, f"node long, of long, {lists}, of_id {kind}, of_start long, segment binary")
-    # a document's text goes to its chains once
-    own = rows.select("node", "id", "text")
-    both = segments.unionByName(own, allowMissingColumns=True).select(
-        "node", "of", "at", "of_at", "seeds", "of_id", "of_start", "segment", "id", "text")
-    ordered = both.repartition("node").sortWithinPartitions("node", F.col("of").asc_nulls_first(), "at", "of_at")
-    return ordered.mapInArrow(
-        _passage_batches, f"node long, id {kind}, start long, stop long, source_ids array<{kind}>, identity double, passage string")
+    columns = ["node", "id", "start", "stop", "source_ids", "identity", "passage"]
+    first = _passages(chains, rows, kind, NEAR)
+    found, open_ = first.where("left is null").select(*columns), first.where("left is not null")
+    n = open_.count()
+    if not n:
+        return found
+    collected(rows.sparkSession)
+    few = F.broadcast if n <= BROADCAST_CLASSES else lambda df: df
+    left = open_.select("node", F.inline("left")).select("node", "of", F.col("at").alias("y"), F.col("of_at").alias("x"))
+    again = stored(chains.withColumns({"y": F.get("at", F.lit(0)), "x": F.get("of_at", F.lit(0))}).join(
+        few(left), ["node", "of", "y", "x"]).select(*chains.columns), "passage-chains", compression="zstd")
+    needed = again.select("node").union(again.select("of")).distinct()
+    own = rows.join(few(needed), "node", "left_semi") if n <= BROADCAST_CLASSES else rows
+    return found.unionByName(_passages(again, own, kind, _MARGIN, open_.select("node", "done")).select(*columns))

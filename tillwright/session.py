@@ -56,14 +56,14 @@ _PATHS: weakref.WeakKeyDictionary[DataFrame, str] = weakref.WeakKeyDictionary()
 _SCOPES: list[list[str]] = []
 
 
-def stored(df: DataFrame, purpose: str, path: str | None = None) -> DataFrame:
+def stored(df: DataFrame, purpose: str, path: str | None = None, compression: str | None = None) -> DataFrame:
     """Write ``df`` and read it back, where several results build on it.
 
     It goes to a new folder in the shared scratch folder, or replaces what is at ``path``.
     """
     own = path is None
     path = path or scratch_dir(df.sparkSession, purpose)
-    df.write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").parquet(path, compression=compression)
     back = df.sparkSession.read.schema(df.schema).parquet(path)
     if own:
         _PATHS[back] = path
