@@ -30,6 +30,7 @@ from __future__ import annotations
 
 from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
+from functools import cached_property
 from heapq import heappop, heappush
 from itertools import chain, groupby
 
@@ -400,11 +401,19 @@ class Alignment:
     def __init__(self, words: list[bytes], other: list[bytes], chain: list[tuple[int, int]], more: tuple[bool, bool] = (False, False)):
         self.words, self.other, self.runs = words, other, runs_of(chain)
         self.more, self.open = more, False
+        self._before: dict[int, tuple[int, int, int]] = {}
+        self._after: dict[int, tuple[int, int, int]] = {}
+
+    @cached_property
+    def matched(self) -> list[int]:
         matched = [self.runs[0][2]]
         for (y, x, n), (to_y, to_x, m) in zip(self.runs, self.runs[1:]):
-            matched.append(matched[-1] + self._gap(words[y + n:to_y], other[x + n:to_x]) + m)
-        self.matched = matched
-        self.width = np.array([max(b[0] - a[0] - a[2], b[1] - a[1] - a[2]) for a, b in zip(self.runs, self.runs[1:])] or [0])
+            matched.append(matched[-1] + self._gap(self.words[y + n:to_y], self.other[x + n:to_x]) + m)
+        return matched
+
+    @cached_property
+    def width(self) -> np.ndarray:
+        return np.array([max(b[0] - a[0] - a[2], b[1] - a[1] - a[2]) for a, b in zip(self.runs, self.runs[1:])])
 
     @staticmethod
     def _gap(a: list[bytes], b: list[bytes]) -> int:
@@ -417,22 +426,40 @@ class Alignment:
 
     def stretch(self, low: int, high: int) -> tuple[int, int, int, int, float]:
         """Runs from ``low`` up to ``high``, ends extended: start and stop in either text, and the identity (matches by the longer side)."""
-        words, other = self.words, self.other
         y, x, n = self.runs[low]
-        back_y, back_x, before = self._end(words[max(0, y - _MARGIN):y][::-1], other[max(0, x - _MARGIN):x][::-1], self.more[0])
+        back_y, back_x, before = self._back(low)
         end_y, end_x, m = self.runs[high - 1]
         end_y, end_x = end_y + m, end_x + m
-        on_y, on_x, after = self._end(words[end_y:end_y + _MARGIN], other[end_x:end_x + _MARGIN], self.more[1])
+        on_y, on_x, after = self._on(high - 1)
         matches = self.matched[high - 1] - self.matched[low] + n + before + after
         start_y, start_x, end_y, end_x = y - back_y, x - back_x, end_y + on_y, end_x + on_x
         return start_y, end_y, start_x, end_x, matches / max(end_y - start_y, end_x - start_x)
 
+    def _back(self, run: int) -> tuple[int, int, int]:
+        if run not in self._before:
+            y, x, _ = self.runs[run]
+            self._before[run] = self._end(
+                self.words[max(0, y - _MARGIN):y][::-1], self.other[max(0, x - _MARGIN):x][::-1], self.more[0])
+        return self._before[run]
+
+    def _on(self, run: int) -> tuple[int, int, int]:
+        if run not in self._after:
+            y, x, n = self.runs[run]
+            self._after[run] = self._end(self.words[y + n:y + n + _MARGIN], self.other[x + n:x + n + _MARGIN], self.more[1])
+        return self._after[run]
+
     def _end(self, a: list[bytes], b: list[bytes], more: bool) -> tuple[int, int, int]:
         far_i, far_j, matched, read = _extended(a, b)
         # a step looks two words ahead
         self.open |= more and len(b) < _MARGIN and read > len(b) - 3
         return far_i, far_j, matched
 
+    def open_ends(self) -> bool:
+        """Whether the chain's own ends are open, which takes no alignment of gaps."""
+        self._back(0)
+        self._on(len(self.runs) - 1)
+        return self.open
+
     def pieces(self) -> Iterator[tuple[int, int, float]]:
         """Start, stop and identity of the alignment; one below ``IDENTITY`` is split at its widest gap."""
         open_ = [(0, len(self.runs))]
@@ -503,7 +530,7 @@ def _passage_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
                 words = words_of(text.encode()) if words is None else words
                 found = list(zip(at, (x - of_start for x in of_at), seeds))
                 whole = Alignment(words, segment.split(), found, (of_start > 0, of_more))
-                mine = [(a, b, of, of_id, identity) for a, b, identity in whole.pieces()]
+                mine = [] if whole.open_ends() else [(a, b, of, of_id, identity) for a, b, identity in whole.pieces()]
                 if whole.open:
                     left.append((of, at[0], of_at[0]))
                 else:
@@ -566,14 +593,13 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     columns = ["node", "id", "start", "stop", "source_ids", "identity", "passage"]
     first = _passages(chains, rows, kind, NEAR)
     found, open_ = first.where("left is null").select(*columns), first.where("left is not null")
-    n = open_.count()
+    n = open_.agg(F.coalesce(F.sum(F.size("left")), F.lit(0))).first()[0]
     if not n:
         return found
     collected(rows.sparkSession)
-    few = F.broadcast if n <= BROADCAST_CLASSES else lambda df: df
     left = open_.select("node", F.inline("left")).select("node", "of", F.col("at").alias("y"), F.col("of_at").alias("x"))
     again = stored(chains.withColumns({"y": F.get("at", F.lit(0)), "x": F.get("of_at", F.lit(0))}).join(
-        few(left), ["node", "of", "y", "x"]).select(*chains.columns), "passage-chains", compression="zstd")
-    needed = again.select("node").union(again.select("of")).distinct()
-    own = rows.join(few(needed), "node", "left_semi") if n <= BROADCAST_CLASSES else rows
-    return found.unionByName(_passages(again, own, kind, _MARGIN, open_.select("node", "done")).select(*columns))
+        F.broadcast(left) if n <= BROADCAST_CLASSES else left, ["node", "of", "y", "x"]).select(*chains.columns), "passage-chains", compression="zstd")
+    if n <= BROADCAST_CLASSES:  # their texts are then at most twice as many
+        rows = rows.join(F.broadcast(again.select("node").union(again.select("of")).distinct()), "node", "left_semi")
+    return found.unionByName(_passages(again, rows, kind, _MARGIN, open_.select("node", "done")).select(*columns))
