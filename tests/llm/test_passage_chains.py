@@ -281,3 +281,62 @@ def test_segments_have_the_words_near_the_chain():
     assert all(len(r["segment"].split()) == 7 + K + 48 and r["segment"].split()[24] == b"w%d" % r["of_at"][0] for r in out[:-1])
     assert (out[-1]["of_start"], out[-1]["of_more"], out[-1]["of_id"]) == (0, True, None)
     assert list(passage_chains._group_batches(iter([batch.slice(0, 0)])))[0].num_rows == 0
+
+
+def test_ends_of_many_chains_as_of_each():
+    rng = random.Random(15)
+    words, pairs = [], []
+    for _ in range(400):
+        a, b = ([rng.randint(1, 3 if rng.random() < 0.5 else 40) for _ in range(rng.randint(0, 30))] for _ in range(2))
+        if rng.random() < 0.6:
+            b = [w for w in a for _ in range(rng.choice([0, 1, 1, 1, 1, 2]))][:30]
+        pairs.append((a, b, len(words), len(words) + len(a)))
+        words += a + b
+    hashed = np.array(words, np.uint64)
+    n_a, n_b, at, of = (np.array(c, np.int64) for c in zip(*[(len(a), len(b), p, q) for a, b, p, q in pairs]))
+    on = passage_chains._all_extended(hashed, at, n_a, of, n_b, 1)
+    assert list(zip(*(c.tolist() for c in on))) == [passage_chains._extended(a, b) for a, b, _, _ in pairs]
+    back = passage_chains._all_extended(hashed, at + n_a - 1, n_a, of + n_b - 1, n_b, -1)
+    assert list(zip(*(c.tolist() for c in back))) == [passage_chains._extended(a[::-1], b[::-1]) for a, b, _, _ in pairs]
+
+
+def test_chains_of_many_documents_as_of_each():
+    rng = random.Random(16)
+    for _ in range(40):
+        matches = {(node, rng.randint(0, node), y, rng.randint(0, 40)) for node in range(4) for y in range(rng.randint(0, 40)) if rng.random() < 0.7}
+        for node in range(4):  # some long runs
+            for _ in range(rng.randint(0, 2)):
+                y, x, of = rng.randint(0, 40), rng.randint(0, 40), rng.randint(0, node)
+                matches |= {(node, of, y + k, x + k) for k in range(rng.randint(40, 60))}
+        if not matches:
+            continue
+        runs = passage_chains._runs(*np.array(sorted(matches), np.int64).T)
+        got = [r for b in passage_chains._chains(runs) for r in b.to_pylist()]
+        got = [(r["node"], r["of"], *c) for r in got for c in (
+            [([y], r["of_at"], r["seeds"]) for y in r["at"]] if len(r["of_at"]) == 1 else [(r["at"], r["of_at"], r["seeds"])])]
+        want = []
+        for node in range(4):
+            found = [(of, c) for of in range(4) if (own := [r[2:] for r in runs.T.tolist() if r[:2] == [node, of]]) for c in chains_of(own)]
+            want += [(node, of, *[list(v) for v in zip(*c)]) for of, c in passage_chains._not_covered(found)]
+        assert sorted(got) == sorted(want)
+
+
+def test_chains_that_differ_in_their_place_only_are_one_row():
+    """A word that goes on for thousands of places: its chains take one row and one part of the earlier text, not one each."""
+    n = 3_000
+    seeds = np.full(n, 7, np.uint64)
+    found = Places().matches(seeds, np.stack((np.full(n, 1), np.arange(n)), 1))
+    rows = [r for b in passage_chains._chains(passage_chains._runs(*found.T)) for r in b.to_pylist()]
+    assert rows == [{"node": 1, "of": 1, "at": list(range(1, n)), "of_at": [0], "seeds": [1]}]
+
+
+def test_upper_case_and_repeated_words_near_copies(spark):
+    """Chains of several runs and of one, whose earlier texts are in upper case, and a text of one repeated word."""
+    rng = random.Random(17)
+    shared = words(rng, 120)
+    copy = [w if k % 11 != 10 else f"new{k}" for k, w in enumerate(shared)]
+    rows = [(1, " ".join([*words(rng, 30), *shared]).upper()), (2, "\t\n ".join([*words(rng, 20), *copy, *words(rng, 9)])), (3, "so  " * 200)]
+    found = {r.id: r for r in repeated_passages(docs(spark, rows).coalesce(1)).collect()}
+    assert set(found) == {2, 3} and (found[2].start, found[2].stop, found[2].source_ids) == (20, 140, [1])
+    assert abs(found[2].identity - 110 / 120) < 1e-9
+    assert (found[3].start, found[3].stop, found[3].source_ids, found[3].identity) == (1, 200, [3], 1.0)

@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillwright.llm.common import chunked, raw
+from tillwright.llm.common import _IS_SPACE, _STEP, chunked, hashed_words, raw
 from tillwright.llm.jaccard_join import BROADCAST_CLASSES, CHUNK_BYTES, shingled
 from tillwright.session import collected, released, stored
 
@@ -53,8 +53,9 @@ IDENTITY = 0.8
 SEED_BITS = 52  # of a seed's hash; equal hashes of other words are told apart by the alignment
 BUCKET_BYTES = 8 << 20  # of text per bucket of seeds
 LEAST_BUCKETS = 48
+HASH_BYTES = 1 << 17  # of text hashed at once
 FLUSH = 1_000_000  # seeds that a task holds before it sends them on
-NEAR = 24  # words beyond a chain's ends that its first alignment has
+NEAR = 16  # words beyond a chain's ends that its first alignment has
 DROP = 6  # an end is extended until its score falls so far below the best
 
 
@@ -64,6 +65,8 @@ def words_of(text: bytes | None) -> list[bytes]:
 
 def seeds_of(grams: np.ndarray, window: int = WINDOW) -> np.ndarray:
     """Positions of the seeds among the hashes of a text's k-word grams."""
+    if window == 1:
+        return np.arange(len(grams))
     if len(grams) <= window:
         return np.array([grams.argmin()]) if len(grams) else np.zeros(0, np.int64)
     views = np.lib.stride_tricks.sliding_window_view(grams, window)
@@ -86,11 +89,23 @@ def _numbers_of(block: bytes) -> np.ndarray:
     return np.ascontiguousarray(planes.T).view("<u8").ravel()
 
 
+def _order(values: np.ndarray) -> np.ndarray:
+    """A stable order of few enough 64-bit values: two plain sorts, which take less than a stable one."""
+    order = np.argsort(values)
+    ranked = values[order]
+    same = np.zeros(len(values), U)
+    np.cumsum(ranked[1:] != ranked[:-1], out=same[1:])
+    same <<= U(32)
+    same |= order.astype(U)
+    same.sort()
+    return (same & U((1 << 32) - 1)).astype(np.int64)
+
+
 def _seed_batches(buckets: int):
     """The seeds of numbered documents as blocks: sorted by seed, then place."""
     def blocks(parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
         seed, node, at = (np.concatenate(c) for c in zip(*parts))
-        order = np.lexsort((at, node, seed))
+        order = _order(seed)  # documents and places come in order
         seed, node, at = seed[order], node[order], at[order]
         bucket = ((seed >> U(SEED_BITS - 24)) * U(buckets)) >> U(24)
         first = np.flatnonzero(np.diff(bucket.astype(np.int64), prepend=-1))
@@ -108,7 +123,7 @@ def _seed_batches(buckets: int):
         held, n = [], 0
         for batch in batches:
             numbers, texts, row = batch.column(0).to_numpy(), raw(batch.column(1)), 0
-            for a, b in chunked(texts, CHUNK_BYTES):
+            for a, b in chunked(texts, HASH_BYTES):
                 for grams in shingled(texts[a:b], K):
                     at = seeds_of(grams)
                     held.append((grams[at] >> U(64 - SEED_BITS), np.full(len(at), numbers[row]), at))
@@ -128,25 +143,23 @@ class Places:
         self.seed = np.zeros(0, U)
         self.first, self.last = np.zeros((0, 2), np.int64), np.zeros((0, 2), np.int64)
 
-    def matches(self, seed: np.ndarray, place: np.ndarray) -> np.ndarray:
-        """Rows (node, of, at, of_at) for new occurrences, later in document order than all before; ``place``: node, at."""
-        order = np.lexsort((place[:, 1], place[:, 0], seed))
+    def matches(self, seed: np.ndarray, place: np.ndarray, rising: bool = False, last: bool = False) -> np.ndarray:
+        """Rows (node, of, at, of_at) for new occurrences, later in document order than all before; ``place``: node, at.
+
+        ``rising``: the occurrences of each seed come in document order; ``last``: no others follow.
+        """
+        order = _order(seed) if rising else np.lexsort((place[:, 1], place[:, 0], seed))
         seed, place = seed[order], place[order]
         start = np.concatenate(([True], seed[1:] != seed[:-1]))
-        own = np.flatnonzero(start)[np.cumsum(start) - 1]  # the seed's first occurrence here
+        end = np.concatenate((start[1:], [True]))
         at = np.searchsorted(self.seed, seed)
         known = np.zeros(len(seed), bool)
         known[at < len(self.seed)] = self.seed[at[at < len(self.seed)]] == seed[at < len(self.seed)]
-        held = np.where(known, at, 0)
-        first = np.where(known[:, None], self.first[held] if len(self.first) else 0, place[own])
-        before = np.concatenate((place[:1], place[:-1]))
-        before[start] = np.where(known[start][:, None], self.last[held[start]] if len(self.last) else 0, place[start])
-        to_first = np.flatnonzero((first != place).any(axis=1))
-        # within a document the first one is partner enough
-        to_before = np.flatnonzero((before[:, 0] != place[:, 0]) & (before != first).any(axis=1))
-        rows = np.concatenate([np.stack((place[i, 0], of[i, 0], place[i, 1], of[i, 1]), 1)
-                               for i, of in ((to_first, first), (to_before, before))])
-        end = np.concatenate((start[1:], [True]))
+        # most seeds occur once
+        some = np.flatnonzero(known | ~start | ~end)
+        rows = self._matched(place[some], start[some], known[some], at[some])
+        if last:
+            return rows
         new = start & ~known
         self.last[at[end & known]] = place[end & known]
         merged = np.concatenate((self.seed, seed[new]))
@@ -156,33 +169,61 @@ class Places:
         self.last = np.concatenate((self.last, place[end & ~known]))[sort]
         return rows
 
+    def _matched(self, place: np.ndarray, start: np.ndarray, known: np.ndarray, at: np.ndarray) -> np.ndarray:
+        if not len(place):
+            return np.zeros((0, 4), np.int64)
+        own = np.flatnonzero(start)[np.cumsum(start) - 1]  # the seed's first occurrence here
+        held = np.where(known, at, 0)
+        first = np.where(known[:, None], self.first[held] if len(self.first) else 0, place[own])
+        before = np.concatenate((place[:1], place[:-1]))
+        before[start] = np.where(known[start][:, None], self.last[held[start]] if len(self.last) else 0, place[start])
+        to_first = np.flatnonzero((first != place).any(axis=1))
+        # within a document the first one is partner enough
+        to_before = np.flatnonzero((before[:, 0] != place[:, 0]) & (before != first).any(axis=1))
+        return np.concatenate([np.stack((place[i, 0], of[i, 0], place[i, 1], of[i, 1]), 1)
+                               for i, of in ((to_first, first), (to_before, before))])
+
 
-_MATCH = "node long, of long, at int, of_at int"
+_MATCH = "bucket int, nodes binary, ofs binary, ats binary, of_ats binary"
+_MATCH_BUCKETS = 1 << 13
 
 
-def _match_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Blocks sorted by bucket and first document: the matches of their seeds."""
+def _match_batches(buckets: int):
+    """Blocks of seeds sorted by bucket and first document: the matches of their seeds, as blocks of some documents each, sorted by these."""
     def emit(rows: np.ndarray) -> Iterator[pa.RecordBatch]:
-        rows = rows[np.argsort(rows[:, 0], kind="stable")]  # in order they take less room
-        for a in range(0, len(rows), 100_000):
-            node, of, at, of_at = rows[a:a + 100_000].T
-            yield pa.RecordBatch.from_arrays([pa.array(node), pa.array(of), pa.array(at.astype(np.int32)), pa.array(of_at.astype(np.int32))],
-                                             names=["node", "of", "at", "of_at"])
+        bucket = ((rows[:, 0].astype(U) * _STEP >> U(40)) * U(buckets) >> U(24)).astype(np.int64)
+        order = np.lexsort((rows[:, 0], bucket))  # in order they take less room
+        (node, of, at, of_at), bucket = rows[order].T, bucket[order]
+        cuts = np.append(np.flatnonzero(np.diff(bucket, prepend=-1)), len(bucket)).tolist()
+        for i in range(0, len(cuts) - 1, 2_000):
+            part = list(zip(cuts[i:i + 2_000], cuts[i + 1:i + 2_001]))
+            yield pa.RecordBatch.from_arrays([
+                pa.array(bucket[[a for a, _ in part]], pa.int32()),
+                pa.array([_numbers(np.diff(node[a:b], prepend=0)) for a, b in part], pa.binary()),
+                *[pa.array([_numbers(c[a:b]) for a, b in part], pa.binary()) for c in (of, at, of_at)]],
+                names=["bucket", "nodes", "ofs", "ats", "of_ats"])
 
-    of, places, held, n = None, Places(), [], 0
-    for batch in batches:
-        for bucket, low, seeds, nodes, ats in zip(*[c.to_pylist() for c in batch.columns]):
-            # blocks wait until they are as many as what is known, so that the merging stays in proportion
-            if held and (bucket != of or n > max(FLUSH // 4, len(places.seed))):
-                yield from emit(places.matches(*(np.concatenate(c) for c in zip(*held))))
-                held, n = [], 0
-            if bucket != of:
-                of, places = bucket, Places()
-            seed = np.cumsum(_numbers_of(seeds), dtype=U)
-            held.append((seed, np.stack((_numbers_of(nodes).astype(np.int64) + low, _numbers_of(ats).astype(np.int64)), 1)))
-            n += len(seed)
-    if held:
-        yield from emit(places.matches(*(np.concatenate(c) for c in zip(*held))))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        of, places, held, n, found, high, rising = None, Places(), [], 0, [], -1, True
+        for batch in batches:
+            for bucket, low, seeds, nodes, ats in zip(*[c.to_pylist() for c in batch.columns]):
+                # blocks wait until they are as many as what is known, so that the merging stays in proportion
+                if held and (bucket != of or n > max(FLUSH, len(places.seed))):
+                    found.append(places.matches(*(np.concatenate(c) for c in zip(*held)), rising, bucket != of))
+                    held, n, high, rising = [], 0, -1, True
+                    if sum(map(len, found)) > FLUSH:
+                        yield from emit(np.concatenate(found))
+                        found = []
+                if bucket != of:
+                    of, places = bucket, Places()
+                seed, node = np.cumsum(_numbers_of(seeds), dtype=U), _numbers_of(nodes).astype(np.int64) + low
+                held.append((seed, np.stack((node, _numbers_of(ats).astype(np.int64)), 1)))
+                n, high, rising = n + len(seed), max(high, int(node.max())), rising and low > high
+        if held:
+            found.append(places.matches(*(np.concatenate(c) for c in zip(*held)), rising, True))
+        if sum(map(len, found)):
+            yield from emit(np.concatenate(found))
+    return run
 
 
 def chains_of(matches: list[tuple], gap_cost: float = GAP_COST) -> list[list[tuple]]:
@@ -229,9 +270,17 @@ def chains_of(matches: list[tuple], gap_cost: float = GAP_COST) -> list[list[tup
     return out
 
 
+def _values(column: pa.Array) -> list:
+    """A column's values; lists of numbers, of which a null is an empty one, are cut from all their values at once."""
+    if not (pa.types.is_list(column.type) and pa.types.is_integer(column.type.value_type)):
+        return column.to_pylist() if column.null_count < len(column) else [None] * len(column)
+    values, ends = column.flatten().to_pylist(), np.cumsum(column.value_lengths().fill_null(0).to_numpy()).tolist()
+    return [values[a:b] for a, b in zip([0, *ends], ends)]
+
+
 def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
     for batch in batches:
-        yield from zip(*[c.to_pylist() for c in batch.columns])
+        yield from zip(*map(_values, batch.columns))
 
 
 def _widest(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -284,44 +333,93 @@ def _not_covered(chains: list[tuple[int, list[tuple]]]) -> list[tuple[int, list[
         else:
             continue
         out.append((of, found))
-        covered = _widest(covered + [(y, y + n) for y, _, n in runs_of(found) if n >= MIN_WORDS])
+        if len(found) > 1 or found[0][2] > MIN_WORDS - K:
+            covered = _widest(covered + [(y, y + n) for y, _, n in runs_of(found) if n >= MIN_WORDS])
     return out
 
 
-def _run_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, int, int, int, int]]:
-    """Matches sorted by documents, diagonal and place as rows (node, of, position, earlier position, seeds in a row)."""
-    held = None
-    for batch in batches:
-        node, of, at, of_at = (c.to_numpy().astype(np.int64) for c in batch.columns)
-        start = np.ones(len(node), bool)
-        start[1:] = (np.diff(node) != 0) | (np.diff(of) != 0) | (np.diff(at) != 1) | (np.diff(of_at) != 1)
-        first = np.flatnonzero(start)
-        n = np.diff(np.append(first, len(node)))
-        for row in zip(*(c[first].tolist() for c in (node, of, at, of_at)), n.tolist()):
-            if held is not None and held[:2] == row[:2] and held[2] + held[4] == row[2] and held[3] + held[4] == row[3]:
-                held = (*held[:4], held[4] + row[4])  # a run over the end of a batch
-                continue
-            if held is not None:
-                yield held
-            held = row
-    if held is not None:
-        yield held
+def _runs(node: np.ndarray, of: np.ndarray, at: np.ndarray, of_at: np.ndarray) -> np.ndarray:
+    """Matches in a row as columns node, document, position, earlier position, seeds, sorted by these."""
+    order = np.lexsort((at, at - of_at, of, node))
+    node, of, at, of_at = node[order], of[order], at[order], of_at[order]
+    start = np.ones(len(node), bool)
+    start[1:] = (np.diff(node) != 0) | (np.diff(of) != 0) | (np.diff(at) != 1) | (np.diff(of_at) != 1)
+    first = np.flatnonzero(start)
+    runs = np.stack([*(c[first] for c in (node, of, at, of_at)), np.diff(np.append(first, len(node)))])
+    return runs[:, np.lexsort((runs[3], runs[2], runs[1], runs[0]))]
+
+
+def _begins(*columns: np.ndarray) -> np.ndarray:
+    """Where sorted rows differ from the row before."""
+    new = np.zeros(len(columns[0]), bool)
+    new[:1] = True
+    for c in columns:
+        new[1:] |= c[1:] != c[:-1]
+    return np.flatnonzero(new)
+
+
+def _chains(runs: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """The chains of whole documents' runs.
+
+    Most runs have no other of their pair of documents that ends before they begin in both, and are chains by themselves;
+    most documents have no chain that could cover others.  What is left goes through ``chains_of`` and ``_not_covered``.
+    """
+    node, of, at, of_at, n = runs
+    pair = _begins(node, of)
+    sizes = np.diff(np.append(pair, len(node)))
+    shift = np.repeat(np.arange(len(pair)), sizes) << 32
+    ends = np.minimum.accumulate(of_at + n - 1 - shift) + shift  # the first end of the pair's runs so far
+    linked = np.zeros(len(node), bool)
+    linked[1:] = ends[:-1] < of_at[1:]
+    linked[pair] = False
+    doc = _begins(node)
+    busy = np.logical_or.reduceat(linked | (n > MIN_WORDS - K), doc)
+    single = np.repeat(~busy, np.diff(np.append(doc, len(node))))
+    alone, longer = [runs[:, single]], []
+    linked = np.logical_or.reduceat(linked, pair)
+    which = np.searchsorted(pair, np.append(doc, len(node)))
+    for d in np.flatnonzero(busy).tolist():
+        found: list[tuple[int, list[tuple]]] = []
+        for p in range(which[d], which[d + 1]):
+            own = [m for m in zip(*runs[2:, pair[p]:pair[p] + sizes[p]].tolist())]
+            each = chains_of(own) if linked[p] else [[m] for m in sorted(own, key=lambda m: -m[2])]
+            found += [(int(of[pair[p]]), c) for c in each]
+        found = _not_covered(found)
+        mine = int(node[doc[d]])
+        alone.append(np.array([(mine, o, *c[0]) for o, c in found if len(c) == 1], np.int64).reshape(-1, 5).T)
+        longer += [(mine, o, *[list(v) for v in zip(*c)]) for o, c in found if len(c) > 1]
+    node, of, at, of_at, n = np.concatenate(alone, axis=1)
+    order = np.lexsort((at, n, of_at, of, node))
+    node, of, at, of_at, n = (c[order] for c in (node, of, at, of_at, n))
+    first = _begins(node, of, of_at, n)
+    one = pa.array(np.arange(len(first) + 1), pa.int32())
+    rows = pa.RecordBatch.from_arrays([
+        pa.array(node[first]), pa.array(of[first]), pa.ListArray.from_arrays(pa.array(np.append(first, len(node)), pa.int32()), pa.array(at, pa.int32())),
+        *[pa.ListArray.from_arrays(one, pa.array(c[first], pa.int32())) for c in (of_at, n)]], schema=_CHAIN)
+    for a in range(0, len(first), 10_000):
+        yield rows.slice(a, 10_000)
+    yield from _batched(iter(longer), _CHAIN)
 
 
 def _chain_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per document, sorted by earlier document: the chains."""
-    def chains() -> Iterator[tuple]:
-        for node, own in groupby(_run_batches(batches), key=lambda r: r[0]):
-            found = [(of, c) for of, matches in groupby(own, key=lambda r: r[1]) for c in chains_of([r[2:] for r in matches])]
-            for of, c in _not_covered(found):
-                yield (node, of, *[list(v) for v in zip(*c)])
-    yield from _batched(chains(), _CHAIN)
+    """Blocks of matches sorted by bucket, which has all matches of its documents: the chains.
+
+    Chains of a single run that differ in nothing but their place in the document are one row: ``at`` has their places.
+    """
+    def blocks() -> Iterator[tuple]:
+        for batch in batches:
+            yield from zip(*[c.to_pylist() for c in batch.columns])
+
+    for _, held in groupby(blocks(), key=lambda b: b[0]):
+        columns = [(np.cumsum(_numbers_of(nodes).astype(np.int64)), *[_numbers_of(c).astype(np.int64) for c in rest]) for _, nodes, *rest in held]
+        yield from _chains(_runs(*[np.concatenate(c) for c in zip(*columns)]))
 
 
 _MARGIN = 72  # words beyond a chain's ends that its alignment may reach
 
 
 _GROUPED = "of long, chains array<struct<node: bigint, at: array<int>, of_at: array<int>, seeds: array<int>>>"
+_HELD_BYTES = 4 << 20  # of texts whose ends are found at once
 _GROUP = 500  # chains that go to an earlier document's text in one row
 
 
@@ -337,21 +435,37 @@ def _group_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
             [pa.array(of[cuts[:-1].astype(np.int64)]), pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), each)], names=["of", "chains"])
 
 
+def _word_places(text: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Where the words of a text start and stop."""
+    edge = np.diff(_IS_SPACE[np.frombuffer(text, np.uint8)].view(np.int8), prepend=1, append=1)
+    return np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
+
+
 def _segment_batches(margin: int):
     """Groups of chains with the earlier document's text: each chain with the part it can reach, ``margin`` words beyond its ends."""
+    def segments(batch: pa.RecordBatch, texts: list[bytes]) -> pa.RecordBatch:
+        chains = batch.column("chains")
+        group, chains = np.repeat(np.arange(len(texts)), chains.value_lengths().to_numpy()), chains.flatten()
+        node, at, of_at, seeds = (chains.field(c) for c in range(4))
+        whole = b"\n".join(texts)
+        start, stop = _word_places(whole)
+        begin = np.searchsorted(start, np.cumsum([0, *[len(t) + 1 for t in texts]]))
+        words, begin = np.diff(begin)[group], begin[group]
+        ends = [np.cumsum(c.value_lengths().to_numpy()) for c in (of_at, seeds)]
+        x, n = of_at.flatten().to_numpy().astype(np.int64), seeds.flatten().to_numpy().astype(np.int64)
+        low = np.maximum(0, x[np.append(0, ends[0][:-1])] - margin)
+        high = x[ends[0] - 1] + n[ends[1] - 1] + K + margin
+        cuts = zip(start[begin + low].tolist(), stop[begin + np.minimum(high, words) - 1].tolist())
+        return pa.RecordBatch.from_arrays(
+            [node, batch.column("of").take(pa.array(group)), at, of_at, seeds, batch.column("of_id").take(pa.array(group)),
+             pa.array(low), pa.array(high < words), pa.array([whole[a:b] for a, b in cuts], pa.binary())],
+            names=["node", "of", "at", "of_at", "seeds", "of_id", "of_start", "of_more", "segment"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for i, of in enumerate(batch.column("of").to_pylist()):
-                chains = batch.column("chains")[i].values
-                node, at, of_at, seeds = (chains.field(c) for c in range(4))
-                words = words_of(batch.column("text")[i].as_py().encode())
-                spans = [(max(0, x[0] - margin), x[-1] + n[-1] + K + margin) for x, n in zip(of_at.to_pylist(), seeds.to_pylist())]
-                yield pa.RecordBatch.from_arrays(
-                    [node, pa.array([of] * len(spans), pa.int64()), at, of_at, seeds,
-                     pa.concat_arrays([batch.column("of_id").slice(i, 1)] * len(spans)),
-                     pa.array([a for a, _ in spans], pa.int64()), pa.array([b < len(words) for _, b in spans], pa.bool_()),
-                     pa.array([b" ".join(words[a:b]) for a, b in spans], pa.binary())],
-                    names=["node", "of", "at", "of_at", "seeds", "of_id", "of_start", "of_more", "segment"])
+            texts = raw(batch.column("text"))
+            for a, b in chunked(texts, CHUNK_BYTES):
+                yield segments(batch.slice(a, b - a), texts[a:b])
     return run
 
 
@@ -391,6 +505,35 @@ def _extended(a: list[bytes], b: list[bytes]) -> tuple[int, int, int, int]:
     return far_i, far_j, kept, j
 
 
+def _all_extended(words: np.ndarray, a: np.ndarray, n_a: np.ndarray, b: np.ndarray, n_b: np.ndarray, step: int) -> tuple[np.ndarray, ...]:
+    """``_extended`` for many pairs at once, on hashed words: ``n_a`` words from ``a`` on, ``n_b`` from ``b`` on, ``step`` -1 for backwards."""
+    i, j, score, best, far_i, far_j, matched, kept = np.zeros((8, len(a)), np.int64)
+    on = np.flatnonzero((n_a > 0) & (n_b > 0))
+    while len(on):
+        p, q, left, over = a[on] + step * i[on], b[on] + step * j[on], n_a[on] - i[on], n_b[on] - j[on]
+        hit = words[p] == words[q]
+        di, dj = np.ones((2, len(on)), np.int64)
+        odd = np.flatnonzero(~hit)
+        p, q, left, over = p[odd], q[odd], left[odd], over[odd]
+
+        def at(first: np.ndarray, room: np.ndarray, k: int) -> np.ndarray:
+            return np.where(room > k, words[np.where(room > k, first + step * k, 0)], U(0))  # beyond the end all are alike
+        a0, a1, a2, b0, b1, b2 = words[p], at(p, left, 1), at(p, left, 2), words[q], at(q, over, 1), at(q, over, 2)
+        both = (a1 == b1) & (a2 == b2) & (left > 1)
+        ahead = ~both & (a1 == b0) & (a2 == b1) & (left > 1)
+        behind = ~both & ~ahead & (a0 == b1) & (a1 == b2) & (over > 1)
+        dj[odd[ahead]] = 0
+        di[odd[behind]] = 0
+        i[on] += di
+        j[on] += dj
+        score[on] += np.where(hit, 1, -1)
+        matched[on] += hit
+        more = on[score[on] > best[on]]
+        best[more], far_i[more], far_j[more], kept[more] = score[more], i[more], j[more], matched[more]
+        on = on[(i[on] < n_a[on]) & (j[on] < n_b[on]) & (score[on] > best[on] - DROP)]
+    return far_i, far_j, kept, j
+
+
 class Alignment:
     """The runs of a chain and the matches between them, each gap aligned once; any stretch of runs is then told from sums.
 
@@ -504,7 +647,7 @@ def _done_kind(kind: str) -> str:
 def _needed(pieces: list[tuple]) -> list[tuple]:
     """Of the pieces (start, stop, document, ...) of a passage those that add words to the ones of earlier documents."""
     covered, out = [], []
-    for piece in sorted(pieces, key=lambda p: (p[2], p[0], -p[1])):
+    for piece in sorted(pieces, key=lambda p: (p[2], p[0], -p[1], -p[4])):
         if not any(a <= piece[0] and piece[1] <= b for a, b in covered):
             out.append(piece)
             covered = _widest([*covered, piece[:2]])
@@ -514,35 +657,103 @@ def _needed(pieces: list[tuple]) -> list[tuple]:
 _PIECE, _LEFT = ("start", "stop", "of", "of_id", "identity"), ("of", "at", "of_at")
 
 
-def _passage_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per document a row with its text, one with pieces aligned before, if any, then its chains: the aligned pieces joined to passages.
+def _hashed(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the words of all texts, and where each text's begin."""
+    parts = [hashed_words(texts[a:b]) for a, b in chunked(texts, HASH_BYTES)]
+    return np.concatenate([h for h, _ in parts]), np.cumsum(np.concatenate([[0], *[n for _, n in parts]]))
 
-    A document with open ends has one row with its pieces and the chains that are left instead.
-    """
-    def passages() -> Iterator[tuple]:
-        for node, rows in groupby(_rows(batches), key=lambda r: r[0]):
-            *_, doc, text, _ = next(rows)
-            pieces, words, left = [], None, []
-            for _, of, at, of_at, seeds, of_id, of_start, of_more, segment, _, _, done in rows:
-                if done is not None:
-                    pieces += [tuple(p.values()) for p in done]
-                    continue
-                words = words_of(text.encode()) if words is None else words
+
+class _Documents:
+    """Some documents with their chains and the earlier documents' parts, all of whose words are hashed once."""
+
+    def __init__(self):
+        self.docs: list[tuple] = []  # node, id, text, pieces aligned before
+        self.rows: list[tuple] = []  # place in docs, of, at, of_at, seeds, of_id, of_start, of_more, segment
+        self.size = 0
+
+    def add(self, row: tuple) -> None:
+        node, of, at, of_at, seeds, of_id, of_start, of_more, segment, doc, text, done = row
+        if segment is not None:
+            self.rows.append((len(self.docs) - 1, of, at, of_at, seeds, of_id, of_start, of_more, segment))
+            self.size += len(segment) + 100 * len(at)
+        elif done is not None:
+            self.docs[-1][3].extend(tuple(p.values()) for p in done)
+        else:
+            self.docs.append((node, doc, text, []))
+            self.size += len(text or b"")
+
+    def passages(self) -> Iterator[tuple]:
+        if not self.rows:
+            return
+        hashed, begin = _hashed([text or b"" for _, _, text, _ in self.docs] + [r[8] for r in self.rows])
+        pieces: list[list[tuple]] = [[] for _ in self.docs]
+        left: list[list[tuple]] = [[] for _ in self.docs]
+        single = [r for r in range(len(self.rows)) if len(self.rows[r][3]) == 1]
+        row = np.repeat(np.array(single, np.int64), [len(self.rows[r][2]) for r in single])
+        of_doc = np.array([r[0] for r in self.rows])
+        if single:
+            self._singles(hashed, begin, row, of_doc, pieces, left)
+        for d, of, at, of_at, seeds, of_id, of_start, of_more, segment in self.rows:
+            if len(of_at) > 1:
                 found = list(zip(at, (x - of_start for x in of_at), seeds))
-                whole = Alignment(words, segment.split(), found, (of_start > 0, of_more))
+                whole = Alignment(self._words(d), words_of(segment), found, (of_start > 0, of_more))
                 mine = [] if whole.open_ends() else [(a, b, of, of_id, identity) for a, b, identity in whole.pieces()]
                 if whole.open:
-                    left.append((of, at[0], of_at[0]))
+                    left[d].append((of, at[0], of_at[0]))
                 else:
-                    pieces += mine
-            if left:
-                yield (node, doc, None, None, None, None, None, [dict(zip(_PIECE, p)) for p in pieces], [dict(zip(_LEFT, c)) for c in left])
+                    pieces[d] += mine
+        for d, (node, doc, _, before) in enumerate(self.docs):
+            own = before + pieces[d]
+            if left[d]:
+                yield (node, doc, None, None, None, None, None, [dict(zip(_PIECE, p)) for p in own], [dict(zip(_LEFT, c)) for c in left[d]])
                 continue
-            for a, b in _widest([p[:2] for p in pieces]):
+            for a, b in _widest([p[:2] for p in own]):
                 if b - a >= MIN_WORDS:
-                    mine = _needed([p for p in pieces if a <= p[0] < b])
+                    mine = _needed([p for p in own if a <= p[0] < b])
                     yield (node, doc, a, b, sorted({p[3] for p in mine if p[3] is not None}), min(p[4] for p in mine),
-                           b" ".join(words[a:b]).decode(), None, None)
+                           b" ".join(self._words(d)[a:b]).decode(), None, None)
+
+    def _words(self, d: int) -> list[bytes]:
+        if getattr(self, "_at", None) != d:
+            self._at, self._split = d, words_of(self.docs[d][2])
+        return self._split
+
+    def _singles(self, hashed: np.ndarray, begin: np.ndarray, row: np.ndarray, of_doc: np.ndarray, pieces: list, left: list) -> None:
+        """The chains of one run: their ends, all at once."""
+        rows = self.rows
+        at = np.fromiter(chain.from_iterable(r[2] for r in rows if len(r[3]) == 1), np.int64, len(row))
+        x, n, more_before, more_after = np.array([(r[3][0] - r[6], r[4][0] + K - 1, r[6] > 0, r[7]) for r in rows], np.int64)[row].T
+        d, segment = of_doc[row], len(self.docs) + row
+        size, other = begin[d + 1] - begin[d], begin[segment + 1] - begin[segment]
+        back_b, on_b = np.minimum(_MARGIN, x), np.minimum(_MARGIN, other - x - n)
+        back = _all_extended(hashed, begin[d] + at - 1, np.minimum(_MARGIN, at), begin[segment] + x - 1, back_b, -1)
+        on = _all_extended(hashed, begin[d] + at + n, np.minimum(_MARGIN, size - at - n), begin[segment] + x + n, on_b, 1)
+        # a step looks two words ahead
+        is_open = (more_before > 0) & (back_b < _MARGIN) & (back[3] > back_b - 3) | (more_after > 0) & (on_b < _MARGIN) & (on[3] > on_b - 3)
+        opens = np.zeros(len(rows), bool)
+        opens[row[is_open]] = True
+        for r in np.flatnonzero(opens).tolist():
+            left[rows[r][0]].append((rows[r][1], rows[r][2][0], rows[r][3][0]))
+        start, stop = at - back[0], at + n + on[0]
+        identity = (n + back[2] + on[2]) / np.maximum(stop - start, n + back[1] + on[1])
+        good = (identity >= IDENTITY) & ~opens[row]
+        for r, *piece in zip(*(c[good].tolist() for c in (row, start, stop, identity))):
+            pieces[rows[r][0]].append((piece[0], piece[1], rows[r][1], rows[r][5], piece[2]))
+
+
+def _passage_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Per document a row with its text, one with pieces aligned before, if any, then its chains: the aligned pieces joined to passages.
+
+    A document with open ends has one row with its pieces and the chains that are left instead.
+    """
+    def passages() -> Iterator[tuple]:
+        held = _Documents()
+        for row in _rows(batches):
+            if held.size > _HELD_BYTES and row[8] is None and row[11] is None:
+                yield from held.passages()
+                held = _Documents()
+            held.add(row)
+        yield from held.passages()
     first = next(batches, None)
     if first is None:
         return
@@ -558,14 +769,14 @@ def _passages(chains: DataFrame, rows: DataFrame, kind: str, margin: int, done:
         "of_start long, of_more boolean, segment binary"), "passage-segments", compression="zstd")
     collected(rows.sparkSession)
     # a document's text goes to its chains once
-    own = rows.select("node", "id", "text")
+    own = rows.select("node", "id", F.col("text").cast("binary").alias("text"))
     both = segments.unionByName(own, allowMissingColumns=True)
     if done is None:
         both = both.withColumn("done", F.lit(None).cast(_done_kind(kind).partition(" ")[2]))
     else:
         both = both.unionByName(done.withColumn("of", F.lit(-1).cast("long")), allowMissingColumns=True)
     ordered = both.select("node", "of", "at", "of_at", "seeds", "of_id", "of_start", "of_more", "segment", "id", "text", "done").repartition(
-        "node").sortWithinPartitions("node", F.col("of").asc_nulls_first(), "at", "of_at")
+        "node").sortWithinPartitions("node", F.col("of").asc_nulls_first())
     found = stored(ordered.mapInArrow(_passage_batches, _passage_kind(kind)), "passages", compression="zstd")
     released(segments)
     return found
@@ -581,13 +792,13 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     buckets = int(min(1 << 20, max(LEAST_BUCKETS, -(-size // BUCKET_BYTES))))
     seeds = rows.select("node", "text").mapInArrow(_seed_batches(buckets), _BLOCK)
     # each exchange is gone before the next one is made
-    matches = stored(seeds.repartition("bucket").sortWithinPartitions("bucket", "first").mapInArrow(_match_batches, _MATCH),
-                     "passage-matches", compression="zstd")
+    matches = stored(seeds.repartition("bucket").sortWithinPartitions("bucket", "first").mapInArrow(
+        _match_batches(min(buckets, _MATCH_BUCKETS)), _MATCH), "passage-matches", compression="zstd")
     collected(rows.sparkSession)
     lists = "at array<int>, of_at array<int>, seeds array<int>"
     chains = stored(
-        matches.repartition("node").sortWithinPartitions("node", "of", F.col("at") - F.col("of_at"), "at")
-        .mapInArrow(_chain_batches, f"node long, of long, {lists}"), "passage-chains", compression="zstd")
+        matches.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_chain_batches, f"node long, of long, {lists}"),
+        "passage-chains", compression="zstd")
     released(matches)
     collected(rows.sparkSession)
     columns = ["node", "id", "start", "stop", "source_ids", "identity", "passage"]
