@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillwright.llm.common import _IS_SPACE, _STEP, chunked, hashed_words, raw
-from tillwright.llm.jaccard_join import BROADCAST_CLASSES, CHUNK_BYTES, shingled
+from tillwright.llm.jaccard_join import CHUNK_BYTES, shingled
 from tillwright.session import collected, released, stored
 
 U = np.uint64
@@ -804,13 +804,10 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     columns = ["node", "id", "start", "stop", "source_ids", "identity", "passage"]
     first = _passages(chains, rows, kind, NEAR)
     found, open_ = first.where("left is null").select(*columns), first.where("left is not null")
-    n = open_.agg(F.coalesce(F.sum(F.size("left")), F.lit(0))).first()[0]
-    if not n:
+    if open_.isEmpty():
         return found
     collected(rows.sparkSession)
     left = open_.select("node", F.inline("left")).select("node", "of", F.col("at").alias("y"), F.col("of_at").alias("x"))
     again = stored(chains.withColumns({"y": F.get("at", F.lit(0)), "x": F.get("of_at", F.lit(0))}).join(
-        F.broadcast(left) if n <= BROADCAST_CLASSES else left, ["node", "of", "y", "x"]).select(*chains.columns), "passage-chains", compression="zstd")
-    if n <= BROADCAST_CLASSES:  # their texts are then at most twice as many
-        rows = rows.join(F.broadcast(again.select("node").union(again.select("of")).distinct()), "node", "left_semi")
+        left, ["node", "of", "y", "x"]).select(*chains.columns), "passage-chains", compression="zstd")
     return found.unionByName(_passages(again, rows, kind, _MARGIN, open_.select("node", "done")).select(*columns))
