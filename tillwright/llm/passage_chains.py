@@ -11,10 +11,13 @@
    chains, word gaps costing ``GAP_COST`` each; the best predecessor of a match comes from a Fenwick tree of
    prefix maxima over the earlier document's positions.
    A chain whose seeds all lie in equal stretches of other chains of the document, ``MIN_WORDS`` long, adds nothing and goes.
+   Matches go to their document's bucket as packed blocks.  Most make chains of a single run; those that differ in their
+   place only, as in a text that repeats a word, are one row with all places and one part of the earlier text.
 4. Alignment: a chain's seeds are joined to runs, what lies between them is aligned for the most matches (bit vectors, exact),
    and its ends are extended while matches outweigh mismatches.  Alignments below ``IDENTITY`` are split at their
    widest gap, single seeds below it dropped.  All chains are aligned, those of a single seed too: length is judged
    on the aligned words, not on the spread of the seeds.
+   The ends of chains of a single run, which have no gaps, are found for many documents at once, on hashed words.
    The earlier document's part goes to the alignment with ``NEAR`` words beyond the chain's ends.  Chains of which an end
    reaches as far as that are aligned again with all the words that an end may reach, so the results are those of the latter.
 5. Aligned pieces that touch are one passage, whichever documents they come from, so a passage whose parts
