@@ -1,4 +1,5 @@
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -6,6 +7,7 @@ from pyspark.sql import functions as F
 from tillwright.operators import recommend as R
 from tillwright.operators.features import feature_candidates, feature_texts, rarest_pieces, with_features
 from tillwright.operators.ordering import running_totals
+from tillwright.plans.catalog import QUERIES
 
 # (id, category, description); the order is that of the ids
 CATALOGUE = [
@@ -142,6 +144,20 @@ def test_feature_search(spark):
         assert sorted(tuple(r) for r in pairs) == sorted((x, y) for y, found in want.items() for x in found)
 
 
+def test_no_join_of_the_feature_search_carries_texts(spark, tmp_path):
+    texts = ["See Internationally known, (internationalization) " + "x y " * 50, "internationally", "no long word", None, "Internationally",
+             "internationalizationx internationally"]
+    rows = [(i, t) for i, t in enumerate(texts + texts[:2])]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = QUERIES["rec_feature_search"](spark, str(tmp_path))
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    lowered = [(i, t.lower()) for i, t in rows if t]
+    features = {w for _, t in lowered for w in re.findall("[a-z]{12,}", t)}
+    found = {f: [i for i, t in lowered if f in t] for f in features}
+    assert {tuple(r) for r in got.collect()} == {(f, len(ids), min(ids)) for f, ids in found.items()} and len(features) == 3
+    assert "Join" in plan and "hashpartitioning(text" not in plan
+
+
 def test_a_feature_is_looked_up_by_its_rarest_piece(spark):
     """Every text begins as the features do; each feature still meets the one text that has it."""
     texts = spark.createDataFrame([(f"common start {i:04d}",) for i in range(300)], "text string")

@@ -4,10 +4,15 @@ A feature is looked up by one of its pieces: the one that occurs in the fewest t
 the catalogue still meets few candidates.  Pieces have the largest of ``SIZES`` characters that the feature has: four characters
 are in so many texts that long features would meet most of them.  Pieces that are in more than
 one text of ``HOT`` are spread over several keys.  Candidates are tested on the text itself.
+
+The texts are first cut to what can hold a feature: runs of the characters that occur in features, as long as the shortest feature.
+Every distinct run is searched once, and the texts themselves are not shuffled for it.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -17,6 +22,8 @@ SIZES = (1, 2, 3, 4, 6, 8, 12)
 PIECE, LONGEST = 4, SIZES[-1]
 HOT = 100
 SALTS = 64
+# features of more characters: a text is one run, since a class of so many would be tested character by character
+ALPHABET = 256
 
 
 def _pieces(text: Column, size: Column) -> Column:
@@ -72,14 +79,35 @@ def feature_candidates(features: DataFrame, marked: DataFrame, piece: int = LONG
     return pieces.withColumn("salt", salt).join(wanted, ["piece", "salt"]).select("feature", "mark")
 
 
-def feature_texts(features: DataFrame, texts: DataFrame, piece: int = LONGEST) -> DataFrame:
+def _run_pattern(features: DataFrame) -> Column:
+    """A pattern of the runs that can hold a feature: characters of the features, at least as many as the shortest has."""
+    shortest, characters = F.min(F.length("feature")), F.array_distinct(F.flatten(F.collect_set(F.array_distinct(F.split("feature", "")))))
+    known = features.agg(shortest.alias("n"), characters.alias("characters"))
+    codes = F.transform("characters", lambda c: F.concat(F.lit("\\x{"), F.hex(F.ascii(c)), F.lit("}")))
+    one = F.when(F.size("characters") > ALPHABET, "(?s:.)").otherwise(
+        F.concat(F.lit("[\\x{0}"), F.array_join(codes, ""), F.lit("]")))
+    return known.select(F.concat(one, F.lit("{"), F.col("n").cast("string"), F.lit(",}+"))).scalar()
+
+
+def feature_texts(features: DataFrame, texts: DataFrame, piece: int = LONGEST, carried: Sequence[str] = ()) -> DataFrame:
     """(feature, text) for every text that contains the feature; both inputs hold distinct values, lower-case alike.
 
-    The join carries digests of the texts.
+    With ``carried``, columns of ``texts``, the result has them in place of the text, and no join or exchange carries texts.
     """
-    marked = texts.select("text", F.xxhash64("text").alias("mark"))
-    candidates = feature_candidates(features, marked, piece)
-    return candidates.join(marked, "mark").where(F.contains("text", "feature")).select("feature", "text")
+    features = stored(features.where("feature IS NOT NULL"), "features")
+    row = F.monotonically_increasing_id() if carried else F.xxhash64("text")
+    cut = texts.withColumn("pattern", _run_pattern(features)).select(
+        row.alias("row"), *carried, F.explode(F.array_distinct(F.regexp_extract_all("text", F.col("pattern"), F.lit(0)))).alias("run"))
+    cut = stored(cut, "runs")
+    runs = stored(cut.select("run").distinct().select(F.monotonically_increasing_id().alias("mark"), F.col("run").alias("text")), "distinct-runs")
+    within = feature_candidates(features, runs, piece).join(runs, "mark").where(F.contains("text", "feature")).select("feature", "mark")
+    numbered = cut.join(runs.withColumnRenamed("text", "run"), "run").drop("run")
+    # a feature can be in several runs of a text
+    found = numbered.join(within, "mark").select("feature", "row", *carried).distinct()
+    if carried:
+        return found.drop("row")
+    marked = texts.select("text", F.xxhash64("text").alias("row"))
+    return found.join(marked, "row").where(F.contains("text", "feature")).select("feature", "text")
 
 
 def with_features(texts: DataFrame, features: DataFrame) -> DataFrame:

@@ -111,7 +111,7 @@ def rec_feature_search(s):
     documents = s.table("documents").select("doc_id", F.lower("text").alias("text"))
     features = documents.select(F.explode(F.regexp_extract_all("text", F.lit("([a-z]{12,})"))).alias("feature")).distinct()
     texts = documents.where("text IS NOT NULL").groupBy("text").agg(F.count("*").alias("n"), F.min("doc_id").alias("first"))
-    found = feature_texts(features, texts.select("text")).join(texts, "text")
+    found = feature_texts(features, texts, carried=["n", "first"])
     return found.groupBy("feature").agg(F.sum("n").alias("documents"), F.min("first").alias("first_document"))
 
 
