@@ -54,6 +54,19 @@ def test_stream_from_topic_to_topic(spark, tmp_path):
     assert sorted(json.loads(v)["n"] for v in rows(spark, target).values()) == list(range(20))
 
 
+def test_writing_leaves_no_processes_on_the_driver(spark, tmp_path):
+    """A write of a Python data source starts processes that stay; three streams of them took the driver's memory."""
+    psutil = pytest.importorskip("psutil")
+    send(spark, tmp_path / "in", [json.dumps({"n": i, "text": "the same words again"}) for i in range(2000)])
+    send_to_topic(read_topic(spark, str(tmp_path / "in")).select("value"), str(tmp_path / "out"), str(tmp_path / "state"), "copy").awaitTermination()
+    append(spark.createDataFrame([("x",)], "value string"), str(tmp_path / "out"), commit="copy-0")  # the batch's commit, done already
+    assert topic_messages(spark, str(tmp_path / "out")).count() == 2000
+    running = [" ".join(p.cmdline()) for p in psutil.Process().children(recursive=True) if p.status() != psutil.STATUS_ZOMBIE]
+    assert not [x for x in running if "write_into_data_source" in x or "commit_data_source_write" in x or "streaming_sink_runner" in x]
+    # segments are compressed
+    assert sum(f.stat().st_size for f in (tmp_path / "in").glob("*/*.jsonl")) < 2000 * 10
+
+
 def test_a_repeated_commit_adds_nothing(tmp_path):
     topic = Segments(str(tmp_path))
 
