@@ -5,8 +5,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from tillwright.operators import recommend as R
-from tillwright.plans.recommend_queries import _segments
-from tillwright.sources.topic import append, read_topics
+from tillwright.plans.recommend_queries import AT_ONCE, _over_batches, _segments
+from tillwright.session import there
+from tillwright.sources.topic import append, read_topic, read_topics
 from tillwright.streaming import events as E
 from tillwright.streaming.recommender import (
     CatalogueIndex, Ledger, last_metrics, start_metrics, start_recommendations, to_batches)
@@ -254,3 +255,36 @@ def test_kafka_options():
 def test_segments_grow_with_the_messages():
     """A task reads a segment: a batch of many messages is read by many tasks."""
     assert [_segments(n) for n in (0, 1_000, 400_000, 6_600_000)] == [4, 4, 4, 66]
+
+
+def test_queries_share_a_topic_that_goes_with_them(spark, monkeypatch):
+    """Each query has all messages in four batches; no task holds every time there is, and the topic goes."""
+    class Stall:
+        def __init__(self):
+            self.spark = spark
+
+        def sent(self):
+            rows = spark.range(1000).selectExpr("if(id % 100 = 99, null, 1000.0D + id * 7 % 1000) timestamp", "id event_id")
+            return rows.select("timestamp", F.to_json(F.struct("event_id", "timestamp")).alias("value"))
+
+        values = sent
+
+    def exact(*_):
+        raise AssertionError("an exact percentile holds all values in one task")
+
+    def begin(events, root):
+        folders.append(events)
+        return E.start(events.select("event_id", "timestamp"), f"{root}/out", f"{root}/state", trigger=AT_ONCE)
+
+    folders, topics = [], []
+    monkeypatch.setattr(F, "percentile", exact)
+    monkeypatch.setattr("tillwright.plans.recommend_queries.read_topic", lambda s, path, *a, f=read_topic: topics.append(path) or f(s, path, *a))
+    roots = _over_batches(Stall(), begin, begin)
+    assert len(set(roots)) == 2 and len(set(topics)) == 1 and len(topics) == len(folders) == 4
+    for root in roots:
+        sent = [r.asDict() for r in spark.read.parquet(f"{root}/out").collect()]
+        assert sorted(r["event_id"] for r in sent) == [i for i in range(1000) if i % 100 != 99]
+        batches = [[r["timestamp"] for r in sent if r["batch_id"] == n] for n in range(4)]
+        assert len({r["batch_id"] for r in sent}) == 4 and max(map(len, batches)) <= 250
+        assert all(max(a) < min(b) for a, b in zip(batches, batches[1:]))
+    assert not there(spark, topics[0])

@@ -11,7 +11,7 @@ from tillwright.session import stored
 
 
 def running_totals(df: DataFrame, keys: Sequence[str], order: Sequence[str],
-                   measures: Mapping[str, Column]) -> DataFrame:
+                   measures: Mapping[str, Column], path: str | None = None) -> DataFrame:
     """Add, per measure, its sum from the group's first row up to the current row.
 
     A window over the whole group would put a hot group, or with no keys the whole
@@ -19,11 +19,12 @@ def running_totals(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     large group spans many partitions; each partition sums its own rows, and the
     totals of the partitions before it (one row per group and partition) are
     added.  The partitioned rows are written out once, since partition numbers
-    must not change between the two passes.  ``order`` must be unique in a group.
+    must not change between the two passes; a stream gives the ``path``, so that its batches
+    replace one another's.  ``order`` must be unique in a group.
     """
     added = {f"_{name}": e.cast("bigint") for name, e in measures.items()}
     parts = df.withColumns(added).repartitionByRange(*keys, *order).withColumn("_part", F.spark_partition_id())
-    rows = stored(parts, "ranges")
+    rows = stored(parts, "ranges", path)
     before = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         rows.groupBy(*keys, "_part").agg(*[F.sum(m).alias(f"{m}_sum") for m in added])

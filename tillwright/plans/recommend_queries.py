@@ -8,7 +8,7 @@ from tillwright.operators import recommend as R
 from tillwright.operators.features import feature_texts
 from tillwright.plans.registry import query
 from tillwright.plans.shop import Shop, with_ctes
-from tillwright.session import scratch_dir, stored
+from tillwright.session import collected, dropped, released, scratch_dir, stored
 from tillwright.sources.topic import append, read_topic, read_topics, send_to_topic, topic_messages
 from tillwright.streaming import events as E
 from tillwright.streaming.recommender import (
@@ -165,22 +165,31 @@ def _segments(messages: int) -> int:
     return max(4, -(-messages // (2 * SEGMENT)))
 
 
-def _over_batches(s: Shop, begin, batches: int = 4) -> str:
-    """Send the shop's messages to a topic and run a query over it in so many batches, with a stop and a restart halfway.
+def _over_batches(s: Shop, *begins, batches: int = 4) -> list[str]:
+    """Send the shop's messages to a topic and run queries over it in so many batches, with a stop and a restart halfway.
 
-    ``begin(events, root)`` starts the query below the folder ``root``, which is returned.
+    ``begin(events, root)`` starts a query below a folder ``root`` of its own; the folders are returned.  The queries read the same
+    topic, one after the other, which goes when they have ended.
     """
-    root = scratch_dir(s.spark, "stream")
-    values = stored(s.values(), "values")
-    n = values.count()
-    middle = values.agg(F.percentile("timestamp", 0.5)).scalar()
-    for half in (F.col("timestamp") <= middle, F.col("timestamp") > middle):
+    topic, roots = scratch_dir(s.spark, "topic"), [scratch_dir(s.spark, "stream") for _ in begins]
+    values = stored(s.sent(), "values", compression="zstd")
+    # about the middle: an exact one would hold every time there is in one task
+    middle = F.lit(values.agg(F.percentile_approx("timestamp", 0.5)).first()[0]).cast("double")
+    counts = {r["early"]: r["count"] for r in values.groupBy((F.col("timestamp") <= middle).alias("early")).count().collect()}
+    n = sum(counts.values())
+    for early, half in ((True, F.col("timestamp") <= middle), (False, F.col("timestamp") > middle)):
         part = values.where(half).repartitionByRange(_segments(n), "timestamp").sortWithinPartitions("timestamp")
-        append(part.select("value"), f"{root}/topic", partitions=1)
-        running = begin(E.parse(read_topic(s.spark, f"{root}/topic", "query", -(-n // batches))), root)
-        running.processAllAvailable()
-        running.stop()
-    return root
+        append(part.select("value"), topic, partitions=1)
+        if not early:
+            released(values)
+        collected(s.spark)  # the exchange of the messages is on disk until then
+        limit = max(1, -(-counts.get(early, 0) * 2 // batches))
+        for begin, root in zip(begins, roots):
+            running = begin(E.parse(read_topic(s.spark, topic, root.rpartition("/")[2], limit)), root)
+            running.processAllAvailable()
+            running.stop()
+    dropped(s.spark, topic)
+    return roots
 
 
 AT_ONCE = {"processingTime": "0 seconds"}
@@ -226,7 +235,7 @@ def stream_recommend(s):
     def begin(events, root):
         return start_recommendations(events, _index(s, root), to_batches(f"{root}/out"), f"{root}/checkpoint", AT_ONCE)
 
-    out = s.spark.read.parquet(f"{_over_batches(s, begin)}/out")
+    out = s.spark.read.parquet(f"{_over_batches(s, begin)[0]}/out")
     whole = F.transform("recommendations", lambda p: F.concat_ws(":", p["id"], p["name"], p["price"].cast("string")))
     return out.drop("batch_id", "timestamp").withColumns({"recommendations": F.array_join(whole, ","), "event_id": _sent_id()})
 
@@ -257,11 +266,15 @@ due AS (SELECT * FROM steps WHERE event_type = 'product_view' AND events_process
 STREAM_RECS = f"{SENT}, {_tiers(str(K_STREAM))}"
 
 
-def _metrics_run(s: Shop, send=None) -> str:
+def _metrics_begin(s: Shop, send=None):
     def begin(events, root):
         return start_metrics(events, _index(s, root), f"{root}/metrics", send(root) if send else to_batches(f"{root}/out"),
                              f"{root}/checkpoint", trigger=AT_ONCE)
-    return _over_batches(s, begin)
+    return begin
+
+
+def _metrics_run(s: Shop) -> str:
+    return _over_batches(s, _metrics_begin(s))[0]
 
 
 # The running metrics after every tenth event and at the end, as windows over all messages in one order.
@@ -292,8 +305,8 @@ def sink_event_stream(s):
     def begin_recommendations(events, root):
         return start_recommendations(events, _index(s, root), to_topic(f"{root}/recommendations", "views"), f"{root}/checkpoint", AT_ONCE)
 
-    bought, viewed = _over_batches(s, begin_confirmations), _over_batches(s, begin_recommendations)
-    metrics = _metrics_run(s, lambda root: to_topic(f"{root}/sent", "metrics"))
+    bought, viewed, metrics = _over_batches(
+        s, begin_confirmations, begin_recommendations, _metrics_begin(s, lambda root: to_topic(f"{root}/sent", "metrics")))
     append(last_metrics(s.spark, f"{metrics}/metrics"), f"{metrics}/sent")
     values = topic_messages(s.spark, f"{bought}/recommendations").unionByName(
         topic_messages(s.spark, f"{viewed}/recommendations")).unionByName(topic_messages(s.spark, f"{metrics}/sent"))
@@ -309,7 +322,7 @@ def sink_event_stream(s):
 def _sessions_run(s: Shop) -> str:
     def begin(events, root):
         return start_sessions(events, f"{root}/out", f"{root}/checkpoint", trigger=AT_ONCE)
-    return f"{_over_batches(s, begin)}/checkpoint"
+    return f"{_over_batches(s, begin)[0]}/checkpoint"
 
 
 LAST_VIEW = f"""last_view AS (SELECT user_id, max_by(id, "timestamp") AS last_view, max("timestamp") AS viewed, any_value(cats) AS cats FROM sent

@@ -261,14 +261,17 @@ class Shop:
     def messages(self) -> DataFrame:
         return self._messages(self.table("events"))
 
-    def values(self) -> DataFrame:
-        """The messages as sent, in order of time: JSON, every tenth message twice and without an id."""
+    def sent(self) -> DataFrame:
+        """(timestamp, value) of the messages as sent, in no order: JSON, every tenth message twice and without an id."""
         tenth = F.col("event_id") % 10 == 0
         rows = self.messages().withColumn("_times", F.array_repeat(F.lit(1), F.when(tenth, 2).otherwise(1)))
         rows = rows.withColumn("event_id", F.when(~tenth, F.col("event_id")))
-        sent = rows.select("timestamp", F.explode("_times"), F.to_json(F.struct(
-            *[c for c in rows.columns if c != "_times"])).alias("value"))
-        return sent.repartitionByRange("timestamp").sortWithinPartitions("timestamp").select("timestamp", "value")
+        return rows.select("timestamp", F.explode("_times"), F.to_json(F.struct(
+            *[c for c in rows.columns if c != "_times"])).alias("value")).select("timestamp", "value")
+
+    def values(self) -> DataFrame:
+        """The same in order of time."""
+        return self.sent().repartitionByRange("timestamp").sortWithinPartitions("timestamp")
 
     def message_stream(self) -> DataFrame:
         """The same messages as JSON, read as a stream of files and parsed."""

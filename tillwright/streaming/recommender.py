@@ -210,7 +210,7 @@ def start_metrics(events: DataFrame, index: CatalogueIndex, path: str, send: Cal
         sums = running_totals(steps.join(marks, "row", "left"), [], place, {
             "events_processed": F.lit(1), "sum_recommendations": F.col("total_recommendations"),
             "sum_relevant": F.col("relevant_recommendations"), "total_relevant_products": F.coalesce("relevant", F.lit(0)),
-            "active_user_sessions": F.coalesce("sessions", F.lit(0))})
+            "active_user_sessions": F.coalesce("sessions", F.lit(0))}, f"{path}/ranges")
         names = dict(zip(TOTALS, ("sum_recommendations", "sum_relevant", "total_relevant_products", "active_user_sessions")))
         sums = stored(sums.select("timestamp", "event_id", "is_view", (F.col("events_processed") + held["events_processed"]).alias("events_processed"),
                                 *[(F.col(c) + held[n]).alias(n) for n, c in names.items()]), "sums", f"{path}/sums")
