@@ -182,12 +182,14 @@ def _over_batches(s: Shop, *begins, batches: int = 4) -> list[str]:
         append(part.select("value"), topic, partitions=1)
         if not early:
             released(values)
-        collected(s.spark)  # the exchange of the messages is on disk until then
         limit = max(1, -(-counts.get(early, 0) * 2 // batches))
         for begin, root in zip(begins, roots):
+            # exchanges are on disk until then, and the plans of a query's batches in the driver's memory
+            collected(s.spark)
             running = begin(E.parse(read_topic(s.spark, topic, root.rpartition("/")[2], limit)), root)
             running.processAllAvailable()
             running.stop()
+            del running
     dropped(s.spark, topic)
     return roots
 
